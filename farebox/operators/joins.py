@@ -1,0 +1,25 @@
+"""Join helpers: broadcast only sides whose size is proven small."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Upper bound for a dimension we are willing to ship to every executor.
+DEFAULT_BROADCAST_ROWS = 1_000_000
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """Broadcast ``df`` only after checking it has at most ``max_rows`` rows.
+
+    The check reads at most ``max_rows + 1`` rows (a bounded ``limit`` job);
+    beyond the bound the plain DataFrame is returned and Spark falls back to a
+    shuffle join (AQE may still convert it at runtime from real sizes).
+    """
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df
+
+
+def broadcast_fixed(df: DataFrame) -> DataFrame:
+    """Broadcast a dimension built from literals (fixed, known row count)."""
+    return F.broadcast(df)
