@@ -41,3 +41,199 @@ FROM stg""",
         "service_comparison", double_cols=["observed_trip_amount", "occupied_hours",
                                            "observed_amount_per_priced_trip"]),
 }
+
+# --- checks -------------------------------------------------------------------------------
+from farebox.operators.checks import default_suite  # noqa: E402
+from farebox.plans.oracle_sql import CTES, cte  # noqa: E402
+from farebox.schemas import INVALID_REASONS  # noqa: E402
+
+MODEL_CTE = {
+    "landing": "landing", "stg_trip_records": "stg", "trips": "silver",
+    "trip_quarantine": "quarantine", "taxi_zone_lookup": "zone_seed",
+    "dim_service_type": "dim_service", "dim_taxi_zone": "dim_zone", "dim_date": "dim_date",
+    "dim_time": "dim_time", "fact_trip": "fact_trip", "fact_zone_hourly_demand": "hourly",
+    "fact_zone_daily_performance": "daily", "mart_mobility_overview": "overview",
+    "mart_service_comparison": "service_comparison", "mart_driver_opportunity": "driver_opportunity",
+    "mart_congestion_proxy": "congestion", "mart_profitability_scenario": "profitability",
+}
+
+
+def _lit_list(values) -> str:
+    return ", ".join("'" + str(v).replace("'", "''") + "'" for v in values)
+
+
+SINGULAR_SQL = {
+    "fact_trip_measures_are_non_negative":
+        "SELECT * FROM fact_trip WHERE duration_minutes < 0 OR trip_distance < 0 OR average_speed_mph < 0",
+    "gold_counts_are_consistent":
+        "SELECT * FROM hourly WHERE trip_count <= 0 OR revenue_observation_count < 0 "
+        "OR revenue_observation_count > trip_count",
+    "gold_trip_totals_reconcile":
+        "SELECT s.c AS silver_count, g.c AS gold_count FROM (SELECT CAST(count(*) AS BIGINT) AS c FROM silver) s "
+        "CROSS JOIN (SELECT CAST(sum(trip_count) AS BIGINT) AS c FROM daily) g WHERE s.c <> g.c",
+    "trips_have_non_negative_duration": "SELECT trip_id FROM silver WHERE duration_minutes < 0",
+}
+
+
+def _failing_sql(c) -> str:
+    t = MODEL_CTE.get(c.model)
+    if c.test == "not_null":
+        return f"SELECT * FROM {t} WHERE {c.column} IS NULL"
+    if c.test == "unique":
+        return (f"SELECT {c.column} AS unique_field, count(*) AS n_records FROM {t} "
+                f"WHERE {c.column} IS NOT NULL GROUP BY 1 HAVING count(*) > 1")
+    if c.test == "accepted_values":
+        return (f"SELECT * FROM (SELECT {c.column} AS value_field, count(*) AS n_records FROM {t} GROUP BY 1) v "
+                f"WHERE value_field NOT IN ({_lit_list(c.values)})")
+    if c.test == "relationships":
+        p = MODEL_CTE[c.parent]
+        return (f"SELECT ch.from_field FROM (SELECT {c.column} AS from_field FROM {t} "
+                f"WHERE {c.column} IS NOT NULL) ch LEFT JOIN (SELECT {c.parent_field} AS to_field FROM {p}) pa "
+                f"ON ch.from_field = pa.to_field WHERE pa.to_field IS NULL")
+    return SINGULAR_SQL[c.name]
+
+
+def suite_sql() -> str:
+    suite = default_suite()
+    parts = []
+    for c in suite.checks:
+        test = c.test
+        parts.append(f"SELECT '{c.name}' AS check_name, '{c.model}' AS model, '{test}' AS test, "
+                     f"CAST(count(*) AS BIGINT) AS failures FROM ({_failing_sql(c)}) AS f")
+    body = "\nUNION ALL\n".join(parts)
+    return (with_clause(*MODEL_CTE.values()) + "\nSELECT *, CASE WHEN failures = 0 THEN 'PASS' ELSE 'FAIL' END "
+            f"AS status FROM (\n{body}\n) AS r")
+
+
+ORACLES.update({
+    "data_quality_suite": suite_sql(),
+    "check_not_null": with_clause("stg") + "\nSELECT * FROM stg WHERE dropoff_datetime IS NULL",
+    "check_unique": with_clause("landing") + """
+SELECT source_filename AS unique_field, count(*) AS n_records FROM landing
+WHERE source_filename IS NOT NULL GROUP BY 1 HAVING count(*) > 1""",
+    "check_accepted_values": with_clause("stg") + f"""
+SELECT * FROM (SELECT invalid_reason AS value_field, count(*) AS n_records FROM stg GROUP BY 1) v
+WHERE value_field NOT IN ({_lit_list(INVALID_REASONS[:3])})""",
+    "check_relationships": with_clause("stg", "dim_zone") + """
+SELECT s.dropoff_location_id AS from_field FROM stg s
+WHERE s.dropoff_location_id IS NOT NULL
+  AND NOT EXISTS (SELECT 1 FROM dim_zone z WHERE z.taxi_zone_key = s.dropoff_location_id)""",
+    "check_non_negative_measures": with_clause("stg") + """
+SELECT * FROM (
+SELECT trip_id,
+       CAST(strftime(pickup_datetime, '%Y%m%d') AS INTEGER) AS pickup_date_key,
+       CAST(extract(hour FROM pickup_datetime) AS SMALLINT) AS pickup_hour_key,
+       pickup_location_id AS pickup_taxi_zone_key, dropoff_location_id AS dropoff_taxi_zone_key,
+       service_type AS service_type_key, pickup_datetime, dropoff_datetime, duration_minutes, trip_distance,
+       total_amount AS observed_trip_amount, total_amount IS NOT NULL AS has_observed_amount,
+       CASE WHEN duration_minutes > 0 AND trip_distance IS NOT NULL
+            THEN trip_distance / (duration_minutes / 60.0::DOUBLE) END AS average_speed_mph,
+       source_kind, source_file_id, source_row_number
+FROM stg) f
+WHERE duration_minutes < 0 OR trip_distance < 0 OR average_speed_mph < 0""",
+    "check_gold_counts": with_clause("hourly") + """
+SELECT zone_hour_service_key, date_key, hour_key, taxi_zone_key, service_type_key, trip_count,
+       revenue_observation_count
+FROM hourly WHERE trip_count <= 0 OR revenue_observation_count < 0 OR revenue_observation_count > trip_count""",
+    "check_totals_reconcile": with_clause("stg", "daily") + """
+SELECT s.c AS silver_count, g.c AS gold_count
+FROM (SELECT CAST(count(*) AS BIGINT) AS c FROM stg) s,
+     (SELECT CAST(sum(trip_count) AS BIGINT) AS c FROM daily) g
+WHERE s.c IS DISTINCT FROM g.c""",
+    "check_non_negative_duration": with_clause("stg") + "\nSELECT trip_id FROM stg WHERE duration_minutes < 0",
+})
+
+# --- forecasting -----------------------------------------------------------------------------
+cte("panel", ("hourly", "dim_date", "dim_time"), """
+SELECT CAST(d.full_date AS TIMESTAMP) + to_hours(CAST(h.hour_key AS INTEGER)) AS target_timestamp,
+       h.service_type_key AS service_type, h.taxi_zone_key,
+       CAST(h.trip_count AS DOUBLE) AS demand
+FROM hourly h JOIN dim_date d ON h.date_key = d.date_key JOIN dim_time t ON h.hour_key = t.hour_key""")
+
+cte("dense", ("panel",), """
+SELECT g.service_type, g.taxi_zone_key, g.target_timestamp, coalesce(p.demand, 0.0::DOUBLE) AS demand
+FROM (
+  SELECT service_type, taxi_zone_key,
+         unnest(generate_series(min(target_timestamp), max(target_timestamp), INTERVAL 1 HOUR)) AS target_timestamp
+  FROM panel GROUP BY 1, 2) g
+LEFT JOIN (SELECT service_type, taxi_zone_key, target_timestamp, max(demand) AS demand
+           FROM panel GROUP BY 1, 2, 3) p
+  USING (service_type, taxi_zone_key, target_timestamp)""")
+
+FEATURE_DOUBLES = ["lag_origin", "lag_origin_1", "lag_origin_24", "rolling_mean_24", "hour_sin",
+                   "hour_cos", "weekday_sin", "weekday_cos", "service_code", "zone_code", "target",
+                   "baseline"]
+
+
+def _features_cte(h: int) -> None:
+    w = "PARTITION BY service_type, taxi_zone_key ORDER BY target_timestamp"
+    cte(f"features_{h}", ("dense",), f"""
+SELECT service_type, taxi_zone_key, target_timestamp, {h} AS horizon_hours,
+       lag_origin, lag_origin_1, lag_origin_24, rolling_mean_24,
+       sin(2 * pi() * hr / 24.0) AS hour_sin, cos(2 * pi() * hr / 24.0) AS hour_cos,
+       sin(2 * pi() * wd / 7.0) AS weekday_sin, cos(2 * pi() * wd / 7.0) AS weekday_cos,
+       CASE service_type WHEN 'yellow' THEN 0.0 WHEN 'green' THEN 1.0 WHEN 'fhv' THEN 2.0
+                         WHEN 'fhvhv' THEN 3.0 END AS service_code,
+       CAST(taxi_zone_key AS DOUBLE) AS zone_code,
+       demand AS target, baseline
+FROM (
+  SELECT *, CAST(extract(hour FROM target_timestamp) AS DOUBLE) AS hr,
+         CAST(isodow(target_timestamp) - 1 AS DOUBLE) AS wd,
+         row_number() OVER ({w}) - 1 AS series_index,
+         lag(demand, {h}) OVER ({w}) AS lag_origin,
+         lag(demand, {h + 1}) OVER ({w}) AS lag_origin_1,
+         lag(demand, {h + 24}) OVER ({w}) AS lag_origin_24,
+         avg(demand) OVER ({w} ROWS BETWEEN {h + 23} PRECEDING AND {h} PRECEDING) AS rolling_mean_24,
+         lag(demand, 24) OVER ({w}) AS baseline
+  FROM dense) x
+WHERE series_index >= 48""")
+    cte(f"split_{h}", (f"features_{h}",), f"""
+SELECT f.*, CASE WHEN f.target_timestamp < c.cutoff THEN 'train' ELSE 'test' END AS split, c.cutoff
+FROM features_{h} f, (
+  SELECT ts AS cutoff FROM (
+    SELECT ts, row_number() OVER (ORDER BY ts) - 1 AS pos, count(*) OVER () AS n
+    FROM (SELECT DISTINCT target_timestamp AS ts FROM features_{h}) d) r
+  WHERE pos = CAST(floor(n * (1.0::DOUBLE - 0.2::DOUBLE)) AS BIGINT)) c""")
+    cte(f"naive_{h}", (f"split_{h}",), f"""
+SELECT 'seasonal_naive' AS model_name, CAST({h} AS SMALLINT) AS horizon_hours, target_timestamp,
+       service_type, taxi_zone_key, target AS actual_demand, CAST(baseline AS DOUBLE) AS predicted_demand,
+       'test' AS split
+FROM split_{h} WHERE split = 'test'""")
+
+
+_features_cte(1)
+_features_cte(24)
+
+cte("naive", ("naive_1", "naive_24"), "SELECT * FROM naive_1 UNION ALL SELECT * FROM naive_24")
+
+cte("naive_metrics", ("naive",), """
+SELECT model_name, horizon_hours, 'test' AS split,
+       avg(abs(e)) AS mae, sqrt(avg(e * e)) AS rmse,
+       sum(abs(e)) / nullif(sum(abs(actual_demand)), 0) AS wape,
+       CASE WHEN count(*) <= 1 THEN NULL
+            WHEN sum((actual_demand - m) * (actual_demand - m)) = 0
+                 THEN CASE WHEN sum(e * e) = 0 THEN 1.0 ELSE 0.0 END
+            ELSE 1.0 - sum(e * e) / sum((actual_demand - m) * (actual_demand - m)) END AS r2,
+       CAST(count(*) AS INTEGER) AS sample_count
+FROM (SELECT *, actual_demand - predicted_demand AS e,
+             avg(actual_demand) OVER (PARTITION BY model_name, horizon_hours) AS m FROM naive) x
+GROUP BY 1, 2""")
+
+ORACLES.update({
+    "hourly_panel": select_from("panel"),
+    "densify_hourly": select_from("dense"),
+    "forecast_features_1h": select_from("features_1", double_cols=FEATURE_DOUBLES),
+    "forecast_features_24h": select_from("features_24", double_cols=FEATURE_DOUBLES),
+    "temporal_split": with_clause("split_24") + """
+SELECT service_type, taxi_zone_key, target_timestamp, horizon_hours, split, cutoff FROM split_24""",
+    "seasonal_naive_predictions": select_from("naive"),
+    "forecast_metrics_naive": r6(with_clause("naive_metrics") + """
+SELECT *, row_number() OVER (PARTITION BY horizon_hours ORDER BY mae ASC NULLS LAST) = 1 AS is_selected
+FROM naive_metrics""", ["mae", "rmse", "wape", "r2"]),
+    "forecast_error_by_hour": r6(with_clause("naive_24") + """
+SELECT model_name, horizon_hours, CAST(extract(hour FROM target_timestamp) AS INTEGER) AS hour,
+       count(*) AS sample_count, avg(abs(actual_demand - predicted_demand)) AS mae,
+       sum(abs(actual_demand - predicted_demand)) / nullif(sum(abs(actual_demand)), 0) AS wape,
+       avg(CASE WHEN actual_demand <> 0 THEN abs(actual_demand - predicted_demand) / abs(actual_demand) END) AS mape
+FROM naive_24 GROUP BY 1, 2, 3""", ["mae", "wape", "mape"]),
+})

@@ -18,6 +18,7 @@ from farebox.fixtures import fixture_inputs
 from farebox.functions.columns import floor_round
 from farebox.operators import dimensions as dims
 from farebox.operators import facts, marts, silver
+from farebox.session import checkpoint_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -40,13 +41,20 @@ def present(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
 class Gold:
     """Lazily built model DataFrames for one scale-factor folder."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, materialize: bool = False):
         self.spark = spark
         self.landing, self.zone_seed = fixture_inputs(spark, sf_dir)
         self.stg = silver.stg_trip_records(self.landing)
+        if materialize:
+            # reliable checkpoint into the shared spark.checkpoint.dir: many
+            # downstream branches read these, and lineage is cut for recovery
+            checkpoint_dir(spark)
+            self.stg = self.stg.checkpoint(eager=True)
         self.silver = silver.silver_trips(self.stg)
         self.quarantine = silver.trip_quarantine(self.stg)
         self.partials = facts.zone_hour_partials(self.silver)
+        if materialize:
+            self.partials = self.partials.checkpoint(eager=True)
         self.hourly = facts.fact_zone_hourly_demand(self.partials)
         self.daily = facts.fact_zone_daily_performance(self.partials)
         self.zone_dim = dims.dim_taxi_zone(self.zone_seed)
@@ -147,3 +155,132 @@ def q_overview(spark, sf_dir):
 def q_service_cmp(spark, sf_dir):
     g = Gold(spark, sf_dir)
     return present(marts.mart_service_comparison(g.service_dim, g.daily))
+
+
+# --- G: data-quality checks ---------------------------------------------------------
+from farebox.operators import checks as chk  # noqa: E402
+from farebox.operators import forecast as fc  # noqa: E402
+from farebox.schemas import INVALID_REASONS  # noqa: E402
+
+FIXTURE_MIN_HOURS = 24 * 14   # the 30-day fixture has < 720 target hours (FIXTURES.md §Limits)
+
+
+def models_of(g: Gold) -> dict[str, DataFrame]:
+    return {
+        "landing": g.landing, "stg_trip_records": g.stg, "trips": g.silver,
+        "trip_quarantine": g.quarantine, "taxi_zone_lookup": g.zone_seed,
+        "dim_service_type": g.service_dim, "dim_taxi_zone": g.zone_dim, "dim_date": g.date_dim,
+        "dim_time": g.time_dim, "fact_trip": facts.fact_trip(g.silver),
+        "fact_zone_hourly_demand": g.hourly, "fact_zone_daily_performance": g.daily,
+        "mart_mobility_overview": marts.mart_mobility_overview(g.daily, g.service_dim),
+        "mart_service_comparison": marts.mart_service_comparison(g.service_dim, g.daily),
+        "mart_driver_opportunity": marts.mart_driver_opportunity(g.hourly, g.zone_dim),
+        "mart_congestion_proxy": marts.mart_congestion_proxy(g.hourly, g.zone_dim),
+        "mart_profitability_scenario": marts.mart_profitability_scenario(g.daily, g.zone_dim),
+    }
+
+
+@register("data_quality_suite")
+def q_suite(spark, sf_dir):
+    return chk.run_checks(models_of(Gold(spark, sf_dir, materialize=True)))
+
+
+@register("check_not_null")
+def q_not_null(spark, sf_dir):
+    return chk.check_not_null(Gold(spark, sf_dir).stg, "dropoff_datetime").drop("loaded_at")
+
+
+@register("check_unique")
+def q_unique(spark, sf_dir):
+    return chk.check_unique(Gold(spark, sf_dir).landing, "source_filename")
+
+
+@register("check_accepted_values")
+def q_accepted(spark, sf_dir):
+    return chk.check_accepted_values(Gold(spark, sf_dir).stg, "invalid_reason",
+                                     list(INVALID_REASONS[:3]))
+
+
+@register("check_relationships")
+def q_relationships(spark, sf_dir):
+    g = Gold(spark, sf_dir)
+    return chk.check_relationships(g.stg, "dropoff_location_id", g.zone_dim, "taxi_zone_key")
+
+
+@register("check_non_negative_measures")
+def q_nonneg_measures(spark, sf_dir):
+    # applied to every staged row (before quarantine) so the check has rows to find
+    return chk.check_non_negative_measures(facts.fact_trip(Gold(spark, sf_dir).stg))
+
+
+@register("check_gold_counts")
+def q_gold_counts(spark, sf_dir):
+    return chk.check_gold_counts(Gold(spark, sf_dir).hourly).drop(
+        "observed_trip_amount", "average_duration_minutes", "average_trip_distance",
+        "average_speed_mph", "occupied_hours")
+
+
+@register("check_totals_reconcile")
+def q_reconcile(spark, sf_dir):
+    g = Gold(spark, sf_dir)
+    # staged rows vs the daily fact: differs by exactly the quarantined rows
+    return chk.check_totals_reconcile(g.stg, g.daily)
+
+
+@register("check_non_negative_duration")
+def q_nonneg_duration(spark, sf_dir):
+    return chk.check_non_negative_duration(Gold(spark, sf_dir).stg)
+
+
+# --- J: forecasting ---------------------------------------------------------------------
+def _panel(g: Gold) -> DataFrame:
+    return fc.hourly_panel(g.hourly, g.date_dim, g.time_dim)
+
+
+@register("hourly_panel")
+def q_panel(spark, sf_dir):
+    return _panel(Gold(spark, sf_dir))
+
+
+@register("densify_hourly")
+def q_dense(spark, sf_dir):
+    return fc.densify_hourly(_panel(Gold(spark, sf_dir)))
+
+
+@register("forecast_features_1h")
+def q_feat1(spark, sf_dir):
+    return present(fc.forecast_features(fc.densify_hourly(_panel(Gold(spark, sf_dir))), 1))
+
+
+@register("forecast_features_24h")
+def q_feat24(spark, sf_dir):
+    return present(fc.forecast_features(fc.densify_hourly(_panel(Gold(spark, sf_dir))), 24))
+
+
+def _split(spark, sf_dir, h):
+    feats = fc.forecast_features(fc.densify_hourly(_panel(Gold(spark, sf_dir))), h)
+    return fc.temporal_split(feats, 0.2, FIXTURE_MIN_HOURS)
+
+
+@register("temporal_split")
+def q_split(spark, sf_dir):
+    return _split(spark, sf_dir, 24).select(
+        "service_type", "taxi_zone_key", "target_timestamp", "horizon_hours", "split", "cutoff")
+
+
+@register("seasonal_naive_predictions")
+def q_naive(spark, sf_dir):
+    return fc.seasonal_naive(_split(spark, sf_dir, 1)).unionByName(
+        fc.seasonal_naive(_split(spark, sf_dir, 24)))
+
+
+@register("forecast_metrics_naive")
+def q_metrics(spark, sf_dir):
+    preds = fc.seasonal_naive(_split(spark, sf_dir, 1)).unionByName(
+        fc.seasonal_naive(_split(spark, sf_dir, 24)))
+    return present(fc.select_model(fc.forecast_metrics(preds)))
+
+
+@register("forecast_error_by_hour")
+def q_err_hour(spark, sf_dir):
+    return present(fc.error_breakdown(fc.seasonal_naive(_split(spark, sf_dir, 24)), "hour"))
