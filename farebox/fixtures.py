@@ -87,3 +87,42 @@ def fixture_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFra
     zones = zone_seed_from_nations(spark, read_table(spark, sf_dir, "nation"),
                                    read_table(spark, sf_dir, "region"))
     return landing, zones
+
+
+# --- control-table fixtures derived from the landing rows ---------------------------
+FIXTURE_SPLIT_TS = "2024-01-16 00:00:00"   # rows picked up before this landed in run 1
+
+
+def inventory_requests(landing: DataFrame) -> DataFrame:
+    """One request spanning the landed pickup months plus two months ahead,
+    over the services present in the data."""
+    return landing.agg(
+        F.min("pickup_datetime").alias("start_date"),
+        F.add_months(F.max("pickup_datetime"), 2).alias("end_date"),
+        F.concat_ws(",", F.sort_array(F.collect_set("service_type"))).alias("services"),
+    )
+
+
+def monthly_file_manifest(landing: DataFrame, status: str, run_id: str,
+                          base_url: str) -> DataFrame:
+    """Manifest rows for the monthly files the landed trips came from
+    (service × pickup month), named as the inventory names them."""
+    from farebox.schemas import MANIFEST_SCHEMA
+    rows = landing.filter(F.col("pickup_datetime").isNotNull()).select(
+        "service_type", F.year("pickup_datetime").alias("y"), F.month("pickup_datetime").alias("m"))
+    g = rows.groupBy("service_type", "y", "m").agg(F.count(F.lit(1)).alias("n"))
+    fname = F.format_string("%s_tripdata_%04d-%02d.parquet", F.col("service_type"), F.col("y"), F.col("m"))
+    out = g.select(
+        F.lit(0).cast("long").alias("file_id"),
+        F.lit("tlc").alias("source_kind"), "service_type",
+        F.col("y").cast("short").alias("year"), F.col("m").cast("short").alias("month"),
+        fname.alias("filename"),
+        F.concat(F.lit(base_url.rstrip("/") + "/"), fname).alias("source_url"),
+        (F.col("n") * 100).cast("long").alias("size_bytes"),
+        F.sha2(F.concat_ws("|", fname, F.col("n").cast("string")), 256).alias("sha256"),
+        F.col("n").cast("long").alias("row_count"),
+        F.lit(status).alias("status"),
+        F.lit(run_id).alias("first_run_id"), F.lit(run_id).alias("last_run_id"),
+        F.lit(None).cast("timestamp").alias("updated_at"),
+    )
+    return out.select([F.col(f.name).cast(f.dataType) for f in MANIFEST_SCHEMA.fields])

@@ -237,3 +237,114 @@ SELECT model_name, horizon_hours, CAST(extract(hour FROM target_timestamp) AS IN
        avg(CASE WHEN actual_demand <> 0 THEN abs(actual_demand - predicted_demand) / abs(actual_demand) END) AS mape
 FROM naive_24 GROUP BY 1, 2, 3""", ["mae", "wape", "mape"]),
 })
+
+# --- ingest ------------------------------------------------------------------------------------
+from farebox.schemas import DEFAULT_BASE_URL  # noqa: E402
+
+cte("inv_req", ("landing",), """
+SELECT min(pickup_datetime) AS start_date,
+       max(pickup_datetime) + INTERVAL 2 MONTH AS end_date,
+       string_agg(DISTINCT service_type, ',' ORDER BY service_type) AS services
+FROM landing""")
+
+cte("inventory", ("inv_req",), f"""
+SELECT 'tlc' AS source_kind, svc AS service_type,
+       CAST(year(m) AS INTEGER) AS year, CAST(month(m) AS INTEGER) AS month,
+       svc || '_tripdata_' || strftime(m, '%Y-%m') || '.parquet' AS filename,
+       '{DEFAULT_BASE_URL}/' || svc || '_tripdata_' || strftime(m, '%Y-%m') || '.parquet' AS source_url
+FROM (SELECT unnest(generate_series(date_trunc('month', start_date), date_trunc('month', end_date),
+                                    INTERVAL 1 MONTH)) AS m, services
+      FROM inv_req WHERE date_trunc('month', start_date) <= date_trunc('month', end_date)) ms,
+     (SELECT unnest(string_split(services, ',')) AS raw FROM inv_req) sv(raw),
+     (SELECT regexp_replace(sv.raw, '\\s', '', 'g') AS svc) t""")
+
+
+def _manifest_sql(where: str, status: str, run: str) -> str:
+    fname = "service_type || '_tripdata_' || lpad(CAST(y AS VARCHAR), 4, '0') || '-' || lpad(CAST(m AS VARCHAR), 2, '0') || '.parquet'"
+    return f"""
+SELECT 'tlc' AS source_kind, service_type, CAST(y AS SMALLINT) AS year, CAST(m AS SMALLINT) AS month,
+       {fname} AS filename, '{DEFAULT_BASE_URL}/' || {fname} AS source_url,
+       CAST(n * 100 AS BIGINT) AS size_bytes,
+       sha256({fname} || '|' || CAST(n AS VARCHAR)) AS sha256,
+       CAST(n AS BIGINT) AS row_count, '{status}' AS status, '{run}' AS first_run_id, '{run}' AS last_run_id
+FROM (SELECT service_type, year(pickup_datetime) AS y, month(pickup_datetime) AS m, count(*) AS n
+      FROM landing WHERE pickup_datetime IS NOT NULL {where} GROUP BY 1, 2, 3) g"""
+
+
+cte("manifest_run1_raw", ("landing",),
+    _manifest_sql("AND pickup_datetime < TIMESTAMP '2024-01-16 00:00:00'", "DOWNLOADED", "run-1"))
+cte("manifest_run1", ("manifest_run1_raw",), """
+SELECT CAST(row_number() OVER (ORDER BY source_kind, service_type, year, month, filename) AS BIGINT) AS file_id, *
+FROM manifest_run1_raw""")
+cte("manifest_processed", ("landing",), _manifest_sql("", "PROCESSED", "run-2"))
+cte("manifest_run2", ("manifest_processed", "inventory"), """
+SELECT i.source_kind, i.service_type, CAST(i.year AS SMALLINT) AS year, CAST(i.month AS SMALLINT) AS month,
+       i.filename, i.source_url, CAST(NULL AS BIGINT) AS size_bytes, CAST(NULL AS VARCHAR) AS sha256,
+       CAST(NULL AS BIGINT) AS row_count, 'DISCOVERED' AS status, 'run-2' AS first_run_id, 'run-2' AS last_run_id
+FROM inventory i
+WHERE NOT EXISTS (SELECT 1 FROM manifest_processed p WHERE p.source_kind = i.source_kind
+                  AND p.service_type = i.service_type AND p.year = i.year AND p.month = i.month
+                  AND p.filename = i.filename)
+UNION ALL SELECT * FROM manifest_processed""")
+cte("manifest_merged", ("manifest_run1", "manifest_run2"), """
+SELECT CAST(CASE WHEN e.file_id IS NULL
+                 THEN (SELECT coalesce(max(file_id), 0) FROM manifest_run1)
+                      + row_number() OVER (PARTITION BY e.file_id IS NULL
+                                           ORDER BY source_kind, service_type, year, month, filename)
+                 ELSE e.file_id END AS BIGINT) AS file_id,
+       source_kind, service_type, year, month, filename,
+       CASE WHEN n.status IS NOT NULL THEN n.source_url ELSE e.source_url END AS source_url,
+       CASE WHEN n.status IS NOT NULL THEN n.size_bytes ELSE e.size_bytes END AS size_bytes,
+       CASE WHEN n.status IS NOT NULL THEN n.sha256 ELSE e.sha256 END AS sha256,
+       CASE WHEN n.status IS NOT NULL THEN n.row_count ELSE e.row_count END AS row_count,
+       CASE WHEN n.status IS NOT NULL THEN n.status ELSE e.status END AS status,
+       coalesce(e.first_run_id, n.first_run_id) AS first_run_id,
+       CASE WHEN n.status IS NOT NULL THEN n.last_run_id ELSE e.last_run_id END AS last_run_id
+FROM manifest_run1 e FULL OUTER JOIN manifest_run2 n
+  USING (source_kind, service_type, year, month, filename)""")
+
+ORACLES.update({
+    "trip_file_inventory": select_from("inventory"),
+    "pending_files": with_clause("inventory", "manifest_merged") + """
+SELECT source_kind, service_type, CAST(year AS SMALLINT) AS year, CAST(month AS SMALLINT) AS month,
+       filename, source_url
+FROM inventory i
+WHERE NOT EXISTS (SELECT 1 FROM manifest_merged m WHERE m.status IN ('VALIDATED', 'PROCESSED')
+                  AND m.source_kind = i.source_kind AND m.service_type = i.service_type
+                  AND m.year = i.year AND m.month = i.month AND m.filename = i.filename)""",
+    "upsert_manifest": select_from("manifest_merged"),
+    "bronze_coverage": with_clause("manifest_merged") + """
+SELECT service_type, min(make_date(year, month, 1)) AS first_month, max(make_date(year, month, 1)) AS last_month,
+       CAST(count(*) AS BIGINT) AS files, CAST(sum(size_bytes) AS BIGINT) AS bytes
+FROM manifest_merged WHERE source_kind = 'tlc' AND status IN ('VALIDATED', 'PROCESSED')
+GROUP BY 1 ORDER BY 1""",
+    "parse_file_identity": with_clause("landing") + """
+SELECT source_filename,
+       CASE WHEN s = '' THEN NULL WHEN s = 'hvfhv' THEN 'fhvhv' ELSE s END AS service_type,
+       CASE WHEN s = '' THEN NULL ELSE CAST(y AS INTEGER) END AS year,
+       CASE WHEN s = '' THEN NULL ELSE CAST(mo AS INTEGER) END AS month,
+       CAST(count(*) AS BIGINT) AS rows
+FROM (SELECT source_filename,
+             regexp_extract(source_filename, '(yellow|green|fhvhv|hvfhv|fhv)_tripdata_([0-9]{4})-([0-9]{2})', 1) AS s,
+             regexp_extract(source_filename, '(yellow|green|fhvhv|hvfhv|fhv)_tripdata_([0-9]{4})-([0-9]{2})', 2) AS y,
+             regexp_extract(source_filename, '(yellow|green|fhvhv|hvfhv|fhv)_tripdata_([0-9]{4})-([0-9]{2})', 3) AS mo
+      FROM landing) x
+GROUP BY 1, 2, 3, 4""",
+    "normalize_to_landing": with_clause("landing") + """
+SELECT source_kind, source_file_id, source_filename, source_row_number, service_type,
+       pickup_datetime, dropoff_datetime, pickup_location_id, dropoff_location_id,
+       CASE WHEN service_type = 'fhv' THEN NULL ELSE trip_distance END AS trip_distance,
+       CASE WHEN service_type = 'fhv' THEN NULL ELSE total_amount END AS total_amount,
+       dispatching_base_num, hvfhs_license_num
+FROM landing""",
+    "landing_rows_to_insert": with_clause("landing") + """
+SELECT * FROM landing
+WHERE NOT (pickup_datetime < TIMESTAMP '2024-01-16 00:00:00') OR pickup_datetime IS NULL""",
+    "file_digests": """
+SELECT parse_filename(filename) AS file_name, CAST(size AS BIGINT) AS size_bytes, sha256(content) AS sha256,
+       CASE WHEN size = 0 THEN 'FAILED' ELSE 'DOWNLOADED' END AS status
+FROM read_blob('/root/testdata/sf0.01/*.parquet')""",
+    "landing_load_summary": with_clause("landing") + """
+SELECT source_kind, source_file_id, source_filename, CAST(count(*) AS BIGINT) AS landing_rows
+FROM landing GROUP BY 1, 2, 3""",
+})

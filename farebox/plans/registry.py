@@ -284,3 +284,111 @@ def q_metrics(spark, sf_dir):
 @register("forecast_error_by_hour")
 def q_err_hour(spark, sf_dir):
     return present(fc.error_breakdown(fc.seasonal_naive(_split(spark, sf_dir, 24)), "hour"))
+
+
+# --- A: ingest, inventory and control tables -------------------------------------------
+from farebox import fixtures as fx  # noqa: E402
+from farebox.schemas import DEFAULT_BASE_URL, MANIFEST_SCHEMA, SERVICES  # noqa: E402
+from farebox.sources import bronze as br  # noqa: E402
+from farebox.sources import inventory as inv  # noqa: E402
+from farebox.sources import landing as ld  # noqa: E402
+
+
+def _manifests(g: Gold) -> tuple[DataFrame, DataFrame]:
+    early = g.landing.filter(F.col("pickup_datetime") < F.lit(fx.FIXTURE_SPLIT_TS).cast("timestamp_ntz"))
+    empty = g.spark.createDataFrame([], MANIFEST_SCHEMA)
+    run1 = ld.upsert_manifest(fx.monthly_file_manifest(early, "DOWNLOADED", "run-1", DEFAULT_BASE_URL), empty)
+    discovered = inv.file_inventory(fx.inventory_requests(g.landing)).select(
+        F.lit(0).cast("long").alias("file_id"), "source_kind", "service_type",
+        F.col("year").cast("short").alias("year"), F.col("month").cast("short").alias("month"),
+        "filename", "source_url", F.lit(None).cast("long").alias("size_bytes"),
+        F.lit(None).cast("string").alias("sha256"), F.lit(None).cast("long").alias("row_count"),
+        F.lit("DISCOVERED").alias("status"), F.lit("run-2").alias("first_run_id"),
+        F.lit("run-2").alias("last_run_id"), F.lit(None).cast("timestamp").alias("updated_at"))
+    processed = fx.monthly_file_manifest(g.landing, "PROCESSED", "run-2", DEFAULT_BASE_URL)
+    run2 = discovered.join(processed.select(*inv.MANIFEST_KEY), list(inv.MANIFEST_KEY), "left_anti") \
+        .unionByName(processed)
+    return run1, run2
+
+
+@register("trip_file_inventory")
+def q_inventory(spark, sf_dir):
+    return inv.file_inventory(fx.inventory_requests(Gold(spark, sf_dir).landing))
+
+
+@register("pending_files")
+def q_pending(spark, sf_dir):
+    g = Gold(spark, sf_dir)
+    run1, run2 = _manifests(g)
+    manifest = ld.upsert_manifest(run2, run1)
+    return inv.pending_files(inv.file_inventory(fx.inventory_requests(g.landing)), manifest)
+
+
+@register("upsert_manifest")
+def q_upsert(spark, sf_dir):
+    g = Gold(spark, sf_dir)
+    run1, run2 = _manifests(g)
+    return ld.upsert_manifest(run2, run1).drop("updated_at")
+
+
+@register("bronze_coverage")
+def q_coverage(spark, sf_dir):
+    g = Gold(spark, sf_dir)
+    run1, run2 = _manifests(g)
+    return inv.bronze_coverage(ld.upsert_manifest(run2, run1))
+
+
+@register("parse_file_identity")
+def q_identity(spark, sf_dir):
+    land = Gold(spark, sf_dir).landing
+    return land.select("source_filename", inv.parse_file_identity("source_filename").alias("i")) \
+        .groupBy("source_filename", "i.service_type", "i.year", "i.month") \
+        .agg(F.count(F.lit(1)).alias("rows"))
+
+
+@register("normalize_to_landing")
+def q_normalize(spark, sf_dir):
+    """Each service's landing rows renamed to that service's physical column
+    names, then projected back onto the landing contract."""
+    land = Gold(spark, sf_dir).landing
+    parts = [br.normalize_to_landing(br.raw_frame(land, s), s, F.col("source_kind"),
+                                     F.col("source_file_id"), F.col("source_filename"),
+                                     row_number="source_row_number", loaded_at=F.col("loaded_at"))
+             for s in SERVICES]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.drop("loaded_at")
+
+
+@register("landing_rows_to_insert")
+def q_to_insert(spark, sf_dir):
+    """Rerun of the whole landing batch, delivered twice, against the rows a
+    first run landed (pickups before the split time): only the rest is new."""
+    land = Gold(spark, sf_dir).landing
+    existing = land.filter(F.col("pickup_datetime") < F.lit(fx.FIXTURE_SPLIT_TS).cast("timestamp_ntz"))
+    return ld.landing_rows_to_insert(land.unionByName(land), existing).drop("loaded_at")
+
+
+@register("file_digests")
+def q_digests(spark, sf_dir):
+    return br.file_digests(spark, f"{sf_dir.rstrip('/')}/*.parquet")
+
+
+@register("validate_bronze")
+def q_validate(spark, sf_dir):
+    land = Gold(spark, sf_dir).landing
+    parts = [br.validate_bronze(br.raw_frame(land, s), s, s, 2024, 1, f"{s}_tripdata_2024-01.parquet")
+             .select(F.lit(s).alias("service_type"), "*") for s in SERVICES]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+@register("landing_load_summary")
+def q_landing_summary(spark, sf_dir):
+    """Rows per landed file (the e2e check's filtered count, for every file)."""
+    land = Gold(spark, sf_dir).landing
+    return land.groupBy("source_kind", "source_file_id", "source_filename").agg(
+        F.count(F.lit(1)).alias("landing_rows"))
