@@ -348,3 +348,9 @@ FROM read_blob('/root/testdata/sf0.01/*.parquet')""",
 SELECT source_kind, source_file_id, source_filename, CAST(count(*) AS BIGINT) AS landing_rows
 FROM landing GROUP BY 1, 2, 3""",
 })
+
+ORACLES["bronze_stream_ingest"] = with_clause("landing") + """
+SELECT service_type, CAST(count(*) AS BIGINT) AS landing_rows, CAST(count(*) AS BIGINT) AS distinct_keys,
+       CAST(count(pickup_datetime) AS BIGINT) AS pickups,
+       CAST(count(CASE WHEN service_type = 'fhv' THEN NULL ELSE total_amount END) AS BIGINT) AS amounts
+FROM landing GROUP BY 1"""

@@ -257,9 +257,15 @@ def q_feat24(spark, sf_dir):
     return present(fc.forecast_features(fc.densify_hourly(_panel(Gold(spark, sf_dir))), 24))
 
 
-def _split(spark, sf_dir, h):
-    feats = fc.forecast_features(fc.densify_hourly(_panel(Gold(spark, sf_dir))), h)
-    return fc.temporal_split(feats, 0.2, FIXTURE_MIN_HOURS)
+def _dense(spark, sf_dir) -> DataFrame:
+    """Dense panel, checkpointed: the split's scalar jobs and the features reuse it."""
+    checkpoint_dir(spark)
+    return fc.densify_hourly(_panel(Gold(spark, sf_dir))).checkpoint(eager=True)
+
+
+def _split(spark, sf_dir, h, dense: DataFrame | None = None):
+    dense = dense if dense is not None else _dense(spark, sf_dir)
+    return fc.temporal_split(fc.forecast_features(dense, h), 0.2, FIXTURE_MIN_HOURS)
 
 
 @register("temporal_split")
@@ -270,14 +276,16 @@ def q_split(spark, sf_dir):
 
 @register("seasonal_naive_predictions")
 def q_naive(spark, sf_dir):
-    return fc.seasonal_naive(_split(spark, sf_dir, 1)).unionByName(
-        fc.seasonal_naive(_split(spark, sf_dir, 24)))
+    dense = _dense(spark, sf_dir)
+    return fc.seasonal_naive(_split(spark, sf_dir, 1, dense)).unionByName(
+        fc.seasonal_naive(_split(spark, sf_dir, 24, dense)))
 
 
 @register("forecast_metrics_naive")
 def q_metrics(spark, sf_dir):
-    preds = fc.seasonal_naive(_split(spark, sf_dir, 1)).unionByName(
-        fc.seasonal_naive(_split(spark, sf_dir, 24)))
+    dense = _dense(spark, sf_dir)
+    preds = fc.seasonal_naive(_split(spark, sf_dir, 1, dense)).unionByName(
+        fc.seasonal_naive(_split(spark, sf_dir, 24, dense)))
     return present(fc.select_model(fc.forecast_metrics(preds)))
 
 
@@ -392,3 +400,41 @@ def q_landing_summary(spark, sf_dir):
     land = Gold(spark, sf_dir).landing
     return land.groupBy("source_kind", "source_file_id", "source_filename").agg(
         F.count(F.lit(1)).alias("landing_rows"))
+
+
+# --- K1 / A3-A4: Bronze files → streaming landing ingest ---------------------------------
+@register("bronze_stream_ingest")
+def q_stream(spark, sf_dir):
+    """Write each service's rows as Bronze Parquet files (service/year/month),
+    stream them into a fresh landing table twice (the rerun must add nothing),
+    and return the landed rows.  Scratch lives under spark.checkpoint.dir."""
+    import uuid
+    from farebox.streaming.ingest import ingest_landing_stream
+    base = f"{checkpoint_dir(spark).rstrip('/')}/bronze-stream-{uuid.uuid4().hex}"
+    land = Gold(spark, sf_dir).landing
+    for s in SERVICES:
+        raw = br.raw_frame(land, s).drop("source_kind", "source_file_id", "source_filename",
+                                         "source_row_number", "loaded_at")
+        br.write_bronze(raw, f"{base}/bronze", s, 2024, 1, on_conflict="ignore")
+    total = 0
+    for _ in range(2):
+        for s in SERVICES:
+            total += ingest_landing_stream(spark, f"{base}/bronze/{s}", s, f"{base}/landing",
+                                           f"{base}/checkpoints/{s}", source_kind="demo")
+    out = spark.read.parquet(f"{base}/landing")
+    return out.groupBy("service_type").agg(
+        F.count(F.lit(1)).alias("landing_rows"),
+        F.count_distinct("source_file_id", "source_row_number").alias("distinct_keys"),
+        F.count("pickup_datetime").alias("pickups"),
+        F.count("total_amount").alias("amounts"))
+
+
+# --- J7/J10/J11: MLlib training run on the fixture's gold panel -----------------------------
+@register("forecast_training_run")
+def q_training(spark, sf_dir):
+    import uuid
+    from farebox.plans.training import train_demand
+    out = f"{checkpoint_dir(spark).rstrip('/')}/ml-{uuid.uuid4().hex}"
+    train_demand(spark, out, mode="full", panel=_panel(Gold(spark, sf_dir)),
+                 min_hours=FIXTURE_MIN_HOURS)
+    return spark.read.parquet(f"{out}/model_metrics").drop("model_run_id")
