@@ -354,3 +354,149 @@ SELECT service_type, CAST(count(*) AS BIGINT) AS landing_rows, CAST(count(*) AS
        CAST(count(pickup_datetime) AS BIGINT) AS pickups,
        CAST(count(CASE WHEN service_type = 'fhv' THEN NULL ELSE total_amount END) AS BIGINT) AS amounts
 FROM landing GROUP BY 1"""
+
+# --- presentation -------------------------------------------------------------------------------
+from farebox.operators.presentation import DASHBOARD_TABLES  # noqa: E402
+
+_DASH_SOURCES = {
+    "mart_mobility_overview": ORACLES["mart_mobility_overview"],
+    "mart_service_comparison": ORACLES["mart_service_comparison"],
+    "mart_driver_opportunity": ORACLES["mart_driver_opportunity"],
+    "mart_congestion_proxy": ORACLES["mart_congestion_proxy"],
+    "mart_profitability_scenario": ORACLES["mart_profitability_scenario"],
+    "model_metrics": ORACLES["forecast_metrics_naive"],
+    "predictions": select_from("naive_24"),
+}
+for _name, (_model, _cols) in DASHBOARD_TABLES.items():
+    _c = ", ".join(_cols)
+    _o = ", ".join(f"{c} ASC NULLS LAST" for c in _cols)
+    ORACLES[f"dashboard_{_name}"] = f"SELECT {_c} FROM (\n{_DASH_SOURCES[_model]}\n) AS src ORDER BY {_o} LIMIT 100"
+
+ORACLES["recent_files"] = with_clause("manifest_merged") + """
+SELECT service_type, filename, status FROM manifest_merged ORDER BY filename LIMIT 50"""
+
+# --- tier 2 ----------------------------------------------------------------------------------------
+_PRICED = "total_amount IS NOT NULL AND trip_distance > 0"
+ORACLES["kpi_unit_economics"] = r6(with_clause("silver") + f"""
+SELECT service_type, CAST(count(*) AS BIGINT) AS trip_count,
+       CAST(count(total_amount) AS BIGINT) AS priced_trip_count,
+       sum(total_amount) / nullif(count(total_amount), 0) AS amount_per_priced_trip,
+       CAST(count(CASE WHEN {_PRICED} THEN 1 END) AS BIGINT) AS priced_trips_with_distance,
+       sum(CASE WHEN {_PRICED} THEN total_amount END)
+           / nullif(sum(CASE WHEN {_PRICED} THEN trip_distance END), 0) AS amount_per_mile,
+       sum(CASE WHEN total_amount IS NOT NULL THEN total_amount END)
+           / nullif(sum(CASE WHEN total_amount IS NOT NULL THEN duration_minutes END) / 60.0::DOUBLE, 0)
+           AS amount_per_occupied_hour
+FROM silver GROUP BY 1""", ["amount_per_priced_trip", "amount_per_mile", "amount_per_occupied_hour"])
+
+ORACLES["borough_flows"] = with_clause("silver", "dim_zone") + """
+SELECT pz.borough AS pickup_borough, dz.borough AS dropoff_borough, CAST(count(*) AS BIGINT) AS trip_count,
+       pz.borough <> dz.borough AS cross_borough
+FROM silver s JOIN dim_zone pz ON s.pickup_location_id = pz.taxi_zone_key
+JOIN dim_zone dz ON s.dropoff_location_id = dz.taxi_zone_key
+GROUP BY 1, 2"""
+
+ORACLES["od_pairs_top"] = with_clause("silver", "dim_zone") + """
+SELECT t.*, pz.zone_name AS pickup_zone_name, dz.zone_name AS dropoff_zone_name FROM (
+  SELECT pickup_location_id AS pickup_taxi_zone_key, dropoff_location_id AS dropoff_taxi_zone_key,
+         CAST(count(*) AS BIGINT) AS trip_count
+  FROM silver GROUP BY 1, 2 ORDER BY trip_count DESC, 1, 2 LIMIT 20) t
+LEFT JOIN dim_zone pz ON t.pickup_taxi_zone_key = pz.taxi_zone_key
+LEFT JOIN dim_zone dz ON t.dropoff_taxi_zone_key = dz.taxi_zone_key"""
+
+
+def _ranking(col: str) -> str:
+    return with_clause("silver") + f"""
+SELECT * FROM (
+  SELECT service_type AS service_type_key, {col} AS taxi_zone_key, CAST(count(*) AS BIGINT) AS trip_count,
+         CAST(dense_rank() OVER (PARTITION BY service_type ORDER BY count(*) DESC) AS INTEGER) AS zone_rank
+  FROM silver GROUP BY 1, 2) r WHERE zone_rank <= 5"""
+
+
+ORACLES["top_origins"] = _ranking("pickup_location_id")
+ORACLES["top_destinations"] = _ranking("dropoff_location_id")
+
+
+def _profile(group_expr: str, name: str) -> str:
+    return r6(with_clause("hourly", "dim_date", "dim_time") + f"""
+SELECT *, trips_per_cell / (sum(trip_count) OVER (PARTITION BY service_type_key)
+                            / sum(observed_cells) OVER (PARTITION BY service_type_key)) AS demand_index
+FROM (
+  SELECT h.service_type_key, {group_expr} AS {name}, CAST(sum(h.trip_count) AS BIGINT) AS trip_count,
+         CAST(count(*) AS BIGINT) AS observed_cells, sum(h.trip_count) / count(*) AS trips_per_cell
+  FROM hourly h JOIN dim_date d ON h.date_key = d.date_key JOIN dim_time t ON h.hour_key = t.hour_key
+  GROUP BY 1, 2) g""", ["trips_per_cell", "demand_index"])
+
+
+ORACLES["demand_profile_day_period"] = _profile("t.day_period", "day_period")
+ORACLES["demand_profile_weekend"] = _profile("CASE WHEN d.is_weekend THEN 'weekend' ELSE 'weekday' END", "weekend")
+
+ORACLES["period_comparison"] = r6(with_clause("daily") + """
+SELECT *, trip_count / nullif(active_days, 0) AS trips_per_day FROM (
+  SELECT service_type_key,
+         CASE WHEN date_key // 10000 BETWEEN 2018 AND 2019 THEN '2018_2019'
+              WHEN date_key // 10000 BETWEEN 2020 AND 2021 THEN '2020_2021'
+              WHEN date_key // 10000 BETWEEN 2022 AND 2025 THEN '2022_2025' ELSE 'other' END AS period,
+         CAST(sum(trip_count) AS BIGINT) AS trip_count,
+         CAST(count(DISTINCT date_key) AS INTEGER) AS active_days,
+         sum(observed_trip_amount) AS observed_trip_amount,
+         sum(average_duration_minutes * trip_count) / nullif(sum(trip_count), 0) AS weighted_average_duration_minutes
+  FROM daily GROUP BY 1, 2) p""", ["observed_trip_amount", "weighted_average_duration_minutes", "trips_per_day"])
+
+_PROFILE_COLS = [("source_kind", False), ("source_file_id", True), ("source_filename", False),
+                 ("source_row_number", True), ("service_type", False), ("pickup_datetime", False),
+                 ("dropoff_datetime", False), ("pickup_location_id", True), ("dropoff_location_id", True),
+                 ("trip_distance", True), ("total_amount", True), ("dispatching_base_num", False),
+                 ("hvfhs_license_num", False), ("duration_minutes", True)]
+ORACLES["quality_profile"] = r6(with_clause("stg") + "\n" + "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS column_name, CAST(count(*) AS BIGINT) AS rows, "
+    f"CAST(count(*) - count({c}) AS BIGINT) AS null_count, "
+    f"(count(*) - count({c})) * 100.0::DOUBLE / nullif(count(*), 0) AS null_pct, "
+    + (f"CAST(min({c}) AS DOUBLE) AS min_value, CAST(max({c}) AS DOUBLE) AS max_value"
+       if num else "CAST(NULL AS DOUBLE) AS min_value, CAST(NULL AS DOUBLE) AS max_value")
+    + " FROM stg" for c, num in _PROFILE_COLS), ["null_pct", "min_value", "max_value"])
+
+ORACLES["valid_share"] = r6(with_clause("stg") + """
+SELECT service_type, CAST(count(*) AS BIGINT) AS rows,
+       CAST(count(*) FILTER (WHERE invalid_reason IS NULL) AS BIGINT) AS valid_rows,
+       count(*) FILTER (WHERE invalid_reason IS NULL) * 100.0::DOUBLE / count(*) AS valid_pct
+FROM stg GROUP BY 1""", ["valid_pct"])
+
+ORACLES["file_month_coherence"] = with_clause("landing") + """
+SELECT source_kind, source_file_id, source_filename, CAST(count(*) AS BIGINT) AS rows,
+       CAST(count(pickup_datetime) AS BIGINT) AS rows_with_pickup,
+       CAST(count(CASE WHEN year(pickup_datetime) <> y OR month(pickup_datetime) <> m THEN 1 END) AS BIGINT)
+           AS outside_month,
+       CAST(count(CASE WHEN CAST(pickup_datetime AS DATE) < make_date(y, m, 1) - 1
+                        OR CAST(pickup_datetime AS DATE) > CAST(make_date(y, m, 1) + INTERVAL 1 MONTH AS DATE)
+                       THEN 1 END) AS BIGINT) AS outside_tolerance
+FROM (SELECT *, CAST(regexp_extract(source_filename, '_tripdata_([0-9]{4})-([0-9]{2})', 1) AS INTEGER) AS y,
+             CAST(regexp_extract(source_filename, '_tripdata_([0-9]{4})-([0-9]{2})', 2) AS INTEGER) AS m
+      FROM landing) l
+GROUP BY 1, 2, 3"""
+
+_SCEN = [("base", 0.20, 0.35, 1.50), ("high_cost", 0.25, 0.50, 2.00), ("low_cost", 0.10, 0.25, 1.00)]
+ORACLES["scenario_grid"] = r6(with_clause("daily") + "\n" + "\nUNION ALL\n".join(f"""
+SELECT zone_day_service_key, date_key, taxi_zone_key, service_type_key, '{n}' AS scenario, trip_count,
+       observed_trip_amount,
+       CASE WHEN revenue_observation_count > 0 THEN
+            observed_trip_amount - observed_trip_amount * {c}::DOUBLE
+            - coalesce(average_trip_distance, 0.0::DOUBLE) * trip_count * {v}::DOUBLE
+            - trip_count * {f}::DOUBLE END AS estimated_net_contribution,
+       (coalesce(average_trip_distance, 0.0::DOUBLE) * {v}::DOUBLE + {f}::DOUBLE)
+           / nullif(1.0::DOUBLE - {c}::DOUBLE, 0) AS break_even_amount_per_trip
+FROM daily""" for n, c, v, f in _SCEN), ["observed_trip_amount", "estimated_net_contribution",
+                                         "break_even_amount_per_trip"])
+
+ORACLES["enrich_calendar"] = r6(with_clause("hourly", "dim_date") + """
+SELECT h.*, CASE WHEN d.month IN (12, 1, 2) THEN 'winter' WHEN d.month IN (3, 4, 5) THEN 'spring'
+                 WHEN d.month IN (6, 7, 8) THEN 'summer' WHEN d.month IN (9, 10, 11) THEN 'autumn' END AS season,
+       false AS is_holiday, false AS is_holiday_eve
+FROM hourly h LEFT JOIN dim_date d ON h.date_key = d.date_key""", HOURLY_DOUBLES)
+
+ORACLES["forecast_error_by_service"] = r6(with_clause("naive_1") + """
+SELECT model_name, horizon_hours, service_type AS service,
+       count(*) AS sample_count, avg(abs(actual_demand - predicted_demand)) AS mae,
+       sum(abs(actual_demand - predicted_demand)) / nullif(sum(abs(actual_demand)), 0) AS wape,
+       avg(CASE WHEN actual_demand <> 0 THEN abs(actual_demand - predicted_demand) / abs(actual_demand) END) AS mape
+FROM naive_1 GROUP BY 1, 2, 3""", ["mae", "wape", "mape"])

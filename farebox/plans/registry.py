@@ -438,3 +438,127 @@ def q_training(spark, sf_dir):
     train_demand(spark, out, mode="full", panel=_panel(Gold(spark, sf_dir)),
                  min_hours=FIXTURE_MIN_HOURS)
     return spark.read.parquet(f"{out}/model_metrics").drop("model_run_id")
+
+
+# --- H: presentation --------------------------------------------------------------------------
+from farebox.operators import kpis  # noqa: E402
+from farebox.operators import presentation as pres  # noqa: E402
+
+
+def _mart(g: Gold, name: str) -> DataFrame:
+    return present(models_of(g)[name])
+
+
+def _dash(name: str):
+    def q(spark, sf_dir):
+        g = Gold(spark, sf_dir)
+        model = pres.DASHBOARD_TABLES[name][0]
+        if model == "model_metrics":
+            dense = _dense(spark, sf_dir)
+            src = present(fc.select_model(fc.forecast_metrics(
+                fc.seasonal_naive(_split(spark, sf_dir, 1, dense)).unionByName(
+                    fc.seasonal_naive(_split(spark, sf_dir, 24, dense))))))
+        elif model == "predictions":
+            src = fc.seasonal_naive(_split(spark, sf_dir, 24))
+        else:
+            src = _mart(g, model)
+        return pres.dashboard_table(name, src)
+    return q
+
+
+for _name in pres.DASHBOARD_TABLES:
+    register(f"dashboard_{_name}")(_dash(_name))
+
+
+@register("recent_files")
+def q_recent(spark, sf_dir):
+    run1, run2 = _manifests(Gold(spark, sf_dir))
+    return pres.recent_files(ld.upsert_manifest(run2, run1))
+
+
+# --- T: second-tier analytics -----------------------------------------------------------------
+@register("kpi_unit_economics")
+def q_unit(spark, sf_dir):
+    return present(kpis.kpi_unit_economics(Gold(spark, sf_dir).silver))
+
+
+@register("borough_flows")
+def q_flows(spark, sf_dir):
+    g = Gold(spark, sf_dir)
+    return kpis.borough_flows(facts.fact_trip(g.silver), g.zone_dim)
+
+
+@register("od_pairs_top")
+def q_od(spark, sf_dir):
+    g = Gold(spark, sf_dir)
+    return kpis.od_pairs_top(facts.fact_trip(g.silver), g.zone_dim, k=20)
+
+
+@register("top_origins")
+def q_top_origins(spark, sf_dir):
+    return kpis.zone_ranking(facts.fact_trip(Gold(spark, sf_dir).silver), "pickup", k=5)
+
+
+@register("top_destinations")
+def q_top_dest(spark, sf_dir):
+    return kpis.zone_ranking(facts.fact_trip(Gold(spark, sf_dir).silver), "dropoff", k=5)
+
+
+@register("demand_profile_day_period")
+def q_profile_period(spark, sf_dir):
+    g = Gold(spark, sf_dir)
+    return present(kpis.demand_profile(g.hourly, g.date_dim, g.time_dim, "day_period"))
+
+
+@register("demand_profile_weekend")
+def q_profile_weekend(spark, sf_dir):
+    g = Gold(spark, sf_dir)
+    return present(kpis.demand_profile(g.hourly, g.date_dim, g.time_dim, "weekend"))
+
+
+@register("period_comparison")
+def q_periods(spark, sf_dir):
+    return present(kpis.period_comparison(Gold(spark, sf_dir).daily))
+
+
+@register("quality_profile")
+def q_quality(spark, sf_dir):
+    return present(kpis.quality_profile(Gold(spark, sf_dir).stg))
+
+
+@register("quality_percentiles")
+def q_pct(spark, sf_dir):
+    return kpis.quality_percentiles(Gold(spark, sf_dir).stg)
+
+
+@register("valid_share")
+def q_valid(spark, sf_dir):
+    return present(kpis.valid_share(Gold(spark, sf_dir).stg))
+
+
+@register("file_month_coherence")
+def q_coherence(spark, sf_dir):
+    return kpis.file_month_coherence(Gold(spark, sf_dir).landing, tolerance_days=1)
+
+
+SCENARIOS = [
+    {"name": "base", "commission_rate": 0.20, "variable_cost_per_mile": 0.35, "fixed_cost_per_trip": 1.50},
+    {"name": "high_cost", "commission_rate": 0.25, "variable_cost_per_mile": 0.50, "fixed_cost_per_trip": 2.00},
+    {"name": "low_cost", "commission_rate": 0.10, "variable_cost_per_mile": 0.25, "fixed_cost_per_trip": 1.00},
+]
+
+
+@register("scenario_grid")
+def q_grid(spark, sf_dir):
+    return present(kpis.scenario_grid(Gold(spark, sf_dir).daily, SCENARIOS))
+
+
+@register("enrich_calendar")
+def q_calendar(spark, sf_dir):
+    g = Gold(spark, sf_dir)
+    return present(kpis.enrich_calendar(g.hourly, g.date_dim))
+
+
+@register("forecast_error_by_service")
+def q_err_service(spark, sf_dir):
+    return present(fc.error_breakdown(fc.seasonal_naive(_split(spark, sf_dir, 1)), "service"))
