@@ -23,7 +23,7 @@ from farebox.schemas import FORECAST_HORIZONS, SERVICES
 SERIES = ("service_type", "taxi_zone_key")
 FEATURES = ("lag_origin", "lag_origin_1", "lag_origin_24", "rolling_mean_24",
             "hour_sin", "hour_cos", "weekday_sin", "weekday_cos", "service_code", "zone_code")
-MODEL_ORDER = ("seasonal_naive", "random_forest", "gradient_boosting")
+MODEL_ORDER = ("seasonal_naive", "random_forest", "gradient_boosting", "poisson_glm")
 
 
 def service_code(col: str = "service_type"):
@@ -167,7 +167,7 @@ def temporal_cutoff(features: DataFrame, test_fraction: float = 0.2, min_hours:
     run = per_day.withColumn("cum", F.sum("c").over(Window.orderBy("d").rowsBetween(Window.unboundedPreceding, 0)))
     day = run.filter(F.col("cum") > k).orderBy("d").first()
     pos = k - (day["cum"] - day["c"])           # 0-based position inside that day
-    cutoff = (hours.filter(F.to_date("ts") == F.lit(day["d"]))
+    cutoff = (hours.filter(F.to_date("ts") == F.lit(day["d"].isoformat()).cast("date"))
               .withColumn("rn", F.row_number().over(Window.orderBy("ts")))
               .filter(F.col("rn") == pos + 1).first()["ts"])
     return cutoff
@@ -177,7 +177,7 @@ def temporal_split(features: DataFrame, test_fraction: float = 0.2, min_hours: i
                    ts_col: str = "target_timestamp") -> DataFrame:
     """Adds ``split`` ('train' before the cutoff, 'test' from it) and ``cutoff``."""
     cutoff = temporal_cutoff(features, test_fraction, min_hours, ts_col)
-    c = F.lit(cutoff).cast("timestamp_ntz")
+    c = F.lit(cutoff.isoformat(sep=" ")).cast("timestamp_ntz")   # string → NTZ: no time-zone shift
     return features.withColumn("split", F.when(F.col(ts_col) < c, "train").otherwise("test")) \
         .withColumn("cutoff", c)
 
@@ -201,14 +201,16 @@ def _prediction_rows(df: DataFrame, model: str, pred) -> DataFrame:
 
 
 def train_candidates(split_features: DataFrame, num_trees: int = 120, max_iter: int = 120,
-                     seed: int = 42) -> tuple[DataFrame, dict]:
+                     seed: int = 42, extra: tuple[str, ...] = ()) -> tuple[DataFrame, dict]:
     """Fit MLlib random forest and gradient-boosted trees on the train rows.
 
-    Returns (test predictions of all candidates incl. the seasonal baseline,
-    fitted models by name).  Predictions are clipped at 0.
+    ``extra=("poisson",)`` adds a Poisson GLM with log link (the structured
+    count baseline named in the project plan).  Returns (test predictions of all
+    candidates incl. the seasonal baseline, fitted models by name).
+    Predictions are clipped at 0.
     """
     from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
+    from pyspark.ml.regression import GBTRegressor, GeneralizedLinearRegression, RandomForestRegressor
 
     assembler = VectorAssembler(inputCols=list(FEATURES), outputCol="features")
     data = assembler.transform(split_features)
@@ -221,6 +223,10 @@ def train_candidates(split_features: DataFrame, num_trees: int = 120, max_iter:
         "gradient_boosting": GBTRegressor(labelCol="target", featuresCol="features", maxIter=max_iter,
                                           stepSize=0.08, maxDepth=5, seed=seed),
     }
+    if "poisson" in extra:
+        estimators["poisson_glm"] = GeneralizedLinearRegression(
+            labelCol="target", featuresCol="features", family="poisson", link="log",
+            maxIter=50, regParam=1e-4)
     preds = [seasonal_naive(split_features)]
     models = {}
     for name, est in estimators.items():
