@@ -65,8 +65,10 @@ def dim_time(spark: SparkSession) -> DataFrame:
 
 
 def dim_service_type(spark: SparkSession) -> DataFrame:
-    """The four supported services (literal rows)."""
-    return spark.createDataFrame(list(SERVICE_ROWS), DIM_SERVICE_SCHEMA)
+    """The four supported services (literal rows, generated JVM-side)."""
+    rows = F.array(*[F.struct(*[F.lit(v).alias(f.name) for v, f in zip(row, DIM_SERVICE_SCHEMA.fields)])
+                     for row in SERVICE_ROWS])
+    return spark.range(1, numPartitions=1).select(F.inline(rows))
 
 
 def dim_taxi_zone(zone_lookup: DataFrame) -> DataFrame:

@@ -154,29 +154,37 @@ def temporal_cutoff(features: DataFrame, test_fraction: float = 0.2, min_hours:
                     ts_col: str = "target_timestamp"):
     """Global cutoff = sorted distinct target hours[int(n · (1 − test_fraction))].
 
-    Exact and distributed: distinct hours are counted per day, a running total
-    over days (one row per day) locates the cutoff day, and only that day's
-    ≤ 24 hours are ranked.  Raises when fewer than ``min_hours`` hours exist.
+    Exact and distributed: distinct hours are counted per day (the only rows
+    that reach the driver are one count per calendar day), the cutoff day and
+    position follow from a running total, and only that day's ≤ 24 hours are
+    read back.  Raises when fewer than ``min_hours`` hours exist.
     """
     hours = features.select(F.col(ts_col).alias("ts")).distinct()
-    per_day = hours.groupBy(F.to_date("ts").alias("d")).agg(F.count(F.lit(1)).alias("c"))
-    n = per_day.agg(F.sum("c")).first()[0] or 0
+    per_day = sorted((r["d"], r["c"]) for r in
+                     hours.groupBy(F.to_date("ts").alias("d")).agg(F.count(F.lit(1)).alias("c")).collect())
+    n = sum(c for _, c in per_day)
     if n < min_hours:
         raise ValueError(f"need at least {min_hours} distinct hourly targets for a temporal split, got {n}")
     k = int(n * (1.0 - test_fraction))          # 0-based position of the cutoff hour
-    run = per_day.withColumn("cum", F.sum("c").over(Window.orderBy("d").rowsBetween(Window.unboundedPreceding, 0)))
-    day = run.filter(F.col("cum") > k).orderBy("d").first()
-    pos = k - (day["cum"] - day["c"])           # 0-based position inside that day
-    cutoff = (hours.filter(F.to_date("ts") == F.lit(day["d"].isoformat()).cast("date"))
-              .withColumn("rn", F.row_number().over(Window.orderBy("ts")))
-              .filter(F.col("rn") == pos + 1).first()["ts"])
-    return cutoff
+    before = 0
+    for day, c in per_day:
+        if before + c > k:
+            break
+        before += c
+    day_hours = sorted(r["ts"] for r in
+                       hours.filter(F.to_date("ts") == F.lit(day.isoformat()).cast("date")).collect())
+    return day_hours[k - before]
 
 
 def temporal_split(features: DataFrame, test_fraction: float = 0.2, min_hours: int = 720,
-                   ts_col: str = "target_timestamp") -> DataFrame:
-    """Adds ``split`` ('train' before the cutoff, 'test' from it) and ``cutoff``."""
-    cutoff = temporal_cutoff(features, test_fraction, min_hours, ts_col)
+                   ts_col: str = "target_timestamp", cutoff=None) -> DataFrame:
+    """Adds ``split`` ('train' before the cutoff, 'test' from it) and ``cutoff``.
+
+    Both horizons share their target hours (in-series index ≥ 48), so a cutoff
+    computed for one can be passed in for the other.
+    """
+    if cutoff is None:
+        cutoff = temporal_cutoff(features, test_fraction, min_hours, ts_col)
     c = F.lit(cutoff.isoformat(sep=" ")).cast("timestamp_ntz")   # string → NTZ: no time-zone shift
     return features.withColumn("split", F.when(F.col(ts_col) < c, "train").otherwise("test")) \
         .withColumn("cutoff", c)

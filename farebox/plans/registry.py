@@ -39,31 +39,82 @@ def present(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
 
 
 class Gold:
-    """Lazily built model DataFrames for one scale-factor folder."""
+    """Model DataFrames for one scale-factor folder, each built on first use
+    (PySpark analyses every DataFrame it creates, so unused models cost time)."""
 
     def __init__(self, spark: SparkSession, sf_dir: str, materialize: bool = False):
         self.spark = spark
-        self.landing, self.zone_seed = fixture_inputs(spark, sf_dir)
-        self.stg = silver.stg_trip_records(self.landing)
-        if materialize:
-            # reliable checkpoint into the shared spark.checkpoint.dir: many
-            # downstream branches read these, and lineage is cut for recovery
-            checkpoint_dir(spark)
-            self.stg = self.stg.checkpoint(eager=True)
-        self.silver = silver.silver_trips(self.stg)
-        self.quarantine = silver.trip_quarantine(self.stg)
-        self.partials = facts.zone_hour_partials(self.silver)
-        if materialize:
-            self.partials = self.partials.checkpoint(eager=True)
-        self.hourly = facts.fact_zone_hourly_demand(self.partials)
-        self.daily = facts.fact_zone_daily_performance(self.partials)
-        self.zone_dim = dims.dim_taxi_zone(self.zone_seed)
-        self.service_dim = dims.dim_service_type(spark)
-        self.time_dim = dims.dim_time(spark)
+        self.sf_dir = sf_dir
+        self.materialize = materialize
+        self._cache: dict[str, DataFrame] = {}
+
+    def _get(self, name, make):
+        if name not in self._cache:
+            self._cache[name] = make()
+        return self._cache[name]
+
+    @property
+    def _inputs(self):
+        return self._get("_inputs", lambda: fixture_inputs(self.spark, self.sf_dir))
+
+    @property
+    def landing(self) -> DataFrame:
+        return self._inputs[0]
+
+    @property
+    def zone_seed(self) -> DataFrame:
+        return self._inputs[1]
+
+    @property
+    def stg(self) -> DataFrame:
+        def make():
+            df = silver.stg_trip_records(self.landing)
+            if self.materialize:
+                # reliable checkpoint into the shared spark.checkpoint.dir: many
+                # downstream branches read it, and lineage is cut for recovery
+                checkpoint_dir(self.spark)
+                df = df.checkpoint(eager=True)
+            return df
+        return self._get("stg", make)
+
+    @property
+    def silver(self) -> DataFrame:
+        return self._get("silver", lambda: silver.silver_trips(self.stg))
+
+    @property
+    def quarantine(self) -> DataFrame:
+        return self._get("quarantine", lambda: silver.trip_quarantine(self.stg))
+
+    @property
+    def partials(self) -> DataFrame:
+        def make():
+            df = facts.zone_hour_partials(self.silver)
+            return df.checkpoint(eager=True) if self.materialize else df
+        return self._get("partials", make)
+
+    @property
+    def hourly(self) -> DataFrame:
+        return self._get("hourly", lambda: facts.fact_zone_hourly_demand(self.partials))
+
+    @property
+    def daily(self) -> DataFrame:
+        return self._get("daily", lambda: facts.fact_zone_daily_performance(self.partials))
+
+    @property
+    def zone_dim(self) -> DataFrame:
+        return self._get("zone_dim", lambda: dims.dim_taxi_zone(self.zone_seed))
+
+    @property
+    def service_dim(self) -> DataFrame:
+        return self._get("service_dim", lambda: dims.dim_service_type(self.spark))
+
+    @property
+    def time_dim(self) -> DataFrame:
+        return self._get("time_dim", lambda: dims.dim_time(self.spark))
 
     @property
     def date_dim(self) -> DataFrame:
-        return dims.dim_date_from_dates(self.partials, "pickup_date")
+        return self._get("date_dim", lambda: dims.dim_date_from_dates(self.partials, "pickup_date"))
 
 
 # --- B: staging / silver / trip fact -----------------------------------------
@@ -263,9 +314,18 @@ def _dense(spark, sf_dir) -> DataFrame:
     return fc.densify_hourly(_panel(Gold(spark, sf_dir))).checkpoint(eager=True)
 
 
-def _split(spark, sf_dir, h, dense: DataFrame | None = None):
+def _split(spark, sf_dir, h, dense: DataFrame | None = None, cutoff=None):
     dense = dense if dense is not None else _dense(spark, sf_dir)
-    return fc.temporal_split(fc.forecast_features(dense, h), 0.2, FIXTURE_MIN_HOURS)
+    return fc.temporal_split(fc.forecast_features(dense, h), 0.2, FIXTURE_MIN_HOURS, cutoff=cutoff)
+
+
+def _naive_both(spark, sf_dir) -> DataFrame:
+    """Seasonal-baseline test predictions for both horizons (one shared cutoff)."""
+    dense = _dense(spark, sf_dir)
+    cutoff = fc.temporal_cutoff(fc.forecast_features(dense, 24), 0.2, FIXTURE_MIN_HOURS)
+    s24 = _split(spark, sf_dir, 24, dense, cutoff=cutoff)
+    s1 = _split(spark, sf_dir, 1, dense, cutoff=cutoff)
+    return fc.seasonal_naive(s1).unionByName(fc.seasonal_naive(s24))
 
 
 @register("temporal_split")
@@ -276,16 +336,12 @@ def q_split(spark, sf_dir):
 
 @register("seasonal_naive_predictions")
 def q_naive(spark, sf_dir):
-    dense = _dense(spark, sf_dir)
-    return fc.seasonal_naive(_split(spark, sf_dir, 1, dense)).unionByName(
-        fc.seasonal_naive(_split(spark, sf_dir, 24, dense)))
+    return _naive_both(spark, sf_dir)
 
 
 @register("forecast_metrics_naive")
 def q_metrics(spark, sf_dir):
-    dense = _dense(spark, sf_dir)
-    preds = fc.seasonal_naive(_split(spark, sf_dir, 1, dense)).unionByName(
-        fc.seasonal_naive(_split(spark, sf_dir, 24, dense)))
+    preds = _naive_both(spark, sf_dir)
     return present(fc.select_model(fc.forecast_metrics(preds)))
 
 
@@ -454,10 +510,7 @@ def _dash(name: str):
         g = Gold(spark, sf_dir)
         model = pres.DASHBOARD_TABLES[name][0]
         if model == "model_metrics":
-            dense = _dense(spark, sf_dir)
-            src = present(fc.select_model(fc.forecast_metrics(
-                fc.seasonal_naive(_split(spark, sf_dir, 1, dense)).unionByName(
-                    fc.seasonal_naive(_split(spark, sf_dir, 24, dense))))))
+            src = present(fc.select_model(fc.forecast_metrics(_naive_both(spark, sf_dir))))
         elif model == "predictions":
             src = fc.seasonal_naive(_split(spark, sf_dir, 24))
         else:

@@ -42,12 +42,17 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and intermediate tables.
 
     On a cluster this is ``spark.checkpoint.dir`` (a shared, fault-tolerant
-    folder every executor can reach).  Only when it is unset — local tests — a
-    private scratch folder is created and registered.
+    folder every executor can reach), read from the session.  Only when it is
+    unset — local tests — a private scratch folder is created and registered
+    with the context (the conf key itself is static and cannot be set at runtime).
     """
+    sc = spark.sparkContext
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        active = sc.getCheckpointDir()
+        if active:
+            return active.rsplit("/", 1)[0] if active.count("/") > 1 else active
         current = tempfile.mkdtemp(prefix="farebox-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", current)
-    spark.sparkContext.setCheckpointDir(current)
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(current)
     return current

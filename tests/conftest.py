@@ -1,7 +1,6 @@
 import datetime as dt
 import os
 import sys
-import tempfile
 
 import pytest
 
@@ -22,9 +21,8 @@ def spark():
          .config("spark.sql.adaptive.enabled", "true")
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
-    if not s.conf.get("spark.checkpoint.dir", None):
-        s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="farebox-test-ckpt-"))
-    s.sparkContext.setCheckpointDir(s.conf.get("spark.checkpoint.dir"))
+    from farebox.session import checkpoint_dir
+    checkpoint_dir(s)          # the configured shared folder, or a private one when unset
     yield s
 
 
