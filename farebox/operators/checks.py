@@ -207,8 +207,13 @@ def _count_row(name: str, model: str, test: str, failures_df: DataFrame) -> Data
         F.col("failures").cast("long").alias("failures"))
 
 
-def run_checks(models: dict[str, DataFrame], suite: Suite | None = None) -> DataFrame:
-    """One row per check: check_name, model, test, failures, status."""
+def run_checks(models: dict[str, DataFrame], suite: Suite | None = None,
+               key_cache: dict | None = None) -> DataFrame:
+    """One row per check: check_name, model, test, failures, status.
+
+    ``key_cache`` (optional) memoises the size-checked parent key sets across
+    calls (e.g. one build running its tests wave by wave).
+    """
     suite = suite or default_suite()
     parts: list[DataFrame] = []
     by_model: dict[str, list[Check]] = {}
@@ -223,7 +228,7 @@ def run_checks(models: dict[str, DataFrame], suite: Suite | None = None) -> Data
         parts.append(agg.selectExpr(f"stack({len(checks)}, {stack}) AS (check_name, failures)").select(
             "check_name", F.lit(model).alias("model"), F.lit("not_null").alias("test"),
             F.col("failures").cast("long").alias("failures")))
-    key_sets: dict[tuple[str, str], DataFrame] = {}
+    key_sets: dict[tuple[str, str], DataFrame] = key_cache if key_cache is not None else {}
     for c in suite.checks:
         if c.test == "unique":
             parts.append(_count_row(c.name, c.model, c.test, check_unique(models[c.model], c.column)))

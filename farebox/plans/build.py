@@ -10,6 +10,7 @@ both aggregate facts and the date dimension.
 from __future__ import annotations
 
 import time
+from concurrent.futures import ThreadPoolExecutor
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
@@ -86,11 +87,11 @@ class BuildResult:
 
 def build(spark: SparkSession, landing: DataFrame, zone_lookup: DataFrame,
           target_dir: str | None = None, select: list[str] | None = None,
-          run_tests: bool = True, scenario: dict | None = None) -> BuildResult:
+          run_tests: bool = True, scenario: dict | None = None, max_parallel: int = 4) -> BuildResult:
     """Build all (or the selected and their upstream) models in dependency order.
 
-    After each model its tests run; a failing test marks every downstream
-    model SKIPPED (like a failing test in a warehouse build).
+    Tests run as soon as their models exist; a failing test marks every
+    downstream model SKIPPED (like a failing test in a warehouse build).
     """
     target_dir = target_dir or f"{checkpoint_dir(spark).rstrip('/')}/warehouse"
     graph = model_graph(spark, scenario)
@@ -109,6 +110,7 @@ def build(spark: SparkSession, landing: DataFrame, zone_lookup: DataFrame,
     suite = chk.default_suite()
     blocked: set[str] = set()
     done: set[str] = set()
+    key_cache: dict = {}
 
     def run_ready_checks() -> None:
         def ready(c: chk.Check) -> bool:
@@ -117,7 +119,7 @@ def build(spark: SparkSession, landing: DataFrame, zone_lookup: DataFrame,
         todo = [c for c in suite.checks if c.name not in done and ready(c)]
         if not (run_tests and todo):
             return
-        rows = chk.run_checks(res.models, chk.Suite(todo)).collect()
+        rows = chk.run_checks(res.models, chk.Suite(todo), key_cache=key_cache).collect()
         done.update(c.name for c in todo)
         res.tests.extend(r.asDict() for r in rows)
         for r in rows:
@@ -127,18 +129,36 @@ def build(spark: SparkSession, landing: DataFrame, zone_lookup: DataFrame,
                     if name in res.status:
                         res.status[name] = "TESTS_FAILED"
 
+    # waves: models whose inputs are all available; a wave's models are
+    # independent, so their writes run as concurrent Spark jobs, and the
+    # wave's tests run as one job before the next wave starts
     run_ready_checks()                      # source / seed tests
-    for m in graph:
-        if m.name not in wanted:
-            continue
-        if any(d in blocked for d in m.deps):
-            res.status[m.name] = "SKIPPED"
-            blocked.add(m.name)
-            continue
+    pending = [m for m in graph if m.name in wanted]
+    while pending:
+        wave = [m for m in pending if all(d in res.models or d in blocked or d in res.status
+                                          for d in m.deps)]
+        if not wave:
+            raise ValueError(f"unresolvable dependencies: {[m.name for m in pending]}")
+        pending = [m for m in pending if m not in wave]
+        runnable = []
+        for m in wave:
+            if any(d in blocked or res.status.get(d) == "SKIPPED" for d in m.deps):
+                res.status[m.name] = "SKIPPED"
+                blocked.add(m.name)
+            else:
+                runnable.append(m)
+
+        def run(m: Model) -> tuple[str, DataFrame, float]:
+            t0 = time.time()
+            df = m.fn(*[res.models[d] for d in m.deps])
+            return m.name, materialize(df, m.name, m.layer, target_dir, m.partition_by), time.time() - t0
+
+        with ThreadPoolExecutor(max_workers=max(1, min(len(runnable), max_parallel))) as pool:
+            for name, df, secs in pool.map(run, runnable):
+                res.models[name] = df
+                res.status[name] = "SUCCEEDED"
+                res.seconds[name] = round(secs, 3)
         t0 = time.time()
-        df = m.fn(*[res.models[d] for d in m.deps])
-        res.models[m.name] = materialize(df, m.name, m.layer, target_dir, m.partition_by)
-        res.status[m.name] = "SUCCEEDED"
         run_ready_checks()
-        res.seconds[m.name] = round(time.time() - t0, 3)
+        res.seconds[f"tests_wave_{len(res.seconds)}"] = round(time.time() - t0, 3)
     return res
