@@ -103,15 +103,19 @@ def hourly_panel(hourly: DataFrame, date_dim: DataFrame, time_dim: DataFrame) ->
 def densify_hourly(panel: DataFrame, ts_col: str = "target_timestamp") -> DataFrame:
     """Every hour from each series' own first to last hour; missing hours → 0.0.
 
-    Duplicate (series, hour) points collapse with ``max`` (a deterministic
-    choice; the hourly fact's key is unique, so this never fires on gold data).
-    The aggregation and the join share the (service, zone, hour) partitioning.
+    The generated hour grid (NULL demand) is unioned with the observed points
+    and hash-partitioned by (service, zone) once: that one shuffle serves the
+    per-hour ``max`` (duplicate points collapse with max — a deterministic
+    choice; the hourly fact's key is unique so it never fires on gold data)
+    *and* the per-series windows of :func:`forecast_features`.  Each series is
+    bounded by its calendar span in hours.
     """
-    points = panel.groupBy(*SERIES, ts_col).agg(F.max("demand").alias("demand"))
+    points = panel.select(*SERIES, ts_col, F.col("demand").cast("double").alias("demand"))
     bounds = points.groupBy(*SERIES).agg(F.min(ts_col).alias("first_ts"), F.max(ts_col).alias("last_ts"))
     grid = bounds.select(*SERIES, F.explode(F.sequence("first_ts", "last_ts", F.expr("INTERVAL 1 HOUR")))
-                         .alias(ts_col))
-    return grid.join(points, [*SERIES, ts_col], "left").select(
+                         .alias(ts_col), F.lit(None).cast("double").alias("demand"))
+    both = points.unionByName(grid).repartition(*SERIES)
+    return both.groupBy(*SERIES, ts_col).agg(F.max("demand").alias("demand")).select(
         *SERIES, ts_col, F.coalesce("demand", F.lit(0.0)).alias("demand"))
 
 
