@@ -22,7 +22,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from farebox.operators.joins import broadcast_if_small
+from farebox.operators.joins import is_small
 
 
 def check_not_null(df: DataFrame, column: str) -> DataFrame:
@@ -43,8 +43,10 @@ def check_accepted_values(df: DataFrame, column: str, values: list) -> DataFrame
 
 
 def parent_keys(parent: DataFrame, field_: str) -> DataFrame:
-    """Distinct parent keys, broadcast after a size check."""
-    return broadcast_if_small(parent.select(F.col(field_).alias("to_field")).distinct())
+    """Distinct parent keys, broadcast when the parent itself is size-checked small
+    (its row count bounds its distinct keys; the check is remembered per parent)."""
+    keys = parent.select(F.col(field_).alias("to_field")).distinct()
+    return F.broadcast(keys) if is_small(parent) else keys
 
 
 def check_relationships(child: DataFrame, column: str, parent: DataFrame, field_: str,

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from farebox.functions.columns import date_key
+from farebox.operators.joins import known_rows
 from farebox.schemas import DAY_PERIODS, SERVICE_ROWS
 
 DIM_SERVICE_SCHEMA = T.StructType([
@@ -56,19 +57,19 @@ def dim_time(spark: SparkSession) -> DataFrame:
         cond = h.between(first, last)
         period = F.when(cond, name) if period is None else period.when(cond, name)
     padded = F.lpad(h.cast("string"), 2, "0")
-    return spark.range(0, 24, numPartitions=1).select(
+    return known_rows(spark.range(0, 24, numPartitions=1).select(
         h.cast("short").alias("hour_key"),
         F.concat(padded, F.lit(":00:00")).alias("hour_start"),
         F.concat(padded, F.lit(":00")).alias("hour_label"),
         period.alias("day_period"),
-    )
+    ), 24)
 
 
 def dim_service_type(spark: SparkSession) -> DataFrame:
     """The four supported services (literal rows, generated JVM-side)."""
     rows = F.array(*[F.struct(*[F.lit(v).alias(f.name) for v, f in zip(row, DIM_SERVICE_SCHEMA.fields)])
                      for row in SERVICE_ROWS])
-    return spark.range(1, numPartitions=1).select(F.inline(rows))
+    return known_rows(spark.range(1, numPartitions=1).select(F.inline(rows)), len(SERVICE_ROWS))
 
 
 def dim_taxi_zone(zone_lookup: DataFrame) -> DataFrame:

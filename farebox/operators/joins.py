@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import weakref
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,6 +11,29 @@ from pyspark.sql import functions as F
 DEFAULT_BROADCAST_ROWS = 1_000_000
 
 
+_SIZE_MEMO: "weakref.WeakKeyDictionary[DataFrame, int]" = weakref.WeakKeyDictionary()
+
+
+def bounded_rows(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> int:
+    """min(row count, max_rows + 1), read with a bounded ``limit`` job and
+    remembered for the lifetime of this DataFrame object."""
+    n = _SIZE_MEMO.get(df)
+    if n is None or (n > max_rows and n < max_rows + 1):
+        n = df.limit(max_rows + 1).count()
+        _SIZE_MEMO[df] = n
+    return n
+
+
+def known_rows(df: DataFrame, n: int) -> DataFrame:
+    """Record the row count of a DataFrame built from literals (a proven bound)."""
+    _SIZE_MEMO[df] = n
+    return df
+
+
+def is_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
+    return bounded_rows(df, max_rows) <= max_rows
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Broadcast ``df`` only after checking it has at most ``max_rows`` rows.
 
@@ -16,8 +41,7 @@ def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) ->
     beyond the bound the plain DataFrame is returned and Spark falls back to a
     shuffle join (AQE may still convert it at runtime from real sizes).
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    return F.broadcast(df) if is_small(df, max_rows) else df
 
 
 def broadcast_fixed(df: DataFrame) -> DataFrame:

@@ -6,15 +6,16 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from farebox.functions.columns import safe_div
-from farebox.operators.joins import broadcast_fixed, broadcast_if_small
+from farebox.operators.joins import broadcast_fixed, is_small
 from farebox.schemas import DEFAULT_SCENARIO
 
 ZONE_BROADCAST_ROWS = 100_000
 
 
 def _zones(zone_dim: DataFrame) -> DataFrame:
-    return broadcast_if_small(zone_dim.select("taxi_zone_key", "borough", "zone_name"),
-                              ZONE_BROADCAST_ROWS)
+    z = zone_dim.select("taxi_zone_key", "borough", "zone_name")
+    # the size check runs on (and is remembered for) the dimension itself
+    return F.broadcast(z) if is_small(zone_dim, ZONE_BROADCAST_ROWS) else z
 
 
 def mart_driver_opportunity(hourly: DataFrame, zone_dim: DataFrame) -> DataFrame:
