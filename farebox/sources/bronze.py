@@ -97,17 +97,42 @@ def read_bronze(spark: SparkSession, path: str) -> DataFrame:
                      (F.col("_metadata.row_index") + 1).alias("_row_number"))
 
 
+def _stream_sha256(batches):
+    """mapInPandas body: SHA-256 of each listed file, read in 8 MiB chunks
+    (bounded memory whatever the file size; any pyarrow filesystem URI)."""
+    import hashlib
+
+    import pandas as pd
+    from pyarrow import fs as pafs
+
+    for pdf in batches:
+        digests = []
+        for path in pdf["path"]:
+            filesystem, inner = pafs.FileSystem.from_uri(path)
+            h = hashlib.sha256()
+            with filesystem.open_input_stream(inner) as stream:
+                while True:
+                    chunk = stream.read(8 << 20)
+                    if not chunk:
+                        break
+                    h.update(chunk)
+            digests.append(h.hexdigest())
+        yield pd.DataFrame({"path": pdf["path"], "length": pdf["length"], "sha256": digests})
+
+
 def file_digests(spark: SparkSession, path_glob: str) -> DataFrame:
     """SHA-256, size and status per file (FAILED when the file is empty).
 
-    Files are hashed in parallel on the executors; Spark's binary reader holds
-    one whole file per row, so single files must stay below 2 GB.
+    Files are listed with Spark's binary-file source with the ``content``
+    column pruned (only path and length are read), then each file is hashed as
+    a stream on an executor, so a multi-GB file never sits in one row.
     """
-    files = spark.read.format("binaryFile").load(path_glob)
-    return files.select(
+    listed = spark.read.format("binaryFile").load(path_glob).select("path", "length")
+    hashed = listed.mapInPandas(_stream_sha256, "path string, length long, sha256 string")
+    return hashed.select(
         F.element_at(F.split("path", "/"), -1).alias("file_name"),
         F.col("length").alias("size_bytes"),
-        F.sha2("content", 256).alias("sha256"),
+        "sha256",
         F.when(F.col("length") == 0, "FAILED").otherwise("DOWNLOADED").alias("status"),
     )
 
