@@ -615,3 +615,59 @@ def q_calendar(spark, sf_dir):
 @register("forecast_error_by_service")
 def q_err_service(spark, sf_dir):
     return present(fc.error_breakdown(fc.seasonal_naive(_split(spark, sf_dir, 1)), "service"))
+
+
+# --- A3 / A10 / A13-A14 / G10 as queries over the driver tables ---------------------------------
+def _scratch(spark, tag: str) -> str:
+    import uuid
+    return f"{checkpoint_dir(spark).rstrip('/')}/{tag}-{uuid.uuid4().hex}"
+
+
+@register("json_bronze_round_trip")
+def q_json(spark, sf_dir):
+    """Each service's rows as JSON records → schema-inferred snappy Parquet
+    (empty outputs skipped) → projected back onto landing; counts per service."""
+    land = Gold(spark, sf_dir).landing
+    base = _scratch(spark, "json-bronze")
+    parts = []
+    for s in SERVICES:
+        raw = br.raw_frame(land, s).drop("source_kind", "source_file_id", "source_filename", "loaded_at")
+        raw.write.json(f"{base}/json/{s}")
+        if br.json_to_parquet(spark, f"{base}/json/{s}", f"{base}/parquet/{s}") == 0:
+            continue
+        back = spark.read.parquet(f"{base}/parquet/{s}")
+        parts.append(br.normalize_to_landing(back, s, "demo", 0, f"{s}.json", row_number="source_row_number",
+                                             loaded_at=F.current_timestamp()))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.groupBy("service_type").agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count("dropoff_datetime").alias("dropoffs"),
+        F.count("total_amount").alias("amounts"),
+        F.sum("source_row_number").alias("row_number_sum"))
+
+
+@register("zone_lookup_csv_round_trip")
+def q_zone_csv(spark, sf_dir):
+    """Zone seed written as a headed CSV and read back with the typed loader."""
+    path = _scratch(spark, "zone-csv")
+    Gold(spark, sf_dir).zone_seed.coalesce(1).write.option("header", True).csv(path)
+    return dims.dim_taxi_zone(ld.load_zone_lookup(spark, path))
+
+
+@register("warehouse_build")
+def q_build(spark, sf_dir):
+    """Ordered build of every model into the shared folder; returns its test results."""
+    from farebox.plans.build import build
+    g = Gold(spark, sf_dir)
+    res = build(spark, g.landing, g.zone_seed, target_dir=_scratch(spark, "warehouse"))
+    schema = "check_name string, model string, test string, failures long, status string"
+    return spark.createDataFrame([(t["check_name"], t["model"], t["test"], t["failures"], t["status"])
+                                  for t in res.tests], schema)
+
+
+@register("control_constraints_manifest")
+def q_control(spark, sf_dir):
+    run1, run2 = _manifests(Gold(spark, sf_dir))
+    return chk.check_control_constraints("ingestion_files", ld.upsert_manifest(run2, run1))
