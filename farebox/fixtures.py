@@ -67,9 +67,11 @@ def zone_seed_from_nations(spark: SparkSession, nation: DataFrame, region: DataF
     ids = spark.range(1, 266).select(F.col("id").cast("int").alias("location_id"))
     n = nation.select("n_nationkey", "n_name", "n_regionkey")
     r = region.select("r_regionkey", "r_name")
+    # no broadcast hint: Spark's own size statistics of the two small tables
+    # decide the join strategy (autoBroadcastJoinThreshold)
     return (
-        ids.join(F.broadcast(n), F.col("location_id") % 25 == F.col("n_nationkey"))
-        .join(F.broadcast(r), F.col("n_regionkey") == F.col("r_regionkey"))
+        ids.join(n, F.col("location_id") % 25 == F.col("n_nationkey"))
+        .join(r, F.col("n_regionkey") == F.col("r_regionkey"))
         .select(
             "location_id",
             F.col("r_name").alias("borough"),

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from farebox.functions.columns import safe_div
-from farebox.operators.joins import broadcast_fixed, broadcast_if_small
+from farebox.operators.joins import broadcast_dim, broadcast_if_small
 from farebox.schemas import FORECAST_HORIZONS, SERVICES
 
 SERIES = ("service_type", "taxi_zone_key")
@@ -88,7 +88,7 @@ def hourly_panel(hourly: DataFrame, date_dim: DataFrame, time_dim: DataFrame) ->
     Star join with the date and hour dimensions (both size-bounded broadcasts).
     """
     d = broadcast_if_small(date_dim.select("date_key", "full_date"))
-    t = broadcast_fixed(time_dim.select("hour_key"))
+    t = broadcast_dim(time_dim, ["hour_key"])
     j = hourly.join(d, "date_key").join(t, "hour_key")
     return j.select(
         F.timestamp_add("HOUR", F.col("hour_key"), F.col("full_date").cast("timestamp_ntz"))

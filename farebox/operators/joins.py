@@ -44,6 +44,15 @@ def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) ->
     return F.broadcast(df) if is_small(df, max_rows) else df
 
 
+def broadcast_dim(dim: DataFrame, columns: list[str] | tuple[str, ...],
+                  max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """Projection of a dimension, broadcast when the dimension itself is size-checked
+    small (the check is remembered per dimension object; literal dimensions
+    carry their row count, so they cost no job)."""
+    proj = dim.select(*columns)
+    return F.broadcast(proj) if is_small(dim, max_rows) else proj
+
+
 def broadcast_fixed(df: DataFrame) -> DataFrame:
     """Broadcast a dimension built from literals (fixed, known row count)."""
     return F.broadcast(df)

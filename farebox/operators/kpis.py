@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from farebox.functions.columns import safe_div
-from farebox.operators.joins import broadcast_fixed, broadcast_if_small
+from farebox.operators.joins import broadcast_dim, broadcast_if_small
 
 ZONE_ROWS = 100_000
 
@@ -82,7 +82,7 @@ def demand_profile(hourly: DataFrame, date_dim: DataFrame, time_dim: DataFrame,
     ``by``: 'day_period' | 'hour_key' | 'weekend' | 'month'.
     """
     d = broadcast_if_small(date_dim.select("date_key", "is_weekend", "month"))
-    t = broadcast_fixed(time_dim.select("hour_key", "day_period"))
+    t = broadcast_dim(time_dim, ["hour_key", "day_period"])
     j = hourly.select("date_key", "hour_key", "service_type_key", "trip_count").join(d, "date_key").join(t, "hour_key")
     group = {"day_period": F.col("day_period"), "hour_key": F.col("hour_key"),
              "weekend": F.when(F.col("is_weekend"), "weekend").otherwise("weekday"),

@@ -6,16 +6,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from farebox.functions.columns import safe_div
-from farebox.operators.joins import broadcast_fixed, is_small
+from farebox.operators.joins import broadcast_dim
 from farebox.schemas import DEFAULT_SCENARIO
 
 ZONE_BROADCAST_ROWS = 100_000
 
 
 def _zones(zone_dim: DataFrame) -> DataFrame:
-    z = zone_dim.select("taxi_zone_key", "borough", "zone_name")
-    # the size check runs on (and is remembered for) the dimension itself
-    return F.broadcast(z) if is_small(zone_dim, ZONE_BROADCAST_ROWS) else z
+    return broadcast_dim(zone_dim, ["taxi_zone_key", "borough", "zone_name"], ZONE_BROADCAST_ROWS)
 
 
 def mart_driver_opportunity(hourly: DataFrame, zone_dim: DataFrame) -> DataFrame:
@@ -77,8 +75,7 @@ def mart_mobility_overview(daily: DataFrame, service_dim: DataFrame) -> DataFram
     ``count(DISTINCT zone)`` without the extra Expand/shuffle a distinct needs.
     """
     n = F.col("trip_count")
-    d = daily.join(broadcast_fixed(service_dim.select("service_type_key", "service_type_name")),
-                   "service_type_key")
+    d = daily.join(broadcast_dim(service_dim, ["service_type_key", "service_type_name"]), "service_type_key")
     return d.groupBy("date_key", "service_type_key", "service_type_name").agg(
         F.sum(n).cast("long").alias("trip_count"),
         F.count("taxi_zone_key").cast("int").alias("active_pickup_zones"),

@@ -671,3 +671,8 @@ def q_build(spark, sf_dir):
 def q_control(spark, sf_dir):
     run1, run2 = _manifests(Gold(spark, sf_dir))
     return chk.check_control_constraints("ingestion_files", ld.upsert_manifest(run2, run1))
+
+
+@register("hourly_panel_ordered")
+def q_panel_ordered(spark, sf_dir):
+    return pres.ordered_panel(_panel(Gold(spark, sf_dir)))

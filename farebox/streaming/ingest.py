@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from farebox.schemas import LANDING_SCHEMA
 from farebox.sources.bronze import normalize_to_landing
+from farebox.operators.joins import broadcast_dim
 from farebox.sources.landing import landing_rows_to_insert
 
 
@@ -40,8 +41,8 @@ def ingest_landing_stream(spark: SparkSession, bronze_service_dir: str, service:
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         if manifest is not None:
-            ids = F.broadcast(manifest.select(F.col("filename").alias("_file_name"),
-                                              F.col("file_id").alias("_file_id")))
+            ids = broadcast_dim(manifest.withColumnRenamed("filename", "_file_name")
+                                .withColumnRenamed("file_id", "_file_id"), ["_file_name", "_file_id"])
             batch = batch.join(ids, "_file_name", "left")
             fid = F.coalesce(F.col("_file_id"), _file_id(F.col("_file_name")))
         else:
