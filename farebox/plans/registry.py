@@ -14,7 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from farebox.fixtures import fixture_inputs
+from farebox.fixtures import landing_from_events as fx_landing
+from farebox.fixtures import read_table
+from farebox.fixtures import zone_seed_from_nations as fx_zones
 from farebox.functions.columns import floor_round
 from farebox.operators import dimensions as dims
 from farebox.operators import facts, marts, silver
@@ -53,17 +55,14 @@ class Gold:
             self._cache[name] = make()
         return self._cache[name]
 
-    @property
-    def _inputs(self):
-        return self._get("_inputs", lambda: fixture_inputs(self.spark, self.sf_dir))
-
     @property
     def landing(self) -> DataFrame:
-        return self._inputs[0]
+        return self._get("landing", lambda: fx_landing(read_table(self.spark, self.sf_dir, "events")))
 
     @property
     def zone_seed(self) -> DataFrame:
-        return self._inputs[1]
+        return self._get("zone_seed", lambda: fx_zones(self.spark, read_table(self.spark, self.sf_dir, "nation"),
+                                                       read_table(self.spark, self.sf_dir, "region")))
 
     @property
     def stg(self) -> DataFrame:
