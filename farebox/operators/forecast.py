@@ -239,17 +239,18 @@ def train_candidates(split_features: DataFrame, num_trees: int = 120, max_iter:
         estimators["poisson_glm"] = GeneralizedLinearRegression(
             labelCol="target", featuresCol="features", family="poisson", link="log",
             maxIter=50, regParam=1e-4)
+    # the candidates are independent: fit them as concurrent Spark jobs
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(max_workers=len(estimators)) as pool:
+        fitted = dict(zip(estimators, pool.map(lambda e: e.fit(train), estimators.values())))
     preds = [seasonal_naive(split_features)]
-    models = {}
-    for name, est in estimators.items():
-        model = est.fit(train)
-        models[name] = model
-        scored = model.transform(test)
-        preds.append(_prediction_rows(scored, name, F.greatest(F.lit(0.0), F.col("prediction"))))
+    for name, model in fitted.items():
+        preds.append(_prediction_rows(model.transform(test), name,
+                                      F.greatest(F.lit(0.0), F.col("prediction"))))
     out = preds[0]
     for p in preds[1:]:
         out = out.unionByName(p)
-    return out, models
+    return out, fitted
 
 
 # --- J8-J9: metrics and selection ---------------------------------------------------------
