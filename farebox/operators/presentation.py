@@ -55,8 +55,19 @@ def landing_rows_for_file(landing: DataFrame, filename: str) -> DataFrame:
 
 
 def run_history(runs: DataFrame) -> DataFrame:
-    cols = [c for c in ("run_id", "orchestrator", "mode", "status", "started_at", "finished_at") if c in runs.columns]
-    return runs.select(*cols).orderBy(F.desc("started_at"))
+    """One row per run, newest first: start = first record, finish/status = last record
+    (append-only run table: RUNNING, then SUCCEEDED / FAILED)."""
+    if "recorded_at" not in runs.columns:
+        cols = [c for c in ("run_id", "orchestrator", "mode", "status", "started_at", "finished_at")
+                if c in runs.columns]
+        return runs.select(*cols).orderBy(F.desc("started_at"))
+    last = F.max_by(F.struct("status", "orchestrator", "mode"), "recorded_at")
+    return runs.groupBy("run_id").agg(
+        last.alias("l"), F.min("recorded_at").alias("started_at"), F.max("recorded_at").alias("last_at"),
+        F.count(F.lit(1)).alias("n"),
+    ).select("run_id", "l.orchestrator", "l.mode", "l.status", "started_at",
+             F.when(F.col("l.status") != "RUNNING", F.col("last_at")).alias("finished_at")
+             ).orderBy(F.desc("started_at"))
 
 
 def recent_files(manifest: DataFrame, k: int = 50) -> DataFrame:

@@ -15,6 +15,7 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from farebox.operators import checks as chk
 from farebox.operators import dimensions as dims
@@ -72,7 +73,8 @@ def materialize(df: DataFrame, name: str, layer: str, target_dir: str,
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
-    out = spark.read.parquet(path).select(*df.columns)
+    # re-read with the known schema: an empty partitioned table has no files to infer from
+    out = spark.read.schema(df.schema).parquet(path).select(*df.columns)
     out.createOrReplaceTempView(name)
     return out
 
@@ -83,16 +85,63 @@ class BuildResult:
     status: dict[str, str] = field(default_factory=dict)
     tests: list[dict] = field(default_factory=list)
     seconds: dict[str, float] = field(default_factory=dict)
+    run_id: str | None = None
+
+
+def _record_run(spark: SparkSession, control_dir: str, run_id: str, mode: str, status: str,
+                error: str | None = None) -> None:
+    """Append one pipeline_runs row (append-only: the latest row per run wins)."""
+    from farebox import __version__
+    from farebox.sources.landing import write_table
+    row = spark.createDataFrame(
+        [(run_id, "spark", mode, status, __version__, error)],
+        "run_id string, orchestrator string, mode string, status string, code_version string, "
+        "error_message string").withColumn("recorded_at", F.current_timestamp())
+    write_table(row, f"{control_dir.rstrip('/')}/pipeline_runs")
 
 
 def build(spark: SparkSession, landing: DataFrame, zone_lookup: DataFrame,
           target_dir: str | None = None, select: list[str] | None = None,
-          run_tests: bool = True, scenario: dict | None = None, max_parallel: int = 4) -> BuildResult:
+          run_tests: bool = True, scenario: dict | None = None, max_parallel: int = 4,
+          control_dir: str | None = None, mode: str = "demo") -> BuildResult:
     """Build all (or the selected and their upstream) models in dependency order.
 
     Tests run as soon as their models exist; a failing test marks every
     downstream model SKIPPED (like a failing test in a warehouse build).
+    With ``control_dir`` the run is recorded in append-only control tables:
+    ``pipeline_runs`` (RUNNING, then SUCCEEDED / FAILED), ``pipeline_tasks`` (one
+    row per model) and ``data_quality_results`` (one row per check).
     """
+    if control_dir is None:
+        return _build(spark, landing, zone_lookup, target_dir, select, run_tests, scenario, max_parallel)
+    import uuid
+    from farebox.sources.landing import write_table
+    run_id = str(uuid.uuid4())
+    _record_run(spark, control_dir, run_id, mode, "RUNNING")
+    try:
+        res = _build(spark, landing, zone_lookup, target_dir, select, run_tests, scenario, max_parallel)
+    except Exception as exc:
+        _record_run(spark, control_dir, run_id, mode, "FAILED", str(exc))
+        raise
+    tasks = [(run_id, name, status, float(res.seconds.get(name, 0.0))) for name, status in res.status.items()]
+    write_table(spark.createDataFrame(tasks, "run_id string, task_name string, status string, seconds double"),
+                f"{control_dir.rstrip('/')}/pipeline_tasks")
+    if res.tests:
+        results = [(run_id, t["check_name"], t["status"], str(t["failures"]), "0") for t in res.tests]
+        write_table(spark.createDataFrame(results, "run_id string, check_name string, status string, "
+                                                   "observed_value string, expected_value string")
+                    .withColumn("checked_at", F.current_timestamp()),
+                    f"{control_dir.rstrip('/')}/data_quality_results")
+    failed = any(t["status"] == "FAIL" for t in res.tests)
+    _record_run(spark, control_dir, run_id, mode, "FAILED" if failed else "SUCCEEDED",
+                "data-quality checks failed" if failed else None)
+    res.run_id = run_id
+    return res
+
+
+def _build(spark: SparkSession, landing: DataFrame, zone_lookup: DataFrame,
+           target_dir: str | None, select: list[str] | None,
+           run_tests: bool, scenario: dict | None, max_parallel: int) -> BuildResult:
     target_dir = target_dir or f"{checkpoint_dir(spark).rstrip('/')}/warehouse"
     graph = model_graph(spark, scenario)
     by_name = {m.name: m for m in graph}

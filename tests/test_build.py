@@ -37,3 +37,20 @@ def test_select_builds_only_upstream(spark, tmp):
     res = build(spark, land, _zones(spark), target_dir=os.path.join(tmp, "wh"),
                 select=["fact_zone_hourly_demand"], run_tests=False)
     assert set(res.status) == {"stg_trip_records", "trips", "zone_hour_partials", "fact_zone_hourly_demand"}
+
+
+def test_build_records_control_tables(spark, tmp):
+    from farebox.operators import presentation
+    land = landing_rows(spark, [OK])
+    ctl = os.path.join(tmp, "control")
+    res = build(spark, land, _zones(spark), target_dir=os.path.join(tmp, "wh"), control_dir=ctl)
+    runs = spark.read.parquet(os.path.join(ctl, "pipeline_runs"))
+    hist = presentation.run_history(runs).collect()
+    assert len(hist) == 1 and hist[0]["status"] == "SUCCEEDED" and hist[0]["run_id"] == res.run_id
+    assert hist[0]["finished_at"] is not None
+    assert presentation.latest_model_status(runs.withColumnRenamed("run_id", "model_run_id")).first()["status"] \
+        == "SUCCEEDED"
+    tasks = spark.read.parquet(os.path.join(ctl, "pipeline_tasks"))
+    assert tasks.count() == 16 and tasks.filter("status != 'SUCCEEDED'").count() == 0
+    dq = spark.read.parquet(os.path.join(ctl, "data_quality_results"))
+    assert dq.count() == 83 and dq.filter("status = 'PASS'").count() == 83
