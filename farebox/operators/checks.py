@@ -209,15 +209,47 @@ def _count_row(name: str, model: str, test: str, failures_df: DataFrame) -> Data
         F.col("failures").cast("long").alias("failures"))
 
 
+def unique_family(base: DataFrame, column: str, members: dict[str, object | None]) -> DataFrame:
+    """Uniqueness of ``column`` in several row subsets of ``base`` with one shuffle.
+
+    ``members`` maps a model name to the condition selecting its rows from
+    ``base`` (None = all rows); valid when each member is a row filter of
+    ``base`` that keeps ``column`` unchanged.  Returns (model, failures): the
+    number of non-NULL values occurring more than once within each member.
+    """
+    names = list(members)
+    counts = [F.count(F.lit(1) if members[n] is None else F.when(members[n], 1)).alias(f"n{i}")
+              for i, n in enumerate(names)]
+    per_key = base.filter(F.col(column).isNotNull()).groupBy(column).agg(*counts)
+    totals = per_key.agg(*[F.count(F.when(F.col(f"n{i}") > 1, 1)).alias(f"d{i}") for i in range(len(names))])
+    stack = ", ".join(f"'{n}', d{i}" for i, n in enumerate(names))
+    return totals.selectExpr(f"stack({len(names)}, {stack}) AS (model, failures)")
+
+
 def run_checks(models: dict[str, DataFrame], suite: Suite | None = None,
-               key_cache: dict | None = None) -> DataFrame:
+               key_cache: dict | None = None,
+               unique_families: list[tuple[str, str, dict]] | None = None) -> DataFrame:
     """One row per check: check_name, model, test, failures, status.
 
     ``key_cache`` (optional) memoises the size-checked parent key sets across
     calls (e.g. one build running its tests wave by wave).
+    ``unique_families`` (optional): ``(base_model, column, {model: condition})``
+    — unique checks of those models on that column are answered together by
+    :func:`unique_family` (one shuffle of the key instead of one per model).
     """
     suite = suite or default_suite()
     parts: list[DataFrame] = []
+    covered: set[tuple[str, str]] = set()
+    for base, column, members in unique_families or []:
+        mine = {c.model: c for c in suite.checks
+                if c.test == "unique" and c.column == column and c.model in members}
+        if not mine:
+            continue
+        fam = unique_family(models[base], column, {m: members[m] for m in mine})
+        names = F.create_map(*[x for m, c in mine.items() for x in (F.lit(m), F.lit(c.name))])
+        parts.append(fam.select(names[F.col("model")].alias("check_name"), "model",
+                                F.lit("unique").alias("test"), F.col("failures").cast("long").alias("failures")))
+        covered.update((m, column) for m in mine)
     by_model: dict[str, list[Check]] = {}
     for c in suite.checks:
         if c.test == "not_null":
@@ -233,6 +265,8 @@ def run_checks(models: dict[str, DataFrame], suite: Suite | None = None,
     key_sets: dict[tuple[str, str], DataFrame] = key_cache if key_cache is not None else {}
     for c in suite.checks:
         if c.test == "unique":
+            if (c.model, c.column) in covered:
+                continue
             parts.append(_count_row(c.name, c.model, c.test, check_unique(models[c.model], c.column)))
         elif c.test == "accepted_values":
             parts.append(_count_row(c.name, c.model, c.test,

@@ -230,9 +230,19 @@ def models_of(g: Gold) -> dict[str, DataFrame]:
     }
 
 
+def trip_id_family():
+    """trips, fact_trip and the quarantine are row filters of staging that keep trip_id."""
+    return ("stg_trip_records", "trip_id", {
+        "stg_trip_records": None,
+        "trips": F.col("invalid_reason").isNull(),
+        "fact_trip": F.col("invalid_reason").isNull(),
+        "trip_quarantine": F.col("invalid_reason").isNotNull(),
+    })
+
+
 @register("data_quality_suite")
 def q_suite(spark, sf_dir):
-    return chk.run_checks(models_of(Gold(spark, sf_dir, materialize=True)))
+    return chk.run_checks(models_of(Gold(spark, sf_dir, materialize=True)), unique_families=[trip_id_family()])
 
 
 @register("check_not_null")

@@ -56,3 +56,14 @@ def test_control_constraints(spark):
     got = {r["constraint_name"]: r["failures"] for r in chk.check_control_constraints("ingestion_files", files).collect()}
     assert got["service_type"] == 1 and got["year"] == 1 and got["month"] == 1 and got["size_bytes"] == 1
     assert got["status"] == 1 and got["unique_key"] == 1 and got["source_kind"] == 0
+
+
+def test_unique_family_matches_separate_checks(spark):
+    from pyspark.sql import functions as F
+    base = spark.createDataFrame([("a", 1), ("a", 1), ("b", 1), ("b", None), ("c", None), ("c", None), (None, 1)],
+                                 "k string, flag int")
+    fam = {r["model"]: r["failures"] for r in chk.unique_family(
+        base, "k", {"all": None, "flagged": F.col("flag").isNotNull(), "unflagged": F.col("flag").isNull()}).collect()}
+    assert fam == {"all": 3, "flagged": 1, "unflagged": 1}
+    sep = chk.check_unique(base.filter("flag IS NOT NULL"), "k").count()
+    assert sep == fam["flagged"]

@@ -27,3 +27,12 @@ def test_oracle_parity_small(spark, name):
     cols = entry_mod.queries()[name](spark, sf).columns
     exp = sorted(tuple(r) for r in con.sql(f"SELECT {', '.join(cols)} FROM ({exp_rel.sql_query()})").fetchall())
     assert got == exp
+
+
+def test_entry_module_imports_without_a_session():
+    import os
+    import subprocess
+    import sys
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = "import __spark_entry__ as e; assert len(e.queries()) >= 40 and len(e.oracle_sql()) >= 40"
+    subprocess.run([sys.executable, "-c", code], cwd=root, check=True, timeout=120)
