@@ -86,3 +86,23 @@ def test_poisson_candidate(spark):
     m = {r["model_name"]: r for r in fc.forecast_metrics(preds).collect()}
     assert set(m) == {"seasonal_naive", "random_forest", "gradient_boosting", "poisson_glm"}
     assert m["poisson_glm"]["mae"] < m["seasonal_naive"]["mae"] * 2
+
+
+def test_quality_percentiles_within_rank_error(spark):
+    """Approximate percentiles vs. brute force on the sf0.001 fixture: each
+    reported value must sit within the sketch's rank error (1/accuracy) of the
+    requested rank."""
+    import math
+
+    from farebox.fixtures import fixture_inputs
+    landing, _ = fixture_inputs(spark, "/root/testdata/sf0.001")
+    stg = silver.stg_trip_records(landing)
+    got = {r["column_name"]: r["percentiles"] for r in kpis.quality_percentiles(stg, accuracy=1000).collect()}
+    for col in ("trip_distance", "total_amount", "duration_minutes"):
+        vals = sorted(r[0] for r in stg.select(col).collect() if r[0] is not None)
+        n = len(vals)
+        for p, v in zip((0.01, 0.5, 0.99), got[col]):
+            lo = sum(1 for x in vals if x < v)
+            hi = sum(1 for x in vals if x <= v)
+            target = math.ceil(p * n)
+            assert lo - n / 1000 - 1 <= target <= hi + n / 1000 + 1, (col, p, v)
