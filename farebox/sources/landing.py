@@ -31,7 +31,9 @@ def landing_rows_to_insert(new: DataFrame, existing: DataFrame) -> DataFrame:
     from farebox.operators.joins import broadcast_if_small
     relevant = existing.select(*LANDING_KEY).join(broadcast_if_small(files, 100_000),
                                                  ["source_kind", "source_file_id"], "left_semi")
-    return dedupe_on_key(new).join(relevant, list(LANDING_KEY), "left_anti")
+    # distinct keys: duplicated keys in a damaged landing table collapse map-side,
+    # and the aggregation's key partitioning is the one the anti-join needs
+    return dedupe_on_key(new).join(relevant.distinct(), list(LANDING_KEY), "left_anti")
 
 
 def append_landing(new: DataFrame, landing_path: str) -> int:
