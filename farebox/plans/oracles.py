@@ -525,3 +525,12 @@ SELECT 'ingestion_files' AS table_name, constraint_name, CAST(failures AS BIGINT
   UNION ALL SELECT 'unique_key', count(*) FROM (SELECT 1 FROM manifest_merged
                    GROUP BY source_kind, service_type, year, month, filename HAVING count(*) > 1) d) c"""
 ORACLES["hourly_panel_ordered"] = select_from("panel", tail="ORDER BY service_type, taxi_zone_key, target_timestamp")
+
+ORACLES["demand_profile_hour"] = _profile("h.hour_key", "hour_key")
+ORACLES["demand_profile_month"] = _profile("d.month", "month")
+ORACLES["forecast_error_by_zone"] = r6(with_clause("naive_24") + """
+SELECT model_name, horizon_hours, taxi_zone_key AS zone,
+       count(*) AS sample_count, avg(abs(actual_demand - predicted_demand)) AS mae,
+       sum(abs(actual_demand - predicted_demand)) / nullif(sum(abs(actual_demand)), 0) AS wape,
+       avg(CASE WHEN actual_demand <> 0 THEN abs(actual_demand - predicted_demand) / abs(actual_demand) END) AS mape
+FROM naive_24 GROUP BY 1, 2, 3""", ["mae", "wape", "mape"])

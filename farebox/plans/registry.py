@@ -685,3 +685,20 @@ def q_control(spark, sf_dir):
 @register("hourly_panel_ordered")
 def q_panel_ordered(spark, sf_dir):
     return pres.ordered_panel(_panel(Gold(spark, sf_dir)))
+
+
+@register("demand_profile_hour")
+def q_profile_hour(spark, sf_dir):
+    g = Gold(spark, sf_dir)
+    return present(kpis.demand_profile(g.hourly, g.date_dim, g.time_dim, "hour_key"))
+
+
+@register("demand_profile_month")
+def q_profile_month(spark, sf_dir):
+    g = Gold(spark, sf_dir)
+    return present(kpis.demand_profile(g.hourly, g.date_dim, g.time_dim, "month"))
+
+
+@register("forecast_error_by_zone")
+def q_err_zone(spark, sf_dir):
+    return present(fc.error_breakdown(fc.seasonal_naive(_split(spark, sf_dir, 24)), "zone"))
