@@ -105,3 +105,15 @@ def test_training_run_small(spark, tmp, panel120):
     assert metrics.count() == 6 and metrics.filter("is_selected").count() == 2
     preds = spark.read.parquet(f"{tmp}/predictions")
     assert preds.count() == 6 * 6804 and preds.filter("predicted_demand < 0").count() == 0
+
+
+def test_two_training_runs_are_identical(spark, tmp):
+    """Reproducibility: same panel, same seed → same cutoff, selection and metrics."""
+    from farebox.plans.training import train_demand
+    panel = fc.synthetic_hourly_demand(spark, days=40).withColumnRenamed("timestamp", "target_timestamp")
+    a = train_demand(spark, f"{tmp}/a", mode="full", panel=panel, num_trees=4, max_iter=3)
+    b = train_demand(spark, f"{tmp}/b", mode="full", panel=panel, num_trees=4, max_iter=3)
+    assert a["results"] == b["results"]
+    ma = sorted(tuple(r) for r in spark.read.parquet(f"{tmp}/a/model_metrics").drop("model_run_id").collect())
+    mb = sorted(tuple(r) for r in spark.read.parquet(f"{tmp}/b/model_metrics").drop("model_run_id").collect())
+    assert ma == mb
