@@ -1,7 +1,7 @@
 """Ordered build of all models, with tests gating downstream models.
 
-Staging is written once as a table partitioned by (invalid_reason,
-service_type): landing is scanned a single time, and silver / quarantine are
+Staging is written once as a table partitioned by a quarantine flag and
+service_type: landing is scanned a single time, and silver / quarantine are
 views whose filters prune to their partitions.  Dimensions and facts are
 written as Parquet under ``target_dir`` and re-read, so later models and tests
 scan materialized, column-pruned files instead of recomputing lineage; marts
@@ -32,17 +32,28 @@ class Model:
     deps: tuple[str, ...]
     fn: Callable[..., DataFrame]
     partition_by: tuple[str, ...] = ()
+    hidden: tuple[str, ...] = ()     # stored (e.g. partition flags) but not in the user-facing view
+
+
+# Staging is stored with a boolean flag so that silver / quarantine prune to their
+# partitions while each write task emits at most 2 files per service (a
+# partition per quarantine reason would scatter ~10 small files per task).
+QUARANTINE_FLAG = "_quarantined"
 
 
 def model_graph(spark: SparkSession, scenario: dict | None = None) -> list[Model]:
     sc = scenario or {}
     return [
-        # staging is written once (one pass over landing), partitioned by reason and
-        # service; silver and quarantine are views whose filters prune partitions
-        Model("stg_trip_records", "table", ("landing",), silver.stg_trip_records,
-              ("invalid_reason", "service_type")),
-        Model("trips", "view", ("stg_trip_records",), silver.silver_trips),
-        Model("trip_quarantine", "view", ("stg_trip_records",), silver.trip_quarantine),
+        # staging is written once (one pass over landing), partitioned by the
+        # quarantine flag and service; silver and quarantine are pruned views
+        Model("stg_trip_records", "table", ("landing",),
+              lambda land: silver.stg_trip_records(land).withColumn(
+                  QUARANTINE_FLAG, F.col("invalid_reason").isNotNull()),
+              (QUARANTINE_FLAG, "service_type"), hidden=(QUARANTINE_FLAG,)),
+        Model("trips", "view", ("stg_trip_records",),
+              lambda stg: silver.silver_trips(stg.filter(~F.col(QUARANTINE_FLAG)))),
+        Model("trip_quarantine", "view", ("stg_trip_records",),
+              lambda stg: silver.trip_quarantine(stg.filter(F.col(QUARANTINE_FLAG))).drop(QUARANTINE_FLAG)),
         Model("dim_taxi_zone", "table", ("taxi_zone_lookup",), dims.dim_taxi_zone),
         Model("dim_service_type", "table", (), lambda: dims.dim_service_type(spark)),
         Model("dim_time", "table", (), lambda: dims.dim_time(spark)),
@@ -66,8 +77,12 @@ def model_graph(spark: SparkSession, scenario: dict | None = None) -> list[Model
 
 
 def materialize(df: DataFrame, name: str, layer: str, target_dir: str,
-                partition_by: tuple[str, ...] = ()) -> DataFrame:
-    """View → temp view (lazy); table → full-refresh Parquet write, then re-read."""
+                partition_by: tuple[str, ...] = (), hidden: tuple[str, ...] = ()) -> DataFrame:
+    """View → temp view (lazy); table → full-refresh Parquet write, then re-read.
+
+    ``hidden`` columns stay on the returned DataFrame (downstream models can
+    prune on them) but not on the registered view.
+    """
     spark = df.sparkSession
     if layer == "view":
         df.createOrReplaceTempView(name)
@@ -80,7 +95,7 @@ def materialize(df: DataFrame, name: str, layer: str, target_dir: str,
     w.parquet(path)
     # re-read with the known schema: an empty partitioned table has no files to infer from
     out = spark.read.schema(df.schema).parquet(path).select(*df.columns)
-    out.createOrReplaceTempView(name)
+    out.drop(*hidden).createOrReplaceTempView(name)
     return out
 
 
@@ -216,7 +231,7 @@ def _build(spark: SparkSession, landing: DataFrame, zone_lookup: DataFrame,
         def run(m: Model) -> tuple[str, DataFrame, float]:
             t0 = time.time()
             df = m.fn(*[res.models[d] for d in m.deps])
-            return m.name, materialize(df, m.name, m.layer, target_dir, m.partition_by), time.time() - t0
+            return m.name, materialize(df, m.name, m.layer, target_dir, m.partition_by, m.hidden), time.time() - t0
 
         with ThreadPoolExecutor(max_workers=max(1, min(len(runnable), max_parallel))) as pool:
             for name, df, secs in pool.map(run, runnable):
