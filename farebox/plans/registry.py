@@ -40,6 +40,20 @@ def present(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     return df.select([floor_round(c).alias(c) if c in targets else F.col(c) for c in df.columns])
 
 
+# Fixture input plans per (session, folder): DataFrames are immutable plans, so
+# reusing them across queries only saves driver-side file listing and lets the
+# remembered dimension size check apply across queries (no data is cached).
+_SHARED: dict[tuple[int, str, str], DataFrame] = {}
+
+
+def _shared(spark: SparkSession, sf_dir: str, name: str, make) -> DataFrame:
+    key = (id(spark), sf_dir.rstrip("/"), name)
+    df = _SHARED.get(key)
+    if df is None or df.sparkSession is not spark:
+        df = _SHARED[key] = make()
+    return df
+
+
 class Gold:
     """Model DataFrames for one scale-factor folder, each built on first use
     (PySpark analyses every DataFrame it creates, so unused models cost time)."""
@@ -57,12 +71,13 @@ class Gold:
 
     @property
     def landing(self) -> DataFrame:
-        return self._get("landing", lambda: fx_landing(read_table(self.spark, self.sf_dir, "events")))
+        return self._get("landing", lambda: _shared(self.spark, self.sf_dir, "landing", lambda: fx_landing(
+            read_table(self.spark, self.sf_dir, "events"))))
 
     @property
     def zone_seed(self) -> DataFrame:
-        return self._get("zone_seed", lambda: fx_zones(self.spark, read_table(self.spark, self.sf_dir, "nation"),
-                                                       read_table(self.spark, self.sf_dir, "region")))
+        return self._get("zone_seed", lambda: _shared(self.spark, self.sf_dir, "zone_seed", lambda: fx_zones(
+            self.spark, read_table(self.spark, self.sf_dir, "nation"), read_table(self.spark, self.sf_dir, "region"))))
 
     @property
     def stg(self) -> DataFrame:
