@@ -236,3 +236,19 @@ def enrich_weather(hourly: DataFrame, weather: DataFrame) -> DataFrame:
     is still size-checked before broadcasting.
     """
     return hourly.join(broadcast_if_small(weather), ["date_key", "hour_key"], "left")
+
+
+def duplicate_profile(df: DataFrame, key: tuple[str, ...] = ("source_kind", "source_file_id", "source_row_number"),
+                      by: tuple[str, ...] = ("service_type",)) -> DataFrame:
+    """Per group: rows, distinct keys, keys seen more than once and the surplus rows.
+
+    One partially aggregated ``groupBy`` over (group, key): a key repeated across a
+    third of the input still ships one row per map task.
+    """
+    per_key = df.groupBy(*by, *key).agg(F.count(F.lit(1)).alias("n"))
+    return per_key.groupBy(*by).agg(
+        F.sum("n").cast("long").alias("rows"),
+        F.count(F.lit(1)).alias("distinct_keys"),
+        F.count(F.when(F.col("n") > 1, 1)).alias("duplicated_keys"),
+        F.sum(F.col("n") - 1).cast("long").alias("duplicate_rows"),
+    )

@@ -534,3 +534,10 @@ SELECT model_name, horizon_hours, taxi_zone_key AS zone,
        sum(abs(actual_demand - predicted_demand)) / nullif(sum(abs(actual_demand)), 0) AS wape,
        avg(CASE WHEN actual_demand <> 0 THEN abs(actual_demand - predicted_demand) / abs(actual_demand) END) AS mape
 FROM naive_24 GROUP BY 1, 2, 3""", ["mae", "wape", "mape"])
+
+ORACLES["duplicate_profile"] = with_clause("landing") + """
+SELECT service_type, CAST(sum(n) AS BIGINT) AS rows, CAST(count(*) AS BIGINT) AS distinct_keys,
+       CAST(count(*) FILTER (WHERE n > 1) AS BIGINT) AS duplicated_keys, CAST(sum(n - 1) AS BIGINT) AS duplicate_rows
+FROM (SELECT service_type, source_kind, source_file_id, source_row_number, count(*) AS n
+      FROM (SELECT * FROM landing UNION ALL SELECT * FROM landing) d GROUP BY 1, 2, 3, 4) k
+GROUP BY 1"""

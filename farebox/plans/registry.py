@@ -717,3 +717,10 @@ def q_profile_month(spark, sf_dir):
 @register("forecast_error_by_zone")
 def q_err_zone(spark, sf_dir):
     return present(fc.error_breakdown(fc.seasonal_naive(_split(spark, sf_dir, 24)), "zone"))
+
+
+@register("duplicate_profile")
+def q_duplicates(spark, sf_dir):
+    """Duplicate profile of a batch delivered twice (landing ∪ landing) — every key doubled."""
+    land = Gold(spark, sf_dir).landing
+    return kpis.duplicate_profile(land.unionByName(land))

@@ -106,3 +106,9 @@ def test_quality_percentiles_within_rank_error(spark):
             hi = sum(1 for x in vals if x <= v)
             target = math.ceil(p * n)
             assert lo - n / 1000 - 1 <= target <= hi + n / 1000 + 1, (col, p, v)
+
+
+def test_duplicate_profile(spark):
+    land = landing_rows(spark, [dict(source_row_number=1), dict(source_row_number=1), dict(source_row_number=2)])
+    r = kpis.duplicate_profile(land).first()
+    assert (r["rows"], r["distinct_keys"], r["duplicated_keys"], r["duplicate_rows"]) == (3, 2, 1, 1)
