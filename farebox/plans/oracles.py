@@ -541,3 +541,12 @@ SELECT service_type, CAST(sum(n) AS BIGINT) AS rows, CAST(count(*) AS BIGINT) AS
 FROM (SELECT service_type, source_kind, source_file_id, source_row_number, count(*) AS n
       FROM (SELECT * FROM landing UNION ALL SELECT * FROM landing) d GROUP BY 1, 2, 3, 4) k
 GROUP BY 1"""
+
+ORACLES["inventory_actions"] = with_clause("inventory", "manifest_merged") + """
+SELECT i.source_kind, i.service_type, CAST(i.year AS SMALLINT) AS year, CAST(i.month AS SMALLINT) AS month,
+       i.filename, i.source_url,
+       CASE WHEN EXISTS (SELECT 1 FROM manifest_merged m WHERE m.status IN ('VALIDATED', 'PROCESSED')
+                         AND m.source_kind = i.source_kind AND m.service_type = i.service_type
+                         AND m.year = i.year AND m.month = i.month AND m.filename = i.filename)
+            THEN 'SKIPPED' ELSE 'DOWNLOAD' END AS action
+FROM inventory i"""

@@ -724,3 +724,11 @@ def q_duplicates(spark, sf_dir):
     """Duplicate profile of a batch delivered twice (landing ∪ landing) — every key doubled."""
     land = Gold(spark, sf_dir).landing
     return kpis.duplicate_profile(land.unionByName(land))
+
+
+@register("inventory_actions")
+def q_inventory_actions(spark, sf_dir):
+    g = Gold(spark, sf_dir)
+    run1, run2 = _manifests(g)
+    return inv.inventory_actions(inv.file_inventory(fx.inventory_requests(g.landing)),
+                                 ld.upsert_manifest(run2, run1))

@@ -49,6 +49,17 @@ def pending_files(inventory: DataFrame, manifest: DataFrame) -> DataFrame:
     return inv.join(done, list(MANIFEST_KEY), "left_anti")
 
 
+def inventory_actions(inventory: DataFrame, manifest: DataFrame) -> DataFrame:
+    """Every inventory file with its action: SKIPPED when the manifest already has
+    it VALIDATED/PROCESSED, else DOWNLOAD.  The manifest side is reduced to its
+    done keys (one row per file) before the left join."""
+    done = (manifest.filter(F.col("status").isin(*DONE_STATUSES)).select(*MANIFEST_KEY)
+            .distinct().withColumn("_done", F.lit(True)))
+    inv = inventory.withColumn("year", F.col("year").cast("short")).withColumn("month", F.col("month").cast("short"))
+    return inv.join(done, list(MANIFEST_KEY), "left").select(
+        *inv.columns, F.when(F.col("_done"), "SKIPPED").otherwise("DOWNLOAD").alias("action"))
+
+
 def bronze_coverage(manifest: DataFrame, source_kind: str = "tlc") -> DataFrame:
     """Per service: first/last month, file count and bytes of usable files."""
     m = manifest.filter((F.col("source_kind") == source_kind) & F.col("status").isin(*DONE_STATUSES))

@@ -144,3 +144,10 @@ def test_stream_ingest_twice_adds_nothing(spark, tmp):
     assert ingest_landing_stream(*args) == 3
     assert ingest_landing_stream(*args) == 0
     assert spark.read.parquet(os.path.join(tmp, "landing")).count() == 3
+
+
+def test_inventory_actions(spark):
+    existing = _manifest(spark, [dict(file_id=1, status="PROCESSED")])
+    inv_df = inv.trip_file_inventory(spark, "2024-01-01", "2024-02-01", "yellow")
+    got = {r["month"]: r["action"] for r in inv.inventory_actions(inv_df, existing).collect()}
+    assert got == {1: "SKIPPED", 2: "DOWNLOAD"}
