@@ -109,14 +109,19 @@ class BuildResult:
 
 
 def _record_run(spark: SparkSession, control_dir: str, run_id: str, mode: str, status: str,
-                error: str | None = None) -> None:
-    """Append one pipeline_runs row (append-only: the latest row per run wins)."""
+                error: str | None = None, counters: tuple | None = None) -> None:
+    """Append one pipeline_runs row (append-only: the latest row per run wins).
+
+    ``counters`` = (rows_read, rows_valid, rows_rejected) on the final row.
+    """
     from farebox import __version__
     from farebox.sources.landing import write_table
+    read, valid, rejected = counters or (None, None, None)
     row = spark.createDataFrame(
-        [(run_id, "spark", mode, status, __version__, error)],
+        [(run_id, "spark", mode, status, __version__, error, read, valid, rejected)],
         "run_id string, orchestrator string, mode string, status string, code_version string, "
-        "error_message string").withColumn("recorded_at", F.current_timestamp())
+        "error_message string, rows_read long, rows_valid long, rows_rejected long",
+    ).withColumn("recorded_at", F.current_timestamp())
     write_table(row, f"{control_dir.rstrip('/')}/pipeline_runs")
 
 
@@ -153,8 +158,15 @@ def build(spark: SparkSession, landing: DataFrame, zone_lookup: DataFrame,
                     .withColumn("checked_at", F.current_timestamp()),
                     f"{control_dir.rstrip('/')}/data_quality_results")
     failed = any(t["status"] == "FAIL" for t in res.tests)
+    counters = None
+    stg = res.models.get("stg_trip_records")
+    if stg is not None and QUARANTINE_FLAG in stg.columns:
+        # one aggregation on the partition flag of the stored staging table
+        c = stg.agg(F.count(F.lit(1)).alias("n"),
+                    F.count(F.when(~F.col(QUARANTINE_FLAG), 1)).alias("v")).first()
+        counters = (c["n"], c["v"], c["n"] - c["v"])
     _record_run(spark, control_dir, run_id, mode, "FAILED" if failed else "SUCCEEDED",
-                "data-quality checks failed" if failed else None)
+                "data-quality checks failed" if failed else None, counters)
     res.run_id = run_id
     return res
 

@@ -48,6 +48,8 @@ def test_build_records_control_tables(spark, tmp):
     hist = presentation.run_history(runs).collect()
     assert len(hist) == 1 and hist[0]["status"] == "SUCCEEDED" and hist[0]["run_id"] == res.run_id
     assert hist[0]["finished_at"] is not None
+    final = runs.filter("status = 'SUCCEEDED'").first()
+    assert (final["rows_read"], final["rows_valid"], final["rows_rejected"]) == (1, 1, 0)
     assert presentation.latest_model_status(runs.withColumnRenamed("run_id", "model_run_id")).first()["status"] \
         == "SUCCEEDED"
     tasks = spark.read.parquet(os.path.join(ctl, "pipeline_tasks"))
