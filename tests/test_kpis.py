@@ -112,3 +112,16 @@ def test_duplicate_profile(spark):
     land = landing_rows(spark, [dict(source_row_number=1), dict(source_row_number=1), dict(source_row_number=2)])
     r = kpis.duplicate_profile(land).first()
     assert (r["rows"], r["distinct_keys"], r["duplicated_keys"], r["duplicate_rows"]) == (3, 2, 1, 1)
+
+
+def test_status_listings(spark):
+    runs = spark.createDataFrame(
+        [("r1", "spark", "demo", "SUCCEEDED", dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 1, 1)),
+         ("r2", "spark", "full", "RUNNING", dt.datetime(2024, 1, 2), None)],
+        "run_id string, orchestrator string, mode string, status string, started_at timestamp, finished_at timestamp")
+    assert [r["run_id"] for r in presentation.run_history(runs).collect()] == ["r2", "r1"]
+    files = spark.createDataFrame(
+        [("yellow", f"f{i}", "VALIDATED", dt.datetime(2024, 1, 1) + dt.timedelta(hours=i)) for i in range(60)],
+        "service_type string, filename string, status string, updated_at timestamp")
+    top = presentation.recent_files(files).collect()
+    assert len(top) == 50 and top[0]["filename"] == "f59" and top[-1]["filename"] == "f10"
