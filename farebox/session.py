@@ -8,6 +8,7 @@ benchmark, and to resolve the shared checkpoint folder.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -41,18 +42,19 @@ def get_spark(app: str = "farebox", cpus: int | str | None = None,
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and intermediate tables.
 
-    On a cluster this is ``spark.checkpoint.dir`` (a shared, fault-tolerant
-    folder every executor can reach), read from the session.  Only when it is
-    unset — local tests — a private scratch folder is created and registered
-    with the context (the conf key itself is static and cannot be set at runtime).
+    ``spark.checkpoint.dir`` of the session: a fault-tolerant folder that every
+    executor can reach.  A session without executors of their own
+    (``local[...]``, as in tests) may leave it unset and gets a private folder;
+    on a cluster an unset folder is an error, never a machine-local one.
     """
     sc = spark.sparkContext
-    current = spark.conf.get("spark.checkpoint.dir", None)
-    if not current:
-        active = sc.getCheckpointDir()
-        if active:
-            return active.rsplit("/", 1)[0] if active.count("/") > 1 else active
-        current = tempfile.mkdtemp(prefix="farebox-ckpt-")
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if sc.getCheckpointDir():
+            return sc.getCheckpointDir().rstrip("/").rpartition("/")[0]
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        folder = tempfile.mkdtemp(prefix="farebox-ckpt-")
     if not sc.getCheckpointDir():
-        sc.setCheckpointDir(current)
-    return current
+        sc.setCheckpointDir(folder)
+    return folder
