@@ -23,7 +23,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .common import documents, slices
+from .common import SLICE_BYTES, documents, slices
 from .wordcodes import WHITE, WordCoder
 
 # The published pre-tokenizer pattern of byte-level BPE.
@@ -40,7 +40,7 @@ def byte_letters() -> list[str]:
 class ByteBPE:
     """Encoder and decoder of one vocabulary file (its JSON text)."""
 
-    def __init__(self, source: str, max_pieces: int = 200_000) -> None:
+    def __init__(self, source: str, max_pieces: int = 100_000) -> None:
         model = json.loads(source)
         vocab, letters = model["model"]["vocab"], byte_letters()
         byte_of = {c: b for b, c in enumerate(letters)}
@@ -137,26 +137,31 @@ def _schema(df: DataFrame, *added: str) -> str:
     return ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema if f.name not in names] + list(added))
 
 
-def bpe_encode(df: DataFrame, vocabulary: str, text: str = "text", ids: str = "ids") -> DataFrame:
+def bpe_encode(df: DataFrame, vocabulary: str, text: str = "text", ids: str = "ids",
+               decoded: str | None = None) -> DataFrame:
     """Replaces the text column by ``ids`` (binary: unsigned 32-bit little-endian) and ``n_tokens``.
 
-    ``vocabulary``: path of a byte-level BPE file on the driver.
+    ``vocabulary``: path of a byte-level BPE file on the driver.  ``decoded``:
+    also add, in the same pass, a column of this name with the ids decoded again.
     """
     source = df.sparkSession.sparkContext.broadcast(read_vocabulary(vocabulary))
-    rest = df.drop(ids, "n_tokens")
+    added = [f"{ids} binary", "n_tokens long", *([f"{decoded} string"] if decoded else [])]
+    rest = df.drop(*(a.split()[0] for a in added))
     names = [c for c in rest.columns if c != text]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = _model(source.value)[1]
-        for batch in slices(batches, text):
+        bpe, coder = _model(source.value)
+        for batch in slices(batches, text, SLICE_BYTES // 2):
             coded, starts = coder.encode(batch.column(batch.schema.get_field_index(text)))
+            cuts = list(zip(starts[:-1].tolist(), starts[1:].tolist()))
             raw = coded.astype("<u4").tobytes()
-            blobs = [raw[4 * a:4 * b] for a, b in zip(starts[:-1].tolist(), starts[1:].tolist())]
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(batch.schema.get_field_index(c)) for c in names),
-                 pa.array(blobs, pa.binary()), pa.array(np.diff(starts), pa.int64())], [*names, ids, "n_tokens"])
+            out = [pa.array([raw[4 * a:4 * b] for a, b in cuts], pa.binary()), pa.array(np.diff(starts), pa.int64())]
+            if decoded:
+                out.append(pa.array([bpe.decode(coded[a:b].tolist()) for a, b in cuts], pa.string()))
+            yield pa.RecordBatch.from_arrays([*(batch.column(batch.schema.get_field_index(c)) for c in names), *out],
+                                             [*names, *(a.split()[0] for a in added)])
 
-    return rest.select(*names, text).mapInArrow(run, _schema(rest.drop(text), f"{ids} binary", "n_tokens long"))
+    return rest.select(*names, text).mapInArrow(run, _schema(rest.drop(text), *added))
 
 
 def bpe_decode(df: DataFrame, vocabulary: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
@@ -179,6 +184,6 @@ def bpe_decode(df: DataFrame, vocabulary: str, ids: str = "ids", text: str = "de
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
     path = public_tokenizers.path("byte_bpe_50k.json")
-    coded = bpe_decode(bpe_encode(documents(spark, sf_dir), path), path)
+    coded = bpe_encode(documents(spark, sf_dir), path, decoded="decoded")
     return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
                         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))

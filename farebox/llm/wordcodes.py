@@ -30,7 +30,7 @@ class WordCoder:
     """
 
     def __init__(self, encode_chunks: Callable[[list[str]], list[Sequence[int]]], irregular: str | None,
-                 keep_space: bool, max_chunks: int = 400_000, max_ids: int = 4_000_000) -> None:
+                 keep_space: bool, max_chunks: int = 300_000, max_ids: int = 3_000_000) -> None:
         self.encode_chunks, self.irregular, self.space = encode_chunks, irregular, " " if keep_space else ""
         self.max_chunks, self.max_ids = max_chunks, max_ids
         self._forget()
