@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
 import uuid
+import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -15,7 +19,22 @@ from farebox.session import checkpoint_dir
 SLICE_BYTES = 8 << 20
 
 
+def ship(spark: SparkSession) -> None:
+    """Gives the tasks this package where the workers' import path doesn't have it (once for each context)."""
+    sc, package = spark.sparkContext, Path(__file__).resolve().parents[1]
+    reachable = [*os.environ.get("PYTHONPATH", "").split(os.pathsep), os.getcwd()]
+    if str(package.parent) in map(os.path.realpath, reachable) or getattr(sc, "_farebox_shipped", False):
+        return
+    bundle = os.path.join(tempfile.mkdtemp(prefix="farebox-code-"), "farebox.zip")
+    with zipfile.ZipFile(bundle, "w") as z:
+        for f in sorted(package.rglob("*.py")):
+            z.write(f, f.relative_to(package.parent))
+    sc.addPyFile(bundle)
+    sc._farebox_shipped = True
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
@@ -69,3 +88,29 @@ def spread(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     ends = np.cumsum(lengths)
     total = int(ends[-1]) if len(ends) else 0
     return np.repeat(starts - (ends - lengths), lengths) + np.arange(total, dtype=np.int64)
+
+
+def ascii_words(column: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """All words between ASCII white space, text after text, and the number of words of each text."""
+    import pyarrow.compute as pc
+    lists = pc.ascii_split_whitespace(string_array(column))
+    flat = lists.flatten()
+    full = np.asarray(pc.binary_length(flat)) > 0
+    bounds = np.asarray(lists.offsets, dtype=np.int64)
+    before = np.concatenate([[0], np.cumsum(full)])
+    if not full.all():
+        flat = flat.filter(pa.array(full))
+    return flat, np.diff(before[bounds - bounds[0]])
+
+
+def per_text(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Sums of consecutive runs of ``values``, of ``counts`` elements each."""
+    out = np.zeros(len(counts), values.dtype)
+    full = np.asarray(counts) > 0
+    if full.any():
+        out[full] = np.add.reduceat(values, (np.cumsum(counts) - counts)[full])
+    return out
+
+
+def text_bytes(df: DataFrame, text: str = "text") -> int:
+    return df.agg(F.sum(F.octet_length(text))).first()[0] or 0

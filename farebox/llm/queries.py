@@ -6,10 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import exact_dedup
 from .bpe import op1_bpe
+from .exact_dedup import op3_exact_dedup
+from .line_quality import op5_quality
+from .ngram_lm import op10_lm
+from .toxicity import op9_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
+    "op3_exact_dedup": op3_exact_dedup,
+    "op5_quality": op5_quality,
+    "op9_toxicity": op9_toxicity,
+    "op10_lm": op10_lm,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op3_exact_dedup": exact_dedup.ORACLE,
+}
