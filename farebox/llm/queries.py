@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from . import exact_dedup
 from .bpe import op1_bpe
 from .exact_dedup import op3_exact_dedup
+from .html_extract import op7_html
+from .lang_cnn import op6_language
 from .line_quality import op5_quality
 from .ngram_lm import op10_lm
 from .toxicity import op9_toxicity
@@ -17,6 +19,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op3_exact_dedup": op3_exact_dedup,
     "op5_quality": op5_quality,
+    "op6_language": op6_language,
+    "op7_html": op7_html,
     "op9_toxicity": op9_toxicity,
     "op10_lm": op10_lm,
 }
