@@ -16,12 +16,15 @@ Columns named like an output are replaced; all others pass through.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .common import documents
 
 WHITE = r"[\x20\x09-\x0D]+"
 SYMBOLS = "#*$%&|<>"
+SEPARATORS = "|›»•·→"
 
 # Words of menus, and phrases of page furniture.
 MENU = ("home", "menu", "login", "log in", "sign in", "sign up", "register", "search", "next", "previous", "contact",
@@ -40,25 +43,35 @@ def line_words(line: Column) -> Column:
 
 
 def bad_punctuation(line: Column, max_share: float, endless: int) -> Column:
-    """Too many signs for its letters, or a long line without any end of a sentence."""
+    """Too many signs for its length, or a long line without any end of a sentence."""
     signs = _points(line, r"[\p{L}\p{M}\p{N}\s]+")
-    return ((signs > max_share * _points(line, WHITE))
+    return ((signs > max_share * F.char_length(line))
             | (~line.rlike(r"[.!?…。！？]") & (line_words(line) >= endless)))
 
 
-def bad_navigation(line: Column, separators: int) -> Column:
-    """A row of links, or only words of a menu."""
+def bad_separators(line: Column, separators: int) -> Column:
+    """Navigation: a row of links."""
+    return _points(line, f"[^{SEPARATORS}]+") >= separators
+
+
+def bad_menu(line: Column) -> Column:
+    """Navigation: only words of a menu."""
     words = "|".join(MENU)
-    return ((_points(line, r"[^|›»•·→]+") >= separators)
-            | line.rlike(rf"(?i)^\s*(?:(?:{words})[\s,/>-]*)+$"))
+    return line.rlike(rf"(?i)^\s*(?:(?:{words})[\s,/>-]*)+$")
 
 
 def bad_boilerplate(line: Column) -> Column:
+    """Page furniture."""
     return line.rlike("(?i)" + "|".join(FURNITURE))
 
 
+def bad_repetition(line: Column) -> Column:
+    """One word five times in a row."""
+    return line.rlike(r"(?:^|\s)(\S+)(?:\s+\1){4}(?=\s|$)")
+
+
 def quality_rules(docs: DataFrame, text: str = "text", min_words: int = 20, max_repeat_percent: int = 30,
-                  max_sign_share: float = 0.18, endless_words: int = 60, separators: int = 3,
+                  max_sign_share: float = 0.15, endless_words: int = 60, separators: int = 3,
                   max_loss_percent: int = 50) -> DataFrame:
     """``docs`` with the base counts, base_failed, clean_text, kept_chars and kept.
 
@@ -66,7 +79,7 @@ def quality_rules(docs: DataFrame, text: str = "text", min_words: int = 20, max_
     more than this share of its word characters.
     """
     body = F.coalesce(F.col(text), F.lit(""))
-    added = ("words", "lines", "good_lines", "windows", "sorted_windows", "repeat_starts")
+    added = ("words", "lines", "good_lines", "windows", "sorted_windows", "repeat_starts", "low")
     outputs = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "clean_text",
                "kept_chars", "kept")
     out = (docs.drop(*added, *outputs)
@@ -77,16 +90,24 @@ def quality_rules(docs: DataFrame, text: str = "text", min_words: int = 20, max_
            .withColumn("n_symbols", _points(body, "[^" + SYMBOLS + "]+").cast("long"))
            .withColumn("n_dup_lines", (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long")))
     out = _repeat_words(out)
+    # What the whole text has not, no line needs to be searched for.  The choice stands outside the filters: inside,
+    # the optimizer would put the test of the whole text in the place of its result and run it for every line.
+    out = out.withColumn("low", F.lower(body))
+    searched = (reduce(lambda a, b: a | b, [F.col("low").contains(x) for x in FURNITURE])
+                | body.rlike(f"[{SEPARATORS}]"))
+
+    def common_faults(line: Column) -> Column:
+        return bad_punctuation(line, max_sign_share, endless_words) | bad_menu(line) | bad_repetition(line)
 
-    def fails(line: Column) -> Column:
-        return (bad_punctuation(line, max_sign_share, endless_words) | bad_navigation(line, separators)
-                | bad_boilerplate(line))
+    good_lines = (F.when(searched, F.filter("lines", lambda x: ~(common_faults(x) | bad_separators(x, separators) | bad_boilerplate(x))))
+                  .otherwise(F.filter("lines", lambda x: ~common_faults(x))))
 
     return (out.withColumn("base_failed", (F.col("n_words") < min_words)
                            | (100 * F.col("n_repeat_words") > max_repeat_percent * F.col("n_words")))
-            .withColumn("good_lines", F.filter("lines", lambda x: ~fails(x)))
+            .withColumn("good_lines", good_lines)
             .withColumn("clean_text", F.array_join("good_lines", "\n"))
-            .withColumn("kept_chars", _points(F.col("clean_text"), WHITE).cast("long"))
+            .withColumn("kept_chars", F.when(F.size("good_lines") == F.size("lines"), F.col("word_chars"))
+                        .otherwise(_points(F.col("clean_text"), WHITE).cast("long")))
             .withColumn("kept", ~F.col("base_failed")
                         & (100 * (F.col("word_chars") - F.col("kept_chars")) <= max_loss_percent * F.col("word_chars")))
             .drop(*added))
@@ -94,16 +115,15 @@ def quality_rules(docs: DataFrame, text: str = "text", min_words: int = 20, max_
 
 def _repeat_words(df: DataFrame) -> DataFrame:
     """Adds n_repeat_words: words in an 8-word window that the text has twice or more."""
-    n = F.size("words")
-
-    def double(a: Column, step: int) -> Column:
+    def double(name: str, step: int) -> Column:
         """Hashes of windows twice as long: of each window and the one that starts ``step`` words later."""
-        return F.zip_with(F.slice(a, 1, F.greatest(F.size(a) - step, F.lit(0))),
-                          F.slice(a, step + 1, F.greatest(F.size(a) - step, F.lit(0))), lambda x, y: F.xxhash64(x, y))
+        left = F.greatest(F.size(name) - step, F.lit(0))
+        return F.zip_with(F.slice(name, 1, left), F.slice(name, step + 1, left), lambda x, y: F.xxhash64(x, y))
 
-    one = F.transform("words", lambda w: F.xxhash64(w))
-    windows = F.when(n >= 8, double(double(double(one, 1), 2), 4))
-    df = df.withColumn("windows", windows)
+    # columns of their own: an array used more than once in an expression would be built as often
+    df = df.withColumn("windows", F.transform(F.when(F.size("words") >= 8, F.col("words")), lambda w: F.xxhash64(w)))
+    for step in (1, 2, 4):
+        df = df.withColumn("windows", double("windows", step))
     repeated = F.size("windows") > F.size(F.array_distinct("windows"))
     at = F.transform("windows", lambda h, i: F.struct(h.alias("h"), i.alias("i")))
     df = df.withColumn("sorted_windows", F.when(repeated, F.array_sort(at)))
