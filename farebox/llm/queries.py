@@ -13,14 +13,18 @@ from .html_extract import op7_html
 from .lang_cnn import op6_language
 from .line_quality import op5_quality
 from .ngram_lm import op10_lm
+from .packing import op8_packing
+from .token_store import op4_tokens
 from .toxicity import op9_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op3_exact_dedup": op3_exact_dedup,
+    "op4_tokens": op4_tokens,
     "op5_quality": op5_quality,
     "op6_language": op6_language,
     "op7_html": op7_html,
+    "op8_packing": op8_packing,
     "op9_toxicity": op9_toxicity,
     "op10_lm": op10_lm,
 }
