@@ -13,12 +13,14 @@ from .html_extract import op7_html
 from .lang_cnn import op6_language
 from .line_quality import op5_quality
 from .ngram_lm import op10_lm
+from .near_dup import op2_near_dup
 from .packing import op8_packing
 from .token_store import op4_tokens
 from .toxicity import op9_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
+    "op2_near_dup": op2_near_dup,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_tokens": op4_tokens,
     "op5_quality": op5_quality,
