@@ -1,14 +1,74 @@
-"""The corpus pipeline: stages that filter and pack ``documents``."""
+"""The corpus pipeline: four stages filter ``documents``, the last packs what is left.
+
+Every stage gets what its predecessor kept, written as Parquet and read again.
+A filtering stage returns whole rows with all columns of its input; the
+operators see only doc_id and text (and the rest of the row as one column), so
+no column of the input can clash with theirs.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from farebox.llm.common import fold, scratch, ship, table
+from farebox.llm.exact_dedup import Batch, DigestIndex
+from farebox.llm.line_quality import passing, quality_rules
+from farebox.llm.near_dup import near_duplicates
+from farebox.llm.packing import pack_documents
+from farebox.llm import toxicity as toxic
+
+
+def _carried(docs: DataFrame) -> DataFrame:
+    """doc_id, text and ``row``: all other columns."""
+    rest = [c for c in docs.columns if c not in ("doc_id", "text")]
+    return docs.select("doc_id", "text", F.struct(*(F.col(f"`{c}`") for c in rest) if rest else [F.lit(0).alias("none")]).alias("row"))
+
+
+def _restored(carried: DataFrame, docs: DataFrame) -> DataFrame:
+    return carried.select(*(F.col(c) if c in ("doc_id", "text") else F.col(f"row.`{c}`").alias(c) for c in docs.columns))
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the toxicity model (learnt from the labelled ones outside the held-out fifth) doesn't reject."""
+    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic").where(fold(F.col("doc_id"), 5) != 0)
+    model = toxic.fit(docs.select("doc_id", "text").where(fold(F.col("doc_id"), 5) != 0).join(labels, "doc_id"))
+    return _restored(toxic.toxicity(_carried(docs), model, keep_text=True).where("score < 0.5"), docs)
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that pass the quality rules; their texts stay as they are."""
+    return _restored(passing(quality_rules(_carried(docs))), docs)
+
+
+def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of equal texts."""
+    folder = scratch(spark, "exact-dedup")
+    return _restored(Batch(_carried(docs), DigestIndex(spark, f"{folder}/index"), folder).kept(), docs)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates: five-word shingles, similarity 0.8 or more."""
+    ship(spark)
+    groups = near_duplicates(docs, scratch(spark, "near-dup"), percent=80, width=5)
+    dropped = groups.where("not kept").select("doc_id").distinct()
+    return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents in sequences."""
+    ship(spark)
+    return pack_documents(docs, spark)
 
-from farebox.llm.common import scratch
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = []
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("toxicity", toxicity),
+    ("quality", quality),
+    ("exact_dedup", exact_dedup),
+    ("near_dedup", near_dedup),
+    ("packing", packing),
+]
 
 #: The stages train models and run Python, which SQL can't express; tests hold them against brute force.
 ORACLE_SQL: str | None = None

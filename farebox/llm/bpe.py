@@ -23,7 +23,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .common import SLICE_BYTES, documents, slices
+from .common import SLICE_BYTES, documents, slices, with_fields
 from .wordcodes import WHITE, WordCoder
 
 # The published pre-tokenizer pattern of byte-level BPE.
@@ -132,11 +132,6 @@ def read_vocabulary(path: str) -> str:
         return f.read()
 
 
-def _schema(df: DataFrame, *added: str) -> str:
-    names = [a.split()[0] for a in added]
-    return ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema if f.name not in names] + list(added))
-
-
 def bpe_encode(df: DataFrame, vocabulary: str, text: str = "text", ids: str = "ids",
                decoded: str | None = None) -> DataFrame:
     """Replaces the text column by ``ids`` (binary: unsigned 32-bit little-endian) and ``n_tokens``.
@@ -145,8 +140,9 @@ def bpe_encode(df: DataFrame, vocabulary: str, text: str = "text", ids: str = "i
     also add, in the same pass, a column of this name with the ids decoded again.
     """
     source = df.sparkSession.sparkContext.broadcast(read_vocabulary(vocabulary))
-    added = [f"{ids} binary", "n_tokens long", *([f"{decoded} string"] if decoded else [])]
-    rest = df.drop(*(a.split()[0] for a in added))
+    added = [f"`{ids}` binary", "n_tokens long", *([f"`{decoded}` string"] if decoded else [])]
+    outputs = [ids, "n_tokens", *([decoded] if decoded else [])]
+    rest = df.drop(*outputs)
     names = [c for c in rest.columns if c != text]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -159,9 +155,9 @@ def bpe_encode(df: DataFrame, vocabulary: str, text: str = "text", ids: str = "i
             if decoded:
                 out.append(pa.array([bpe.decode(coded[a:b].tolist()) for a, b in cuts], pa.string()))
             yield pa.RecordBatch.from_arrays([*(batch.column(batch.schema.get_field_index(c)) for c in names), *out],
-                                             [*names, *(a.split()[0] for a in added)])
+                                             [*names, *outputs])
 
-    return rest.select(*names, text).mapInArrow(run, _schema(rest.drop(text), *added))
+    return rest.select(*names, text).mapInArrow(run, with_fields(rest.drop(text).schema.fields, ", ".join(added)))
 
 
 def bpe_decode(df: DataFrame, vocabulary: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
@@ -178,7 +174,7 @@ def bpe_decode(df: DataFrame, vocabulary: str, ids: str = "ids", text: str = "de
                 [*batch.columns, pa.array([bpe.decode(np.frombuffer(b or b"", "<u4").tolist()) for b in blobs], pa.string())],
                 [*names, text])
 
-    return rest.mapInArrow(run, _schema(rest, f"{text} string"))
+    return rest.mapInArrow(run, with_fields(rest.schema.fields, f"`{text}` string"))
 
 
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -12,6 +12,7 @@ from pathlib import Path
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructField, StructType
 
 from farebox.session import checkpoint_dir
 
@@ -48,6 +49,17 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def store(df: DataFrame, path: str) -> DataFrame:
+    """Writes a table and reads it again: cuts the lineage and survives lost executors."""
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def with_fields(fields: list[StructField], added: str) -> StructType:
+    """Schema of columns that pass through and of added ones (DDL)."""
+    return StructType([*fields, *StructType.fromDDL(added).fields])
+
+
 def fold(key: Column, parts: int) -> Column:
     """crc32 of the key's decimal text, modulo ``parts`` (null key: the text '')."""
     return F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")) % parts

@@ -25,7 +25,7 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from .common import documents, scratch
+from .common import documents, scratch, store
 
 #: ASCII white space, as a Java class.
 WHITE = r"[\x20\x09-\x0D]+"
@@ -57,39 +57,51 @@ class DigestIndex:
          .bucketBy(self.buckets, "digest").sortBy("digest").saveAsTable(self.name))
 
 
-def exact_dedup(docs: DataFrame, index: DigestIndex, folder: str, doc_id: str = "doc_id", text: str = "text",
-                keep_text: bool = True) -> DataFrame:
-    """The rows of ``docs`` with text_sha256, keep_id, group_size and kept; new texts go into the index.
+OUTPUTS = ("keep_id", "group_size", "kept", "text_sha256")
+_HELPERS = ("digest", "n_points", "row_id")
+
+
+class Batch:
+    """Rows that have gone through the index; new texts are in the index now.
 
     ``folder``: a shared folder for the rows with their digests, so that texts
-    are hashed once.  ``keep_text=False`` leaves the text out.  ``group_size``
-    counts the rows of the batch that brought the text.
+    are hashed once.  ``keep_text=False`` leaves the text out there.
     """
-    spark = docs.sparkSession
-    batch = uuid.uuid4().hex
-    rows = (docs.drop("digest", "text_sha256", "keep_id", "group_size", "kept", "n_points", "row_id")
-            .withColumn("digest", F.unhex(F.sha2(normalised(F.col(text)).cast("binary"), 256)))
-            .withColumn("n_points", F.char_length(F.coalesce(F.col(text), F.lit(""))))
-            .withColumn("row_id", F.monotonically_increasing_id()))
-    (rows if keep_text else rows.drop(text)).write.parquet(f"{folder}/rows")
-    rows = spark.read.parquet(f"{folder}/rows")
-    best = F.min(F.struct((-F.col("n_points")).alias("n"), F.col(doc_id).isNull().alias("none"),
-                          F.col(doc_id).alias("id"), F.col("row_id").alias("row"))).alias("best")
-    groups = (rows.groupBy("digest").agg(best, F.count("*").alias("group_size"))
-              .select("digest", F.col("best.id").alias("keep_id"), F.col("best.row").alias("keep_row"), "group_size",
-                      F.lit(batch).alias("batch")))
-    index.append(index.new(groups))
-    held = spark.read.parquet(index.path)  # as plain files: both sides of the join are shuffled and can be split
-    return (rows.join(held, "digest")
-            .withColumn("kept", (F.col("row_id") == F.col("keep_row")) & (F.col("batch") == batch))
-            .withColumn("text_sha256", F.lower(F.hex("digest")))
-            .drop("digest", "n_points", "row_id", "keep_row", "batch"))
+
+    def __init__(self, docs: DataFrame, index: DigestIndex, folder: str, doc_id: str = "doc_id", text: str = "text",
+                 keep_text: bool = True) -> None:
+        self.id = uuid.uuid4().hex
+        rows = (docs.drop(*_HELPERS, *OUTPUTS)
+                .withColumn("digest", F.unhex(F.sha2(normalised(F.col(text)).cast("binary"), 256)))
+                .withColumn("n_points", F.char_length(F.coalesce(F.col(text), F.lit(""))))
+                .withColumn("row_id", F.monotonically_increasing_id()))
+        self.rows = store(rows if keep_text else rows.drop(text), f"{folder}/rows")
+        best = F.min(F.struct((-F.col("n_points")).alias("n"), F.col(doc_id).isNull().alias("none"),
+                              F.col(doc_id).alias("id"), F.col("row_id").alias("row"))).alias("best")
+        groups = (self.rows.groupBy("digest").agg(best, F.count("*").alias("group_size"))
+                  .select("digest", F.col("best.id").alias("keep_id"), F.col("best.row").alias("keep_row"), "group_size",
+                          F.lit(self.id).alias("batch")))
+        index.append(index.new(groups))
+        # as plain files: both sides of a join are shuffled, and a hot digest can be split
+        self.held = index.spark.read.parquet(index.path)
+
+    def verdicts(self) -> DataFrame:
+        """All rows with text_sha256, keep_id, group_size (rows of the batch that brought the text) and kept."""
+        return (self.rows.join(self.held, "digest")
+                .withColumn("kept", (F.col("row_id") == F.col("keep_row")) & (F.col("batch") == self.id))
+                .withColumn("text_sha256", F.lower(F.hex("digest")))
+                .drop(*_HELPERS, "keep_row", "batch"))
+
+    def kept(self) -> DataFrame:
+        """The rows that stay, without added columns; shuffled by row number, so no text makes a task large."""
+        stay = self.held.where(F.col("batch") == self.id).select(F.col("keep_row").alias("row_id"))
+        return self.rows.join(stay, "row_id", "left_semi").drop(*_HELPERS)
 
 
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch(spark, "exact-dedup")
     index = DigestIndex(spark, f"{folder}/index")
-    return (exact_dedup(documents(spark, sf_dir), index, folder, keep_text=False)
+    return (Batch(documents(spark, sf_dir), index, folder, keep_text=False).verdicts()
             .select("doc_id", "keep_id", "group_size", "kept", "text_sha256"))
 
 

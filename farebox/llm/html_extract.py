@@ -21,7 +21,7 @@ from html import unescape
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .common import slices, table
+from .common import slices, table, with_fields
 
 # Fixed values of the HTML standard and of common page templates.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -274,7 +274,7 @@ def extract(pages: DataFrame, html: str = "html", text: str = "text") -> DataFra
             yield pa.RecordBatch.from_arrays([*(batch.column(batch.schema.get_field_index(c)) for c in names),
                                               pa.array(found, pa.string())], [*names, text])
 
-    return rest.mapInArrow(run, ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept), f"`{text}` string"]))
+    return rest.mapInArrow(run, with_fields(kept, f"`{text}` string"))
 
 
 def op7_html(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -27,7 +27,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from .common import byte_lengths, fold, per_text, slices, string_array, table
+from .common import byte_lengths, fold, per_text, slices, string_array, table, with_fields
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
@@ -153,12 +153,12 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", doc_id: str
     """Trains on at most ``max_windows`` windows, spread evenly, of at most ``max_docs`` texts of each language."""
     usable = labelled.where(F.col(lang).isNotNull() & F.col(text).rlike(r"\p{L}")).select(
         F.col(lang).alias("lang"), F.col(text).alias("text"), F.xxhash64(doc_id).alias("rank"), F.col(doc_id).alias("doc_id"))
-    sizes = usable.groupBy("lang").agg(F.count("*").alias("n"))
-    # before ranking, a draw by hash leaves each language about twice the rows that are wanted
-    drawn = (usable.select("lang", "rank", "doc_id").join(sizes, "lang")
-             .where(F.pmod("rank", F.lit(1 << 20)) < F.greatest(F.lit(2 * max_docs + 100) * (1 << 20) / F.col("n"), F.lit(0))))
-    order = Window.partitionBy("lang").orderBy("rank", "doc_id")
-    picked = drawn.withColumn("at", F.row_number().over(order)).where(F.col("at") <= max_docs).select("doc_id", "lang").distinct()
+    # in two steps, each of which Spark limits before its shuffle: a frequent language's texts never meet in one task
+    ranked = usable.select("lang", "rank", "doc_id").withColumn("part", F.pmod("rank", F.lit(64)))
+    for parts in (("lang", "part"), ("lang",)):
+        order = Window.partitionBy(*parts).orderBy("rank", "doc_id")
+        ranked = ranked.withColumn("at", F.row_number().over(order)).where(F.col("at") <= max_docs).drop("at")
+    picked = ranked.select("doc_id", "lang").distinct()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -212,7 +212,7 @@ def identify(docs: DataFrame, model: ByteCNN | None, text: str = "text") -> Data
             yield pa.RecordBatch.from_arrays([*(batch.column(batch.schema.get_field_index(c)) for c in names),
                                               pa.array(lang, pa.string()), pa.array(score)], [*names, "lang_pred", "score"])
 
-    return rest.mapInArrow(run, ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept), "lang_pred string", "score double"]))
+    return rest.mapInArrow(run, with_fields(kept, "lang_pred string, score double"))
 
 
 def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:

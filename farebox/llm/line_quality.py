@@ -135,6 +135,16 @@ def _repeat_words(df: DataFrame) -> DataFrame:
     return df.withColumn("n_repeat_words", F.coalesce(covered, F.lit(0)).cast("long"))
 
 
+def passing(judged: DataFrame) -> DataFrame:
+    """The rows that ``quality_rules`` keeps.
+
+    The row number keeps the optimizer from moving the test below the columns
+    that it is made of, where each would be computed again in its place.
+    """
+    numbered = judged.withColumn("row_number", F.monotonically_increasing_id())
+    return numbered.where((F.col("row_number") >= 0) & F.col("kept")).drop("row_number")
+
+
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(documents(spark, sf_dir)).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")

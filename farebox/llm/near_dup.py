@@ -27,8 +27,9 @@ execution can split.  Nothing is collected but counts.
 
 Cases.  Null text, and text without words, has an empty set: linked with
 nothing, its own group.  A text with fewer words than a shingle is one shingle.
-Repeated rows have equal sets, so they share a class; rows with the same
-doc_id count as one document.  An empty table gives an empty result.
+Repeated rows have equal sets, so they share a class.  If a doc_id has several
+texts that each start a class, one of them takes part in links.  Rows without a
+doc_id are linked with nothing and kept.  An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -43,7 +44,7 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .common import ascii_words, documents, scratch, slices
+from .common import ascii_words, documents, scratch, slices, store
 
 TOKENS = 64  # minwise tokens of a signature
 NODE_LIMIT = 256
@@ -119,8 +120,7 @@ class NearDuplicates:
         self.limit, self.depth = node_limit, depth
 
     def store(self, df: DataFrame, name: str) -> DataFrame:
-        df.write.parquet(f"{self.folder}/{name}")
-        return self.spark.read.schema(df.schema).parquet(f"{self.folder}/{name}")
+        return store(df, f"{self.folder}/{name}")
 
     # -- 1. sketches and classes
 
@@ -264,8 +264,9 @@ class NearDuplicates:
     def run(self) -> DataFrame:
         """doc_id, n_shingles, component_id and kept of every document."""
         sketches = self.store(self.sketches(), "sketches")
-        full = sketches.where("n_shingles > 0")
-        classes = self.store(full.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("tokens").alias("tokens")), "classes")
+        full = sketches.where("n_shingles > 0 and doc_id is not null")
+        classes = self.store(full.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("tokens").alias("tokens"))
+                             .dropDuplicates(["rep"]), "classes")
         signed = classes.select("rep", "tokens")
         nodes, stars = self.grow(signed)
         component = None
@@ -277,9 +278,10 @@ class NearDuplicates:
         if component is not None:
             links = links.union(star_links)
         final = self.components(links, "all")
-        members = full.select("doc_id", "n_shingles", "digest").join(classes.select("digest", "rep"), "digest")
+        members = (full.select("doc_id", "n_shingles", "digest").join(classes.select("digest", "rep"), "digest", "left")
+                   .withColumn("rep", F.coalesce("rep", "doc_id")))
         grouped = members.join(final, "rep", "left").select("doc_id", "n_shingles", F.coalesce("comp", "rep").alias("component_id"))
-        alone = sketches.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
+        alone = sketches.where("n_shingles = 0 or doc_id is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
         return grouped.union(alone).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 

@@ -27,7 +27,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .common import documents, scratch, slices
+from .common import documents, scratch, slices, store
 from .wordcodes import WordCoder
 
 #: Rows of a group in all rounds; a pool of fewer rows is one group.
@@ -141,8 +141,7 @@ def lower_bound(lengths: np.ndarray, capacity: int) -> int:
 def pack(pieces: DataFrame, folder: str, capacity: int = 2048, group_rows: int = GROUP_ROWS, loose_bins: int = LOOSE_BINS) -> DataFrame:
     """Adds sequence_id and offset.  ``folder``: a shared folder for the pieces and each round's result."""
     spark = pieces.sparkSession
-    pieces.drop("sequence_id", "offset").write.parquet(f"{folder}/pieces")
-    pool = spark.read.parquet(f"{folder}/pieces")
+    pool = store(pieces.drop("sequence_id", "offset"), f"{folder}/pieces")
     left, schema = pool.count(), pool.schema
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
     done, number = [], 0

@@ -35,7 +35,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .common import ascii_words, documents, fold, per_text, slices, table
+from .common import ascii_words, documents, fold, per_text, slices, table, with_fields
 
 WORDS = re.compile(r"\w+")
 BITS = 10  # of a character's code in an n-gram key; 60 bits hold six characters
@@ -244,7 +244,7 @@ def toxicity(docs: DataFrame, model: ToxicityModel, text: str = "text", keep_tex
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(batch.schema.get_field_index(c)) for c in names), pa.array(value)], [*names, "score"])
 
-    return rest.mapInArrow(run, ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept), "score double"]))
+    return rest.mapInArrow(run, with_fields(kept, "score double"))
 
 
 def labelled_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
