@@ -27,7 +27,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .common import documents, scratch, slices, store
+from .common import SLICE_BYTES, documents, scratch, slices, store
 from .wordcodes import WordCoder
 
 #: Rows of a group in all rounds; a pool of fewer rows is one group.
@@ -40,7 +40,11 @@ _coders: dict[int, WordCoder] = {}
 
 
 def library_coder(source: str, keep_space: bool, irregular: str | None) -> WordCoder:
-    """Chunk-wise encoding by the tokenizers library, built once in each Python worker."""
+    """Chunk-wise encoding by the tokenizers library, built once in each Python worker.
+
+    ``keep_space``: a byte-level file, whose tokens hold white space; else a
+    lower-casing word file, whose tokens hold none.
+    """
     key = hash((source, keep_space))
     if key not in _coders:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -49,7 +53,7 @@ def library_coder(source: str, keep_space: bool, irregular: str | None) -> WordC
         tokenizer.no_truncation()
         tokenizer.no_padding()
         _coders[key] = WordCoder(lambda xs: [e.ids for e in tokenizer.encode_batch_fast(xs, add_special_tokens=False)],
-                                 irregular, keep_space)
+                                 irregular, keep_space, max_chunks=500_000, max_ids=5_000_000)
     return _coders[key]
 
 
@@ -64,7 +68,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, end: int = 0,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = library_coder(source.value, keep_space=False, irregular=None)
-        for batch in slices(batches):
+        for batch in slices(batches, max_bytes=2 * SLICE_BYTES):
             ids, bounds = coder.encode(batch.column(1))
             sizes = np.diff(bounds) + 1
             stops = np.cumsum(sizes)

@@ -35,7 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from .bpe import ByteBPE
-from .common import documents, scratch, slices
+from .common import SLICE_BYTES, documents, scratch, slices
 from .packing import library_coder
 
 MAGIC = b"RPG1"
@@ -183,7 +183,7 @@ def write_tokens(docs: DataFrame, tokenizer: str, folder: str, end: int = 0, doc
                 x.clear()
             return row
 
-        for batch in slices(batches):
+        for batch in slices(batches, max_bytes=2 * SLICE_BYTES):
             ids, bounds = coder.encode(batch.column(1))
             n = np.diff(bounds) + 1
             stops = np.cumsum(n)
