@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from farebox.llm.common import fold, scratch, ship, table
 from farebox.llm.exact_dedup import Batch, DigestIndex
-from farebox.llm.line_quality import passing, quality_rules
+from farebox.llm.line_quality import quality_rules
 from farebox.llm.near_dup import near_duplicates
 from farebox.llm.packing import pack_documents
 from farebox.llm import toxicity as toxic
@@ -39,7 +39,7 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the quality rules; their texts stay as they are."""
-    return _restored(passing(quality_rules(_carried(docs))), docs)
+    return _restored(quality_rules(_carried(docs)).where("kept"), docs)
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -102,15 +102,19 @@ def quality_rules(docs: DataFrame, text: str = "text", min_words: int = 20, max_
     good_lines = (F.when(searched, F.filter("lines", lambda x: ~(common_faults(x) | bad_separators(x, separators) | bad_boilerplate(x))))
                   .otherwise(F.filter("lines", lambda x: ~common_faults(x))))
 
-    return (out.withColumn("base_failed", (F.col("n_words") < min_words)
-                           | (100 * F.col("n_repeat_words") > max_repeat_percent * F.col("n_words")))
-            .withColumn("good_lines", good_lines)
-            .withColumn("clean_text", F.array_join("good_lines", "\n"))
-            .withColumn("kept_chars", F.when(F.size("good_lines") == F.size("lines"), F.col("word_chars"))
-                        .otherwise(_points(F.col("clean_text"), WHITE).cast("long")))
-            .withColumn("kept", ~F.col("base_failed")
-                        & (100 * (F.col("word_chars") - F.col("kept_chars")) <= max_loss_percent * F.col("word_chars")))
-            .drop(*added))
+    out = (out.withColumn("base_failed", (F.col("n_words") < min_words)
+                          | (100 * F.col("n_repeat_words") > max_repeat_percent * F.col("n_words")))
+           .withColumn("good_lines", good_lines)
+           .withColumn("clean_text", F.array_join("good_lines", "\n"))
+           .withColumn("kept_chars", F.when(F.size("good_lines") == F.size("lines"), F.col("word_chars"))
+                       .otherwise(_points(F.col("clean_text"), WHITE).cast("long")))
+           .withColumn("kept", ~F.col("base_failed")
+                       & (100 * (F.col("word_chars") - F.col("kept_chars")) <= max_loss_percent * F.col("word_chars"))))
+    # The verdicts leave through a generator of one row: the optimizer moves no later filter below it, where each
+    # column that the filter needs would be computed anew in its place.
+    own = [F.col(f"`{c}`") for c in docs.columns if c not in (*added, *outputs)]
+    return (out.select(*own, F.explode(F.array(F.struct(*outputs))).alias("judged"))
+            .select(*own, *(F.col(f"judged.{c}") for c in outputs)))
 
 
 def _repeat_words(df: DataFrame) -> DataFrame:
@@ -135,16 +139,6 @@ def _repeat_words(df: DataFrame) -> DataFrame:
     return df.withColumn("n_repeat_words", F.coalesce(covered, F.lit(0)).cast("long"))
 
 
-def passing(judged: DataFrame) -> DataFrame:
-    """The rows that ``quality_rules`` keeps.
-
-    The row number keeps the optimizer from moving the test below the columns
-    that it is made of, where each would be computed again in its place.
-    """
-    numbered = judged.withColumn("row_number", F.monotonically_increasing_id())
-    return numbered.where((F.col("row_number") >= 0) & F.col("kept")).drop("row_number")
-
-
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(documents(spark, sf_dir)).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from farebox.llm import lang_cnn, toxicity
 from farebox.llm.common import documents, fold, table
 from farebox.llm.html_extract import extract, main_text
-from farebox.llm.line_quality import passing, quality_rules
+from farebox.llm.line_quality import quality_rules
 from farebox.llm.ngram_lm import lm_score
 
 SF = "/root/testdata/sf0.01"
@@ -50,7 +50,7 @@ def test_quality_lines(spark):
     assert not any(rows[k].kept for k in ("menu", "signs", "run"))
     assert rows["mixed"].clean_text == good.strip()
     df = quality_rules(spark.createDataFrame(list(texts.items()), "name string, text string"))
-    assert {r.name for r in passing(df).collect()} == {k for k, r in rows.items() if r.kept}
+    assert {r.name for r in df.where("kept").collect()} == {k for k, r in rows.items() if r.kept}
 
 
 def test_quality_agrees_with_labels_and_is_native(spark):
