@@ -89,7 +89,7 @@ class ToxicityModel:
         place = np.arange(len(codes)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
         key = np.zeros(len(codes), np.uint64)
         for back in range(order):
-            shifted = np.concatenate([np.zeros(back, np.uint64), codes[:len(codes) - back]])
+            shifted = np.concatenate([np.zeros(back, np.uint64), codes])[:len(codes)]
             key |= np.where(place >= back, shifted, np.uint64(0)) << np.uint64(BITS * back)
         return key[place > 0], (place >= order - 1)[place > 0]
 
@@ -164,18 +164,24 @@ def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e
 
 
 def fit(labelled: DataFrame, text: str = "text", label: str = "toxic", doc_id: str = "doc_id", max_docs: int = 4000,
-        order: int = 6, min_docs: int = 2, discount: float = 4.0, strong: float = 4.0) -> ToxicityModel:
-    """Fits the models on at most ``max_docs`` texts of each class; three quarters are counted, the rest calibrate.
-
-    Word counts are made by Spark; the driver gets the words that ``min_docs``
-    counted texts have, and the features of the calibration texts.
+        order: int = 6, min_docs: int = 2,
+        settings: tuple[tuple[float, float], ...] = ((2.0, 3.0), (4.0, 4.0))) -> ToxicityModel:
+    """Fits the models on ``max_docs`` texts of each class, or as many as the rarer class has; three quarters are counted, the rest calibrate.
+
+    ``settings``: pairs of discount and ``strong``; the pair with the least
+    log-loss on the calibration texts is taken.  Word counts are made by Spark;
+    the driver gets the words that ``min_docs`` counted texts have, and the
+    features of the calibration texts.
     """
     rank = F.xxhash64(F.col(doc_id))
     usable = labelled.where(F.col(label).isin(0, 1)).select(
         F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.col(label).cast("int").alias("toxic"), rank.alias("rank"))
     chosen = usable.select("doc_id", "toxic", "rank")
-    picked = (chosen.where("toxic = 1").orderBy("rank", "doc_id").limit(max_docs)
-              .union(chosen.where("toxic = 0").orderBy("rank", "doc_id").limit(max_docs))
+    share = {r["toxic"]: r["count"] for r in chosen.groupBy("toxic").count().collect()}  # two rows at most
+    # as many of either class: with less counted text a model would find all that is new likelier than the other does
+    n = min(max_docs, *(share.get(k, 0) for k in (0, 1)))
+    picked = (chosen.where("toxic = 1").orderBy("rank", "doc_id").limit(n)
+              .union(chosen.where("toxic = 0").orderBy("rank", "doc_id").limit(n))
               .select("doc_id").distinct())
     sample = usable.join(picked, "doc_id", "left_semi").withColumn("part", F.pmod(F.xxhash64("rank"), F.lit(4)))
     words = (sample.where("part > 0")
@@ -183,27 +189,32 @@ def fit(labelled: DataFrame, text: str = "text", label: str = "toxic", doc_id: s
                  F.lower(F.coalesce("text", F.lit(""))), F.lit(r"(?U)\w+"), F.lit(0)))).alias("word"))
              .groupBy("word").agg(F.sum(1 - F.col("toxic")).alias("ordinary"), F.sum("toxic").alias("toxic"))
              .where(F.col("ordinary") + F.col("toxic") >= min_docs).toPandas())
-    model = _count(words["word"].tolist(), words[["ordinary", "toxic"]].to_numpy(np.float64).T, order, discount, strong)
-    if not len(words):
-        return model
-    shared = labelled.sparkSession.sparkContext.broadcast(model)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memory: dict[str, tuple[float, float, int]] = {}
-        for batch in slices(batches):
-            f = shared.value.features(batch.column(batch.schema.get_field_index("text")), memory)
-            yield pa.RecordBatch.from_arrays([batch.column(batch.schema.get_field_index("toxic")), pa.array(f[:, 0]), pa.array(f[:, 1])],
-                                             ["toxic", "a", "b"])
-
-    held = sample.where("part = 0").select("text", "toxic").mapInArrow(run, "toxic int, a double, b double").toPandas()
-    shared.unpersist()
-    if held["toxic"].nunique() == 2:
-        y = held["toxic"].to_numpy()
-        share = chosen.groupBy("toxic").count().toPandas().set_index("toxic")["count"]
+    by_class = words[["ordinary", "toxic"]].to_numpy(np.float64).T
+    best, least = _count([], np.zeros((2, 0)), order, *settings[0]), np.inf
+    for discount, strong in settings if len(words) else ():
+        model = _count(words["word"].tolist(), by_class, order, discount, strong)
+        shared = labelled.sparkSession.sparkContext.broadcast(model)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            memory: dict[str, tuple[float, float, int]] = {}
+            for batch in slices(batches):
+                f = shared.value.features(batch.column(batch.schema.get_field_index("text")), memory)  # noqa: B023
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(batch.schema.get_field_index("toxic")), pa.array(f[:, 0]), pa.array(f[:, 1])], ["toxic", "a", "b"])
+
+        held = sample.where("part = 0").select("text", "toxic").mapInArrow(run, "toxic int, a double, b double").toPandas()
+        shared.unpersist()
+        if held["toxic"].nunique() < 2:
+            continue
+        x, y = _design(held[["a", "b"]].to_numpy()), held["toxic"].to_numpy()
         weight = np.array([share[k] / (y == k).sum() for k in (0, 1)])  # the classes as frequent as among all labels
-        model.weights = logistic(_design(held[["a", "b"]].to_numpy()), y, (weight / weight.min())[y])
-        model.trained = True
-    return model
+        weight = (weight / weight.min())[y]
+        model.weights, model.trained = logistic(x, y, weight), True
+        z = np.clip(x @ model.weights, -30, 30)
+        loss = float((weight * (np.log1p(np.exp(z)) - y * z)).sum())
+        if loss < least:
+            best, least = model, loss
+    return best
 
 
 def _count(words: list[str], counts: np.ndarray, order: int, discount: float, strong: float) -> ToxicityModel:

@@ -5,7 +5,7 @@ from farebox.llm.common import scratch, table
 
 
 def test_stages_on_a_table_with_planted_cases(spark, tmp):
-    sf = "/root/testdata/sf0.01"
+    sf = "/root/testdata/sf0.1"
     docs = table(spark, sf, "documents")
     text = "Plain words stand here in a row of sentences, number {} of them, and none is like the other {}. " * 1
     long = " ".join(text.format(i, i * i) for i in range(12))
@@ -29,11 +29,9 @@ def test_stages_on_a_table_with_planted_cases(spark, tmp):
     assert docs.groupBy("sequence_id").sum("length").agg({"sum(length)": "max"}).first()[0] <= 2048
 
 
-def test_stages_on_an_empty_table(spark, folder):
+def test_stages_on_an_empty_table(spark):
     sf = "/root/testdata/sf0.001"
     docs = table(spark, sf, "documents").where("false")
     for name, stage in corpus_pipeline.STAGES:
         out = stage(spark, docs, sf)
-        out.write.parquet(f"{folder}/{name}")
-        docs = spark.read.schema(out.schema).parquet(f"{folder}/{name}")
-        assert docs.count() == 0
+        assert out.count() == 0, name
