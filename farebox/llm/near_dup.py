@@ -7,17 +7,19 @@ groups.
 1. Sketch: every set gets a digest and a signature of minwise tokens.  Equal
    sets become one class, so exact copies cost one member.
 2. Trees: in each independent tree a class goes to the node of one selected
-   minwise token.  A node with more classes than ``node_limit`` branches: each
-   member goes to the children of two more tokens that the node selects.  Two
-   similar sets part at a branching with small odds only (both of two tokens
-   must differ), so the number of trees follows from the threshold and the
+   minwise token.  The number of trees follows from the threshold and the
    target recall.  Nodes with one member are dropped.
-3. Stars: large nodes first compare all members with one of them.  What is
-   linked so far gets a component.
-4. Small nodes are compared exhaustively by signature.  Large nodes at the last
-   level are compared in blocks, but only members outside the node's largest
-   component with the others: members of one component need no link.
-5. Candidates are confirmed on full sets (of 64-bit shingle hashes, computed
+3. Stars: every node compares its members with one of them.  What is
+   linked then has a component; members of one component need no further link,
+   so a large group of near copies costs as many comparisons as it has members.
+4. Branching: a node in which more than ``node_limit`` classes lie outside the
+   largest component branches: each member goes to the children of two more
+   tokens that the node selects.  Two similar sets part at a branching with
+   small odds only (both of two tokens must differ).
+5. Nodes of at most ``node_limit`` classes are compared exhaustively by
+   signature.  Larger ones are compared in blocks, members outside the largest
+   component with all others.  Only pairs of different components count.
+6. Candidates are confirmed on full sets (of 64-bit shingle hashes, computed
    again from the texts of candidates only), and components are found by
    hooking and pointer jumping.
 
@@ -113,11 +115,11 @@ class NearDuplicates:
     """One run over (doc_id, text); intermediate tables lie in ``folder``, a shared folder."""
 
     def __init__(self, docs: DataFrame, folder: str, percent: int = 85, width: int = 3, recall: float = 0.99999,
-                 node_limit: int = NODE_LIMIT, depth: int = DEPTH) -> None:
+                 node_limit: int = NODE_LIMIT, depth: int = DEPTH, turns: int = 1) -> None:
         self.spark, self.folder = docs.sparkSession, folder
         self.docs, self.percent, self.width = docs.select("doc_id", "text"), percent, width
         self.trees, self.agree = trees_for(percent / 100, recall), least_agreement(percent / 100)
-        self.limit, self.depth = node_limit, depth
+        self.limit, self.depth, self.turns = node_limit, depth, turns
 
     def store(self, df: DataFrame, name: str) -> DataFrame:
         return store(df, f"{self.folder}/{name}")
@@ -141,74 +143,94 @@ class NearDuplicates:
 
     # -- 2. trees
 
-    def grow(self, classes: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """(node, rep) of all small nodes of two members or more and of large last nodes; (leader, rep) of large nodes."""
-        roots = F.array(*(F.struct(F.xxhash64(F.lit(t), F.element_at("tokens", t % TOKENS + 1)).alias("node")) for t in range(self.trees)))
-        members = classes.select("rep", F.explode(roots).alias("r")).select(F.col("r.node").alias("node"), "rep")
-        small, stars = [], []
+    def roots(self, classes: DataFrame) -> DataFrame:
+        """(node, n, rep) of all first nodes with two members or more."""
+        first = F.array(*(F.xxhash64(F.lit(t), F.element_at("tokens", t % TOKENS + 1)) for t in range(self.trees)))
+        members = self.store(classes.select("rep", F.explode(first).alias("node")), "roots")
+        sizes = members.groupBy("node").agg(F.count("*").alias("n")).where("n > 1")
+        return self.store(members.join(sizes, "node").select("node", "n", "rep"), "nodes")
+
+    def stars(self, nodes: DataFrame, component: DataFrame | None, turn: int) -> DataFrame:
+        """Pairs of a node's leader, another one each turn, and its members that aren't in the leader's component."""
+        rows = self.labelled(nodes, component)
+        lead = F.min(F.struct(F.xxhash64("node", "rep", F.lit(turn)).alias("h"), F.col("rep").alias("leader"), F.col("comp").alias("its"))).alias("l")
+        leaders = rows.groupBy("node").agg(lead).select("node", "l.leader", "l.its")
+        return (rows.join(leaders, "node").where("comp != its")
+                .select(F.least("rep", "leader").alias("a"), F.greatest("rep", "leader").alias("b")).distinct())
+
+    @staticmethod
+    def labelled(nodes: DataFrame, component: DataFrame | None) -> DataFrame:
+        if component is None:
+            return nodes.withColumn("comp", F.col("rep"))
+        return nodes.join(component, "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
+
+    def grow(self, nodes: DataFrame, classes: DataFrame, component: DataFrame | None) -> DataFrame:
+        """(node, n, rep, comp, main, others) of the nodes to compare; large nodes of many components branch.
+
+        ``main``: the node's largest component; ``others``: its members outside
+        it.  Nodes of one component have nothing to find and are dropped.
+        """
+        out = []
         for level in range(self.depth + 1):
-            members = self.store(members.distinct() if level else members, f"members-{level}")
-            sizes = members.groupBy("node").agg(F.count("*").alias("n"), F.min("rep").alias("leader")).where("n > 1")
-            sized = self.store(members.join(sizes, "node"), f"sized-{level}")
-            last = level == self.depth
-            small.append(sized if last else sized.where(F.col("n") <= self.limit))
-            large = sized.where(F.col("n") > self.limit)
-            if large.isEmpty():
+            rows = self.labelled(nodes, component)
+            parts = rows.groupBy("node", "comp").agg(F.count("*").alias("m"))
+            main = (parts.groupBy("node").agg(F.max(F.struct("m", (-F.col("comp")).alias("c"))).alias("x"), F.sum("m").alias("n"))
+                    .select("node", (-F.col("x.c")).alias("main"), (F.col("n") - F.col("x.m")).alias("others")).where("others > 0"))
+            judged = self.store(rows.join(main, "node").select("node", "n", "rep", "comp", "main", "others"), f"level-{level}")
+            branches = (F.col("n") > self.limit) & (F.col("others") > self.limit)
+            if level == self.depth or judged.where(branches).isEmpty():
+                out.append(judged)
                 break
-            stars.append(large.where("rep != leader").select("leader", "rep"))
-            if not last:
-                pick = [F.pmod(F.xxhash64("node", F.lit(k)), F.lit(TOKENS)).cast("int") for k in (1, 2)]
-                child = F.explode(F.array(*(F.xxhash64("node", p, F.element_at("tokens", p + 1)) for p in pick)))
-                members = large.select("node", "rep").join(classes, "rep").select(child.alias("node"), "rep")
-        none = small[0].select(F.col("leader"), "rep").where("false")
-        return reduce(DataFrame.union, small).select("node", "n", "rep"), reduce(DataFrame.union, stars, none).distinct()
+            out.append(judged.where(~branches))
+            pick = [F.pmod(F.xxhash64("node", F.lit(k)), F.lit(TOKENS)).cast("int") for k in (1, 2)]
+            child = F.explode(F.array(*(F.xxhash64("node", p, F.element_at("tokens", p + 1)) for p in pick)))
+            members = self.store(judged.where(branches).select("node", "rep").join(classes, "rep")
+                                 .select(child.alias("node"), "rep").distinct(), f"branched-{level}")
+            sizes = members.groupBy("node").agg(F.count("*").alias("n")).where("n > 1")
+            nodes = members.join(sizes, "node").select("node", "n", "rep")
+        return reduce(DataFrame.union, out)
 
     # -- 3. and 4. candidates
 
     def likely(self, pairs: DataFrame, classes: DataFrame) -> DataFrame:
-        """The pairs (a, b) whose signatures agree enough."""
-        agree = self.agree
+        """The pairs (a, b) whose signatures agree enough and whose sizes allow a link."""
+        agree, percent = self.agree, self.percent
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 s, t = (np.asarray(batch.column(i).flatten()).reshape(-1, TOKENS) for i in (2, 3))
                 yield batch.select(["a", "b"]).filter(pa.array((s == t).sum(1) >= agree))
 
-        a = classes.select(F.col("rep").alias("a"), F.col("tokens").alias("s"))
-        b = classes.select(F.col("rep").alias("b"), F.col("tokens").alias("t"))
-        return pairs.join(a, "a").join(b, "b").select("a", "b", "s", "t").mapInArrow(run, "a long, b long")
-
-    def compare(self, nodes: DataFrame, classes: DataFrame, component: DataFrame | None) -> DataFrame:
-        """Candidate pairs (a, b) of different components in all nodes."""
-        rows = nodes if component is None else nodes.join(component, "rep", "left")
-        rows = rows.withColumn("comp", F.col("rep") if component is None else F.coalesce("comp", "rep"))
-        rows = self.store(rows, "nodes")
-        # of a node: its largest component (by a hash-free tie: the smallest id), and members outside it
-        parts = rows.groupBy("node", "comp").agg(F.count("*").alias("m"), F.first("n").alias("n"))
-        main = (parts.groupBy("node").agg(F.max(F.struct("m", (-F.col("comp")).alias("c"))).alias("x"), F.first("n").alias("size"))
-                .select("node", (-F.col("x.c")).alias("main"), (F.col("size") - F.col("x.m")).alias("others")).where("others > 0"))
-        rows = rows.join(main, "node").withColumn("minor", (F.col("n") <= self.limit) | (F.col("comp") != F.col("main")))
+        a = classes.select(F.col("rep").alias("a"), F.col("tokens").alias("s"), F.col("size").alias("k"))
+        b = classes.select(F.col("rep").alias("b"), F.col("tokens").alias("t"), F.col("size").alias("l"))
+        return (pairs.join(a, "a").join(b, "b").where(100 * F.least("k", "l") >= percent * F.greatest("k", "l"))
+                .select("a", "b", "s", "t").mapInArrow(run, "a long, b long"))
+
+    def compare(self, rows: DataFrame, classes: DataFrame) -> DataFrame:
+        """Candidate pairs (a, b) of different components in all nodes of ``grow``."""
+        rows = rows.withColumn("minor", (F.col("n") <= self.limit) | (F.col("comp") != F.col("main")))
         limit = F.lit(self.limit)
         blocks_all = F.ceil(F.col("n") / limit).cast("int")
         blocks_minor = F.ceil(F.col("others") / limit).cast("int")
         own = lambda n: F.pmod(F.xxhash64("rep", "node"), n).cast("int")
         small = F.col("n") <= limit
         # small node: one group.  Large: every block of minor members meets every block of all members.
-        as_any = rows.select("node", "rep", "comp", F.col("minor").alias("minor"), F.explode(
+        as_any = rows.select("node", "rep", "comp", F.explode(
             F.when(small, F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), blocks_minor - 1))).alias("i"),
-            F.when(small, 0).otherwise(own(blocks_all)).alias("j"), F.when(small, F.lit(True)).otherwise(F.lit(False)).alias("query"))
-        as_query = rows.where(~small & F.col("minor")).select("node", "rep", "comp", "minor", own(blocks_minor).alias("i"), F.explode(
+            F.when(small, 0).otherwise(own(blocks_all)).alias("j"), small.alias("query"))
+        as_query = rows.where(~small & F.col("minor")).select("node", "rep", "comp", own(blocks_minor).alias("i"), F.explode(
             F.sequence(F.lit(0), blocks_all - 1)).alias("j"), F.lit(True).alias("query"))
-        groups = as_any.union(as_query).join(classes.select("rep", "tokens"), "rep")
-        agree = self.agree
+        groups = as_any.union(as_query).join(classes.select("rep", "tokens", "size"), "rep")
+        agree, percent = self.agree, self.percent
 
         def run(rows: pa.Table) -> pa.Table:
-            rep, comp = (np.asarray(rows[c].combine_chunks()) for c in ("rep", "comp"))
+            rep, comp, size = (np.asarray(rows[c].combine_chunks()) for c in ("rep", "comp", "size"))
             query = np.asarray(rows["query"].combine_chunks())
             tokens = np.asarray(rows["tokens"].combine_chunks().flatten()).reshape(-1, TOKENS)
             left, right = [], []
             for i in np.flatnonzero(query):
-                found = np.flatnonzero(((tokens == tokens[i]).sum(1) >= agree) & (comp != comp[i]))
+                near = 100 * np.minimum(size, size[i]) >= percent * np.maximum(size, size[i])
+                found = np.flatnonzero(((tokens == tokens[i]).sum(1) >= agree) & (comp != comp[i]) & near)
                 found = found[~query[found] | (found > i)]
                 left.append(np.minimum(rep[found], rep[i]))
                 right.append(np.maximum(rep[found], rep[i]))
@@ -265,18 +287,16 @@ class NearDuplicates:
         """doc_id, n_shingles, component_id and kept of every document."""
         sketches = self.store(self.sketches(), "sketches")
         full = sketches.where("n_shingles > 0 and doc_id is not null")
-        classes = self.store(full.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("tokens").alias("tokens"))
+        classes = self.store(full.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("tokens").alias("tokens"),
+                                                              F.first("n_shingles").alias("size"))
                              .dropDuplicates(["rep"]), "classes")
-        signed = classes.select("rep", "tokens")
-        nodes, stars = self.grow(signed)
-        component = None
-        if not stars.isEmpty():
-            likely = self.likely(stars.select(F.col("leader").alias("a"), F.col("rep").alias("b")), signed)
-            star_links = self.confirm(likely, "star")
-            component = self.components(star_links, "star")
-        links = self.confirm(self.compare(nodes, signed, component), "leaf")
-        if component is not None:
-            links = links.union(star_links)
+        signed = classes.select("rep", "tokens", "size")
+        nodes, component, links = self.roots(signed), None, None
+        for turn in range(self.turns):
+            found = self.confirm(self.likely(self.stars(nodes, component, turn), signed), f"star-{turn}")
+            links = found if links is None else links.union(found)
+            component = self.components(links, f"star-{turn}")
+        links = links.union(self.confirm(self.compare(self.grow(nodes, signed, component), signed), "leaf"))
         final = self.components(links, "all")
         members = (full.select("doc_id", "n_shingles", "digest").join(classes.select("digest", "rep"), "digest", "left")
                    .withColumn("rep", F.coalesce("rep", "doc_id")))
