@@ -57,10 +57,11 @@ def repair(ids: np.ndarray, sizes: np.ndarray, min_count: int = 6, max_symbols:
     final = np.zeros(len(seq), bool)  # symbols that end a document
     final[np.cumsum(sizes) - 1] = True
     symbols, firsts, left, right = len(alphabet), [], [], []
+    max_symbols = min(max_symbols, 65_535)
     lengths = [np.ones(symbols, np.uint32)]
     while len(seq) > 1 and symbols < max_symbols:
         at = np.flatnonzero(~final[:-1])
-        key = seq[at].astype(np.uint64) << np.uint64(32) | seq[at + 1]
+        key = seq[at] << np.uint32(16) | seq[at + 1]  # symbols fit 16 bits; so a pair sorts as 32
         order = np.argsort(key)
         ranked = key[order]
         edges = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]])) if len(ranked) else np.zeros(0, np.int64)
@@ -85,8 +86,8 @@ def repair(ids: np.ndarray, sizes: np.ndarray, min_count: int = 6, max_symbols:
         number = np.cumsum(good) - 1
         pair = ranked[edges[kept]]
         firsts.append(symbols)
-        left.append((pair >> np.uint64(32)).astype(np.uint32))
-        right.append((pair & np.uint64(0xFFFFFFFF)).astype(np.uint32))
+        left.append(pair >> np.uint32(16))
+        right.append(pair & np.uint32(0xFFFF))
         known = np.concatenate(lengths)
         lengths.append(known[left[-1]] + known[right[-1]])
         seq[take] = symbols + number[len(often) - now[take]]
