@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from farebox.schemas import MAX_ZONE_ID, MIN_ZONE_ID
+from farebox.schemas import DAY_PERIODS, MAX_ZONE_ID, MIN_ZONE_ID
 
 ColumnOrName = Column | str
 
@@ -79,6 +79,20 @@ def date_key(ts: ColumnOrName) -> Column:
     return (F.year(t) * 10000 + F.month(t) * 100 + F.dayofmonth(t)).cast("int")
 
 
+def date_of_key(key: ColumnOrName) -> Column:
+    """The date of a yyyymmdd key."""
+    k = _c(key)
+    return F.make_date(F.floor(k / 10000).cast("int"), (F.floor(k / 100) % 100).cast("int"), (k % 100).cast("int"))
+
+
+def day_period(hour: ColumnOrName) -> Column:
+    """Operating period of an hour of the day."""
+    h, out = _c(hour), None
+    for name, first, last in DAY_PERIODS:
+        out = F.when(h.between(first, last), name) if out is None else out.when(h.between(first, last), name)
+    return out
+
+
 def hour_key(ts: ColumnOrName) -> Column:
     return F.hour(_c(ts)).cast("short")
 

@@ -14,10 +14,8 @@ import math
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from farebox.functions.columns import safe_div
-from farebox.operators.joins import broadcast_dim, broadcast_if_small
+from farebox.functions.columns import date_of_key, safe_div
 from farebox.schemas import FORECAST_HORIZONS, SERVICES
 
 SERIES = ("service_type", "taxi_zone_key")
@@ -65,9 +63,11 @@ def synthetic_hourly_demand(spark: SparkSession, days: int = 120, seed: int = 42
     u = (F.abs(F.xxhash64(F.lit(seed), "service_type", "taxi_zone_key", "hour_index")) % F.lit(1 << 52)
          ).cast("double") / F.lit(float(1 << 52))
     g = g.withColumn("lam", intensity).withColumn("u", u)
-    # Poisson inverse CDF: walk the pmf p_k = p_{k-1}·lam/k until the cdf passes u
-    # (lam stays below ~30, so 200 terms are exhaustive).
+    # Poisson inverse CDF: walk the pmf p_k = p_{k-1}·lam/k until the cdf passes u.  The walk
+    # ends 12 standard deviations above the mean, where less than 1e-15 of the mass is left
+    # (a uniform of 52 bits can't reach it), so no intensity is cut off.
     lam = F.col("lam")
+    last = F.ceil(lam + 12 * F.sqrt(lam) + 40).cast("int")
     init = F.struct(F.lit(0.0).alias("cdf"), F.exp(-lam).alias("p"), F.lit(-1).alias("res"))
 
     def step(acc, k):
@@ -76,22 +76,20 @@ def synthetic_hourly_demand(spark: SparkSession, days: int = 120, seed: int = 42
             cdf.alias("cdf"), (acc["p"] * lam / (k + 1).cast("double")).alias("p"),
             F.when(cdf > F.col("u"), k).otherwise(F.lit(-1)).alias("res")))
 
-    draw = F.aggregate(F.sequence(F.lit(0), F.lit(199)), init, step)["res"]
+    draw = F.aggregate(F.sequence(F.lit(0), last), init, step)["res"]
     return g.select("timestamp", "service_type", "taxi_zone_key",
-                    F.when(draw < 0, F.lit(200)).otherwise(draw).cast("double").alias("demand"))
+                    F.when(draw < 0, last).otherwise(draw).cast("double").alias("demand"))
 
 
 # --- J2: panel from the gold star --------------------------------------------------------
-def hourly_panel(hourly: DataFrame, date_dim: DataFrame, time_dim: DataFrame) -> DataFrame:
+def hourly_panel(hourly: DataFrame) -> DataFrame:
     """(target_timestamp, service_type, taxi_zone_key, demand) from the hourly fact.
 
-    Star join with the date and hour dimensions (both size-bounded broadcasts).
+    The keys of the date and hour dimensions hold the timestamp, so the fact is
+    read alone: joining the dimensions would only spell the keys out again.
     """
-    d = broadcast_if_small(date_dim.select("date_key", "full_date"))
-    t = broadcast_dim(time_dim, ["hour_key"])
-    j = hourly.join(d, "date_key").join(t, "hour_key")
-    return j.select(
-        F.timestamp_add("HOUR", F.col("hour_key"), F.col("full_date").cast("timestamp_ntz"))
+    return hourly.select(
+        F.timestamp_add("HOUR", F.col("hour_key"), date_of_key("date_key").cast("timestamp_ntz"))
         .alias("target_timestamp"),
         F.col("service_type_key").alias("service_type"),
         "taxi_zone_key",
@@ -154,7 +152,20 @@ def forecast_features(dense: DataFrame, horizon_hours: int, ts_col: str = "targe
 
 
 # --- J5: temporal split ---------------------------------------------------------------------
-def temporal_cutoff(features: DataFrame, test_fraction: float = 0.2, min_hours: int = 720,
+def target_hours(panel: DataFrame, ts_col: str = "target_timestamp") -> DataFrame:
+    """Distinct target hours of the features of a (dense or sparse) panel.
+
+    A series is dense from its first to its last hour and its targets start at
+    index 48, so the hours follow from the bounds of each series: one partial
+    aggregation, no windows.
+    """
+    bounds = panel.groupBy(*SERIES).agg(F.min(ts_col).alias("a"), F.max(ts_col).alias("b"))
+    first = F.timestamp_add("HOUR", F.lit(48), F.col("a"))
+    return (bounds.select(first.alias("a"), "b").filter(F.col("a") <= F.col("b"))
+            .select(F.explode(F.sequence("a", "b", F.expr("INTERVAL 1 HOUR"))).alias("ts")).distinct())
+
+
+def temporal_cutoff(panel: DataFrame, test_fraction: float = 0.2, min_hours: int = 720,
                     ts_col: str = "target_timestamp"):
     """Global cutoff = sorted distinct target hours[int(n · (1 − test_fraction))].
 
@@ -163,7 +174,7 @@ def temporal_cutoff(features: DataFrame, test_fraction: float = 0.2, min_hours:
     position follow from a running total, and only that day's ≤ 24 hours are
     read back.  Raises when fewer than ``min_hours`` hours exist.
     """
-    hours = features.select(F.col(ts_col).alias("ts")).distinct()
+    hours = target_hours(panel, ts_col)
     per_day = sorted((r["d"], r["c"]) for r in
                      hours.groupBy(F.to_date("ts").alias("d")).agg(F.count(F.lit(1)).alias("c")).collect())
     n = sum(c for _, c in per_day)
@@ -180,15 +191,12 @@ def temporal_cutoff(features: DataFrame, test_fraction: float = 0.2, min_hours:
     return day_hours[k - before]
 
 
-def temporal_split(features: DataFrame, test_fraction: float = 0.2, min_hours: int = 720,
-                   ts_col: str = "target_timestamp", cutoff=None) -> DataFrame:
+def temporal_split(features: DataFrame, cutoff, ts_col: str = "target_timestamp") -> DataFrame:
     """Adds ``split`` ('train' before the cutoff, 'test' from it) and ``cutoff``.
 
     Both horizons share their target hours (in-series index ≥ 48), so a cutoff
     computed for one can be passed in for the other.
     """
-    if cutoff is None:
-        cutoff = temporal_cutoff(features, test_fraction, min_hours, ts_col)
     c = F.lit(cutoff.isoformat(sep=" ")).cast("timestamp_ntz")   # string → NTZ: no time-zone shift
     return features.withColumn("split", F.when(F.col(ts_col) < c, "train").otherwise("test")) \
         .withColumn("cutoff", c)
@@ -213,7 +221,7 @@ def _prediction_rows(df: DataFrame, model: str, pred) -> DataFrame:
 
 
 def train_candidates(split_features: DataFrame, num_trees: int = 120, max_iter: int = 120,
-                     seed: int = 42, extra: tuple[str, ...] = ()) -> tuple[DataFrame, dict]:
+                     seed: int = 42, extra: tuple[str, ...] = (), max_depth: int = 8) -> tuple[DataFrame, dict]:
     """Fit MLlib random forest and gradient-boosted trees on the train rows.
 
     ``extra=("poisson",)`` adds a Poisson GLM with log link (the structured
@@ -231,7 +239,7 @@ def train_candidates(split_features: DataFrame, num_trees: int = 120, max_iter:
     estimators = {
         "random_forest": RandomForestRegressor(labelCol="target", featuresCol="features",
                                                numTrees=num_trees, minInstancesPerNode=2, seed=seed,
-                                               maxDepth=8, subsamplingRate=1.0),
+                                               maxDepth=max_depth, subsamplingRate=1.0),
         "gradient_boosting": GBTRegressor(labelCol="target", featuresCol="features", maxIter=max_iter,
                                           stepSize=0.08, maxDepth=5, seed=seed),
     }
@@ -257,23 +265,20 @@ def train_candidates(split_features: DataFrame, num_trees: int = 120, max_iter:
 def forecast_metrics(predictions: DataFrame) -> DataFrame:
     """MAE, RMSE, WAPE, R² and sample_count per (model_name, horizon_hours).
 
-    R² uses a two-pass SST (mean first, joined back — one row per group, a
-    size-bounded broadcast); a constant target gives 1.0 when SSE = 0 else 0.0;
-    n ≤ 1 gives NULL.  WAPE is NULL when Σ|actual| = 0.
+    One pass: the total sum of squares is n times the population variance, which
+    Spark merges without cancellation.  A constant target gives R² 1.0 when SSE = 0
+    else 0.0; n ≤ 1 gives NULL.  WAPE is NULL when Σ|actual| = 0.
     """
     keys = ["model_name", "horizon_hours"]
-    means = predictions.groupBy(*keys).agg(F.avg("actual_demand").alias("mean_actual"))
     err = F.col("actual_demand") - F.col("predicted_demand")
-    dev = F.col("actual_demand") - F.col("mean_actual")
-    j = predictions.join(broadcast_if_small(means, 10_000), keys)
-    agg = j.groupBy(*keys).agg(
+    agg = predictions.groupBy(*keys).agg(
         F.count(F.lit(1)).cast("int").alias("sample_count"),
         F.avg(F.abs(err)).alias("mae"),
         F.sqrt(F.avg(err * err)).alias("rmse"),
         F.sum(F.abs(err)).alias("sum_abs_err"),
         F.sum(F.abs("actual_demand")).alias("sum_abs_actual"),
         F.sum(err * err).alias("sse"),
-        F.sum(dev * dev).alias("sst"),
+        (F.var_pop("actual_demand") * F.count(F.lit(1))).alias("sst"),
     )
     r2 = (F.when(F.col("sample_count") <= 1, F.lit(None).cast("double"))
           .when(F.col("sst") == 0, F.when(F.col("sse") == 0, F.lit(1.0)).otherwise(F.lit(0.0)))
@@ -304,15 +309,3 @@ def error_breakdown(predictions: DataFrame, by: str) -> DataFrame:
         safe_div(F.sum(err), F.sum(F.abs("actual_demand"))).alias("wape"),
         F.avg(F.when(F.col("actual_demand") != 0, err / F.abs("actual_demand"))).alias("mape"),
     )
-
-
-PREDICTION_SCHEMA = T.StructType([
-    T.StructField("model_name", T.StringType()),
-    T.StructField("horizon_hours", T.ShortType()),
-    T.StructField("target_timestamp", T.TimestampNTZType()),
-    T.StructField("service_type", T.StringType()),
-    T.StructField("taxi_zone_key", T.IntegerType()),
-    T.StructField("actual_demand", T.DoubleType()),
-    T.StructField("predicted_demand", T.DoubleType()),
-    T.StructField("split", T.StringType()),
-])

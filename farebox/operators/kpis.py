@@ -12,10 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from farebox.functions.columns import safe_div
-from farebox.operators.joins import broadcast_dim, broadcast_if_small
+from farebox.functions.columns import date_of_key, day_period, safe_div
 
-ZONE_ROWS = 100_000
 
 
 def kpi_unit_economics(trips: DataFrame, by: tuple[str, ...] = ("service_type",)) -> DataFrame:
@@ -41,7 +39,7 @@ def _zone_pairs(fact_trip: DataFrame) -> DataFrame:
 
 def borough_flows(fact_trip: DataFrame, zone_dim: DataFrame) -> DataFrame:
     """Trips between pickup and dropoff boroughs (pairs aggregated first: ≤ zones² rows)."""
-    z = broadcast_if_small(zone_dim.select("taxi_zone_key", "borough"), ZONE_ROWS)
+    z = zone_dim.select("taxi_zone_key", "borough")
     pairs = _zone_pairs(fact_trip)
     j = (pairs.join(z.withColumnRenamed("taxi_zone_key", "pickup_taxi_zone_key")
                     .withColumnRenamed("borough", "pickup_borough"), "pickup_taxi_zone_key")
@@ -54,7 +52,7 @@ def borough_flows(fact_trip: DataFrame, zone_dim: DataFrame) -> DataFrame:
 
 def od_pairs_top(fact_trip: DataFrame, zone_dim: DataFrame, k: int = 20) -> DataFrame:
     """The k busiest (pickup zone, dropoff zone) pairs; ties by zone keys."""
-    z = broadcast_if_small(zone_dim.select("taxi_zone_key", "zone_name"), ZONE_ROWS)
+    z = zone_dim.select("taxi_zone_key", "zone_name")
     top = _zone_pairs(fact_trip).orderBy(F.desc("trip_count"), "pickup_taxi_zone_key",
                                          "dropoff_taxi_zone_key").limit(k)
     return (top.join(z.withColumnRenamed("taxi_zone_key", "pickup_taxi_zone_key")
@@ -76,18 +74,16 @@ def zone_ranking(fact_trip: DataFrame, side: str = "pickup", k: int | None = Non
     return ranked.filter(F.col("zone_rank") <= k) if k else ranked
 
 
-def demand_profile(hourly: DataFrame, date_dim: DataFrame, time_dim: DataFrame, by: str) -> DataFrame:
+def demand_profile(hourly: DataFrame, by: str) -> DataFrame:
     """Trips per (service, group) and an index = group mean per cell ÷ service mean per cell.
 
-    ``by``: 'day_period' | 'hour_key' | 'weekend' | 'month'.
+    ``by``: 'day_period' | 'hour_key' | 'weekend' | 'month'.  Date and hour
+    attributes follow from the keys, so the fact is read alone, once.
     """
-    d = broadcast_if_small(date_dim.select("date_key", "is_weekend", "month"))
-    t = broadcast_dim(time_dim, ["hour_key", "day_period"])
-    j = hourly.select("date_key", "hour_key", "service_type_key", "trip_count").join(d, "date_key").join(t, "hour_key")
-    group = {"day_period": F.col("day_period"), "hour_key": F.col("hour_key"),
-             "weekend": F.when(F.col("is_weekend"), "weekend").otherwise("weekday"),
-             "month": F.col("month")}[by]
-    g = j.groupBy("service_type_key", group.alias(by)).agg(
+    group = {"day_period": day_period("hour_key"), "hour_key": F.col("hour_key"),
+             "weekend": F.when(F.weekday(date_of_key("date_key")) >= 5, "weekend").otherwise("weekday"),
+             "month": F.month(date_of_key("date_key")).cast("short")}[by]
+    g = hourly.groupBy("service_type_key", group.alias(by)).agg(
         F.sum("trip_count").cast("long").alias("trip_count"),
         F.count(F.lit(1)).alias("observed_cells"))
     w = Window.partitionBy("service_type_key")
@@ -143,13 +139,34 @@ def quality_profile(stg: DataFrame, columns: list[str] | None = None) -> DataFra
 
 def quality_percentiles(stg: DataFrame, columns: tuple[str, ...] = ("trip_distance", "total_amount",
                                                                       "duration_minutes"),
-                        probs: tuple[float, ...] = (0.01, 0.5, 0.99), accuracy: int = 10_000) -> DataFrame:
-    """Approximate percentiles per numeric column (bounded-memory sketch per task)."""
-    aggs = [F.percentile_approx(c, list(probs), accuracy).alias(c) for c in columns]
-    row = stg.agg(*aggs)
-    return row.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column_name"), F.col(c).alias("percentiles")) for c in columns])).alias("s")
-    ).select("s.*")
+                        probs: tuple[float, ...] = (0.01, 0.5, 0.99)) -> DataFrame:
+    """Exact percentiles per numeric column: the smallest value with at least the
+    share ``p`` of the non-NULL values at or below it (discrete percentile).
+
+    Values are counted first (map-side combine), so a value that a third of all
+    rows share is one row.  Counts are dealt to ranges of values; one row per
+    range, whose running sum is over a few thousand rows, tells which range
+    holds each percentile, and ranks are computed inside ranges only.
+    """
+    stacked = F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("v"))
+                                  for c in columns])).alias("s")
+    counts = (stg.select(stacked).select("s.*").filter(F.col("v").isNotNull())
+              .groupBy("column_name", "v").agg(F.count(F.lit(1)).alias("n")))
+    bounds = counts.groupBy("column_name").agg(F.min("v").alias("lo"), F.max("v").alias("hi"), F.sum("n").alias("total"))
+    width = F.when(F.col("hi") > F.col("lo"), (F.col("hi") - F.col("lo")) / F.lit(4096.0)).otherwise(F.lit(1.0))
+    dealt = counts.join(bounds, "column_name").withColumn(
+        "bucket", F.least(F.floor((F.col("v") - F.col("lo")) / width), F.lit(4095)))
+    per_bucket = dealt.groupBy("column_name", "bucket").agg(F.sum("n").alias("m"))
+    before = per_bucket.withColumn("before", F.sum("m").over(
+        Window.partitionBy("column_name").orderBy("bucket")) - F.col("m")).drop("m")
+    inside = Window.partitionBy("column_name", "bucket").orderBy("v")
+    ranked = dealt.join(before, ["column_name", "bucket"]).withColumn(
+        "upto", F.col("before") + F.sum("n").over(inside))
+    picks = [F.min(F.when(F.col("upto") >= F.ceil(F.lit(p) * F.col("total")), F.col("v"))).alias(f"p{i}")
+             for i, p in enumerate(probs)]
+    return ranked.groupBy("column_name").agg(*picks).select(
+        "column_name", *[F.explode(F.array(*[F.struct(F.lit(p).alias("probability"), F.col(f"p{i}").alias("percentile"))
+                                             for i, p in enumerate(probs)])).alias("x")]).select("column_name", "x.*")
 
 
 def valid_share(stg: DataFrame, by: tuple[str, ...] = ("service_type",)) -> DataFrame:
@@ -221,21 +238,20 @@ def enrich_calendar(hourly: DataFrame, date_dim: DataFrame, holidays: DataFrame
     if holidays is not None:
         h = holidays.select(F.col("holiday_date").alias("full_date"), "holiday_name")
         eve = holidays.select(F.date_sub("holiday_date", 1).alias("full_date"), F.lit(True).alias("is_holiday_eve"))
-        d = d.join(broadcast_if_small(h), "full_date", "left").join(broadcast_if_small(eve.distinct()), "full_date", "left")
+        d = d.join(h, "full_date", "left").join(eve.distinct(), "full_date", "left")
     else:
         d = d.withColumn("holiday_name", F.lit(None).cast("string")).withColumn("is_holiday_eve", F.lit(None).cast("boolean"))
     d = d.select("date_key", "season", F.col("holiday_name").isNotNull().alias("is_holiday"),
                  F.coalesce("is_holiday_eve", F.lit(False)).alias("is_holiday_eve"))
-    return hourly.join(broadcast_if_small(d), "date_key", "left")
+    return hourly.join(d, "date_key", "left")
 
 
 def enrich_weather(hourly: DataFrame, weather: DataFrame) -> DataFrame:
     """Left equi-join of hourly weather (date_key, hour_key, …) onto the hourly fact.
 
-    Weather is one row per hour of the span — bounded by the calendar — but it
-    is still size-checked before broadcasting.
+    Weather is one row per hour of the span; Spark broadcasts it if it is small.
     """
-    return hourly.join(broadcast_if_small(weather), ["date_key", "hour_key"], "left")
+    return hourly.join(weather, ["date_key", "hour_key"], "left")
 
 
 def duplicate_profile(df: DataFrame, key: tuple[str, ...] = ("source_kind", "source_file_id", "source_row_number"),

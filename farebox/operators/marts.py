@@ -6,14 +6,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from farebox.functions.columns import safe_div
-from farebox.operators.joins import broadcast_dim
 from farebox.schemas import DEFAULT_SCENARIO
 
-ZONE_BROADCAST_ROWS = 100_000
-
-
 def _zones(zone_dim: DataFrame) -> DataFrame:
-    return broadcast_dim(zone_dim, ["taxi_zone_key", "borough", "zone_name"], ZONE_BROADCAST_ROWS)
+    """Spark broadcasts the dimension when its statistics, or adaptive execution, prove it small."""
+    return zone_dim.select("taxi_zone_key", "borough", "zone_name")
 
 
 def mart_driver_opportunity(hourly: DataFrame, zone_dim: DataFrame) -> DataFrame:
@@ -75,7 +72,7 @@ def mart_mobility_overview(daily: DataFrame, service_dim: DataFrame) -> DataFram
     ``count(DISTINCT zone)`` without the extra Expand/shuffle a distinct needs.
     """
     n = F.col("trip_count")
-    d = daily.join(broadcast_dim(service_dim, ["service_type_key", "service_type_name"]), "service_type_key")
+    d = daily.join(service_dim.select("service_type_key", "service_type_name"), "service_type_key")
     return d.groupBy("date_key", "service_type_key", "service_type_name").agg(
         F.sum(n).cast("long").alias("trip_count"),
         F.count("taxi_zone_key").cast("int").alias("active_pickup_zones"),

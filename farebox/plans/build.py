@@ -11,6 +11,8 @@ both aggregate facts and the date dimension.
 
 from __future__ import annotations
 
+import datetime as dt
+import json
 import time
 from concurrent.futures import ThreadPoolExecutor
 from collections.abc import Callable
@@ -22,6 +24,7 @@ from pyspark.sql import functions as F
 from farebox.operators import checks as chk
 from farebox.operators import dimensions as dims
 from farebox.operators import facts, marts, silver
+from farebox.schemas import DEFAULT_SCENARIO
 from farebox.session import checkpoint_dir
 
 
@@ -109,18 +112,22 @@ class BuildResult:
 
 
 def _record_run(spark: SparkSession, control_dir: str, run_id: str, mode: str, status: str,
-                error: str | None = None, counters: tuple | None = None) -> None:
+                error: str | None = None, counters: tuple | None = None, dates: tuple = (None, None),
+                started: dt.datetime | None = None, parameters: dict | None = None) -> None:
     """Append one pipeline_runs row (append-only: the latest row per run wins).
 
-    ``counters`` = (rows_read, rows_valid, rows_rejected) on the final row.
+    ``counters`` = (rows_read, rows_valid, rows_rejected) and ``dates`` = first
+    and last pickup date of the landed rows, both on the final row.
     """
     from farebox import __version__
     from farebox.sources.landing import write_table
     read, valid, rejected = counters or (None, None, None)
     row = spark.createDataFrame(
-        [(run_id, "spark", mode, status, __version__, error, read, valid, rejected)],
+        [(run_id, "python", mode, status, __version__, error, read, valid, rejected, *dates, started,
+          json.dumps(parameters or {}, sort_keys=True))],
         "run_id string, orchestrator string, mode string, status string, code_version string, "
-        "error_message string, rows_read long, rows_valid long, rows_rejected long",
+        "error_message string, rows_read long, rows_valid long, rows_rejected long, start_date date, "
+        "end_date date, started_at timestamp, parameters string",
     ).withColumn("recorded_at", F.current_timestamp())
     write_table(row, f"{control_dir.rstrip('/')}/pipeline_runs")
 
@@ -142,13 +149,16 @@ def build(spark: SparkSession, landing: DataFrame, zone_lookup: DataFrame,
     import uuid
     from farebox.sources.landing import write_table
     run_id = str(uuid.uuid4())
-    _record_run(spark, control_dir, run_id, mode, "RUNNING")
+    known = {"started": dt.datetime.now(dt.timezone.utc),
+             "parameters": {"select": select or "all", "run_tests": run_tests, "scenario": scenario or DEFAULT_SCENARIO}}
+    _record_run(spark, control_dir, run_id, mode, "RUNNING", **known)
     try:
         res = _build(spark, landing, zone_lookup, target_dir, select, run_tests, scenario, max_parallel)
     except Exception as exc:
-        _record_run(spark, control_dir, run_id, mode, "FAILED", str(exc))
+        _record_run(spark, control_dir, run_id, mode, "FAILED", str(exc), **known)
         raise
-    tasks = [(run_id, name, status, float(res.seconds.get(name, 0.0))) for name, status in res.status.items()]
+    # a model that was built but failed its tests is a failed task
+    tasks = [(run_id, name, "FAILED" if status == "TESTS_FAILED" else status, float(res.seconds.get(name, 0.0))) for name, status in res.status.items()]
     write_table(spark.createDataFrame(tasks, "run_id string, task_name string, status string, seconds double"),
                 f"{control_dir.rstrip('/')}/pipeline_tasks")
     if res.tests:
@@ -158,15 +168,16 @@ def build(spark: SparkSession, landing: DataFrame, zone_lookup: DataFrame,
                     .withColumn("checked_at", F.current_timestamp()),
                     f"{control_dir.rstrip('/')}/data_quality_results")
     failed = any(t["status"] == "FAIL" for t in res.tests)
-    counters = None
+    counters, dates = None, (None, None)
     stg = res.models.get("stg_trip_records")
     if stg is not None and QUARANTINE_FLAG in stg.columns:
         # one aggregation on the partition flag of the stored staging table
         c = stg.agg(F.count(F.lit(1)).alias("n"),
-                    F.count(F.when(~F.col(QUARANTINE_FLAG), 1)).alias("v")).first()
-        counters = (c["n"], c["v"], c["n"] - c["v"])
+                    F.count(F.when(~F.col(QUARANTINE_FLAG), 1)).alias("v"),
+                    F.to_date(F.min("pickup_datetime")).alias("a"), F.to_date(F.max("pickup_datetime")).alias("b")).first()
+        counters, dates = (c["n"], c["v"], c["n"] - c["v"]), (c["a"], c["b"])
     _record_run(spark, control_dir, run_id, mode, "FAILED" if failed else "SUCCEEDED",
-                "data-quality checks failed" if failed else None, counters)
+                "data-quality checks failed" if failed else None, counters, dates, **known)
     res.run_id = run_id
     return res
 

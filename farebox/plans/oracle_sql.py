@@ -75,30 +75,30 @@ JOIN nation AS n ON n.n_nationkey = i.range % 25
 JOIN region AS r ON r.r_regionkey = n.n_regionkey""")
 
 # --- staging / silver ----------------------------------------------------------
-cte("stg", ("landing",), """
-SELECT md5(concat_ws('|', source_kind, CAST(source_file_id AS VARCHAR), CAST(source_row_number AS VARCHAR))) AS trip_id,
-       source_kind, source_file_id, source_filename, source_row_number, service_type,
-       pickup_datetime, dropoff_datetime, pickup_location_id, dropoff_location_id,
-       trip_distance, total_amount, dispatching_base_num, hvfhs_license_num,
+# validity rules in order; a row's reason is the first rule that it breaks
+RULES = [
+    ("missing_pickup_datetime", "pickup_datetime IS NULL"),
+    ("missing_dropoff_datetime", "dropoff_datetime IS NULL"),
+    ("dropoff_before_pickup", "epoch_us(dropoff_datetime) - epoch_us(pickup_datetime) < 0"),
+    ("missing_pickup_location", "pickup_location_id IS NULL"),
+    ("missing_dropoff_location", "dropoff_location_id IS NULL"),
+    ("invalid_pickup_location", "pickup_location_id < 1 OR pickup_location_id > 265"),
+    ("invalid_dropoff_location", "dropoff_location_id < 1 OR dropoff_location_id > 265"),
+    ("negative_trip_distance", "trip_distance < 0"),
+    ("negative_total_amount", "total_amount < 0"),
+]
+_BROKEN = ", ".join(f"if({broken}, {i}, NULL)" for i, (_, broken) in enumerate(RULES, 1))
+_NAMES = ", ".join(f"'{name}'" for name, _ in RULES)
+
+cte("stg", ("landing",), f"""
+SELECT md5(source_kind || '|' || source_file_id || '|' || source_row_number) AS trip_id,
+       *,
        (epoch_us(dropoff_datetime) - epoch_us(pickup_datetime)) / 60000000.0::DOUBLE AS duration_minutes,
-       CASE
-         WHEN pickup_datetime IS NULL THEN 'missing_pickup_datetime'
-         WHEN dropoff_datetime IS NULL THEN 'missing_dropoff_datetime'
-         WHEN dropoff_datetime < pickup_datetime THEN 'dropoff_before_pickup'
-         WHEN pickup_location_id IS NULL THEN 'missing_pickup_location'
-         WHEN dropoff_location_id IS NULL THEN 'missing_dropoff_location'
-         WHEN pickup_location_id NOT BETWEEN 1 AND 265 THEN 'invalid_pickup_location'
-         WHEN dropoff_location_id NOT BETWEEN 1 AND 265 THEN 'invalid_dropoff_location'
-         WHEN trip_distance < 0 THEN 'negative_trip_distance'
-         WHEN total_amount < 0 THEN 'negative_total_amount'
-       END AS invalid_reason
+       ([{_NAMES}])[list_min([{_BROKEN}])] AS invalid_reason
 FROM landing""")
 
 cte("silver", ("stg",), """
-SELECT trip_id, source_kind, source_file_id, source_filename, source_row_number, service_type,
-       pickup_datetime, dropoff_datetime, pickup_location_id, dropoff_location_id,
-       trip_distance, total_amount, duration_minutes, dispatching_base_num, hvfhs_license_num
-FROM stg WHERE invalid_reason IS NULL""")
+SELECT * EXCLUDE (invalid_reason) FROM stg WHERE invalid_reason IS NULL""")
 
 cte("quarantine", ("stg",), """
 SELECT * FROM stg WHERE invalid_reason IS NOT NULL""")
@@ -106,52 +106,40 @@ SELECT * FROM stg WHERE invalid_reason IS NOT NULL""")
 SPEED = ("CASE WHEN duration_minutes > 0 AND trip_distance IS NOT NULL "
          "THEN trip_distance / (duration_minutes / 60.0::DOUBLE) END")
 
+_DAY = "CAST(year({0}) * 10000 + month({0}) * 100 + day({0}) AS INTEGER)"
+
 cte("fact_trip", ("silver",), f"""
-SELECT trip_id,
-       CAST(strftime(pickup_datetime, '%Y%m%d') AS INTEGER) AS pickup_date_key,
-       CAST(extract(hour FROM pickup_datetime) AS SMALLINT) AS pickup_hour_key,
-       pickup_location_id AS pickup_taxi_zone_key,
-       dropoff_location_id AS dropoff_taxi_zone_key,
-       service_type AS service_type_key,
-       pickup_datetime, dropoff_datetime, duration_minutes, trip_distance,
-       total_amount AS observed_trip_amount,
-       total_amount IS NOT NULL AS has_observed_amount,
-       {SPEED} AS average_speed_mph,
-       source_kind, source_file_id, source_row_number
+SELECT * EXCLUDE (source_filename, pickup_location_id, dropoff_location_id, service_type, total_amount,
+                  dispatching_base_num, hvfhs_license_num),
+       {_DAY.format('pickup_datetime')} AS pickup_date_key,
+       CAST(hour(pickup_datetime) AS SMALLINT) AS pickup_hour_key,
+       pickup_location_id AS pickup_taxi_zone_key, dropoff_location_id AS dropoff_taxi_zone_key,
+       service_type AS service_type_key, total_amount AS observed_trip_amount,
+       coalesce(total_amount = total_amount, false) AS has_observed_amount, {SPEED} AS average_speed_mph
 FROM silver""")
 
-MEASURES = f"""
-       CAST(count(*) AS BIGINT) AS trip_count,
-       CAST(count(total_amount) AS BIGINT) AS revenue_observation_count,
+# both grains at once, from trip rows: a cell is (day, hour, zone, service), or the same without the hour
+cte("cells", ("silver",), f"""
+SELECT d, h, pickup_location_id AS taxi_zone_key, service_type AS service_type_key, grouping(h) = 1 AS whole_day,
+       CAST(sum(1) AS BIGINT) AS trip_count,
+       CAST(sum(if(total_amount IS NULL, 0, 1)) AS BIGINT) AS revenue_observation_count,
        sum(total_amount) AS observed_trip_amount,
-       avg(duration_minutes) AS average_duration_minutes,
-       avg(trip_distance) AS average_trip_distance,
-       avg({SPEED}) AS average_speed_mph,
-       sum(duration_minutes) / 60.0::DOUBLE AS occupied_hours"""
-
-cte("silver_keyed", ("silver",), """
-SELECT *, CAST(pickup_datetime AS DATE) AS pickup_date,
-       CAST(extract(hour FROM pickup_datetime) AS SMALLINT) AS pickup_hour
-FROM silver""")
-
-cte("hourly", ("silver_keyed",), f"""
-SELECT md5(concat_ws('|', CAST(pickup_date AS VARCHAR), CAST(pickup_hour AS VARCHAR),
-                     CAST(pickup_location_id AS VARCHAR), service_type)) AS zone_hour_service_key,
-       CAST(strftime(pickup_date, '%Y%m%d') AS INTEGER) AS date_key,
-       pickup_hour AS hour_key,
-       pickup_location_id AS taxi_zone_key,
-       service_type AS service_type_key,{MEASURES}
-FROM silver_keyed
-GROUP BY pickup_date, pickup_hour, pickup_location_id, service_type""")
-
-cte("daily", ("silver_keyed",), f"""
-SELECT md5(concat_ws('|', CAST(pickup_date AS VARCHAR),
-                     CAST(pickup_location_id AS VARCHAR), service_type)) AS zone_day_service_key,
-       CAST(strftime(pickup_date, '%Y%m%d') AS INTEGER) AS date_key,
-       pickup_location_id AS taxi_zone_key,
-       service_type AS service_type_key,{MEASURES}
-FROM silver_keyed
-GROUP BY pickup_date, pickup_location_id, service_type""")
+       sum(duration_minutes) / nullif(count(duration_minutes), 0) AS average_duration_minutes,
+       sum(trip_distance) / nullif(count(trip_distance), 0) AS average_trip_distance,
+       sum(speed) / nullif(count(speed), 0) AS average_speed_mph,
+       sum(duration_minutes / 60.0::DOUBLE) AS occupied_hours
+FROM (SELECT *, CAST(pickup_datetime AS DATE) AS d, CAST(hour(pickup_datetime) AS SMALLINT) AS h, {SPEED} AS speed FROM silver) AS t
+GROUP BY GROUPING SETS ((d, h, pickup_location_id, service_type), (d, pickup_location_id, service_type))""")
+
+cte("hourly", ("cells",), f"""
+SELECT md5(d::VARCHAR || '|' || h || '|' || taxi_zone_key || '|' || service_type_key) AS zone_hour_service_key,
+       {_DAY.format('d')} AS date_key, h AS hour_key, * EXCLUDE (d, h, whole_day)
+FROM cells WHERE NOT whole_day""")
+
+cte("daily", ("cells",), f"""
+SELECT md5(d::VARCHAR || '|' || taxi_zone_key || '|' || service_type_key) AS zone_day_service_key,
+       {_DAY.format('d')} AS date_key, * EXCLUDE (d, h, whole_day)
+FROM cells WHERE whole_day""")
 
 cte("dim_zone", ("zone_seed",), """
 SELECT location_id AS taxi_zone_key, borough, zone_name, service_zone FROM zone_seed""")
@@ -192,62 +180,52 @@ FROM (
   FROM silver
   HAVING min(pickup_datetime) IS NOT NULL) AS d""")
 
-cte("driver_opportunity", ("hourly", "dim_zone"), """
-SELECT h.zone_hour_service_key, h.date_key, h.hour_key, h.taxi_zone_key, z.borough, z.zone_name,
-       h.service_type_key, h.trip_count, h.observed_trip_amount, h.occupied_hours,
-       h.observed_trip_amount / nullif(h.occupied_hours, 0) AS observed_amount_per_occupied_hour,
-       100.0::DOUBLE * h.trip_count / nullif(max(h.trip_count) OVER (
-           PARTITION BY h.date_key, h.hour_key, h.service_type_key), 0) AS relative_demand_score
-FROM hourly AS h JOIN dim_zone AS z ON h.taxi_zone_key = z.taxi_zone_key""")
-
-cte("congestion", ("hourly", "dim_zone"), """
-SELECT h.zone_hour_service_key, h.date_key, h.hour_key, h.taxi_zone_key, z.borough, z.zone_name,
-       h.service_type_key, h.trip_count, h.average_duration_minutes, h.average_trip_distance,
-       h.average_speed_mph,
-       CASE WHEN h.average_trip_distance > 0
-            THEN h.average_duration_minutes / h.average_trip_distance END AS minutes_per_mile_proxy
-FROM hourly AS h JOIN dim_zone AS z ON h.taxi_zone_key = z.taxi_zone_key""")
+cte("zone_cells", ("hourly", "dim_zone"), """
+SELECT hourly.*, borough, zone_name FROM hourly JOIN dim_zone USING (taxi_zone_key)""")
+
+cte("driver_opportunity", ("zone_cells",), """
+SELECT c.* EXCLUDE (revenue_observation_count, average_duration_minutes, average_trip_distance, average_speed_mph),
+       if(occupied_hours = 0, NULL, observed_trip_amount / occupied_hours) AS observed_amount_per_occupied_hour,
+       100.0::DOUBLE * trip_count / busiest AS relative_demand_score
+FROM zone_cells AS c
+JOIN (SELECT date_key, hour_key, service_type_key, max(trip_count) AS busiest FROM zone_cells GROUP BY ALL) AS b
+     USING (date_key, hour_key, service_type_key)""")
+
+cte("congestion", ("zone_cells",), """
+SELECT * EXCLUDE (revenue_observation_count, observed_trip_amount, occupied_hours),
+       if(average_trip_distance > 0, average_duration_minutes / average_trip_distance, NULL) AS minutes_per_mile_proxy
+FROM zone_cells""")
 
 cte("profitability", ("daily", "dim_zone"), """
-SELECT d.zone_day_service_key, d.date_key, d.taxi_zone_key, z.borough, z.zone_name,
-       d.service_type_key, d.trip_count, d.revenue_observation_count, d.observed_trip_amount,
-       d.average_trip_distance,
-       CAST(0.20 AS DECIMAL(10,4)) AS assumed_commission_rate,
-       CAST(0.35 AS DECIMAL(10,4)) AS assumed_variable_cost_per_mile,
-       CAST(1.50 AS DECIMAL(10,4)) AS assumed_fixed_cost_per_trip,
-       CASE WHEN d.revenue_observation_count > 0 THEN
-            d.observed_trip_amount - d.observed_trip_amount * 0.20::DOUBLE
-            - coalesce(d.average_trip_distance, 0.0::DOUBLE) * d.trip_count * 0.35::DOUBLE
-            - d.trip_count * 1.50::DOUBLE END AS estimated_net_contribution_scenario
-FROM daily AS d JOIN dim_zone AS z ON d.taxi_zone_key = z.taxi_zone_key""")
-
-cte("overview", ("daily", "dim_service"), """
-SELECT d.date_key, d.service_type_key, s.service_type_name,
-       CAST(sum(d.trip_count) AS BIGINT) AS trip_count,
-       CAST(count(DISTINCT d.taxi_zone_key) AS INTEGER) AS active_pickup_zones,
-       CAST(sum(d.revenue_observation_count) AS BIGINT) AS revenue_observation_count,
-       sum(d.observed_trip_amount) AS observed_trip_amount,
-       sum(d.occupied_hours) AS occupied_hours,
-       sum(d.average_duration_minutes * d.trip_count) / nullif(sum(d.trip_count), 0)
-           AS weighted_average_duration_minutes,
-       sum(d.average_trip_distance * d.trip_count)
-           / nullif(sum(d.trip_count) FILTER (WHERE d.average_trip_distance IS NOT NULL), 0)
-           AS weighted_average_trip_distance
-FROM daily AS d JOIN dim_service AS s ON d.service_type_key = s.service_type_key
-GROUP BY 1, 2, 3""")
-
-cte("service_comparison", ("daily", "dim_service"), """
-SELECT s.service_type_key, s.service_type_name,
-       CAST(sum(d.trip_count) AS BIGINT) AS trip_count,
-       CAST(count(DISTINCT d.date_key) AS INTEGER) AS active_days,
-       CAST(count(DISTINCT d.taxi_zone_key) AS INTEGER) AS active_pickup_zones,
-       CAST(sum(d.revenue_observation_count) AS BIGINT) AS revenue_observation_count,
-       sum(d.observed_trip_amount) AS observed_trip_amount,
-       sum(d.occupied_hours) AS occupied_hours,
-       sum(d.observed_trip_amount) / nullif(sum(d.revenue_observation_count), 0)
-           AS observed_amount_per_priced_trip
-FROM dim_service AS s LEFT JOIN daily AS d ON s.service_type_key = d.service_type_key
-GROUP BY 1, 2""")
+SELECT * EXCLUDE (average_duration_minutes, average_speed_mph, occupied_hours, service_zone),
+       0.20::DECIMAL(10,4) AS assumed_commission_rate, 0.35::DECIMAL(10,4) AS assumed_variable_cost_per_mile,
+       1.50::DECIMAL(10,4) AS assumed_fixed_cost_per_trip,
+       if(revenue_observation_count = 0, NULL, 0.80::DOUBLE * observed_trip_amount
+          - trip_count * (1.50::DOUBLE + 0.35::DOUBLE * coalesce(average_trip_distance, 0))) AS estimated_net_contribution_scenario
+FROM daily NATURAL JOIN dim_zone""")
+
+# from trip rows: totals need no daily fact
+cte("overview", ("silver", "daily", "dim_service"), f"""
+SELECT {_DAY.format('pickup_datetime')} AS date_key, service_type_key, service_type_name,
+       count(*) AS trip_count, CAST(count(DISTINCT pickup_location_id) AS INTEGER) AS active_pickup_zones,
+       count(total_amount) AS revenue_observation_count, sum(total_amount) AS observed_trip_amount,
+       sum(duration_minutes) / 60.0::DOUBLE AS occupied_hours,
+       avg(duration_minutes) AS weighted_average_duration_minutes, any_value(w.mean) AS weighted_average_trip_distance
+FROM silver JOIN dim_service ON service_type = service_type_key
+LEFT JOIN (SELECT date_key AS k, service_type_key AS s, sum(average_trip_distance * trip_count) / sum(trip_count) AS mean
+           FROM daily WHERE average_trip_distance IS NOT NULL GROUP BY ALL) AS w
+     ON w.s = service_type AND w.k = {_DAY.format('pickup_datetime')}
+GROUP BY date_key, service_type_key, service_type_name""")
+
+cte("service_comparison", ("silver", "dim_service"), f"""
+SELECT service_type_key, service_type_name, CAST(nullif(count(trip_id), 0) AS BIGINT) AS trip_count,
+       CAST(count(DISTINCT {_DAY.format('pickup_datetime')}) AS INTEGER) AS active_days,
+       CAST(count(DISTINCT pickup_location_id) AS INTEGER) AS active_pickup_zones,
+       if(count(trip_id) = 0, NULL, count(total_amount)) AS revenue_observation_count,
+       sum(total_amount) AS observed_trip_amount, sum(duration_minutes) / 60.0::DOUBLE AS occupied_hours,
+       sum(total_amount) / nullif(count(total_amount), 0) AS observed_amount_per_priced_trip
+FROM dim_service LEFT JOIN silver ON service_type = service_type_key
+GROUP BY ALL""")
 
 
 def select_from(cte_name: str, columns: str = "*", double_cols: list[str] | None = None,

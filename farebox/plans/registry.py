@@ -273,7 +273,7 @@ def q_unique(spark, sf_dir):
 @register("check_accepted_values")
 def q_accepted(spark, sf_dir):
     return chk.check_accepted_values(Gold(spark, sf_dir).stg, "invalid_reason",
-                                     list(INVALID_REASONS[:3]))
+                                     [r for r in INVALID_REASONS if r != "invalid_pickup_location"])
 
 
 @register("check_relationships")
@@ -309,7 +309,7 @@ def q_nonneg_duration(spark, sf_dir):
 
 # --- J: forecasting ---------------------------------------------------------------------
 def _panel(g: Gold) -> DataFrame:
-    return fc.hourly_panel(g.hourly, g.date_dim, g.time_dim)
+    return fc.hourly_panel(g.hourly)
 
 
 @register("hourly_panel")
@@ -340,13 +340,14 @@ def _dense(spark, sf_dir) -> DataFrame:
 
 def _split(spark, sf_dir, h, dense: DataFrame | None = None, cutoff=None):
     dense = dense if dense is not None else _dense(spark, sf_dir)
-    return fc.temporal_split(fc.forecast_features(dense, h), 0.2, FIXTURE_MIN_HOURS, cutoff=cutoff)
+    cutoff = cutoff or fc.temporal_cutoff(dense, 0.2, FIXTURE_MIN_HOURS)
+    return fc.temporal_split(fc.forecast_features(dense, h), cutoff)
 
 
 def _naive_both(spark, sf_dir) -> DataFrame:
     """Seasonal-baseline test predictions for both horizons (one shared cutoff)."""
     dense = _dense(spark, sf_dir)
-    cutoff = fc.temporal_cutoff(fc.forecast_features(dense, 24), 0.2, FIXTURE_MIN_HOURS)
+    cutoff = fc.temporal_cutoff(dense, 0.2, FIXTURE_MIN_HOURS)
     s24 = _split(spark, sf_dir, 24, dense, cutoff=cutoff)
     s1 = _split(spark, sf_dir, 1, dense, cutoff=cutoff)
     return fc.seasonal_naive(s1).unionByName(fc.seasonal_naive(s24))
@@ -584,13 +585,13 @@ def q_top_dest(spark, sf_dir):
 @register("demand_profile_day_period")
 def q_profile_period(spark, sf_dir):
     g = Gold(spark, sf_dir)
-    return present(kpis.demand_profile(g.hourly, g.date_dim, g.time_dim, "day_period"))
+    return present(kpis.demand_profile(g.hourly, "day_period"))
 
 
 @register("demand_profile_weekend")
 def q_profile_weekend(spark, sf_dir):
     g = Gold(spark, sf_dir)
-    return present(kpis.demand_profile(g.hourly, g.date_dim, g.time_dim, "weekend"))
+    return present(kpis.demand_profile(g.hourly, "weekend"))
 
 
 @register("period_comparison")
@@ -605,7 +606,7 @@ def q_quality(spark, sf_dir):
 
 @register("quality_percentiles")
 def q_pct(spark, sf_dir):
-    return kpis.quality_percentiles(Gold(spark, sf_dir).stg)
+    return present(kpis.quality_percentiles(Gold(spark, sf_dir).stg), ["percentile"])
 
 
 @register("valid_share")
@@ -705,13 +706,13 @@ def q_panel_ordered(spark, sf_dir):
 @register("demand_profile_hour")
 def q_profile_hour(spark, sf_dir):
     g = Gold(spark, sf_dir)
-    return present(kpis.demand_profile(g.hourly, g.date_dim, g.time_dim, "hour_key"))
+    return present(kpis.demand_profile(g.hourly, "hour_key"))
 
 
 @register("demand_profile_month")
 def q_profile_month(spark, sf_dir):
     g = Gold(spark, sf_dir)
-    return present(kpis.demand_profile(g.hourly, g.date_dim, g.time_dim, "month"))
+    return present(kpis.demand_profile(g.hourly, "month"))
 
 
 @register("forecast_error_by_zone")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -28,26 +29,30 @@ def landing_rows_to_insert(new: DataFrame, existing: DataFrame) -> DataFrame:
     pairs; with landing partitioned by file that restriction prunes partitions.
     """
     files = new.select("source_kind", "source_file_id").distinct()
-    from farebox.operators.joins import broadcast_if_small
-    relevant = existing.select(*LANDING_KEY).join(broadcast_if_small(files, 100_000),
-                                                 ["source_kind", "source_file_id"], "left_semi")
+    relevant = existing.select(*LANDING_KEY).join(files, ["source_kind", "source_file_id"], "left_semi")
     # distinct keys: duplicated keys in a damaged landing table collapse map-side,
     # and the aggregation's key partitioning is the one the anti-join needs
     return dedupe_on_key(new).join(relevant.distinct(), list(LANDING_KEY), "left_anti")
 
 
+def landed(spark: SparkSession, landing_path: str) -> DataFrame:
+    """The landing table, empty before the first load.  Only a missing path counts
+    as a first load: any other read error is raised, else it would land rows twice."""
+    try:
+        return spark.read.schema(LANDING_SCHEMA).parquet(landing_path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], LANDING_SCHEMA)
+
+
 def append_landing(new: DataFrame, landing_path: str) -> int:
     """Append new landing rows to a Parquet landing table (partitioned by file).
 
     Returns the number of rows inserted; a rerun over the same input inserts 0.
     """
     spark = new.sparkSession
-    try:
-        existing = spark.read.schema(LANDING_SCHEMA).parquet(landing_path)
-        existing.schema  # noqa: B018 - resolves the path
-    except Exception:  # noqa: BLE001 - first load: no table yet
-        existing = spark.createDataFrame([], LANDING_SCHEMA)
-    rows = landing_rows_to_insert(new, existing)
+    rows = landing_rows_to_insert(new, landed(spark, landing_path))
     spark.sparkContext.setJobDescription("append landing")
     from farebox.session import checkpoint_dir
     checkpoint_dir(spark)
@@ -61,17 +66,19 @@ def append_landing(new: DataFrame, landing_path: str) -> int:
 def upsert_manifest(new: DataFrame, existing: DataFrame) -> DataFrame:
     """``ON CONFLICT (source_kind, service_type, year, month, filename) DO UPDATE``.
 
-    Matched files take the new size/sha/rows/status/last_run/updated_at but keep
-    their ``file_id`` and ``first_run_id``; unseen files get fresh ids after the
+    Matched files take the new size, digest, status, last run and update time
+    (now, unless given) but keep ``file_id``, ``first_run_id``, URL and row count; unseen files get fresh ids after the
     current maximum (ordered by key, so ids are deterministic).  The manifest
     has one row per source file (hundreds to thousands), so the numbering
     window over new files is small by construction.
     """
     key = list(MANIFEST_KEY)
-    upd = ["source_url", "size_bytes", "sha256", "row_count", "status", "last_run_id", "updated_at"]
-    n = new.select(*key, *upd, "first_run_id", F.lit(True).alias("_in_new")).alias("n")
-    e = existing.select("file_id", *key, *upd, "first_run_id").alias("e")
+    upd = ["size_bytes", "sha256", "status", "last_run_id"]
+    once = ["source_url", "row_count"]
+    n = new.select(*key, *upd, *once, "first_run_id", "updated_at", F.lit(True).alias("_in_new")).alias("n")
+    e = existing.select("file_id", *key, *upd, *once, "first_run_id", "updated_at").alias("e")
     j = e.join(n, key, "full_outer")
+    stamp = dict(new.dtypes)["updated_at"]
     current_max = existing.agg(F.coalesce(F.max("file_id"), F.lit(0)).alias("m")).first()["m"]
     fresh = F.col("e.file_id").isNull()
     numbered = j.withColumn("_rn", F.row_number().over(Window.partitionBy(fresh).orderBy(*key)))
@@ -80,7 +87,10 @@ def upsert_manifest(new: DataFrame, existing: DataFrame) -> DataFrame:
         F.when(fresh, F.lit(current_max) + F.col("_rn")).otherwise(F.col("e.file_id")).cast("long").alias("file_id"),
         *key,
         *[F.when(in_new, F.col(f"n.{c}")).otherwise(F.col(f"e.{c}")).alias(c) for c in upd],
+        *[F.when(fresh, F.col(f"n.{c}")).otherwise(F.col(f"e.{c}")).alias(c) for c in once],
         F.coalesce(F.col("e.first_run_id"), F.col("n.first_run_id")).alias("first_run_id"),
+        F.when(in_new, F.coalesce(F.col("n.updated_at"), F.current_timestamp().cast(stamp)))
+        .otherwise(F.col("e.updated_at")).alias("updated_at"),
     )
     return out.select("file_id", *key, "source_url", "size_bytes", "sha256", "row_count", "status",
                       "first_run_id", "last_run_id", "updated_at")

@@ -12,10 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from farebox.schemas import LANDING_SCHEMA
 from farebox.sources.bronze import normalize_to_landing
-from farebox.operators.joins import broadcast_dim
-from farebox.sources.landing import landing_rows_to_insert
+from farebox.sources.landing import landed, landing_rows_to_insert
 
 
 def _file_id(name_col) -> F.Column:
@@ -41,19 +39,13 @@ def ingest_landing_stream(spark: SparkSession, bronze_service_dir: str, service:
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         if manifest is not None:
-            ids = broadcast_dim(manifest.withColumnRenamed("filename", "_file_name")
-                                .withColumnRenamed("file_id", "_file_id"), ["_file_name", "_file_id"])
+            ids = manifest.select(F.col("filename").alias("_file_name"), F.col("file_id").alias("_file_id"))
             batch = batch.join(ids, "_file_name", "left")
             fid = F.coalesce(F.col("_file_id"), _file_id(F.col("_file_name")))
         else:
             fid = _file_id(F.col("_file_name"))
         rows = normalize_to_landing(batch, service, source_kind, fid, F.col("_file_name"))
-        try:
-            existing = spark.read.schema(LANDING_SCHEMA).parquet(landing_path)
-            existing.schema  # noqa: B018
-        except Exception:  # noqa: BLE001 - first batch: no table yet
-            existing = spark.createDataFrame([], LANDING_SCHEMA)
-        new = landing_rows_to_insert(rows, existing)
+        new = landing_rows_to_insert(rows, landed(spark, landing_path))
         new = new.checkpoint(eager=True)      # freeze before appending next to what it read
         n = new.count()
         if n:

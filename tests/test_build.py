@@ -52,7 +52,18 @@ def test_build_records_control_tables(spark, tmp):
     assert (final["rows_read"], final["rows_valid"], final["rows_rejected"]) == (1, 1, 0)
     assert presentation.latest_model_status(runs.withColumnRenamed("run_id", "model_run_id")).first()["status"] \
         == "SUCCEEDED"
+    assert (final["start_date"], final["end_date"]) == (final["end_date"], final["start_date"]) and final["started_at"]
+    from farebox.operators import checks as chk
+    for table in ("pipeline_runs", "pipeline_tasks", "data_quality_results"):
+        broken = chk.check_control_constraints(table, spark.read.parquet(os.path.join(ctl, table))).collect()
+        assert all(r["failures"] == 0 for r in broken), broken
     tasks = spark.read.parquet(os.path.join(ctl, "pipeline_tasks"))
     assert tasks.count() == 16 and tasks.filter("status != 'SUCCEEDED'").count() == 0
     dq = spark.read.parquet(os.path.join(ctl, "data_quality_results"))
     assert dq.count() == 83 and dq.filter("status = 'PASS'").count() == 83
+
+
+def test_empty_landing_passes_all_tests(spark, tmp):
+    from farebox.schemas import LANDING_SCHEMA
+    res = build(spark, spark.createDataFrame([], LANDING_SCHEMA), _zones(spark), target_dir=os.path.join(tmp, "wh"))
+    assert {t["check_name"] for t in res.tests if t["status"] != "PASS"} == set()

@@ -23,7 +23,9 @@ def test_golden_split_and_no_overlap(spark, panel120):
     dense = fc.densify_hourly(panel120)
     f24 = fc.forecast_features(dense, 24)
     assert len(fc.FEATURES) == 10 and all(c in f24.columns for c in fc.FEATURES)
-    split = fc.temporal_split(f24)
+    split = fc.temporal_split(f24, fc.temporal_cutoff(dense))
+    hours = {r[0] for r in f24.select("target_timestamp").distinct().collect()}
+    assert {r[0] for r in fc.target_hours(panel120).collect()} == hours
     assert split.first()["cutoff"] == dt.datetime(2024, 4, 6, 9, 0)
     counts = dict(split.groupBy("split").count().collect())
     assert counts["test"] == 6804
@@ -37,7 +39,7 @@ def test_unknown_horizon_and_history_guard(spark, panel120):
         fc.forecast_features(fc.densify_hourly(panel120), 2)
     short = fc.synthetic_hourly_demand(spark, days=20).withColumnRenamed("timestamp", "target_timestamp")
     with pytest.raises(ValueError):
-        fc.temporal_split(fc.forecast_features(fc.densify_hourly(short), 1))
+        fc.temporal_cutoff(short)
 
 
 def _series(spark, points):
@@ -117,3 +119,9 @@ def test_two_training_runs_are_identical(spark, tmp):
     ma = sorted(tuple(r) for r in spark.read.parquet(f"{tmp}/a/model_metrics").drop("model_run_id").collect())
     mb = sorted(tuple(r) for r in spark.read.parquet(f"{tmp}/b/model_metrics").drop("model_run_id").collect())
     assert ma == mb
+
+
+def test_synthetic_demand_has_no_ceiling(spark):
+    demand = fc.synthetic_hourly_demand(spark, days=2, zones=tuple(range(1, 266)))
+    top = demand.groupBy("demand").count().orderBy(F.desc("demand")).first()
+    assert top["demand"] > 400 and top["count"] < 5

@@ -5,6 +5,7 @@ from conftest import landing_rows, ts
 from farebox.operators import dimensions as dims
 from farebox.operators import facts, kpis, presentation, silver
 from farebox.operators import forecast as fc
+from pyspark.sql import functions as F
 
 ZONES = [(1, "A", "Z1", "Boro Zone"), (2, "A", "Z2", "Boro Zone"), (3, "B", "Z3", "Airports")]
 
@@ -43,8 +44,7 @@ def test_periods_profile_coherence_grid(spark):
     hourly, daily = facts.hourly_and_daily(t)
     per = {r["period"]: r["trip_count"] for r in kpis.period_comparison(daily).collect()}
     assert per == {"2018_2019": 2, "2020_2021": 1}
-    prof = {r["day_period"]: r for r in kpis.demand_profile(hourly, dims.dim_date(t), dims.dim_time(spark),
-                                                              "day_period").collect()}
+    prof = {r["day_period"]: r for r in kpis.demand_profile(hourly, "day_period").collect()}
     assert prof["morning_peak"]["trip_count"] == 2 and prof["night"]["trip_count"] == 1
     assert abs(prof["morning_peak"]["demand_index"] - 2 / 1.5) < 1e-12
     grid = kpis.scenario_grid(daily, [{"name": "x", "commission_rate": 0.5, "variable_cost_per_mile": 1.0,
@@ -67,8 +67,8 @@ def test_quality_profile(spark):
     prof = {r["column_name"]: r for r in kpis.quality_profile(stg).collect()}
     assert prof["trip_distance"]["null_count"] == 1 and prof["trip_distance"]["null_pct"] == 50.0
     assert prof["trip_distance"]["max_value"] == 1.5 and prof["service_type"]["min_value"] is None
-    pct = {r["column_name"]: r["percentiles"] for r in kpis.quality_percentiles(stg).collect()}
-    assert pct["trip_distance"] == [1.5, 1.5, 1.5]
+    pct = {(r["column_name"], r["probability"]): r["percentile"] for r in kpis.quality_percentiles(stg).collect()}
+    assert {p: v for (c, p), v in pct.items() if c == "trip_distance"} == {0.01: 1.5, 0.5: 1.5, 0.99: 1.5}
 
 
 def test_presentation(spark):
@@ -81,31 +81,27 @@ def test_presentation(spark):
 
 def test_poisson_candidate(spark):
     panel = fc.synthetic_hourly_demand(spark, days=31).withColumnRenamed("timestamp", "target_timestamp")
-    split = fc.temporal_split(fc.forecast_features(fc.densify_hourly(panel), 1), min_hours=300)
+    split = fc.temporal_split(fc.forecast_features(fc.densify_hourly(panel), 1), fc.temporal_cutoff(panel, min_hours=300))
     preds, models = fc.train_candidates(split, num_trees=3, max_iter=2, extra=("poisson",))
     m = {r["model_name"]: r for r in fc.forecast_metrics(preds).collect()}
     assert set(m) == {"seasonal_naive", "random_forest", "gradient_boosting", "poisson_glm"}
     assert m["poisson_glm"]["mae"] < m["seasonal_naive"]["mae"] * 2
 
 
-def test_quality_percentiles_within_rank_error(spark):
-    """Approximate percentiles vs. brute force on the sf0.001 fixture: each
-    reported value must sit within the sketch's rank error (1/accuracy) of the
-    requested rank."""
+def test_quality_percentiles_are_exact(spark):
+    """Brute force on the sf0.001 fixture, and a value that most rows share."""
     import math
 
     from farebox.fixtures import fixture_inputs
     landing, _ = fixture_inputs(spark, "/root/testdata/sf0.001")
     stg = silver.stg_trip_records(landing)
-    got = {r["column_name"]: r["percentiles"] for r in kpis.quality_percentiles(stg, accuracy=1000).collect()}
-    for col in ("trip_distance", "total_amount", "duration_minutes"):
+    stg = stg.withColumn("same", F.when(F.xxhash64("trip_id") % 5 != 0, 1.0).otherwise(F.col("source_row_number").cast("double")))
+    cols = ("trip_distance", "total_amount", "duration_minutes", "same")
+    got = {(r["column_name"], r["probability"]): r["percentile"] for r in kpis.quality_percentiles(stg, cols).collect()}
+    for col in cols:
         vals = sorted(r[0] for r in stg.select(col).collect() if r[0] is not None)
-        n = len(vals)
-        for p, v in zip((0.01, 0.5, 0.99), got[col]):
-            lo = sum(1 for x in vals if x < v)
-            hi = sum(1 for x in vals if x <= v)
-            target = math.ceil(p * n)
-            assert lo - n / 1000 - 1 <= target <= hi + n / 1000 + 1, (col, p, v)
+        for p in (0.01, 0.5, 0.99):
+            assert got[col, p] == vals[math.ceil(p * len(vals)) - 1]
 
 
 def test_duplicate_profile(spark):
