@@ -83,7 +83,7 @@ class Batch:
                           F.lit(self.id).alias("batch")))
         index.append(index.new(groups))
         # as plain files: both sides of a join are shuffled, and a hot digest can be split
-        self.held = index.spark.read.parquet(index.path)
+        self.held = index.spark.read.schema(groups.schema).parquet(index.path)
 
     def verdicts(self) -> DataFrame:
         """All rows with text_sha256, keep_id, group_size (rows of the batch that brought the text) and kept."""

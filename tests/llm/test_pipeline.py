@@ -1,5 +1,7 @@
 """The pipeline: each stage's decisions on its own input."""
 
+import random
+
 import corpus_pipeline
 from farebox.llm.common import scratch, table
 
@@ -7,9 +9,10 @@ from farebox.llm.common import scratch, table
 def test_stages_on_a_table_with_planted_cases(spark, tmp):
     sf = "/root/testdata/sf0.1"
     docs = table(spark, sf, "documents")
-    text = "Plain words stand here in a row of sentences, number {} of them, and none is like the other {}. " * 1
-    long = " ".join(text.format(i, i * i) for i in range(12))
-    planted = [(10_001, long), (10_002, long.replace(" ", "  ")), (10_003, long.replace("row", "line", 1)), (10_004, None), (10_005, "")]
+    r = random.Random(1)
+    word = lambda: "".join(r.choice(("the", "re", "an", "in", "on", "er", "st", "nd")) for _ in range(r.randint(1, 3)))
+    long = ". ".join(" ".join(word() for _ in range(14)).capitalize() for _ in range(16)) + "."
+    planted = [(10_001, long), (10_002, long.replace(" ", "  ")), (10_003, long.replace(long.split()[40], "another", 1)), (10_004, None), (10_005, "")]
     extra = spark.createDataFrame([(i, t, "en", "p", len(t or "")) for i, t in planted], docs.schema)
     docs = docs.union(extra).selectExpr("*", "1 as score", "2 as kept", "3 as `row`", "4 as digest")
     folder, left = scratch(spark, "pipeline-test"), {}
