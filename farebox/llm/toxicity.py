@@ -2,12 +2,17 @@
 
 Two character n-gram models, one of toxic and one of ordinary text, read every
 word from its start to its end.  Both discount their own counts and back off to
-one model of the pooled counts: interpolated Kneser-Ney over all orders.  The
+one model of the pooled counts: interpolated Kneser-Ney over all orders.  At the
+highest order, and for n-grams that begin a word, a count is the number of
+documents that have the word, so a word that one text repeats counts once; at
+all other orders it is the continuation count, the number of distinct characters
+seen before the n-gram (in any text, or in texts of the class).  The
 discount of the class counts is large, so an expression that was seen in only a
 few documents gets nearly the same probability in both classes, from the shared
-counts, and only expressions with real evidence tell them apart.  Counts are
-numbers of documents that have the word, so a word that one text repeats counts
-once.
+counts, and only expressions with real evidence tell them apart.  Beside that,
+each class model is mixed with the shared one, which bounds what one character
+can say: else a count of 3 against 2 in a frequent context, or the first letters
+of a toxic word in a harmless one, would count as much as the word itself.
 
 A text's log-likelihoods are divided by its number of words.  Two such numbers
 are compared: over all words, and over the words that are ``strong`` nats
@@ -16,8 +21,9 @@ that the models haven't counted, turns them into a score.
 
 The score of a word depends on that word alone, so a task scores the distinct
 words of a slice once.  The model is fitted on at most ``max_docs`` labelled
-texts of each class (those with the least hash of their id) and keeps n-grams
-of words that at least ``min_docs`` of them have, so it is small and broadcast.
+texts of each class (those with the least hash of their id), so it is small and
+broadcast.  All their words count, also those of a single text, and all their
+characters are told apart; other characters share one code.
 
 Cases.  Null and empty texts, and texts without letters or digits, have no
 words and get the score of a text without evidence.  Without labelled texts of
@@ -38,8 +44,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from .common import ascii_words, documents, fold, per_text, slices, table, with_fields
 
 WORDS = re.compile(r"\w+")
-BITS = 10  # of a character's code in an n-gram key; 60 bits hold six characters
+BITS = 21  # of a character's code in an n-gram key, enough for all of Unicode; the other 43 are a hash of its context
 FIRST, LAST, OTHER = 1, 2, 3
+LONG = 12  # characters; a longer word's likelihood is normalised to this length
 
 
 @dataclass
@@ -62,6 +69,7 @@ class ToxicityModel:
     orders: list[Counts]
     discount: float
     strong: float
+    common: float = 0.02  # weight of the shared model beside a class model's 1
     max_words: int = 300_000
     weights: np.ndarray = field(default_factory=lambda: np.zeros(3))
     trained: bool = False
@@ -84,25 +92,27 @@ class ToxicityModel:
         return out, sizes
 
     @staticmethod
-    def keys(codes: np.ndarray, sizes: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
-        """For each character after FIRST: the key of it and up to order - 1 before it; and whether there are as many."""
+    def keys(codes: np.ndarray, sizes: np.ndarray, order: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """For each order, of each character after FIRST: the key of it and the order - 1 before it; and whether there are as many."""
         place = np.arange(len(codes)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-        key = np.zeros(len(codes), np.uint64)
+        inner = place > 0
+        mixed, before, factor = _mix(codes), np.zeros(len(codes), np.uint64), np.uint64(1)
         for back in range(order):
-            shifted = np.concatenate([np.zeros(back, np.uint64), codes])[:len(codes)]
-            key |= np.where(place >= back, shifted, np.uint64(0)) << np.uint64(BITS * back)
-        return key[place > 0], (place >= order - 1)[place > 0]
+            if back:
+                factor = np.uint64(int(factor) * 0x9E3779B97F4A7C15 & (1 << 64) - 1)
+                before[back:] += mixed[:-back] * factor
+            key = _mix(before) >> np.uint64(BITS) << np.uint64(BITS) | codes
+            yield key[inner], (place >= back)[inner]
 
     # -- scoring
 
     def ratios(self, words: list[str]) -> np.ndarray:
-        """log P(word | toxic) - log P(word | ordinary) of each word."""
+        """log P(word | toxic) - log P(word | ordinary) of each word, of a long one for as many as LONG characters."""
         codes, sizes = self.codes(words)
         n = len(codes) - len(sizes)
         shared = np.full(n, 1 / (len(self.alphabet) + 4))
         ratio = np.zeros(n)
-        for order, c in enumerate(self.orders, 1):
-            key, whole = self.keys(codes, sizes, order)
+        for c, (key, whole) in zip(self.orders, self.keys(codes, sizes, len(self.orders))):
             context = key >> np.uint64(BITS)
             at = np.minimum(np.searchsorted(c.contexts, context), len(c.contexts) - 1)
             use = np.flatnonzero(whole & (c.contexts[at] == context))
@@ -117,9 +127,9 @@ class ToxicityModel:
             # the class models: own discounted counts, and the shared model for all the rest
             own = np.where(hit, c.own[:, j], 0)
             left = c.class_left[:, at] + self.discount
-            q = (own + left * p) / (c.class_total[:, at] + self.discount)
+            q = (own + left * p) / (c.class_total[:, at] + self.discount) + self.common * p
             ratio[use] = np.log(q[1] / q[0])  # the longest known context decides
-        return per_text(ratio, sizes - 1)
+        return per_text(ratio, sizes - 1) * np.minimum(1, LONG / (sizes - 1))
 
     def features(self, texts: pa.Array, memory: dict[str, tuple[float, float, int]]) -> np.ndarray:
         """Two length-normalised comparisons for each text."""
@@ -133,7 +143,8 @@ class ToxicityModel:
         if new:
             parts = [WORDS.findall(x) for x in new]
             words = list(dict.fromkeys(w for p in parts for w in p))
-            known = dict(zip(words, self.ratios(words).tolist())) if words else {}
+            parted = (words[i:i + 20_000] for i in range(0, len(words), 20_000))  # bounds the arrays of characters
+            known = {w: v for some in parted for w, v in zip(some, self.ratios(some).tolist())}
             for x, p in zip(new, parts):
                 r = [known[w] for w in p]
                 memory[x] = (sum(r), sum(v for v in r if v > self.strong), len(r))
@@ -149,6 +160,13 @@ class ToxicityModel:
         return 1 / (1 + np.exp(-np.clip(_design(features) @ self.weights, -60, 60)))
 
 
+def _mix(x: np.ndarray) -> np.ndarray:
+    """Hashes 64-bit numbers one to one."""
+    x = (x ^ x >> np.uint64(30)) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ x >> np.uint64(27)) * np.uint64(0x94D049BB133111EB)
+    return x ^ x >> np.uint64(31)
+
+
 def _design(features: np.ndarray) -> np.ndarray:
     return np.column_stack([np.ones(len(features)), 10 * features[:, 0], np.log1p(100 * features[:, 1])])
 
@@ -164,14 +182,14 @@ def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e
 
 
 def fit(labelled: DataFrame, text: str = "text", label: str = "toxic", doc_id: str = "doc_id", max_docs: int = 4000,
-        order: int = 6, min_docs: int = 2,
+        order: int = 6,
         settings: tuple[tuple[float, float], ...] = ((2.0, 3.0), (4.0, 4.0))) -> ToxicityModel:
     """Fits the models on ``max_docs`` texts of each class, or as many as the rarer class has; three quarters are counted, the rest calibrate.
 
     ``settings``: pairs of discount and ``strong``; the pair with the least
     log-loss on the calibration texts is taken.  Word counts are made by Spark;
-    the driver gets the words that ``min_docs`` counted texts have, and the
-    features of the calibration texts.
+    the driver gets the distinct words of the counted texts and the features of
+    the calibration texts.
     """
     rank = F.xxhash64(F.col(doc_id))
     usable = labelled.where(F.col(label).isin(0, 1)).select(
@@ -188,11 +206,13 @@ def fit(labelled: DataFrame, text: str = "text", label: str = "toxic", doc_id: s
              .select("toxic", F.explode(F.array_distinct(F.regexp_extract_all(
                  F.lower(F.coalesce("text", F.lit(""))), F.lit(r"(?U)\w+"), F.lit(0)))).alias("word"))
              .groupBy("word").agg(F.sum(1 - F.col("toxic")).alias("ordinary"), F.sum("toxic").alias("toxic"))
-             .where(F.col("ordinary") + F.col("toxic") >= min_docs).toPandas())
-    by_class = words[["ordinary", "toxic"]].to_numpy(np.float64).T
+             .toArrow())
+    by_class = np.stack([words[k].to_numpy() for k in ("ordinary", "toxic")]).astype(np.float32)
     best, least = _count([], np.zeros((2, 0)), order, *settings[0]), np.inf
-    for discount, strong in settings if len(words) else ():
-        model = _count(words["word"].tolist(), by_class, order, discount, strong)
+    alphabet, grams = _grams(words["word"].to_pylist(), by_class, order)
+    del words
+    for discount, strong in settings if grams else ():
+        model = _discounted(alphabet, grams, discount, strong)
         shared = labelled.sparkSession.sparkContext.broadcast(model)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -219,22 +239,46 @@ def fit(labelled: DataFrame, text: str = "text", label: str = "toxic", doc_id: s
 
 def _count(words: list[str], counts: np.ndarray, order: int, discount: float, strong: float) -> ToxicityModel:
     """The n-gram counts of words with their class counts (ordinary, toxic)."""
-    points, seen = np.unique(np.frombuffer("".join(words).encode("utf-32-le"), np.uint32), return_counts=True)
-    alphabet = np.sort(points[np.argsort(-seen, kind="stable")[:(1 << BITS) - OTHER - 2]])
+    return _discounted(*_grams(words, counts, order), discount, strong)
+
+
+Grams = tuple[np.ndarray, np.ndarray, np.ndarray]  # n-grams of one order; the same without their first character; class counts
+
+
+def _grams(words: list[str], counts: np.ndarray, order: int, slice_words: int = 50_000) -> tuple[np.ndarray, list[Grams]]:
+    """All characters of words, and the n-grams of each order with their numbers of documents; slices bound the memory."""
+    alphabet = np.unique(np.frombuffer("".join(words).encode("utf-32-le"), np.uint32))
+    model, parts = ToxicityModel(alphabet, [], 0.0, 0.0), [[] for _ in range(order)]
+    for start in range(0, len(words), slice_words):
+        codes, sizes = model.codes(words[start:start + slice_words])
+        weight = np.repeat(counts[:, start:start + slice_words], sizes - 1, axis=1)
+        shorter = np.zeros(weight.shape[1], np.uint64)
+        for part, (key, whole) in zip(parts, model.keys(codes, sizes, order)):
+            part.append(_summed(key[whole], shorter[whole], weight[:, whole]))
+            shorter = key
+    merged = [_summed(*(np.concatenate(x, axis=-1) for x in zip(*p))) for p in parts if p]
+    return alphabet, [m for m in merged if len(m[0])]
+
+
+def _summed(keys: np.ndarray, shorter: np.ndarray, counts: np.ndarray) -> Grams:
+    keys, at, of = np.unique(keys, return_index=True, return_inverse=True)
+    return keys, shorter[at], np.stack([np.bincount(of, c, len(keys)) for c in counts]).astype(np.float32)
+
+
+def _discounted(alphabet: np.ndarray, grams: list[Grams], discount: float, strong: float) -> ToxicityModel:
     model = ToxicityModel(alphabet, [], discount, strong)
-    if not words:
-        return model
-    codes, sizes = model.codes(words)
-    weight = np.repeat(counts, sizes - 1, axis=1)
-    for k in range(1, order + 1):
-        key, whole = model.keys(codes, sizes, k)
-        if not whole.any():
-            break
-        keys, of = np.unique(key[whole], return_inverse=True)
-        by_class = np.stack([np.bincount(of, w[whole], len(keys)) for w in weight])
-        own, pooled = np.maximum(by_class - discount, 0), by_class.sum(0)
-        contexts, to = np.unique(keys >> np.uint64(BITS), return_inverse=True)
-        add = lambda v: np.bincount(to, v, len(contexts))
+    for k, (keys, _, documents) in enumerate(grams):
+        by_class, pooled = documents, documents.sum(0)
+        if k + 1 < len(grams):
+            _, shorter, longer = grams[k + 1]
+            to = np.searchsorted(keys, shorter)
+            left = np.bincount(to, minlength=len(keys))
+            starts = left == 0  # begins a word: nothing can be before it
+            pooled = np.where(starts, pooled, left).astype(np.float32)
+            by_class = np.where(starts, by_class, np.stack([np.bincount(to, c > 0, len(keys)) for c in longer])).astype(np.float32)
+        own = np.maximum(by_class - np.float32(discount), 0)
+        contexts, of = np.unique(keys >> np.uint64(BITS), return_inverse=True)
+        add = lambda v: np.bincount(of, v, len(contexts))  # noqa: B023, E731
         class_total = np.stack([add(c) for c in by_class])
         model.orders.append(Counts(keys, pooled, own, contexts, add(pooled), add(np.ones(len(keys))), class_total,
                                    class_total - np.stack([add(o) for o in own])))

@@ -131,6 +131,38 @@ def test_class_models_are_distributions():
             assert np.allclose(total, c.class_total[k])
 
 
+def test_toxicity_counts_continuations():
+    """Kneser-Ney: below the highest order, the number of distinct characters before an n-gram; word starts have none."""
+    import numpy as np
+    words = ["san", "fan", "pan", "of", "off"]
+    model = toxicity._count(words, np.array([[50.0, 1, 0, 9, 0], [0, 1, 1, 0, 1]]), 3, 0.0, 4.0)
+    code = {w: model.codes([w])[0][1] for w in "anfos"}
+    one = dict(zip((model.orders[0].keys & np.uint64((1 << toxicity.BITS) - 1)).tolist(), zip(model.orders[0].pooled, *model.orders[0].own)))
+    assert one[code["a"]] == (3, 2, 2)  # after s, f and p; ordinary texts have s and f, toxic ones f and p
+    assert one[code["n"]] == (1, 1, 1) and one[code["s"]] == (1, 1, 0)
+    assert one[code["f"]] == (3, 2, 3)  # after FIRST, o and f; only toxic texts have ff
+    pair, ((first, _), (two, _), _) = model.orders[1], model.keys(*model.codes(["san"]), 3)
+    at = np.searchsorted(pair.keys, two)
+    assert pair.pooled[at[:3]].tolist() == [50, 1, 3]  # s begins the word: texts; sa: once; an: after s, f and p
+
+
+def test_toxicity_tells_all_characters_apart():
+    import numpy as np
+    signs = [chr(0x4E00 + i) for i in range(3000)]
+    model = toxicity._count(signs, np.ones((2, 3000)), 3, 2.0, 4.0)
+    assert len(set(model.codes(signs)[0].tolist())) == 3002 and len(model.orders[1].keys) == 6000
+
+
+def test_toxicity_keeps_clean_and_unfamiliar_texts(spark, odd):
+    held = fold(F.col("doc_id"), 5) == 0
+    sf = "/root/testdata/sf0.1"
+    labelled = documents(spark, sf).join(table(spark, sf, "labels").select("doc_id", "toxic"), "doc_id")
+    model = toxicity.fit(labelled.where(~held))
+    clean = toxicity.toxicity(labelled.where(held).where("toxic = 0"), model).collect()
+    assert sum(r.score >= 0.5 for r in clean) / len(clean) < 0.03
+    assert all(0 <= r.score < 0.5 for r in toxicity.toxicity(odd, model).collect())
+
+
 def test_lm_against_brute_force(spark, odd, none):
     docs = documents(spark, "/root/testdata/sf0.001").union(odd).withColumn("held_out", fold(F.col("doc_id"), 10) == 0)
     got = lm_score(docs.selectExpr("*", "1 as block", "2 as score"), "held_out", mass=20.0, block_bytes=30_000, bucket_bytes=50_000).collect()
