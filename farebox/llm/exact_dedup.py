@@ -21,6 +21,7 @@ replaced.
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -36,15 +37,42 @@ def normalised(text: Column) -> Column:
 
 
 class DigestIndex:
-    """A bucketed table of digests in ``path``, known to the session's catalog as ``name``."""
+    """A bucketed table of digests in ``path``, known to the session's catalog as ``name``.
+
+    The files outlive the session: one that doesn't know the table registers it
+    from them.  ``buckets`` holds for a new index only; the number is kept in
+    ``path`` + "-buckets", since files dealt to one number can't be read as another.
+    Without ``name`` the name follows from the path, so all sessions use the same.
+    """
 
     def __init__(self, spark: SparkSession, path: str, name: str | None = None, buckets: int = 64) -> None:
-        self.spark, self.path, self.buckets = spark, path.rstrip("/"), buckets
-        self.name = name or f"digest_index_{uuid.uuid4().hex[:12]}"
+        self.spark, self.path = spark, path.rstrip("/")
+        self.name = name or f"digest_index_{hashlib.sha256(self.path.encode()).hexdigest()[:16]}"
+        beside = f"{self.path}-buckets"
+        if self._files(beside):
+            self.buckets = spark.read.schema("buckets int").json(beside).first()["buckets"]
+        elif self._files(self.path):
+            raise ValueError(f"{self.path} has files but {beside} has none: the index's number of buckets isn't known")
+        else:
+            self.buckets = buckets
+            spark.range(1).select(F.lit(buckets).alias("buckets")).coalesce(1).write.mode("overwrite").json(beside)
+
+    def _files(self, folder: str) -> bool:
+        """Whether Spark has written part files there, in any store that Spark reads."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/part-*")
+        return bool(path.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).globStatus(path))
 
     def table(self) -> DataFrame | None:
         """The index, or None before the first batch."""
-        return self.spark.table(self.name) if self.spark.catalog.tableExists(self.name) else None
+        if self.spark.catalog.tableExists(self.name):
+            self.spark.catalog.refreshTable(self.name)  # another session may have appended
+        elif self._files(self.path):
+            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in self.spark.read.parquet(self.path).schema)
+            self.spark.sql(f"CREATE TABLE {self.name} ({columns}) USING parquet CLUSTERED BY (digest) SORTED BY (digest) "
+                           f"INTO {self.buckets} BUCKETS LOCATION '{self.path}'")
+        else:
+            return None
+        return self.spark.table(self.name)
 
     def new(self, groups: DataFrame) -> DataFrame:
         """The groups whose digest isn't in the index."""
@@ -52,6 +80,7 @@ class DigestIndex:
         return groups if index is None else groups.join(index.select("digest").hint("merge"), "digest", "left_anti")
 
     def append(self, groups: DataFrame) -> None:
+        self.table()  # appending to files that the catalog doesn't know would overwrite them
         (groups.repartition(self.buckets, "digest").sortWithinPartitions("digest")
          .write.mode("append").format("parquet").option("path", self.path)
          .bucketBy(self.buckets, "digest").sortBy("digest").saveAsTable(self.name))

@@ -3,7 +3,10 @@
 import hashlib
 import random
 import re
+import subprocess
+import sys
 from collections import defaultdict
+from pathlib import Path
 
 from farebox.llm.exact_dedup import Batch, DigestIndex
 from farebox.llm.near_dup import near_duplicates
@@ -102,3 +105,28 @@ def test_exact_dedup_and_its_index(spark, folder):
     assert "SortMergeJoin" in plan and "Python" not in plan
     third = Batch(spark.createDataFrame([], "doc_id long, text string"), index, f"{folder}/3")
     assert third.verdicts().collect() == [] and third.kept().collect() == []
+
+
+EARLIER = """
+import sys
+from pyspark.sql import SparkSession
+from farebox.llm.exact_dedup import Batch, DigestIndex
+folder = sys.argv[1]
+spark = (SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false")
+         .config("spark.sql.shuffle.partitions", "2").getOrCreate())
+docs = spark.createDataFrame([(1, "a b"), (2, "c"), (3, None)], "doc_id long, text string")
+Batch(docs, DigestIndex(spark, f"{folder}/index", buckets=4), f"{folder}/earlier").kept().collect()
+"""
+
+
+def test_digest_index_outlives_its_session(spark, folder):
+    """Another process makes the index; this session finds its texts and appends to them."""
+    subprocess.run([sys.executable, "-c", EARLIER, folder], check=True, timeout=120, cwd=Path(__file__).parents[2])
+    index = DigestIndex(spark, f"{folder}/index")
+    assert index.buckets == 4 and index.table().count() == 3
+    later = Batch(spark.createDataFrame([(10, "ab"), (11, "new"), (12, "")], "doc_id long, text string"), index, f"{folder}/later")
+    assert {(r.doc_id, r.keep_id, r.kept) for r in later.verdicts().collect()} == {(10, 1, False), (11, 11, True), (12, 3, False)}
+    assert [r.doc_id for r in later.kept().collect()] == [11]
+    assert sorted(r.keep_id for r in index.table().collect()) == [1, 2, 3, 11]
+    plan = index.new(later.held.select("digest"))._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and plan.count("Exchange") == 1  # of the batch only: the registered table keeps its buckets
