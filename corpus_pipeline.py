@@ -12,7 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from farebox.llm.common import fold, scratch, ship, table
+from farebox.llm.common import fold, scratch, ship, store, table
 from farebox.llm.exact_dedup import Batch, DigestIndex
 from farebox.llm.line_quality import quality_rules
 from farebox.llm.near_dup import near_duplicates
@@ -49,11 +49,15 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: five-word shingles, similarity 0.8 or more."""
+    """One row of each group of near duplicates (five-word shingles, similarity 0.8 or more): that with the least doc_id, null last."""
     ship(spark)
-    groups = near_duplicates(docs, scratch(spark, "near-dup"), percent=80, width=5)
-    dropped = groups.where("not kept").select("doc_id").distinct()
-    return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
+    folder = scratch(spark, "near-dup")
+    # by row number, so that of two texts with one doc_id each has its own verdict
+    rows = store(_carried(docs).withColumn("number", F.monotonically_increasing_id()), f"{folder}/rows")
+    groups = near_duplicates(rows.select(F.col("number").alias("doc_id"), "text"), f"{folder}/groups", percent=80, width=5)
+    member = rows.select("doc_id", "number").join(groups.select(F.col("doc_id").alias("number"), "component_id"), "number")
+    stay = member.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "number"))["number"].alias("number"))
+    return _restored(rows.join(stay, "number", "left_semi"), docs)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -38,3 +38,12 @@ def test_stages_on_an_empty_table(spark):
     for name, stage in corpus_pipeline.STAGES:
         out = stage(spark, docs, sf)
         assert out.count() == 0, name
+
+
+def test_near_dedup_keeps_another_text_of_the_same_doc_id(spark):
+    one, other = (" ".join(f"{c}{i}" for i in range(60)) for c in "ab")
+    rows = [(1, one, "x"), (2, one + " more", "x"), (2, other, "y"), (3, "short", "z"), (None, one + " end", "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, number string")
+    left = corpus_pipeline.near_dedup(spark, docs, "")
+    assert left.columns == docs.columns
+    assert sorted(map(tuple, left.collect())) == [rows[0], rows[2], rows[3]]
