@@ -39,6 +39,7 @@ UNLIKELY = frozenset("""ad ads adv advert adverts advertisement advertising adse
 CLOSES = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
           "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}),
           "option": ({"option"}, {"select"})}
+TABLE = frozenset(("table", "tbody", "thead", "tfoot", "tr", "td", "th"))
 HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
 PARAGRAPHS = frozenset(("p", "pre", "td", "blockquote", "li", "dd"))
 
@@ -97,9 +98,10 @@ def parse(html: str) -> Element:
                 if tag in skipped:
                     while skipped.pop() != tag:
                         pass
-                elif tag in ("body", "html"):
-                    skipped.clear()
-                continue
+                    continue
+                if not _ends_skip(tag, skipped, top):
+                    continue
+                skipped.clear()  # the end of an open ancestor, or of the page
             place = top
             while place is not None and place.tag != tag:
                 place = place.parent if not (tag not in BLOCK and place.tag in BLOCK) else None
@@ -114,6 +116,8 @@ def parse(html: str) -> Element:
                 break
             at = lower.find(">", end) + 1 or n
             continue
+        if skipped:
+            _imply_ends(tag, skipped, top)
         if tag in VOID:
             if not skipped and tag in ("br", "hr"):
                 top.children.append(" " if tag == "br" else Element("hr", top))
@@ -143,6 +147,48 @@ def parse(html: str) -> Element:
     return root
 
 
+def _imply_ends(tag: str, skipped: list[str], top: Element) -> None:
+    """Ends what the start of ``tag`` ends inside a left-out element; that itself, or an ancestor, may be among it."""
+    if tag in BLOCK:
+        for k in range(len(skipped) - 1, -1, -1):
+            if skipped[k] == "p":
+                del skipped[k:]
+            if k >= len(skipped) or skipped[k] in BLOCK:
+                break
+        else:
+            if _close_paragraph(top) is not top:
+                skipped.clear()
+    if skipped and tag in CLOSES:
+        which, scope = CLOSES[tag]
+        first = len(skipped)
+        for k in range(len(skipped) - 1, -1, -1):
+            if skipped[k] in scope:
+                break
+            if skipped[k] in which:
+                first = k
+        else:
+            inner = tag in ("li", "dt", "dd") and any(x in BLOCK and x not in ("address", "div", "p") for x in skipped)
+            if first == len(skipped) and not inner and _close(top, which, scope) is not top:
+                first = 0
+        del skipped[first:]
+
+
+def _ends_skip(tag: str, skipped: list[str], top: Element) -> bool:
+    """Whether an end tag belongs to an open ancestor of the left-out element."""
+    if tag in ("body", "html"):
+        return True
+    if "table" in skipped or tag not in TABLE and any(x in ("td", "th", "caption") for x in skipped):
+        return False  # cells are closed to other end tags
+    if tag == "li" and any(x in CLOSES["li"][1] for x in skipped):
+        return False
+    if tag not in BLOCK and any(x in BLOCK for x in skipped):
+        return False
+    place = top
+    while place is not None and place.tag != tag:
+        place = place.parent if not (tag not in BLOCK and place.tag in BLOCK) else None
+    return place is not None and place.parent is not None
+
+
 def _close_paragraph(top: Element) -> Element:
     place = top
     while place is not None and place.tag != "p":

@@ -90,6 +90,24 @@ def test_main_text(html, text):
     assert main_text(html) == text
 
 
+@pytest.mark.parametrize("html, text", [
+    ("<body><div><p class=byline>By X<p>one two<p>three</div><p>four", "one two\nthree\nfour"),
+    ("<body><div><p class=byline>By <b>X<hr>one two</div>", "one two"),
+    ("<ul><li class=share>Share<li>one<li>two</ul><p>three", "one\ntwo\nthree"),
+    ("<ul><li>one <span class=share>Share<li>two</ul>", "one\ntwo"),
+    ("<p>one <span class=share>Share<p>two", "one\ntwo"),
+    ("<dl><dt class=share>Share<dd>one</dl><p>two", "one\ntwo"),
+    ("<table><tr class=ad><td>Buy<tr><td>one</table><p>two", "one\ntwo"),
+    ("<article><div><span class=share>Share</div><p>one</article><p>two", "one\ntwo"),
+    # these don't end it
+    ("<div><div class=share><ul><li>a<li>b</ul><p>c<p>d</span></li></div><p>one</div>", "one"),
+    ("<ul><li>one<nav><ul><li>a<li>b</ul>c</nav> two<li>three</ul>", "one\ntwo\nthree"),
+    ("<div><table class=ad><tr><td>a</div>b<tr><td>c</table><p>one</div>", "one"),
+])
+def test_left_out_elements_end_where_html_ends_them(html, text):
+    assert main_text(html) == text
+
+
 def test_extract_on_pages(spark):
     pages = table(spark, "/root/testdata/sf0.001", "pages")
     for r in extract(pages.selectExpr("*", "html as source", "'x' as text")).collect():
