@@ -5,8 +5,9 @@ sequence are cut.  Pieces are dealt to groups of bounded size.  A group packs
 its pieces by best-fit decreasing and computes a lower bound of the bins that
 any packing of them needs, from dual-feasible functions.  If the bound equals
 the bins, the group is certified: no packing of these pieces is better.  The
-other groups put the pieces of their emptiest bins into a pool, which is dealt
-to new groups and packed again, until one group is left.
+other groups put the pieces of their emptiest bins into a pool, a certified one
+those of its emptiest bin if that isn't full; the pool is dealt to new groups and
+packed again, until one group is left.
 
 A group holds pieces' numbers, not their text.  Pieces are dealt by a hash of
 the document and piece, salted anew each round, so no source or key makes a
@@ -163,8 +164,8 @@ def pack(pieces: DataFrame, folder: str, capacity: int = 2048, group_rows: int =
             rows["offset"] = places
             rows["sequence_id"] = shift + (int(key[0]) << 24) + bins  # noqa: B023
             loose = np.zeros(len(used), bool)
-            if not (last or certified):  # noqa: B023
-                loose[np.argsort(used, kind="stable")[:loose_bins]] = True
+            if not last:  # noqa: B023  a certified group's rest also goes on, to meet those of the others
+                loose[np.argsort(used, kind="stable")[:1 if certified else loose_bins]] = True
             rows["settled"] = ~(loose & (used < capacity))[bins]
             return rows.drop(columns="grp")
 

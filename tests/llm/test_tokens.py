@@ -129,3 +129,16 @@ def test_packing_on_odd_rows(spark, odd, none, folder):
     assert max(filled.values()) <= 64
     assert len(filled) <= -(-sum(filled.values()) // 64) + 2
     assert pack(pieces(none, WORDS), f"{folder}/b").collect() == []
+
+
+def test_rests_of_certified_groups_meet(spark, folder):
+    r = random.Random(3)
+    lengths = [r.randint(3, 20) for _ in range(6000)]
+    cut = spark.createDataFrame([(i, 0, n) for i, n in enumerate(lengths)], "doc_id long, piece int, length long")
+    rows = pack(cut, folder, capacity=256, group_rows=200).collect()
+    assert sorted(x.length for x in rows) == sorted(lengths)
+    filled = {}
+    for x in sorted(rows, key=lambda x: (x.sequence_id, x.offset)):
+        assert x.offset == filled.get(x.sequence_id, 0)
+        filled[x.sequence_id] = x.offset + x.length
+    assert max(filled.values()) <= 256 and len(filled) <= -(-sum(lengths) // 256) + 1
