@@ -1,6 +1,6 @@
 import os
 
-from conftest import landing_rows, ts
+from landing_helpers import landing_rows, ts
 
 from farebox.plans.build import build
 

@@ -1,4 +1,4 @@
-from conftest import landing_rows, ts
+from landing_helpers import landing_rows, ts
 
 from farebox.operators import checks as chk
 

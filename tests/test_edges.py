@@ -1,6 +1,6 @@
 import datetime as dt
 
-from conftest import landing_rows, ts
+from landing_helpers import landing_rows, ts
 
 from farebox.operators import facts, kpis, marts, silver
 from farebox.operators import forecast as fc

@@ -1,4 +1,4 @@
-from conftest import landing_rows, ts
+from landing_helpers import landing_rows, ts
 
 from farebox.fixtures import fixture_inputs
 from farebox.operators import dimensions as dims

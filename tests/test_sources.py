@@ -2,7 +2,7 @@ import datetime as dt
 import json
 import os
 
-from conftest import landing_rows, ts
+from landing_helpers import landing_rows, ts
 from pyspark.sql import functions as F
 
 from farebox.schemas import LANDING_SCHEMA, MANIFEST_SCHEMA
