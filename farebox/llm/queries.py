@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup
+from . import exact_dedup, filter_audit
 from .bpe import op1_bpe
 from .exact_dedup import op3_exact_dedup
+from .filter_audit import op11_filter_audit
 from .html_extract import op7_html
 from .lang_cnn import op6_language
 from .line_quality import op5_quality
@@ -29,8 +30,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_packing": op8_packing,
     "op9_toxicity": op9_toxicity,
     "op10_lm": op10_lm,
+    "op11_filter_audit": op11_filter_audit,
 }
 
 ORACLES: dict[str, str] = {
     "op3_exact_dedup": exact_dedup.ORACLE,
+    "op11_filter_audit": filter_audit.ORACLE,
 }
