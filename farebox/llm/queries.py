@@ -16,6 +16,7 @@ from .line_quality import op5_quality
 from .ngram_lm import op10_lm
 from .near_dup import op2_near_dup
 from .packing import op8_packing
+from .periodic_runs import op12_periodic_runs
 from .token_store import op4_tokens
 from .toxicity import op9_toxicity
 
@@ -31,6 +32,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_toxicity": op9_toxicity,
     "op10_lm": op10_lm,
     "op11_filter_audit": op11_filter_audit,
+    "op12_periodic_runs": op12_periodic_runs,
 }
 
 ORACLES: dict[str, str] = {
