@@ -126,3 +126,23 @@ def per_text(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
 
 def text_bytes(df: DataFrame, text: str = "text") -> int:
     return df.agg(F.sum(F.octet_length(text))).first()[0] or 0
+
+
+def components(links: DataFrame, folder: str) -> DataFrame:
+    """(rep, comp) of all numbers in the pairs (a, b): comp is the least number that rep is connected with.
+
+    Hooking and pointer jumping; each round is written under ``folder``, a shared one.
+    """
+    both = store(links.select("a", "b").union(links.select("b", "a")).distinct(), f"{folder}/edges")
+    labels = store(both.groupBy(F.col("a").alias("rep")).agg(F.least(F.min("b"), F.first("a")).alias("comp")), f"{folder}/labels-0")
+    step = 0
+    while True:
+        step += 1
+        near = (both.join(labels.withColumnRenamed("rep", "b"), "b").groupBy(F.col("a").alias("rep"))
+                .agg(F.min("comp").alias("near")))
+        hooked = labels.join(near, "rep").select("rep", F.least("comp", "near").alias("hook"), "comp")
+        up = labels.select(F.col("rep").alias("hook"), F.col("comp").alias("jump"))
+        new = store(hooked.join(up, "hook").select("rep", F.least("hook", "jump").alias("new"), "comp"), f"{folder}/labels-{step}")
+        labels = new.select("rep", F.col("new").alias("comp"))
+        if new.where("new != comp").isEmpty():
+            return labels

@@ -12,6 +12,7 @@ from .exact_dedup import op3_exact_dedup
 from .filter_audit import op11_filter_audit
 from .html_extract import op7_html
 from .lang_cnn import op6_language
+from .lattice_join import op13_lattice_join
 from .line_quality import op5_quality
 from .ngram_lm import op10_lm
 from .near_dup import op2_near_dup
@@ -33,6 +34,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_lm": op10_lm,
     "op11_filter_audit": op11_filter_audit,
     "op12_periodic_runs": op12_periodic_runs,
+    "op13_lattice_join": op13_lattice_join,
 }
 
 ORACLES: dict[str, str] = {
