@@ -73,7 +73,7 @@ def nearest_e8(x: np.ndarray) -> np.ndarray:
 def neighbours(x: np.ndarray, point: np.ndarray, probes: int) -> np.ndarray:
     """The ``probes`` lattice points around ``point`` that are nearest to x (rows x probes x 8)."""
     along = (x - point) @ SHORTEST.T
-    nearest = np.argpartition(-along, probes, axis=1)[:, :probes]
+    nearest = np.argpartition(-along, probes - 1, axis=1)[:, :probes]
     return point[:, None, :] + SHORTEST[nearest]
 
 
