@@ -1,5 +1,5 @@
 """Hourly demand forecasting per (service, zone): panel, densify, features,
-temporal split, baseline and MLlib candidates, metrics and model selection.
+temporal split, baseline and tree candidates, metrics and model selection.
 
 Scale notes: every series is one (service, zone) pair — at most
 4 services × 265 zones — and its length is bounded by the calendar span in
@@ -11,17 +11,19 @@ group.  Lags are window functions on the densified series (one shuffle on
 from __future__ import annotations
 
 import math
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from farebox.functions.columns import date_of_key, safe_div
+from farebox.operators.tree_models import GROUP_ROWS, Boosting, ExtraTrees, fit_boosting
 from farebox.schemas import FORECAST_HORIZONS, SERVICES
 
 SERIES = ("service_type", "taxi_zone_key")
 FEATURES = ("lag_origin", "lag_origin_1", "lag_origin_24", "rolling_mean_24",
             "hour_sin", "hour_cos", "weekday_sin", "weekday_cos", "service_code", "zone_code")
-MODEL_ORDER = ("seasonal_naive", "random_forest", "gradient_boosting", "poisson_glm")
+MODEL_ORDER = ("seasonal_naive", "extra_trees", "hist_gradient_boosting", "poisson_glm")
 
 
 def service_code(col: str = "service_type"):
@@ -118,27 +120,31 @@ def densify_hourly(panel: DataFrame, ts_col: str = "target_timestamp") -> DataFr
 
 
 # --- J4: features ----------------------------------------------------------------------------
-def forecast_features(dense: DataFrame, horizon_hours: int, ts_col: str = "target_timestamp") -> DataFrame:
-    """Feature rows for targets at in-series index ≥ 48 (origin = target − h ≥ 24)."""
-    if horizon_hours not in FORECAST_HORIZONS:
+def forecast_features(dense: DataFrame, *horizons: int, ts_col: str = "target_timestamp") -> DataFrame:
+    """Feature rows for targets at in-series index ≥ 48 (origin = target − h ≥ 24), for each horizon.
+
+    All lags of all horizons come from one pass over the series; its rows are
+    then repeated for each horizon.
+    """
+    if not horizons or any(h not in FORECAST_HORIZONS for h in horizons):
         raise ValueError("horizon_hours must be 1 or 24")
-    h = horizon_hours
     w = Window.partitionBy(*SERIES).orderBy(ts_col)
-    roll = w.rowsBetween(-(h + 23), -h)
     two_pi = 2 * math.pi
     hour = F.hour(ts_col).cast("double")
     wday = F.weekday(ts_col).cast("double")
-    feats = dense.select(
+    lags = sorted({h + back for h in horizons for back in (0, 1, 24)} | {24})
+    seen = dense.select(
         *SERIES, ts_col, "demand",
         (F.row_number().over(w) - 1).alias("series_index"),
-        F.lag("demand", h).over(w).alias("lag_origin"),
-        F.lag("demand", h + 1).over(w).alias("lag_origin_1"),
-        F.lag("demand", h + 24).over(w).alias("lag_origin_24"),
-        F.avg("demand").over(roll).alias("rolling_mean_24"),
-        F.lag("demand", 24).over(w).alias("baseline"),
+        *(F.lag("demand", k).over(w).alias(f"lag_{k}") for k in lags),
+        *(F.avg("demand").over(w.rowsBetween(-(h + 23), -h)).alias(f"mean_{h}") for h in horizons),
     )
-    return feats.filter(F.col("series_index") >= 48).select(
-        *SERIES, ts_col, F.lit(h).cast("int").alias("horizon_hours"),
+    by_horizon = F.inline(F.array(*(F.struct(
+        F.lit(h).cast("int").alias("horizon_hours"), F.col(f"lag_{h}").alias("lag_origin"),
+        F.col(f"lag_{h + 1}").alias("lag_origin_1"), F.col(f"lag_{h + 24}").alias("lag_origin_24"),
+        F.col(f"mean_{h}").alias("rolling_mean_24")) for h in horizons)))
+    return seen.filter(F.col("series_index") >= 48).select(*SERIES, ts_col, "demand", "lag_24", by_horizon).select(
+        *SERIES, ts_col, "horizon_hours",
         "lag_origin", "lag_origin_1", "lag_origin_24", "rolling_mean_24",
         F.sin(F.lit(two_pi) * hour / F.lit(24.0)).alias("hour_sin"),
         F.cos(F.lit(two_pi) * hour / F.lit(24.0)).alias("hour_cos"),
@@ -147,7 +153,7 @@ def forecast_features(dense: DataFrame, horizon_hours: int, ts_col: str = "targe
         service_code().alias("service_code"),
         F.col("taxi_zone_key").cast("double").alias("zone_code"),
         F.col("demand").alias("target"),
-        "baseline",
+        F.col("lag_24").alias("baseline"),
     )
 
 
@@ -220,45 +226,45 @@ def _prediction_rows(df: DataFrame, model: str, pred) -> DataFrame:
     )
 
 
-def train_candidates(split_features: DataFrame, num_trees: int = 120, max_iter: int = 120,
-                     seed: int = 42, extra: tuple[str, ...] = (), max_depth: int = 8) -> tuple[DataFrame, dict]:
-    """Fit MLlib random forest and gradient-boosted trees on the train rows.
+def train_candidates(split_features: DataFrame, folder: str, num_trees: int = 120, max_iter: int = 120,
+                     seed: int = 42, extra: tuple[str, ...] = (), group_rows: int = GROUP_ROWS
+                     ) -> tuple[DataFrame, dict[str, ExtraTrees], dict[tuple[str, int], object]]:
+    """Fit extra-trees and histogram boosting on the train rows of every horizon.
 
-    ``extra=("poisson",)`` adds a Poisson GLM with log link (the structured
-    count baseline named in the project plan).  Returns (test predictions of all
-    candidates incl. the seasonal baseline, fitted models by name).
-    Predictions are clipped at 0.
+    ``split_features``: stored rows of one or more horizons.  ``folder``: shared,
+    for the forest's branches.  ``extra=("poisson",)`` adds a Poisson GLM with log
+    link (the structured count baseline named in the project plan).  Returns the
+    test predictions of all candidates, clipped at 0, incl. the seasonal baseline;
+    the forest of all horizons; the other fitted models by name and horizon.
     """
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.regression import GBTRegressor, GeneralizedLinearRegression, RandomForestRegressor
-
-    assembler = VectorAssembler(inputCols=list(FEATURES), outputCol="features")
-    data = assembler.transform(split_features)
-    train = data.filter(F.col("split") == "train")
-    test = data.filter(F.col("split") == "test")
-    estimators = {
-        "random_forest": RandomForestRegressor(labelCol="target", featuresCol="features",
-                                               numTrees=num_trees, minInstancesPerNode=2, seed=seed,
-                                               maxDepth=max_depth, subsamplingRate=1.0),
-        "gradient_boosting": GBTRegressor(labelCol="target", featuresCol="features", maxIter=max_iter,
-                                          stepSize=0.08, maxDepth=5, seed=seed),
-    }
+    train = split_features.filter(F.col("split") == "train")
+    test = split_features.filter(F.col("split") == "test")
+    of = lambda rows, h: rows.filter(F.col("horizon_hours") == h)
+
+    # all horizons together; forest and boosting are independent, so they run as concurrent jobs
+    with ThreadPoolExecutor(max_workers=2) as pool:
+        boosting = pool.submit(fit_boosting, train, FEATURES, "target", "horizon_hours", f"{folder}/boosting",
+                               Boosting(iterations=max_iter, rate=0.08, leaves=31, l2=0.1, seed=seed), group_rows)
+        forest = ExtraTrees(FEATURES, "target", "horizon_hours", f"{folder}/forest", trees=num_trees, min_leaf=2, seed=seed,
+                            group_rows=group_rows).fit(train)
+        fitted = {("hist_gradient_boosting", h): model for h, model in sorted(boosting.result().items())}
+    horizons = [h for _, h in fitted]
+    predicted = [("extra_trees", forest.predict(test))]
+    predicted += [(name, model.predict(of(test, h))) for (name, h), model in fitted.items()]
     if "poisson" in extra:
-        estimators["poisson_glm"] = GeneralizedLinearRegression(
-            labelCol="target", featuresCol="features", family="poisson", link="log",
-            maxIter=50, regParam=1e-4)
-    # the candidates are independent: fit them as concurrent Spark jobs
-    from concurrent.futures import ThreadPoolExecutor
-    with ThreadPoolExecutor(max_workers=len(estimators)) as pool:
-        fitted = dict(zip(estimators, pool.map(lambda e: e.fit(train), estimators.values())))
-    preds = [seasonal_naive(split_features)]
-    for name, model in fitted.items():
-        preds.append(_prediction_rows(model.transform(test), name,
-                                      F.greatest(F.lit(0.0), F.col("prediction"))))
-    out = preds[0]
-    for p in preds[1:]:
-        out = out.unionByName(p)
-    return out, fitted
+        from pyspark.ml.feature import VectorAssembler
+        from pyspark.ml.regression import GeneralizedLinearRegression
+
+        glm = GeneralizedLinearRegression(labelCol="target", featuresCol="features", family="poisson", link="log",
+                                          maxIter=50, regParam=1e-4)
+        assemble = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform
+        for h in horizons:
+            fitted["poisson_glm", h] = glm.fit(assemble(of(train, h)))
+            predicted.append(("poisson_glm", fitted["poisson_glm", h].transform(assemble(of(test, h)))))
+    out = seasonal_naive(split_features)
+    for name, rows in predicted:
+        out = out.unionByName(_prediction_rows(rows, name, F.greatest(F.lit(0.0), F.col("prediction"))))
+    return out, {"extra_trees": forest}, fitted
 
 
 # --- J8-J9: metrics and selection ---------------------------------------------------------
@@ -290,7 +296,7 @@ def forecast_metrics(predictions: DataFrame) -> DataFrame:
 
 def select_model(metrics: DataFrame) -> DataFrame:
     """Adds ``is_selected``: lowest MAE per horizon (NULL last); ties follow the
-    candidate order seasonal_naive, random_forest, gradient_boosting."""
+    candidate order seasonal_naive, extra_trees, hist_gradient_boosting."""
     rank = F.lit(len(MODEL_ORDER))
     for i, m in reversed(list(enumerate(MODEL_ORDER))):
         rank = F.when(F.col("model_name") == m, F.lit(i)).otherwise(rank)

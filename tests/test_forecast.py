@@ -88,12 +88,12 @@ def test_metrics_edge_cases(spark):
 
 
 def test_selection_tie_prefers_candidate_order(spark):
-    met = spark.createDataFrame([("gradient_boosting", 1, 1.0), ("seasonal_naive", 1, 1.0),
-                                 ("random_forest", 1, 1.0), ("random_forest", 24, 0.5),
+    met = spark.createDataFrame([("hist_gradient_boosting", 1, 1.0), ("seasonal_naive", 1, 1.0),
+                                 ("extra_trees", 1, 1.0), ("extra_trees", 24, 0.5),
                                  ("seasonal_naive", 24, None)],
                                 "model_name string, horizon_hours int, mae double")
     sel = {(r["horizon_hours"], r["model_name"]) for r in fc.select_model(met).filter("is_selected").collect()}
-    assert sel == {(1, "seasonal_naive"), (24, "random_forest")}
+    assert sel == {(1, "seasonal_naive"), (24, "extra_trees")}
 
 
 def test_training_run_small(spark, tmp, panel120):
