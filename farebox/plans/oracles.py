@@ -222,18 +222,20 @@ ORACLES.update({
     "densify_hourly": select_from("dense"),
     "forecast_features_1h": select_from("features_1", double_cols=FEATURE_DOUBLES),
     "forecast_features_24h": select_from("features_24", double_cols=FEATURE_DOUBLES),
-    "temporal_split": with_clause("split_24") + """
+    "temporal_split": with_clause("split_1", "split_24") + """
+SELECT service_type, taxi_zone_key, target_timestamp, horizon_hours, split, cutoff FROM split_1
+UNION ALL
 SELECT service_type, taxi_zone_key, target_timestamp, horizon_hours, split, cutoff FROM split_24""",
     "seasonal_naive_predictions": select_from("naive"),
     "forecast_metrics_naive": r6(with_clause("naive_metrics") + """
 SELECT *, row_number() OVER (PARTITION BY horizon_hours ORDER BY mae ASC NULLS LAST) = 1 AS is_selected
 FROM naive_metrics""", ["mae", "rmse", "wape", "r2"]),
-    "forecast_error_by_hour": r6(with_clause("naive_24") + """
+    "forecast_error_by_hour": r6(with_clause("naive") + """
 SELECT model_name, horizon_hours, CAST(extract(hour FROM target_timestamp) AS INTEGER) AS hour,
        count(*) AS sample_count, avg(abs(actual_demand - predicted_demand)) AS mae,
        sum(abs(actual_demand - predicted_demand)) / nullif(sum(abs(actual_demand)), 0) AS wape,
        avg(CASE WHEN actual_demand <> 0 THEN abs(actual_demand - predicted_demand) / abs(actual_demand) END) AS mape
-FROM naive_24 GROUP BY 1, 2, 3""", ["mae", "wape", "mape"]),
+FROM naive GROUP BY 1, 2, 3""", ["mae", "wape", "mape"]),
 })
 
 # --- ingest ------------------------------------------------------------------------------------
@@ -363,7 +365,7 @@ _DASH_SOURCES = {
     "mart_congestion_proxy": ORACLES["mart_congestion_proxy"],
     "mart_profitability_scenario": ORACLES["mart_profitability_scenario"],
     "model_metrics": ORACLES["forecast_metrics_naive"],
-    "predictions": select_from("naive_24"),
+    "predictions": select_from("naive"),
 }
 for _name, (_model, _cols) in DASHBOARD_TABLES.items():
     _c = ", ".join(_cols)
@@ -492,12 +494,12 @@ SELECT h.*, CASE WHEN d.month IN (12, 1, 2) THEN 'winter' WHEN d.month IN (3, 4,
        false AS is_holiday, false AS is_holiday_eve
 FROM hourly h LEFT JOIN dim_date d ON h.date_key = d.date_key""", HOURLY_DOUBLES)
 
-ORACLES["forecast_error_by_service"] = r6(with_clause("naive_1") + """
+ORACLES["forecast_error_by_service"] = r6(with_clause("naive") + """
 SELECT model_name, horizon_hours, service_type AS service,
        count(*) AS sample_count, avg(abs(actual_demand - predicted_demand)) AS mae,
        sum(abs(actual_demand - predicted_demand)) / nullif(sum(abs(actual_demand)), 0) AS wape,
        avg(CASE WHEN actual_demand <> 0 THEN abs(actual_demand - predicted_demand) / abs(actual_demand) END) AS mape
-FROM naive_1 GROUP BY 1, 2, 3""", ["mae", "wape", "mape"])
+FROM naive GROUP BY 1, 2, 3""", ["mae", "wape", "mape"])
 
 # --- round trips, build, control constraints ---------------------------------------------------------
 ORACLES["json_bronze_round_trip"] = with_clause("landing") + """
@@ -526,12 +528,12 @@ ORACLES["hourly_panel_ordered"] = select_from("panel", tail="ORDER BY service_ty
 
 ORACLES["demand_profile_hour"] = _profile("h.hour_key", "hour_key")
 ORACLES["demand_profile_month"] = _profile("d.month", "month")
-ORACLES["forecast_error_by_zone"] = r6(with_clause("naive_24") + """
+ORACLES["forecast_error_by_zone"] = r6(with_clause("naive") + """
 SELECT model_name, horizon_hours, taxi_zone_key AS zone,
        count(*) AS sample_count, avg(abs(actual_demand - predicted_demand)) AS mae,
        sum(abs(actual_demand - predicted_demand)) / nullif(sum(abs(actual_demand)), 0) AS wape,
        avg(CASE WHEN actual_demand <> 0 THEN abs(actual_demand - predicted_demand) / abs(actual_demand) END) AS mape
-FROM naive_24 GROUP BY 1, 2, 3""", ["mae", "wape", "mape"])
+FROM naive GROUP BY 1, 2, 3""", ["mae", "wape", "mape"])
 
 ORACLES["duplicate_profile"] = with_clause("landing") + """
 SELECT service_type, CAST(sum(n) AS BIGINT) AS rows, CAST(count(*) AS BIGINT) AS distinct_keys,

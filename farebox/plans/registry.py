@@ -225,6 +225,7 @@ def q_service_cmp(spark, sf_dir):
 # --- G: data-quality checks ---------------------------------------------------------
 from farebox.operators import checks as chk  # noqa: E402
 from farebox.operators import forecast as fc  # noqa: E402
+from farebox.schemas import FORECAST_HORIZONS  # noqa: E402
 from farebox.schemas import INVALID_REASONS  # noqa: E402
 
 FIXTURE_MIN_HOURS = 24 * 14   # the 30-day fixture has < 720 target hours (FIXTURES.md §Limits)
@@ -338,24 +339,21 @@ def _dense(spark, sf_dir) -> DataFrame:
     return fc.densify_hourly(_panel(Gold(spark, sf_dir))).checkpoint(eager=True)
 
 
-def _split(spark, sf_dir, h, dense: DataFrame | None = None, cutoff=None):
-    dense = dense if dense is not None else _dense(spark, sf_dir)
-    cutoff = cutoff or fc.temporal_cutoff(dense, 0.2, FIXTURE_MIN_HOURS)
-    return fc.temporal_split(fc.forecast_features(dense, h), cutoff)
+def _split(spark, sf_dir) -> DataFrame:
+    """Feature rows of both horizons with their split (one pass over the dense panel, one cutoff)."""
+    dense = _dense(spark, sf_dir)
+    cutoff = fc.temporal_cutoff(dense, 0.2, FIXTURE_MIN_HOURS)
+    return fc.temporal_split(fc.forecast_features(dense, *FORECAST_HORIZONS), cutoff)
 
 
 def _naive_both(spark, sf_dir) -> DataFrame:
-    """Seasonal-baseline test predictions for both horizons (one shared cutoff)."""
-    dense = _dense(spark, sf_dir)
-    cutoff = fc.temporal_cutoff(dense, 0.2, FIXTURE_MIN_HOURS)
-    s24 = _split(spark, sf_dir, 24, dense, cutoff=cutoff)
-    s1 = _split(spark, sf_dir, 1, dense, cutoff=cutoff)
-    return fc.seasonal_naive(s1).unionByName(fc.seasonal_naive(s24))
+    """Seasonal-baseline test predictions for both horizons."""
+    return fc.seasonal_naive(_split(spark, sf_dir))
 
 
 @register("temporal_split")
 def q_split(spark, sf_dir):
-    return _split(spark, sf_dir, 24).select(
+    return _split(spark, sf_dir).select(
         "service_type", "taxi_zone_key", "target_timestamp", "horizon_hours", "split", "cutoff")
 
 
@@ -372,7 +370,7 @@ def q_metrics(spark, sf_dir):
 
 @register("forecast_error_by_hour")
 def q_err_hour(spark, sf_dir):
-    return present(fc.error_breakdown(fc.seasonal_naive(_split(spark, sf_dir, 24)), "hour"))
+    return present(fc.error_breakdown(_naive_both(spark, sf_dir), "hour"))
 
 
 # --- A: ingest, inventory and control tables -------------------------------------------
@@ -510,15 +508,31 @@ def q_stream(spark, sf_dir):
         F.count("total_amount").alias("amounts"))
 
 
-# --- J7/J10/J11: MLlib training run on the fixture's gold panel -----------------------------
-@register("forecast_training_run")
-def q_training(spark, sf_dir):
+# --- J7/J10/J11: training run on the fixture's gold panel -----------------------------------
+def _trained(spark, sf_dir) -> str:
+    """Folder of a training run with all candidates and both horizons."""
     import uuid
     from farebox.plans.training import train_demand
     out = f"{checkpoint_dir(spark).rstrip('/')}/ml-{uuid.uuid4().hex}"
     train_demand(spark, out, mode="full", panel=_panel(Gold(spark, sf_dir)),
-                 min_hours=FIXTURE_MIN_HOURS)
-    return spark.read.parquet(f"{out}/model_metrics").drop("model_run_id")
+                 min_hours=FIXTURE_MIN_HOURS, extra_candidates=("poisson",))
+    return out
+
+
+@register("forecast_training_run")
+def q_training(spark, sf_dir):
+    return spark.read.parquet(f"{_trained(spark, sf_dir)}/model_metrics").drop("model_run_id")
+
+
+@register("forecast_predictions")
+def q_predictions(spark, sf_dir):
+    """Stored test predictions of every candidate and horizon."""
+    return spark.read.parquet(f"{_trained(spark, sf_dir)}/predictions").drop("model_run_id")
+
+
+@register("forecast_error_all_models")
+def q_err_models(spark, sf_dir):
+    return fc.error_breakdown(spark.read.parquet(f"{_trained(spark, sf_dir)}/predictions"), "hour")
 
 
 # --- H: presentation --------------------------------------------------------------------------
@@ -537,7 +551,7 @@ def _dash(name: str):
         if model == "model_metrics":
             src = present(fc.select_model(fc.forecast_metrics(_naive_both(spark, sf_dir))))
         elif model == "predictions":
-            src = fc.seasonal_naive(_split(spark, sf_dir, 24))
+            src = _naive_both(spark, sf_dir)
         else:
             src = _mart(g, model)
         return pres.dashboard_table(name, src)
@@ -639,7 +653,7 @@ def q_calendar(spark, sf_dir):
 
 @register("forecast_error_by_service")
 def q_err_service(spark, sf_dir):
-    return present(fc.error_breakdown(fc.seasonal_naive(_split(spark, sf_dir, 1)), "service"))
+    return present(fc.error_breakdown(_naive_both(spark, sf_dir), "service"))
 
 
 # --- A3 / A10 / A13-A14 / G10 as queries over the driver tables ---------------------------------
@@ -717,7 +731,7 @@ def q_profile_month(spark, sf_dir):
 
 @register("forecast_error_by_zone")
 def q_err_zone(spark, sf_dir):
-    return present(fc.error_breakdown(fc.seasonal_naive(_split(spark, sf_dir, 24)), "zone"))
+    return present(fc.error_breakdown(_naive_both(spark, sf_dir), "zone"))
 
 
 @register("duplicate_profile")
