@@ -128,3 +128,40 @@ def monthly_file_manifest(landing: DataFrame, status: str, run_id: str,
         F.lit(None).cast("timestamp").alias("updated_at"),
     )
     return out.select([F.col(f.name).cast(f.dataType) for f in MANIFEST_SCHEMA.fields])
+
+
+def daily_file_events(landing: DataFrame) -> DataFrame:
+    """File events of one made-up file a service and pickup day with n trips: 1 + n % 4
+    attempts an hour apart from the day's first pickup on, all but the last failed; the
+    last one fails too where n % 5 = 0, else it goes on to PROCESSED."""
+    days = landing.filter("pickup_datetime IS NOT NULL").groupBy("service_type", F.to_date("pickup_datetime").alias("day")).agg(
+        F.count(F.lit(1)).alias("n"), F.min("pickup_datetime").cast("timestamp").alias("first_at"))
+    tries = days.select("*", F.explode(F.sequence(F.lit(0), (F.col("n") % 4).cast("int"))).alias("k"))
+    ok = (F.col("k") == F.col("n") % 4) & (F.col("n") % 5 != 0)
+    step = lambda status, minute: F.struct(F.lit(status).alias("status"), F.lit(minute).alias("minute"))
+    steps = F.when(ok, F.array(step("DOWNLOADING", 0), step("DOWNLOADED", 20), step("VALIDATED", 30), step("PROCESSED", 40))) \
+        .otherwise(F.array(step("DOWNLOADING", 0), step("FAILED", 10)))
+    e = tries.select("*", F.inline(steps))
+    done = F.col("status").isin("DOWNLOADED", "VALIDATED", "PROCESSED")
+    return e.select(
+        F.lit("tlc").alias("source_kind"), "service_type", F.year("day").cast("short").alias("year"), F.month("day").cast("short").alias("month"),
+        F.concat("service_type", F.lit("_tripdata_"), F.date_format("day", "yyyy-MM-dd"), F.lit(".parquet")).alias("filename"), "status",
+        F.concat(F.lit("run-"), F.col("k")).alias("run_id"),
+        (F.col("first_at") + F.make_dt_interval(hours=F.col("k"), mins=F.col("minute"))).alias("event_at"),
+        F.when(done, F.sha2(F.concat_ws("|", "service_type", F.col("day").cast("string"), F.col("n").cast("string")), 256)).alias("sha256"),
+        F.when(done, F.col("n") * 100).alias("size_bytes"), F.when(F.col("status") == "PROCESSED", F.col("n")).alias("row_count"),
+        F.when(F.col("status") == "FAILED", F.concat(F.lit("attempt "), F.col("k"))).alias("error_message"))
+
+
+def daily_run_records(landing: DataFrame) -> DataFrame:
+    """Append-only run records of one run a pickup day: RUNNING at its first pickup; where the day's
+    number isn't a multiple of 5, a last record at its last pickup, FAILED where it is one of 3."""
+    days = landing.filter("pickup_datetime IS NOT NULL").groupBy(F.to_date("pickup_datetime").alias("day")).agg(
+        F.min("pickup_datetime").cast("timestamp").alias("a"), F.max("pickup_datetime").cast("timestamp").alias("b"))
+    number = F.dayofmonth("day")
+    record = lambda status, at: F.struct(status.alias("status"), at.alias("recorded_at"))
+    running = record(F.lit("RUNNING"), F.col("a"))
+    last = record(F.when(number % 3 == 0, "FAILED").otherwise("SUCCEEDED"), F.col("b"))
+    run = F.concat(F.lit("run-"), F.date_format("day", "yyyyMMdd"))
+    return days.select(run.alias("run_id"), F.lit("python").alias("orchestrator"), F.lit("full").alias("mode"),
+                       F.inline(F.when(number % 5 == 0, F.array(running)).otherwise(F.array(running, last))))

@@ -70,11 +70,10 @@ def run_history(runs: DataFrame) -> DataFrame:
              ).orderBy(F.desc("started_at"))
 
 
-def recent_files(manifest: DataFrame, k: int = 50) -> DataFrame:
-    """File states, most recently updated first (top-k)."""
-    cols = [c for c in ("service_type", "filename", "status", "retry_count", "last_attempt_at")
-            if c in manifest.columns]
-    return manifest.orderBy(F.col("updated_at").desc_nulls_last(), "filename").limit(k).select(*cols)
+def recent_files(states: DataFrame, k: int = 50) -> DataFrame:
+    """File states (of :func:`farebox.sources.file_states.current_states`), most recently updated first (top-k)."""
+    return (states.orderBy(F.col("updated_at").desc_nulls_last(), "filename").limit(k)
+            .select("service_type", "filename", "status", "retry_count", "last_attempt_at"))
 
 
 def ordered_panel(panel: DataFrame, ts_col: str = "target_timestamp") -> DataFrame:

@@ -40,9 +40,14 @@ def present(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     return df.select([floor_round(c).alias(c) if c in targets else F.col(c) for c in df.columns])
 
 
+def without_zone(df: DataFrame) -> DataFrame:
+    """Timestamps as they read in the session's time zone."""
+    return df.select([F.col(f.name).cast("timestamp_ntz").alias(f.name) if isinstance(f.dataType, T.TimestampType) else F.col(f.name)
+                      for f in df.schema.fields])
+
+
 # Fixture input plans per (session, folder): DataFrames are immutable plans, so
-# reusing them across queries only saves driver-side file listing and lets the
-# remembered dimension size check apply across queries (no data is cached).
+# reusing them across queries only saves driver-side file listing (no data is cached).
 _SHARED: dict[tuple[int, str, str], DataFrame] = {}
 
 
@@ -377,6 +382,8 @@ def q_err_hour(spark, sf_dir):
 from farebox import fixtures as fx  # noqa: E402
 from farebox.schemas import DEFAULT_BASE_URL, MANIFEST_SCHEMA, SERVICES  # noqa: E402
 from farebox.sources import bronze as br  # noqa: E402
+from farebox.sources import file_states as fst  # noqa: E402
+from farebox.sources import files as fl  # noqa: E402
 from farebox.sources import inventory as inv  # noqa: E402
 from farebox.sources import landing as ld  # noqa: E402
 
@@ -462,15 +469,37 @@ def q_digests(spark, sf_dir):
     return br.file_digests(spark, f"{sf_dir.rstrip('/')}/*.parquet")
 
 
+def _put(spark: SparkSession, path: str, data: bytes) -> None:
+    """Writes a small file of any content through the file system that Spark uses."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    stream = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(target)
+    stream.write(bytearray(data))
+    stream.close()
+
+
+def _scratch(spark: SparkSession, name: str) -> str:
+    import uuid
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 @register("validate_bronze")
 def q_validate(spark, sf_dir):
+    """Verdicts on Bronze folders of which some hold an unreadable, an empty, a row-less or an incomplete file."""
+    base = _scratch(spark, "bronze-validate")
     land = Gold(spark, sf_dir).landing
-    parts = [br.validate_bronze(br.raw_frame(land, s), s, s, 2024, 1, f"{s}_tripdata_2024-01.parquet")
-             .select(F.lit(s).alias("service_type"), "*") for s in SERVICES]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    raw = {s: br.raw_frame(land, s).drop(*_PROVENANCE) for s in SERVICES}
+    for s in SERVICES:
+        br.write_bronze(raw[s], base, s, 2024, 1)
+    br.write_bronze(raw["green"].filter("false"), base, "green", 2024, 2)
+    br.write_bronze(raw["fhvhv"].drop("DOLocationID"), base, "fhvhv", 2024, 2)
+    br.write_bronze(raw["yellow"], base, "yellow", 2024, 12)
+    _put(spark, f"{br.bronze_path(base, 'yellow', 2024, 2)}/empty.parquet", b"")
+    _put(spark, f"{br.bronze_path(base, 'yellow', 2024, 3)}/broken.parquet", b"PAR1 no footer PAR1")
+    inspected = fl.inspect_files(fl.list_files(spark, base)).checkpoint(eager=True)
+    verdicts = fl.validate_files(inspected, fl.pickup_months(spark, inspected))
+    return verdicts.join(inspected.select("file_path", "service_type", "year", "month", "num_rows"), "file_path") \
+        .groupBy("service_type", "year", "month", "check_name", "status").agg(F.sum("num_rows").alias("num_rows"))
 
 
 @register("landing_load_summary")
@@ -482,30 +511,49 @@ def q_landing_summary(spark, sf_dir):
 
 
 # --- K1 / A3-A4: Bronze files → streaming landing ingest ---------------------------------
+_PROVENANCE = ("source_kind", "source_file_id", "source_filename", "source_row_number", "loaded_at")
+
+
 @register("bronze_stream_ingest")
 def q_stream(spark, sf_dir):
-    """Write each service's rows as Bronze Parquet files (service/year/month),
-    stream them into a fresh landing table twice (the rerun must add nothing),
-    and return the landed rows.  Scratch lives under spark.checkpoint.dir."""
-    import uuid
+    """Every service's rows as Bronze files of two schemas (other column names and types, as strings), one half delivered
+    twice in two folders; streamed into a fresh landing table twice.  Returns the landed rows: each trip once."""
     from farebox.streaming.ingest import ingest_landing_stream
-    base = f"{checkpoint_dir(spark).rstrip('/')}/bronze-stream-{uuid.uuid4().hex}"
+    base = _scratch(spark, "bronze-stream")
     land = Gold(spark, sf_dir).landing
     for s in SERVICES:
-        raw = br.raw_frame(land, s).drop("source_kind", "source_file_id", "source_filename",
-                                         "source_row_number", "loaded_at")
-        br.write_bronze(raw, f"{base}/bronze", s, 2024, 1, on_conflict="ignore")
-    total = 0
+        names = br.COLUMN_ALIASES[s]
+        even = F.col("source_row_number") % 2 == 0
+        # rows dealt by number and sorted, so that both deliveries write the same bytes
+        first = br.raw_frame(land.filter(even), s).repartition(4, "source_row_number").sortWithinPartitions("source_row_number").drop(*_PROVENANCE)
+        other = land.filter((F.col("service_type") == s) & ~even).select(
+            *(F.col(c).cast("string").alias(names[c][-1].upper()) for c in reversed(names)), F.lit(1).alias("ingest_note"))
+        br.write_bronze(first, f"{base}/bronze", s, 2024, 1)
+        br.write_bronze(first, f"{base}/bronze", s, 2024, 2)
+        br.write_bronze(other, f"{base}/bronze", s, 2024, 3)
     for _ in range(2):
-        for s in SERVICES:
-            total += ingest_landing_stream(spark, f"{base}/bronze/{s}", s, f"{base}/landing",
-                                           f"{base}/checkpoints/{s}", source_kind="demo")
-    out = spark.read.parquet(f"{base}/landing")
-    return out.groupBy("service_type").agg(
-        F.count(F.lit(1)).alias("landing_rows"),
-        F.count_distinct("source_file_id", "source_row_number").alias("distinct_keys"),
-        F.count("pickup_datetime").alias("pickups"),
-        F.count("total_amount").alias("amounts"))
+        ingest_landing_stream(spark, f"{base}/bronze", f"{base}/landing", f"{base}/checkpoint", source_kind="demo")
+    return spark.read.parquet(f"{base}/landing").select(
+        "source_kind", "service_type", "pickup_datetime", "dropoff_datetime", "pickup_location_id", "dropoff_location_id",
+        "trip_distance", "total_amount")
+
+
+@register("bronze_content_identity")
+def q_content_identity(spark, sf_dir):
+    """Of the same deliveries: how many files' contents landed under how many names, and the rows by file."""
+    base = _scratch(spark, "bronze-identity")
+    land = Gold(spark, sf_dir).landing
+    for s in SERVICES:
+        rows = br.raw_frame(land, s).repartition(4, "source_row_number").sortWithinPartitions("source_row_number").drop(*_PROVENANCE)
+        for month in (1, 2, 3):
+            br.write_bronze(rows, f"{base}/bronze", s, 2024, month)
+    from farebox.streaming.ingest import ingest_files
+    for _ in range(2):   # as when a batch is repeated after a crash
+        ingest_files(spark, fl.list_files(spark, f"{base}/bronze"), f"{base}/landing", "demo", events_path=f"{base}/events")
+    landed = spark.read.parquet(f"{base}/landing").groupBy("service_type").agg(F.count(F.lit(1)).alias("landing_rows"))
+    events = fst.read_events(spark, f"{base}/events").groupBy("service_type").agg(
+        F.count_distinct("year", "month").alias("deliveries"), (F.count("sha256") / F.count_distinct("sha256")).cast("long").alias("names_a_content"))
+    return landed.join(events, "service_type")
 
 
 # --- J7/J10/J11: training run on the fixture's gold panel -----------------------------------
@@ -562,10 +610,33 @@ for _name in pres.DASHBOARD_TABLES:
     register(f"dashboard_{_name}")(_dash(_name))
 
 
+@register("file_states")
+def q_file_states(spark, sf_dir):
+    return without_zone(fst.current_states(fx.daily_file_events(Gold(spark, sf_dir).landing)))
+
+
+@register("files_to_fetch")
+def q_files_to_fetch(spark, sf_dir):
+    """What to do with every file that has a state, and with those of the following month."""
+    states = fst.current_states(fx.daily_file_events(Gold(spark, sf_dir).landing))
+    asked = states.select("source_kind", "service_type", "year", "month", "filename")
+    later = asked.withColumn("month", (F.col("month") + 1).cast("short"))
+    return fst.files_to_fetch(asked.unionByName(later), states, max_retries=2)
+
+
 @register("recent_files")
 def q_recent(spark, sf_dir):
-    run1, run2 = _manifests(Gold(spark, sf_dir))
-    return pres.recent_files(ld.upsert_manifest(run2, run1))
+    return without_zone(pres.recent_files(fst.current_states(fx.daily_file_events(Gold(spark, sf_dir).landing))))
+
+
+@register("run_history")
+def q_run_history(spark, sf_dir):
+    return without_zone(pres.run_history(fx.daily_run_records(Gold(spark, sf_dir).landing)))
+
+
+@register("latest_model_status")
+def q_latest_model(spark, sf_dir):
+    return pres.latest_model_status(fx.daily_run_records(Gold(spark, sf_dir).landing).withColumnRenamed("run_id", "model_run_id"))
 
 
 # --- T: second-tier analytics -----------------------------------------------------------------

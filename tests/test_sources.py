@@ -132,20 +132,6 @@ def test_dedupe_is_deterministic(spark):
     assert [r["total_amount"] for r in ld.dedupe_on_key(a).collect()] == [2.0]
 
 
-def test_stream_ingest_twice_adds_nothing(spark, tmp):
-    from farebox.streaming.ingest import ingest_landing_stream
-    raw = spark.createDataFrame(
-        [(dt.datetime(2024, 1, 15, 8), dt.datetime(2024, 1, 15, 8, 18), 161, 236, 3.4, 24.5)] * 3,
-        "tpep_pickup_datetime timestamp_ntz, tpep_dropoff_datetime timestamp_ntz, PULocationID long, "
-        "DOLocationID long, trip_distance double, total_amount double")
-    br.write_bronze(raw, os.path.join(tmp, "bronze"), "yellow", 2024, 1)
-    args = (spark, os.path.join(tmp, "bronze", "yellow"), "yellow", os.path.join(tmp, "landing"),
-            os.path.join(tmp, "ckpt"))
-    assert ingest_landing_stream(*args) == 3
-    assert ingest_landing_stream(*args) == 0
-    assert spark.read.parquet(os.path.join(tmp, "landing")).count() == 3
-
-
 def test_inventory_actions(spark):
     existing = _manifest(spark, [dict(file_id=1, status="PROCESSED")])
     inv_df = inv.trip_file_inventory(spark, "2024-01-01", "2024-02-01", "yellow")
