@@ -8,18 +8,19 @@ with the same row semantics as the generic SQL tests they mirror:
 * accepted_values — grouped values outside the list (NULL passes), with ``n_records``
 * relationships   — child rows whose non-NULL key has no parent row
 
-:func:`run_checks` evaluates a whole suite and returns one row per check
-(``failures`` = failing rows, ``status`` PASS/FAIL).  All not_null checks of a
-model fold into a single aggregation pass; uniqueness uses a partially
-aggregated ``groupBy`` (skew-safe: a hot key ships one row per map task);
-relationships are anti-joins whose physical form Spark picks from statistics.
+:func:`run_checks` evaluates a whole suite with one scan of each model and one
+shuffle in all: a model's rows are turned into (check, key) pairs of all checks
+that read it (as child or as parent), and a partially aggregated count by pair
+answers every check.  A pair that a third of all rows share ships one row a map
+task.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -53,14 +54,25 @@ def check_relationships(child: DataFrame, column: str, parent: DataFrame, field_
             .join(keys, F.col("from_field") == F.col("to_field"), "left_anti"))
 
 
+def negative_measures() -> Column:
+    return (F.col("duration_minutes") < 0) | (F.col("trip_distance") < 0) | (F.col("average_speed_mph") < 0)
+
+
+def inconsistent_counts() -> Column:
+    return ((F.col("trip_count") <= 0) | (F.col("revenue_observation_count") < 0)
+            | (F.col("revenue_observation_count") > F.col("trip_count")))
+
+
+def negative_duration() -> Column:
+    return F.col("duration_minutes") < 0
+
+
 def check_non_negative_measures(fact_trip: DataFrame) -> DataFrame:
-    return fact_trip.filter((F.col("duration_minutes") < 0) | (F.col("trip_distance") < 0)
-                            | (F.col("average_speed_mph") < 0))
+    return fact_trip.filter(negative_measures())
 
 
 def check_gold_counts(hourly: DataFrame) -> DataFrame:
-    return hourly.filter((F.col("trip_count") <= 0) | (F.col("revenue_observation_count") < 0)
-                         | (F.col("revenue_observation_count") > F.col("trip_count")))
+    return hourly.filter(inconsistent_counts())
 
 
 def check_totals_reconcile(trips: DataFrame, daily: DataFrame) -> DataFrame:
@@ -80,7 +92,7 @@ def check_totals_reconcile(trips: DataFrame, daily: DataFrame) -> DataFrame:
 
 
 def check_non_negative_duration(trips: DataFrame) -> DataFrame:
-    return trips.filter(F.col("duration_minutes") < 0).select("trip_id")
+    return trips.filter(negative_duration()).select("trip_id")
 
 
 # --- suites ------------------------------------------------------------------------
@@ -128,14 +140,16 @@ class Suite:
         return self
 
 
-SINGULAR = {
-    "fact_trip_measures_are_non_negative": (("fact_trip",), check_non_negative_measures),
-    "gold_counts_are_consistent": (("fact_zone_hourly_demand",), check_gold_counts),
-    "gold_trip_totals_reconcile": (("trips", "fact_zone_daily_performance"), check_totals_reconcile),
-    "trips_have_non_negative_duration": (("trips",), check_non_negative_duration),
+#: Singular checks: the models they read, and which rows fail (None: totals that must agree).
+SINGULAR: dict[str, tuple[tuple[str, ...], Callable[[], Column] | None]] = {
+    "fact_trip_measures_are_non_negative": (("fact_trip",), negative_measures),
+    "gold_counts_are_consistent": (("fact_zone_hourly_demand",), inconsistent_counts),
+    "gold_trip_totals_reconcile": (("trips", "fact_zone_daily_performance"), None),
+    "trips_have_non_negative_duration": (("trips",), negative_duration),
 }
 
 
+# --- fixed values: the warehouse's 79 generic + 4 singular tests -----------------
 def default_suite() -> Suite:
     """The warehouse's 79 generic + 4 singular tests."""
     from farebox.schemas import DAY_PERIODS, SERVICES
@@ -190,6 +204,7 @@ def default_suite() -> Suite:
     for name in SINGULAR:
         s.singular(name, *SINGULAR[name][0])
     return s
+# -----------------------------------------------------------------------------
 
 
 def union_all(parts: list[DataFrame]) -> DataFrame:
@@ -201,87 +216,87 @@ def union_all(parts: list[DataFrame]) -> DataFrame:
     return parts[0]
 
 
-def _count_row(name: str, model: str, test: str, failures_df: DataFrame) -> DataFrame:
-    return failures_df.agg(F.count(F.lit(1)).alias("failures")).select(
-        F.lit(name).alias("check_name"), F.lit(model).alias("model"), F.lit(test).alias("test"),
-        F.col("failures").cast("long").alias("failures"))
+#: Row subsets of one model: (model, column, {model: which of its rows, None for all}).
+Family = tuple[str, str, dict[str, "Column | None"]]
 
 
-def unique_family(base: DataFrame, column: str, members: dict[str, object | None]) -> DataFrame:
-    """Uniqueness of ``column`` in several row subsets of ``base`` with one shuffle.
+def _pair(check: int, key: Column | None, weights: list[Column], parent: bool = False) -> Column:
+    return F.struct(F.lit(check).alias("check"), (key.cast("string") if key is not None else F.lit(None).cast("string")).alias("key"),
+                    *(w.cast("long").alias(f"w{i}") for i, w in enumerate(weights)), F.lit(int(parent)).alias("parent"))
 
-    ``members`` maps a model name to the condition selecting its rows from
-    ``base`` (None = all rows); valid when each member is a row filter of
-    ``base`` that keeps ``column`` unchanged.  Returns (model, failures): the
-    number of non-NULL values occurring more than once within each member.
-    """
-    names = list(members)
-    counts = [F.count(F.lit(1) if members[n] is None else F.when(members[n], 1)).alias(f"n{i}")
-              for i, n in enumerate(names)]
-    per_key = base.filter(F.col(column).isNotNull()).groupBy(column).agg(*counts)
-    totals = per_key.agg(*[F.count(F.when(F.col(f"n{i}") > 1, 1)).alias(f"d{i}") for i in range(len(names))])
-    stack = ", ".join(f"'{n}', d{i}" for i, n in enumerate(names))
-    return totals.selectExpr(f"stack({len(names)}, {stack}) AS (model, failures)")
-
-
-def run_checks(models: dict[str, DataFrame], suite: Suite | None = None,
-               key_cache: dict | None = None,
-               unique_families: list[tuple[str, str, dict]] | None = None) -> DataFrame:
-    """One row per check: check_name, model, test, failures, status.
 
-    ``key_cache`` (optional) memoises the size-checked parent key sets across
-    calls (e.g. one build running its tests wave by wave).
-    ``unique_families`` (optional): ``(base_model, column, {model: condition})``
-    — unique checks of those models on that column are answered together by
-    :func:`unique_family` (one shuffle of the key instead of one per model).
+def _pairs_by_model(checks: list[Check], families: list[Family], width: int) -> dict[str, list[Column]]:
+    """For every model that a check reads: the pairs that one of its rows gives (NULL for none).
+
+    Weights count the rows; a family's pair has one weight for each member.
     """
-    suite = suite or default_suite()
-    parts: list[DataFrame] = []
-    covered: set[tuple[str, str]] = set()
-    for base, column, members in unique_families or []:
-        mine = {c.model: c for c in suite.checks
-                if c.test == "unique" and c.column == column and c.model in members}
-        if not mine:
-            continue
-        fam = unique_family(models[base], column, {m: members[m] for m in mine})
-        names = F.create_map(*[x for m, c in mine.items() for x in (F.lit(m), F.lit(c.name))])
-        parts.append(fam.select(names[F.col("model")].alias("check_name"), "model",
-                                F.lit("unique").alias("test"), F.col("failures").cast("long").alias("failures")))
-        covered.update((m, column) for m in mine)
-    by_model: dict[str, list[Check]] = {}
-    for c in suite.checks:
+    none = [F.lit(0)] * width
+    one = [F.lit(1), *none[1:]]
+    pairs: dict[str, list[Column]] = {}
+    add = lambda model, when, pair: pairs.setdefault(model, []).append(F.when(when, pair))
+    in_family = {(m, column): (k, base) for k, (base, column, members) in enumerate(families) for m in members}
+    for k, (base, column, members) in enumerate(families):
+        mine = [F.lit(1) if rows is None else F.when(rows, 1).otherwise(0) for rows in members.values()]
+        add(base, F.col(column).isNotNull(), _pair(len(checks) + k, F.col(column), [*mine, *none[len(mine):]]))
+    for i, c in enumerate(checks):
+        value = F.col(c.column) if c.column else None
         if c.test == "not_null":
-            by_model.setdefault(c.model, []).append(c)
-    for model, checks in by_model.items():
-        df = models[model]
-        agg = df.agg(*[F.count(F.when(F.col(c.column).isNull(), 1)).alias(f"c{i}")
-                       for i, c in enumerate(checks)])
-        stack = ", ".join(f"'{c.name}', c{i}" for i, c in enumerate(checks))
-        parts.append(agg.selectExpr(f"stack({len(checks)}, {stack}) AS (check_name, failures)").select(
-            "check_name", F.lit(model).alias("model"), F.lit("not_null").alias("test"),
-            F.col("failures").cast("long").alias("failures")))
-    key_sets: dict[tuple[str, str], DataFrame] = key_cache if key_cache is not None else {}
-    for c in suite.checks:
-        if c.test == "unique":
-            if (c.model, c.column) in covered:
-                continue
-            parts.append(_count_row(c.name, c.model, c.test, check_unique(models[c.model], c.column)))
+            add(c.model, value.isNull(), _pair(i, None, one))
+        elif c.test == "unique" and (c.model, c.column) not in in_family:
+            add(c.model, value.isNotNull(), _pair(i, value, one))
         elif c.test == "accepted_values":
-            parts.append(_count_row(c.name, c.model, c.test,
-                                    check_accepted_values(models[c.model], c.column, list(c.values))))
+            add(c.model, ~value.isin(list(c.values)), _pair(i, value, one))
         elif c.test == "relationships":
-            pk = (c.parent, c.parent_field)
-            if pk not in key_sets:
-                key_sets[pk] = parent_keys(models[c.parent], c.parent_field)
-            parts.append(_count_row(c.name, c.model, c.test,
-                                    check_relationships(models[c.model], c.column,
-                                                        models[c.parent], c.parent_field,
-                                                        keys=key_sets[pk])))
+            add(c.model, value.isNotNull(), _pair(i, value, one))
+            add(c.parent, F.col(c.parent_field).isNotNull(), _pair(i, F.col(c.parent_field), none, parent=True))
         elif c.test == "singular":
-            inputs, fn = SINGULAR[c.name]
-            parts.append(_count_row(c.name, c.model, c.test, fn(*[models[m] for m in inputs])))
-    out = union_all(parts)
-    return out.withColumn("status", F.when(F.col("failures") == 0, "PASS").otherwise("FAIL"))
+            inputs, failing = SINGULAR[c.name]
+            if failing is not None:
+                add(inputs[0], failing(), _pair(i, None, one))
+            else:
+                add(inputs[0], F.lit(True), _pair(i, F.lit("silver"), one))
+                add(inputs[1], F.lit(True), _pair(i, F.lit("gold"), [F.col("trip_count"), *none[1:]]))
+    return pairs
+
+
+def run_checks(models: dict[str, DataFrame], suite: Suite | None = None, families: list[Family] | None = None) -> DataFrame:
+    """One row per check: check_name, model, test, failures, status.
+
+    ``families`` (optional): models that are row filters of a base model and keep
+    a column unchanged; unique checks of that column are then answered from the
+    base's pairs alone.
+    """
+    checks = (suite or default_suite()).checks
+    wanted = {(c.model, c.column) for c in checks if c.test == "unique"}
+    families = [(base, column, {m: rows for m, rows in members.items() if (m, column) in wanted}) for base, column, members in families or []]
+    families = [f for f in families if f[2]]
+    width = max([1, *(len(members) for _, _, members in families)])
+    weights = [f"w{i}" for i in range(width)]
+    parts = []
+    for model, pairs in _pairs_by_model(checks, families, width).items():
+        parts.append(models[model].select(F.inline(F.filter(F.array(*pairs), lambda p: p.isNotNull()))))
+    by_pair = union_all(parts).groupBy("check", "key").agg(*(F.sum(w).alias(w) for w in weights), F.max("parent").alias("parent"))
+    at = lambda key: F.max(F.when(F.col("key") == key, F.col("w0")))
+    totals = by_pair.groupBy("check").agg(
+        F.sum("w0").alias("rows"), F.count(F.lit(1)).alias("values"), F.sum(F.when(F.col("parent") == 0, F.col("w0")).otherwise(0)).alias("orphans"),
+        *(F.count(F.when(F.col(w) > 1, 1)).alias(f"repeated_{w}") for w in weights),
+        (at("gold").isNotNull() & (at("gold") != F.coalesce(at("silver"), F.lit(0)))).cast("long").alias("differ"))
+    # which total answers which check
+    measure = {"not_null": "rows", "unique": "repeated_w0", "accepted_values": "values", "relationships": "orphans", "singular": "rows"}
+    asked = []
+    for i, c in enumerate(checks):
+        pair, column = i, "differ" if c.test == "singular" and SINGULAR[c.name][1] is None else measure[c.test]
+        for k, (_, key, members) in enumerate(families):
+            if c.test == "unique" and c.column == key and c.model in members:
+                pair, column = len(checks) + k, f"repeated_w{list(members).index(c.model)}"
+        asked.append(F.struct(F.lit(pair).alias("check"), F.lit(c.name).alias("check_name"), F.lit(c.model).alias("model"),
+                              F.lit(c.test).alias("test"), F.lit(column).alias("measure")))
+    spark = next(iter(models.values())).sparkSession
+    listed = spark.range(1, numPartitions=1).select(F.inline(F.array(*asked)))
+    measures = ["rows", "values", "orphans", "differ", *(f"repeated_{w}" for w in weights)]
+    chosen = F.coalesce(*(F.when(F.col("measure") == m, F.col(m)) for m in measures), F.lit(0)).cast("long")
+    return listed.join(totals, "check", "left").select(
+        "check_name", "model", "test", chosen.alias("failures"), F.when(chosen == 0, "PASS").otherwise("FAIL").alias("status"))
 
 
 # --- control-table constraints -----------------------------------------------------

@@ -202,7 +202,6 @@ def _build(spark: SparkSession, landing: DataFrame, zone_lookup: DataFrame,
     suite = chk.default_suite()
     blocked: set[str] = set()
     done: set[str] = set()
-    key_cache: dict = {}
 
     # silver and quarantine are row filters of staging keeping trip_id: their
     # uniqueness checks are answered with staging's in one shuffle
@@ -221,8 +220,7 @@ def _build(spark: SparkSession, landing: DataFrame, zone_lookup: DataFrame,
         todo = [c for c in suite.checks if c.name not in done and ready(c)]
         if not (run_tests and todo):
             return
-        rows = chk.run_checks(res.models, chk.Suite(todo), key_cache=key_cache,
-                              unique_families=[family] if fam_ready else None).collect()
+        rows = chk.run_checks(res.models, chk.Suite(todo), [family] if fam_ready else None).collect()
         done.update(c.name for c in todo)
         res.tests.extend(r.asDict() for r in rows)
         for r in rows:

@@ -115,14 +115,14 @@ SELECT * EXCLUDE (source_filename, pickup_location_id, dropoff_location_id, serv
        CAST(hour(pickup_datetime) AS SMALLINT) AS pickup_hour_key,
        pickup_location_id AS pickup_taxi_zone_key, dropoff_location_id AS dropoff_taxi_zone_key,
        service_type AS service_type_key, total_amount AS observed_trip_amount,
-       coalesce(total_amount = total_amount, false) AS has_observed_amount, {SPEED} AS average_speed_mph
+       total_amount IS NOT NULL AS has_observed_amount, {SPEED} AS average_speed_mph
 FROM silver""")
 
 # both grains at once, from trip rows: a cell is (day, hour, zone, service), or the same without the hour
 cte("cells", ("silver",), f"""
 SELECT d, h, pickup_location_id AS taxi_zone_key, service_type AS service_type_key, grouping(h) = 1 AS whole_day,
-       CAST(sum(1) AS BIGINT) AS trip_count,
-       CAST(sum(if(total_amount IS NULL, 0, 1)) AS BIGINT) AS revenue_observation_count,
+       CAST(count(*) AS BIGINT) AS trip_count,
+       CAST(count(total_amount) AS BIGINT) AS revenue_observation_count,
        sum(total_amount) AS observed_trip_amount,
        sum(duration_minutes) / nullif(count(duration_minutes), 0) AS average_duration_minutes,
        sum(trip_distance) / nullif(count(trip_distance), 0) AS average_trip_distance,

@@ -43,66 +43,102 @@ FROM stg""",
 }
 
 # --- checks -------------------------------------------------------------------------------
-from farebox.operators.checks import default_suite  # noqa: E402
 from farebox.plans.oracle_sql import cte  # noqa: E402
 
-MODEL_CTE = {
-    "landing": "landing", "stg_trip_records": "stg", "trips": "silver",
-    "trip_quarantine": "quarantine", "taxi_zone_lookup": "zone_seed",
-    "dim_service_type": "dim_service", "dim_taxi_zone": "dim_zone", "dim_date": "dim_date",
-    "dim_time": "dim_time", "fact_trip": "fact_trip", "fact_zone_hourly_demand": "hourly",
-    "fact_zone_daily_performance": "daily", "mart_mobility_overview": "overview",
-    "mart_service_comparison": "service_comparison", "mart_driver_opportunity": "driver_opportunity",
-    "mart_congestion_proxy": "congestion", "mart_profitability_scenario": "profitability",
-}
-
-
-def _lit_list(values) -> str:
-    return ", ".join("'" + str(v).replace("'", "''") + "'" for v in values)
-
-
-SINGULAR_SQL = {
-    "fact_trip_measures_are_non_negative":
-        "SELECT trip_id FROM fact_trip WHERE least(duration_minutes, trip_distance, average_speed_mph) < 0",
-    "gold_counts_are_consistent":
-        "SELECT zone_hour_service_key FROM hourly "
-        "WHERE NOT (trip_count > 0 AND revenue_observation_count BETWEEN 0 AND trip_count)",
-    "gold_trip_totals_reconcile":
-        "SELECT * FROM (SELECT (SELECT count(*) FROM silver) - (SELECT sum(trip_count) FROM daily) AS gap) WHERE gap <> 0",
-    "trips_have_non_negative_duration": "SELECT trip_id FROM silver WHERE sign(duration_minutes) = -1",
-}
-
-
-def _failing_sql(c) -> str:
-    t = MODEL_CTE.get(c.model)
-    if c.test == "not_null":
-        return f"SELECT * FROM {t} WHERE {c.column} IS NULL"
-    if c.test == "unique":
-        return (f"SELECT {c.column} AS unique_field, count(*) AS n_records FROM {t} "
-                f"WHERE {c.column} IS NOT NULL GROUP BY 1 HAVING count(*) > 1")
-    if c.test == "accepted_values":
-        return (f"SELECT * FROM (SELECT {c.column} AS value_field, count(*) AS n_records FROM {t} GROUP BY 1) v "
-                f"WHERE value_field NOT IN ({_lit_list(c.values)})")
-    if c.test == "relationships":
-        p = MODEL_CTE[c.parent]
-        return (f"SELECT ch.from_field FROM (SELECT {c.column} AS from_field FROM {t} "
-                f"WHERE {c.column} IS NOT NULL) ch LEFT JOIN (SELECT {c.parent_field} AS to_field FROM {p}) pa "
-                f"ON ch.from_field = pa.to_field WHERE pa.to_field IS NULL")
-    return SINGULAR_SQL[c.name]
-
-
-def suite_sql() -> str:
-    suite = default_suite()
-    parts = []
-    for c in suite.checks:
-        test = c.test
-        parts.append(f"SELECT '{c.name}' AS check_name, '{c.model}' AS model, '{test}' AS test, "
-                     f"CAST(count(*) AS BIGINT) AS failures FROM ({_failing_sql(c)}) AS f")
-    body = "\nUNION ALL\n".join(parts)
-    return (with_clause(*MODEL_CTE.values()) + "\nSELECT *, CASE WHEN failures = 0 THEN 'PASS' ELSE 'FAIL' END "
+#: Each model's relation, not_null columns, unique columns.
+_MODEL_TESTS = [
+    ("landing", "landing", "source_file_id source_row_number service_type", ""),
+    ("stg_trip_records", "stg", "trip_id service_type source_file_id", "trip_id"),
+    ("trips", "silver", "trip_id pickup_datetime dropoff_datetime pickup_location_id dropoff_location_id", "trip_id"),
+    ("trip_quarantine", "quarantine", "trip_id invalid_reason", "trip_id"),
+    ("taxi_zone_lookup", "zone_seed", "location_id borough zone_name", "location_id"),
+    ("dim_service_type", "dim_service", "service_type_key", "service_type_key"),
+    ("dim_taxi_zone", "dim_zone", "taxi_zone_key borough zone_name", "taxi_zone_key"),
+    ("dim_date", "dim_date", "date_key full_date", "date_key full_date"),
+    ("dim_time", "dim_time", "hour_key day_period", "hour_key"),
+    ("fact_trip", "fact_trip", "trip_id pickup_date_key pickup_hour_key pickup_taxi_zone_key dropoff_taxi_zone_key service_type_key", "trip_id"),
+    ("fact_zone_hourly_demand", "hourly", "zone_hour_service_key date_key hour_key taxi_zone_key service_type_key trip_count", "zone_hour_service_key"),
+    ("fact_zone_daily_performance", "daily", "zone_day_service_key date_key taxi_zone_key service_type_key trip_count", "zone_day_service_key"),
+    ("mart_mobility_overview", "overview", "date_key service_type_key", ""),
+    ("mart_service_comparison", "service_comparison", "service_type_key", "service_type_key"),
+    ("mart_driver_opportunity", "driver_opportunity", "zone_hour_service_key", "zone_hour_service_key"),
+    ("mart_congestion_proxy", "congestion", "zone_hour_service_key", "zone_hour_service_key"),
+    ("mart_profitability_scenario", "profitability", "zone_day_service_key", "zone_day_service_key"),
+]
+_SERVICE_VALUES = "'yellow', 'green', 'fhv', 'fhvhv'"
+_ACCEPTED = [("landing", "service_type", _SERVICE_VALUES), ("stg_trip_records", "service_type", _SERVICE_VALUES),
+             ("dim_service_type", "service_type_key", _SERVICE_VALUES),
+             ("dim_time", "day_period", "'overnight', 'morning_peak', 'midday', 'evening_peak', 'night'")]
+#: Child, column, parent, parent's column.
+_REFERENCES = [
+    ("fact_trip", "pickup_date_key", "dim_date", "date_key"),
+    ("fact_trip", "pickup_hour_key", "dim_time", "hour_key"),
+    ("fact_trip", "pickup_taxi_zone_key", "dim_taxi_zone", "taxi_zone_key"),
+    ("fact_trip", "dropoff_taxi_zone_key", "dim_taxi_zone", "taxi_zone_key"),
+    ("fact_trip", "service_type_key", "dim_service_type", "service_type_key"),
+    ("fact_zone_hourly_demand", "date_key", "dim_date", "date_key"),
+    ("fact_zone_hourly_demand", "hour_key", "dim_time", "hour_key"),
+    ("fact_zone_hourly_demand", "taxi_zone_key", "dim_taxi_zone", "taxi_zone_key"),
+    ("fact_zone_hourly_demand", "service_type_key", "dim_service_type", "service_type_key"),
+    ("fact_zone_daily_performance", "date_key", "dim_date", "date_key"),
+    ("fact_zone_daily_performance", "taxi_zone_key", "dim_taxi_zone", "taxi_zone_key"),
+    ("fact_zone_daily_performance", "service_type_key", "dim_service_type", "service_type_key"),
+]
+
+
+def suite_sql(damaged: tuple[str, ...] = ()) -> str:
+    """The 83 checks; the relations named in ``damaged`` are read as <name>_damaged."""
+    relations = {model: rel for model, rel, _, _ in _MODEL_TESTS}
+    name = lambda rel: f"{rel}_damaged" if rel in damaged else rel
+    of = {model: name(rel) for model, rel in relations.items()}
+    rows = []   # check, model, test, failing rows
+
+    for model, _, not_null, unique in _MODEL_TESTS:
+        rows += [(f"not_null__{model}__{c}", model, "not_null", f"SELECT 1 FROM {of[model]} WHERE {c} IS NULL") for c in not_null.split()]
+        rows += [(f"unique__{model}__{c}", model, "unique",
+                  f"SELECT 1 FROM {of[model]} WHERE {c} IS NOT NULL GROUP BY {c} HAVING count(*) > 1") for c in unique.split()]
+    rows += [(f"accepted_values__{model}__{c}", model, "accepted_values",
+              f"SELECT 1 FROM {of[model]} WHERE {c} NOT IN ({values}) GROUP BY {c}") for model, c, values in _ACCEPTED]
+    rows += [(f"relationships__{child}__{c}__{parent}", child, "relationships",
+              f"SELECT 1 FROM {of[child]} x WHERE {c} IS NOT NULL AND NOT EXISTS (SELECT 1 FROM {of[parent]} y WHERE y.{field} = x.{c})")
+             for child, c, parent, field in _REFERENCES]
+    rows += [
+        ("fact_trip_measures_are_non_negative", "fact_trip", "singular",
+         f"SELECT 1 FROM {of['fact_trip']} WHERE duration_minutes < 0 OR trip_distance < 0 OR average_speed_mph < 0"),
+        ("gold_counts_are_consistent", "fact_zone_hourly_demand", "singular",
+         f"SELECT 1 FROM {of['fact_zone_hourly_demand']} WHERE NOT (trip_count > 0 AND revenue_observation_count BETWEEN 0 AND trip_count)"),
+        ("gold_trip_totals_reconcile", "trips,fact_zone_daily_performance", "singular",
+         f"SELECT 1 WHERE (SELECT count(*) FROM {of['trips']}) <> (SELECT sum(trip_count) FROM {of['fact_zone_daily_performance']})"),
+        ("trips_have_non_negative_duration", "trips", "singular", f"SELECT 1 FROM {of['trips']} WHERE duration_minutes < 0")]
+    body = "\nUNION ALL\n".join(f"SELECT '{check}' AS check_name, '{model}' AS model, '{test}' AS test, CAST(count(*) AS BIGINT) AS failures "
+                                 f"FROM ({sql}) AS f" for check, model, test, sql in rows)
+    return (with_clause(*of.values()) + "\nSELECT *, CASE WHEN failures = 0 THEN 'PASS' ELSE 'FAIL' END "
             f"AS status FROM (\n{body}\n) AS r")
 
 
+cte("landing_damaged", ("landing",), """
+SELECT * REPLACE (CASE WHEN source_row_number % 97 = 0 THEN 'taxi' WHEN source_row_number % 89 = 0 THEN NULL ELSE service_type END AS service_type)
+FROM landing""")
+cte("silver_damaged", ("silver",), """
+SELECT * REPLACE (CASE WHEN source_row_number % 113 = 0 THEN -5.0 ELSE duration_minutes END AS duration_minutes) FROM silver""")
+cte("fact_trip_damaged", ("fact_trip",), """
+SELECT * REPLACE (CASE WHEN source_row_number % 101 = 0 THEN 999 ELSE pickup_taxi_zone_key END AS pickup_taxi_zone_key,
+                  CASE WHEN source_row_number % 103 = 0 THEN NULL ELSE service_type_key END AS service_type_key,
+                  CASE WHEN source_row_number % 107 = 0 THEN -1.0 ELSE duration_minutes END AS duration_minutes) FROM fact_trip
+UNION ALL SELECT * FROM fact_trip WHERE source_row_number % 109 = 0""")
+cte("hourly_damaged", ("hourly",), """
+SELECT * REPLACE (CASE WHEN hour_key = 3 THEN 0 ELSE trip_count END AS trip_count) FROM hourly""")
+cte("daily_damaged", ("daily",), """
+SELECT * REPLACE (CASE WHEN taxi_zone_key = 22 THEN trip_count + 1 ELSE trip_count END AS trip_count) FROM daily""")
+cte("dim_date_damaged", ("dim_date",), "SELECT * FROM dim_date WHERE date_key > (SELECT min(date_key) FROM dim_date)")
+cte("dim_time_damaged", ("dim_time",), """
+SELECT * REPLACE (CASE WHEN hour_key IN (12, 13) THEN 'noon' ELSE day_period END AS day_period) FROM dim_time""")
+
+ORACLES["data_quality_suite_damaged"] = suite_sql(("landing", "silver", "fact_trip", "hourly", "daily", "dim_date", "dim_time"))
+ORACLES["check_gold_counts_damaged"] = with_clause("hourly_damaged") + """
+SELECT zone_hour_service_key, trip_count, revenue_observation_count FROM hourly_damaged
+WHERE trip_count <= 0 OR revenue_observation_count < 0 OR revenue_observation_count > trip_count"""
+
 ORACLES.update({
     "data_quality_suite": suite_sql(),
     "check_not_null": with_clause("stg") + "\nSELECT * FROM stg WHERE dropoff_datetime IS NULL",

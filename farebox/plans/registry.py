@@ -263,7 +263,41 @@ def trip_id_family():
 
 @register("data_quality_suite")
 def q_suite(spark, sf_dir):
-    return chk.run_checks(models_of(Gold(spark, sf_dir, materialize=True)), unique_families=[trip_id_family()])
+    return chk.run_checks(models_of(Gold(spark, sf_dir, materialize=True)), families=[trip_id_family()])
+
+
+def _damaged(g: Gold) -> dict[str, DataFrame]:
+    """The models with faults of every kind: unknown and missing services, duplicated and negative trips, unknown
+    zones, empty cells, a total that is off, a day without a dimension row, unknown day periods."""
+    every = lambda n: F.col("source_row_number") % n == 0
+    m = models_of(g)
+    put = lambda name, column, when, value: m[name].withColumn(column, F.when(when, value).otherwise(F.col(column)))
+    m["landing"] = put("landing", "service_type", every(97), F.lit("taxi"))
+    m["landing"] = put("landing", "service_type", every(89) & ~every(97), F.lit(None))
+    m["trips"] = put("trips", "duration_minutes", every(113), F.lit(-5.0))
+    whole = m["fact_trip"]
+    m["fact_trip"] = put("fact_trip", "pickup_taxi_zone_key", every(101), F.lit(999))
+    m["fact_trip"] = put("fact_trip", "service_type_key", every(103), F.lit(None))
+    m["fact_trip"] = put("fact_trip", "duration_minutes", every(107), F.lit(-1.0)).unionByName(whole.filter(every(109)))
+    m["fact_zone_hourly_demand"] = put("fact_zone_hourly_demand", "trip_count", F.col("hour_key") == 3, F.lit(0))
+    m["fact_zone_daily_performance"] = put("fact_zone_daily_performance", "trip_count", F.col("taxi_zone_key") == 22, F.col("trip_count") + 1)
+    first = m["dim_date"].agg(F.min("date_key").alias("first_key"))
+    m["dim_date"] = m["dim_date"].join(first, F.col("date_key") == F.col("first_key"), "left_anti")
+    m["dim_time"] = put("dim_time", "day_period", F.col("hour_key").isin(12, 13), F.lit("noon"))
+    return m
+
+
+@register("data_quality_suite_damaged")
+def q_suite_damaged(spark, sf_dir):
+    base, column, members = trip_id_family()
+    family = (base, column, {m: rows for m, rows in members.items() if m != "fact_trip"})   # it has rows of its own now
+    return chk.run_checks(_damaged(Gold(spark, sf_dir, materialize=True)), families=[family])
+
+
+@register("check_gold_counts_damaged")
+def q_gold_counts_damaged(spark, sf_dir):
+    hourly = _damaged(Gold(spark, sf_dir))["fact_zone_hourly_demand"]
+    return chk.check_gold_counts(hourly).select("zone_hour_service_key", "trip_count", "revenue_observation_count")
 
 
 @register("check_not_null")

@@ -62,8 +62,36 @@ def test_unique_family_matches_separate_checks(spark):
     from pyspark.sql import functions as F
     base = spark.createDataFrame([("a", 1), ("a", 1), ("b", 1), ("b", None), ("c", None), ("c", None), (None, 1)],
                                  "k string, flag int")
-    fam = {r["model"]: r["failures"] for r in chk.unique_family(
-        base, "k", {"all": None, "flagged": F.col("flag").isNotNull(), "unflagged": F.col("flag").isNull()}).collect()}
-    assert fam == {"all": 3, "flagged": 1, "unflagged": 1}
-    sep = chk.check_unique(base.filter("flag IS NOT NULL"), "k").count()
-    assert sep == fam["flagged"]
+    models = {"all": base, "flagged": base.filter("flag IS NOT NULL"), "unflagged": base.filter("flag IS NULL")}
+    suite = chk.Suite().unique("all", "k").unique("flagged", "k").unique("unflagged", "k").not_null("flagged", "k")
+    family = ("all", "k", {"all": None, "flagged": F.col("flag").isNotNull(), "unflagged": F.col("flag").isNull()})
+    together = {r["check_name"]: r["failures"] for r in chk.run_checks(models, suite, [family]).collect()}
+    apart = {r["check_name"]: r["failures"] for r in chk.run_checks(models, suite).collect()}
+    assert together == apart == {"unique__all__k": 3, "unique__flagged__k": 1, "unique__unflagged__k": 1, "not_null__flagged__k": 1}
+
+
+def test_every_kind_of_failure_is_counted_as_by_its_own_check(spark):
+    child = spark.createDataFrame([(1, "x", 5), (1, "y", 7), (2, "x", None), (None, "z", 9), (None, None, 9)], "k int, v string, fk long")
+    parent = spark.createDataFrame([(5, "a"), (6, "b"), (6, "b"), (None, "c")], "id int, name string")
+    suite = (chk.Suite().not_null("child", "k", "v").unique("child", "k", "fk").accepted("child", "v", ["x"])
+             .rel("child", "fk", "parent", "id").unique("parent", "id").not_null("parent", "name"))
+    got = {r["check_name"]: (r["failures"], r["status"]) for r in chk.run_checks({"child": child, "parent": parent}, suite).collect()}
+    want = {"not_null__child__k": chk.check_not_null(child, "k"), "not_null__child__v": chk.check_not_null(child, "v"),
+            "unique__child__k": chk.check_unique(child, "k"), "unique__child__fk": chk.check_unique(child, "fk"),
+            "accepted_values__child__v": chk.check_accepted_values(child, "v", ["x"]),
+            "relationships__child__fk__parent": chk.check_relationships(child, "fk", parent, "id"),
+            "unique__parent__id": chk.check_unique(parent, "id"), "not_null__parent__name": chk.check_not_null(parent, "name")}
+    assert got == {name: (df.count(), "FAIL" if df.count() else "PASS") for name, df in want.items()}
+    assert got["relationships__child__fk__parent"] == (3, "FAIL") and got["not_null__parent__name"] == (0, "PASS")
+
+
+def test_suite_scans_each_model_once(spark, tmp):
+    """Every stored model appears in one scan of the plan, and there is one exchange of pairs."""
+    import re
+    child = spark.range(100).selectExpr("id as k", "id % 3 as fk", "cast(id as string) as v")
+    spark.range(3).write.parquet(f"{tmp}/parent")
+    child.write.parquet(f"{tmp}/child")
+    models = {m: spark.read.parquet(f"{tmp}/{m}") for m in ("child", "parent")}
+    suite = chk.Suite().not_null("child", "k", "fk", "v").unique("child", "k").unique("child", "v").rel("child", "fk", "parent", "id").unique("parent", "id")
+    plan = chk.run_checks(models, suite)._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall("FileScan parquet", plan)) == 2 and len(re.findall(r"Exchange hashpartitioning\(check#\d+, key#\d+", plan)) == 1

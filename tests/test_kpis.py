@@ -117,7 +117,8 @@ def test_status_listings(spark):
         "run_id string, orchestrator string, mode string, status string, started_at timestamp, finished_at timestamp")
     assert [r["run_id"] for r in presentation.run_history(runs).collect()] == ["r2", "r1"]
     files = spark.createDataFrame(
-        [("yellow", f"f{i}", "VALIDATED", dt.datetime(2024, 1, 1) + dt.timedelta(hours=i)) for i in range(60)],
-        "service_type string, filename string, status string, updated_at timestamp")
+        [("yellow", f"f{i}", "VALIDATED", 0, dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 1) + dt.timedelta(hours=i)) for i in range(60)],
+        "service_type string, filename string, status string, retry_count int, last_attempt_at timestamp, updated_at timestamp")
     top = presentation.recent_files(files).collect()
+    assert top[0].asDict().keys() == {"service_type", "filename", "status", "retry_count", "last_attempt_at"}
     assert len(top) == 50 and top[0]["filename"] == "f59" and top[-1]["filename"] == "f10"
