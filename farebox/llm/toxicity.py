@@ -41,7 +41,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .common import ascii_words, documents, fold, per_text, slices, table, with_fields
+from .common import SLICE_BYTES, ascii_words, documents, fold, per_text, slices, table, with_fields
 
 WORDS = re.compile(r"\w+")
 BITS = 21  # of a character's code in an n-gram key, enough for all of Unicode; the other 43 are a hash of its context
@@ -63,6 +63,26 @@ class Counts:
     class_left: np.ndarray  # 2 x contexts: class_total less the sum of own
 
 
+class Memory:
+    """Sums of words met before, in rows of one array."""
+
+    def __init__(self) -> None:
+        self.clear()
+
+    def clear(self) -> None:
+        self.slot: dict[str, int] = {}
+        self.values = np.zeros((1 << 12, 3))
+        self.characters = 0
+
+    def add(self, words: list[str], values: np.ndarray) -> None:
+        first = len(self.slot)
+        while len(self.values) < first + len(words):
+            self.values = np.concatenate([self.values, np.zeros_like(self.values)])
+        self.values[first:first + len(words)] = values
+        self.slot.update(zip(words, range(first, first + len(words))))
+        self.characters += sum(map(len, words))
+
+
 @dataclass
 class ToxicityModel:
     alphabet: np.ndarray
@@ -70,7 +90,8 @@ class ToxicityModel:
     discount: float
     strong: float
     common: float = 0.02  # weight of the shared model beside a class model's 1
-    max_words: int = 300_000
+    max_words: int = 150_000  # bounds of a task's memory of words, not of any result
+    max_characters: int = 4_000_000
     weights: np.ndarray = field(default_factory=lambda: np.zeros(3))
     trained: bool = False
 
@@ -131,26 +152,26 @@ class ToxicityModel:
             ratio[use] = np.log(q[1] / q[0])  # the longest known context decides
         return per_text(ratio, sizes - 1) * np.minimum(1, LONG / (sizes - 1))
 
-    def features(self, texts: pa.Array, memory: dict[str, tuple[float, float, int]]) -> np.ndarray:
+    def features(self, texts: pa.Array, memory: Memory) -> np.ndarray:
         """Two length-normalised comparisons for each text."""
         chunks, counts = ascii_words(pc.utf8_lower(texts))
         coded = chunks.dictionary_encode()
-        values = np.zeros((len(coded.dictionary), 3))
-        if len(memory) > self.max_words:
+        if len(memory.slot) > self.max_words or memory.characters > self.max_characters:
             memory.clear()
         names = coded.dictionary.to_pylist()
-        new = [x for x in names if x not in memory]
-        if new:
-            parts = [WORDS.findall(x) for x in new]
+        new = [x for x in names if x not in memory.slot]
+        for start in range(0, len(new), 20_000):  # bounds the arrays of characters
+            part = new[start:start + 20_000]
+            parts = [WORDS.findall(x) for x in part]
             words = list(dict.fromkeys(w for p in parts for w in p))
-            parted = (words[i:i + 20_000] for i in range(0, len(words), 20_000))  # bounds the arrays of characters
-            known = {w: v for some in parted for w, v in zip(some, self.ratios(some).tolist())}
-            for x, p in zip(new, parts):
+            known = dict(zip(words, self.ratios(words).tolist()))
+            values = np.zeros((len(part), 3))
+            for i, p in enumerate(parts):
                 r = [known[w] for w in p]
-                memory[x] = (sum(r), sum(v for v in r if v > self.strong), len(r))
-        for i, x in enumerate(names):
-            values[i] = memory[x]
-        per_chunk = values[np.asarray(coded.indices)] if len(chunks) else np.zeros((0, 3))
+                values[i] = sum(r), sum(v for v in r if v > self.strong), len(r)
+            memory.add(part, values)
+        slots = np.fromiter((memory.slot[x] for x in names), np.int64, len(names))
+        per_chunk = memory.values[slots][np.asarray(coded.indices)] if len(chunks) else np.zeros((0, 3))
         total = np.stack([per_text(np.ascontiguousarray(per_chunk[:, k]), counts) for k in range(3)])
         return (total[:2] / np.maximum(total[2], 1)).T
 
@@ -216,7 +237,7 @@ def fit(labelled: DataFrame, text: str = "text", label: str = "toxic", doc_id: s
         shared = labelled.sparkSession.sparkContext.broadcast(model)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            memory: dict[str, tuple[float, float, int]] = {}
+            memory = Memory()
             for batch in slices(batches):
                 f = shared.value.features(batch.column(batch.schema.get_field_index("text")), memory)  # noqa: B023
                 yield pa.RecordBatch.from_arrays(
@@ -293,8 +314,8 @@ def toxicity(docs: DataFrame, model: ToxicityModel, text: str = "text", keep_tex
     names = [f.name for f in kept]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memory: dict[str, tuple[float, float, int]] = {}
-        for batch in slices(batches, text):
+        memory = Memory()
+        for batch in slices(batches, text, SLICE_BYTES // 2):
             value = shared.value.score(shared.value.features(batch.column(batch.schema.get_field_index(text)), memory))
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(batch.schema.get_field_index(c)) for c in names), pa.array(value)], [*names, "score"])
