@@ -300,10 +300,21 @@ def run_checks(models: dict[str, DataFrame], suite: Suite | None = None, familie
 
 
 # --- control-table constraints -----------------------------------------------------
-def check_control_constraints(table: str, df: DataFrame) -> DataFrame:
-    """Rows of a control/ML table that break its declared CHECK/UNIQUE constraints.
+#: Foreign keys of the control and ML tables: column, parent table, parent column.
+FOREIGN_KEYS = {
+    "pipeline_tasks": [("run_id", "pipeline_runs", "run_id")],
+    "ingestion_files": [("first_run_id", "pipeline_runs", "run_id"), ("last_run_id", "pipeline_runs", "run_id")],
+    "data_quality_results": [("run_id", "pipeline_runs", "run_id"), ("file_id", "ingestion_files", "file_id")],
+    "model_metrics": [("model_run_id", "model_runs", "model_run_id")],
+    "predictions": [("model_run_id", "model_runs", "model_run_id")],
+}
+
+
+def check_control_constraints(table: str, df: DataFrame, parents: dict[str, DataFrame] | None = None) -> DataFrame:
+    """Rows of a control/ML table that break its declared CHECK, UNIQUE and FOREIGN KEY constraints.
 
-    Returns (constraint, n_failures) for every constraint of ``table``.
+    Returns (table_name, constraint_name, failures) for every constraint of
+    ``table``; foreign keys for the parent tables in ``parents``.
     """
     from farebox import schemas as S
     c = F.col
@@ -355,5 +366,9 @@ def check_control_constraints(table: str, df: DataFrame) -> DataFrame:
                .agg(F.count(F.lit(1)).alias("failures"))
                .select(F.lit("unique_key").alias("constraint_name"), "failures"))
         out = out.unionByName(dup)
+    for column, parent, field_ in FOREIGN_KEYS.get(table, []):
+        if parent in (parents or {}) and column in df.columns:
+            missing = check_relationships(df, column, parents[parent], field_).agg(F.count(F.lit(1)).alias("failures"))
+            out = out.unionByName(missing.select(F.lit(f"foreign_key_{column}").alias("constraint_name"), "failures"))
     return out.select(F.lit(table).alias("table_name"), "constraint_name",
                       F.col("failures").cast("long").alias("failures"))

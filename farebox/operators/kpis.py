@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from farebox.functions.columns import date_of_key, day_period, safe_div
+from farebox.session import checkpoint_dir
 
 
 
@@ -144,29 +145,29 @@ def quality_percentiles(stg: DataFrame, columns: tuple[str, ...] = ("trip_distan
     share ``p`` of the non-NULL values at or below it (discrete percentile).
 
     Values are counted first (map-side combine), so a value that a third of all
-    rows share is one row.  Counts are dealt to ranges of values; one row per
-    range, whose running sum is over a few thousand rows, tells which range
-    holds each percentile, and ranks are computed inside ranges only.
+    rows share is one row.  The distinct values are dealt to partitions by range,
+    which follows their number and not their size, so an outlier moves nothing.
+    One row a partition gives the offsets, and ranks are computed only in the
+    partitions that hold a percentile.
     """
     stacked = F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("v"))
                                   for c in columns])).alias("s")
     counts = (stg.select(stacked).select("s.*").filter(F.col("v").isNotNull())
               .groupBy("column_name", "v").agg(F.count(F.lit(1)).alias("n")))
-    bounds = counts.groupBy("column_name").agg(F.min("v").alias("lo"), F.max("v").alias("hi"), F.sum("n").alias("total"))
-    width = F.when(F.col("hi") > F.col("lo"), (F.col("hi") - F.col("lo")) / F.lit(4096.0)).otherwise(F.lit(1.0))
-    dealt = counts.join(bounds, "column_name").withColumn(
-        "bucket", F.least(F.floor((F.col("v") - F.col("lo")) / width), F.lit(4095)))
-    per_bucket = dealt.groupBy("column_name", "bucket").agg(F.sum("n").alias("m"))
-    before = per_bucket.withColumn("before", F.sum("m").over(
-        Window.partitionBy("column_name").orderBy("bucket")) - F.col("m")).drop("m")
-    inside = Window.partitionBy("column_name", "bucket").orderBy("v")
-    ranked = dealt.join(before, ["column_name", "bucket"]).withColumn(
-        "upto", F.col("before") + F.sum("n").over(inside))
-    picks = [F.min(F.when(F.col("upto") >= F.ceil(F.lit(p) * F.col("total")), F.col("v"))).alias(f"p{i}")
-             for i, p in enumerate(probs)]
-    return ranked.groupBy("column_name").agg(*picks).select(
-        "column_name", *[F.explode(F.array(*[F.struct(F.lit(p).alias("probability"), F.col(f"p{i}").alias("percentile"))
-                                             for i, p in enumerate(probs)])).alias("x")]).select("column_name", "x.*")
+    checkpoint_dir(stg.sparkSession)
+    # stored, as the sampled range bounds may differ from one evaluation to the next
+    dealt = counts.repartitionByRange("column_name", "v").withColumn("part", F.spark_partition_id()).checkpoint(eager=True)
+    parts = dealt.groupBy("column_name", "part").agg(F.sum("n").alias("m"))
+    by_part = Window.partitionBy("column_name").orderBy("part")
+    asked = F.explode(F.array(*(F.lit(p) for p in probs))).alias("probability")
+    hit = (parts.select("column_name", "part", (F.sum("m").over(by_part) - F.col("m")).alias("before"), "m",
+                        F.sum("m").over(Window.partitionBy("column_name")).alias("total"))
+           .select("*", asked).withColumn("rank", F.ceil(F.col("probability") * F.col("total")))
+           .filter((F.col("rank") > F.col("before")) & (F.col("rank") <= F.col("before") + F.col("m"))))
+    inside = dealt.join(hit.select("column_name", "part").distinct(), ["column_name", "part"], "left_semi")
+    ranked = inside.withColumn("upto", F.sum("n").over(Window.partitionBy("column_name", "part").orderBy("v")))
+    return (hit.join(ranked, ["column_name", "part"]).filter(F.col("before") + F.col("upto") >= F.col("rank"))
+            .groupBy("column_name", "probability").agg(F.min("v").alias("percentile")))
 
 
 def valid_share(stg: DataFrame, by: tuple[str, ...] = ("service_type",)) -> DataFrame:
@@ -236,7 +237,8 @@ def enrich_calendar(hourly: DataFrame, date_dim: DataFrame, holidays: DataFrame
             F.col("month").isin(*months), name)
     d = d.withColumn("season", season)
     if holidays is not None:
-        h = holidays.select(F.col("holiday_date").alias("full_date"), "holiday_name")
+        # two holidays on one date must not double its rows
+        h = holidays.groupBy(F.col("holiday_date").alias("full_date")).agg(F.min("holiday_name").alias("holiday_name"))
         eve = holidays.select(F.date_sub("holiday_date", 1).alias("full_date"), F.lit(True).alias("is_holiday_eve"))
         d = d.join(h, "full_date", "left").join(eve.distinct(), "full_date", "left")
     else:

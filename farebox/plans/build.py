@@ -26,6 +26,7 @@ from farebox.operators import dimensions as dims
 from farebox.operators import facts, marts, silver
 from farebox.schemas import DEFAULT_SCENARIO
 from farebox.session import checkpoint_dir
+from farebox.sources.versions import swap_in
 
 
 @dataclass(frozen=True)
@@ -81,7 +82,7 @@ def model_graph(spark: SparkSession, scenario: dict | None = None) -> list[Model
 
 def materialize(df: DataFrame, name: str, layer: str, target_dir: str,
                 partition_by: tuple[str, ...] = (), hidden: tuple[str, ...] = ()) -> DataFrame:
-    """View → temp view (lazy); table → full-refresh Parquet write, then re-read.
+    """View → temp view (lazy); table → a new version, made current when it is whole, then read back.
 
     ``hidden`` columns stay on the returned DataFrame (downstream models can
     prune on them) but not on the registered view.
@@ -90,14 +91,8 @@ def materialize(df: DataFrame, name: str, layer: str, target_dir: str,
     if layer == "view":
         df.createOrReplaceTempView(name)
         return df
-    path = f"{target_dir.rstrip('/')}/{name}"
     spark.sparkContext.setJobDescription(f"materialize {name}")
-    w = df.write.mode("overwrite")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
-    # re-read with the known schema: an empty partitioned table has no files to infer from
-    out = spark.read.schema(df.schema).parquet(path).select(*df.columns)
+    out = swap_in(df, f"{target_dir.rstrip('/')}/{name}", partition_by)
     out.drop(*hidden).createOrReplaceTempView(name)
     return out
 

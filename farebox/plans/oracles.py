@@ -578,6 +578,24 @@ SELECT zone_day_service_key, date_key, taxi_zone_key, service_type_key, '{n}' AS
 FROM daily""" for n, c, v, f in _SCEN), ["observed_trip_amount", "estimated_net_contribution",
                                          "break_even_amount_per_trip"])
 
+ORACLES["enrich_weather"] = r6(with_clause("hourly") + """
+SELECT h.*, w.temperature, w.observations
+FROM hourly h LEFT JOIN (
+  SELECT CAST(strftime(ts, '%Y%m%d') AS INTEGER) AS date_key, CAST(hour(ts) AS SMALLINT) AS hour_key, max(value) AS temperature,
+         CAST(count(*) AS BIGINT) AS observations
+  FROM events WHERE hour(ts) % 2 = 0 GROUP BY 1, 2) w ON w.date_key = h.date_key AND w.hour_key = h.hour_key""", HOURLY_DOUBLES + ["temperature"])
+
+_STATE_RULES = [("source_kind", "source_kind NOT IN ('demo', 'tlc')"), ("service_type", "service_type NOT IN ('yellow', 'green', 'fhv', 'fhvhv')"),
+                ("year", "NOT year BETWEEN 2009 AND 2100"), ("month", "NOT month BETWEEN 1 AND 12"), ("size_bytes", "size_bytes < 0"),
+                ("row_count", "row_count < 0"),
+                ("status", "status NOT IN ('DISCOVERED', 'DOWNLOADING', 'DOWNLOADED', 'VALIDATED', 'PROCESSED', 'FAILED', 'QUARANTINED')"),
+                ("foreign_key_first_run_id", "false"), ("foreign_key_last_run_id", "last_run_id = 'run-3'")]
+ORACLES["control_foreign_keys"] = with_clause("file_states") + "\n" + "\nUNION ALL\n".join(
+    f"SELECT 'ingestion_files' AS table_name, '{name}' AS constraint_name, CAST(count(*) FILTER (WHERE {rule}) AS BIGINT) AS failures FROM file_states"
+    for name, rule in _STATE_RULES) + """
+UNION ALL SELECT 'ingestion_files', 'unique_key', CAST(count(*) AS BIGINT)
+FROM (SELECT 1 FROM file_states GROUP BY source_kind, service_type, year, month, filename HAVING count(*) > 1) d"""
+
 ORACLES["enrich_calendar"] = r6(with_clause("hourly", "dim_date") + """
 SELECT h.*, CASE WHEN d.month IN (12, 1, 2) THEN 'winter' WHEN d.month IN (3, 4, 5) THEN 'spring'
                  WHEN d.month IN (6, 7, 8) THEN 'summer' WHEN d.month IN (9, 10, 11) THEN 'autumn' END AS season,

@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from farebox.fixtures import landing_from_events as fx_landing
 from farebox.fixtures import read_table
 from farebox.fixtures import zone_seed_from_nations as fx_zones
-from farebox.functions.columns import floor_round
+from farebox.functions.columns import date_key, floor_round, hour_key
 from farebox.operators import dimensions as dims
 from farebox.operators import facts, marts, silver
 from farebox.session import checkpoint_dir
@@ -756,6 +756,24 @@ def q_calendar(spark, sf_dir):
     return present(kpis.enrich_calendar(g.hourly, g.date_dim))
 
 
+@register("enrich_weather")
+def q_weather(spark, sf_dir):
+    """Hourly fact with the weather of even hours (made of the hour's events: highest value and number)."""
+    events = read_table(spark, sf_dir, "events").filter(F.hour("ts") % 2 == 0)
+    weather = events.groupBy(date_key("ts").alias("date_key"), hour_key("ts").alias("hour_key")).agg(
+        F.max("value").alias("temperature"), F.count(F.lit(1)).alias("observations"))
+    return present(kpis.enrich_weather(Gold(spark, sf_dir).hourly, weather))
+
+
+@register("control_foreign_keys")
+def q_foreign_keys(spark, sf_dir):
+    """File states whose runs are partly unknown: run-0 to run-2 have records."""
+    states = fst.current_states(fx.daily_file_events(Gold(spark, sf_dir).landing))
+    runs = states.select(F.col("last_run_id").alias("run_id")).distinct().filter("run_id <> 'run-3'").unionByName(
+        states.select(F.col("first_run_id").alias("run_id")).distinct())
+    return chk.check_control_constraints("ingestion_files", states, {"pipeline_runs": runs})
+
+
 @register("forecast_error_by_service")
 def q_err_service(spark, sf_dir):
     return present(fc.error_breakdown(_naive_both(spark, sf_dir), "service"))

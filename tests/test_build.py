@@ -67,3 +67,25 @@ def test_empty_landing_passes_all_tests(spark, tmp):
     from farebox.schemas import LANDING_SCHEMA
     res = build(spark, spark.createDataFrame([], LANDING_SCHEMA), _zones(spark), target_dir=os.path.join(tmp, "wh"))
     assert {t["check_name"] for t in res.tests if t["status"] != "PASS"} == set()
+
+
+def test_a_failed_refresh_leaves_the_old_table(spark, tmp):
+    import pytest
+    from pyspark.sql import functions as F
+    from farebox.sources.versions import current_path, expire_versions, read_current, swap_in
+    path = os.path.join(tmp, "t")
+    with pytest.raises(FileNotFoundError):
+        read_current(spark, path)
+    assert swap_in(spark.range(10), path).count() == 10
+    first = current_path(spark, path)
+    held = read_current(spark, path)
+    broken = spark.range(1000).repartition(4).withColumn("id", F.when(F.col("id") == 777, F.raise_error(F.lit("half-way")).cast("long")).otherwise(F.col("id")))
+    with pytest.raises(Exception, match="half-way"):
+        swap_in(broken, path)
+    assert current_path(spark, path) == first and read_current(spark, path).count() == 10
+    assert swap_in(spark.range(20), path).count() == 20
+    assert held.count() == 10 and read_current(spark, path).count() == 20    # a reader keeps the version it resolved
+    swap_in(spark.range(30), path)
+    assert expire_versions(spark, path, keep=2) == 1 and read_current(spark, path).count() == 30
+    empty = swap_in(spark.range(0).selectExpr("id", "'a' as part"), os.path.join(tmp, "p"), ("part",))
+    assert empty.count() == 0 and read_current(spark, os.path.join(tmp, "p"), empty.schema).count() == 0

@@ -79,12 +79,12 @@ def test_presentation(spark):
     assert presentation.landing_rows_for_file(land, "a").first()[0] == 2
 
 
-def test_poisson_candidate(spark):
+def test_poisson_candidate(spark, tmp):
     panel = fc.synthetic_hourly_demand(spark, days=31).withColumnRenamed("timestamp", "target_timestamp")
     split = fc.temporal_split(fc.forecast_features(fc.densify_hourly(panel), 1), fc.temporal_cutoff(panel, min_hours=300))
-    preds, models = fc.train_candidates(split, num_trees=3, max_iter=2, extra=("poisson",))
+    preds, _, models = fc.train_candidates(split.checkpoint(), tmp, num_trees=3, max_iter=2, extra=("poisson",))
     m = {r["model_name"]: r for r in fc.forecast_metrics(preds).collect()}
-    assert set(m) == {"seasonal_naive", "random_forest", "gradient_boosting", "poisson_glm"}
+    assert set(m) == {"seasonal_naive", "extra_trees", "hist_gradient_boosting", "poisson_glm"}
     assert m["poisson_glm"]["mae"] < m["seasonal_naive"]["mae"] * 2
 
 
@@ -122,3 +122,27 @@ def test_status_listings(spark):
     top = presentation.recent_files(files).collect()
     assert top[0].asDict().keys() == {"service_type", "filename", "status", "retry_count", "last_attempt_at"}
     assert len(top) == 50 and top[0]["filename"] == "f59" and top[-1]["filename"] == "f10"
+
+
+def test_an_outlier_does_not_put_all_values_in_one_task(spark):
+    """20,000 distinct values and one a billion times larger: the values lie in many partitions, ranks stay exact."""
+    from pyspark.sql import functions as F
+    values = spark.range(20_000).select(F.col("id").cast("double").alias("trip_distance")).unionByName(
+        spark.createDataFrame([(1e13,)], "trip_distance double"))
+    had = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = {r["probability"]: r["percentile"] for r in kpis.quality_percentiles(values, ("trip_distance",), (0.0001, 0.5, 1.0)).collect()}
+        parts = values.repartitionByRange("trip_distance").groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", had)
+    assert got == {0.0001: 2.0, 0.5: 10000.0, 1.0: 1e13}
+    assert len(parts) == 8 and max(r["count"] for r in parts) < 5000
+
+
+def test_two_holidays_on_one_date_keep_its_rows_single(spark):
+    hourly = spark.createDataFrame([(20240101, 5), (20240102, 5)], "date_key int, hour_key int")
+    days = spark.createDataFrame([(20240101, dt.date(2024, 1, 1), 1), (20240102, dt.date(2024, 1, 2), 1)], "date_key int, full_date date, month int")
+    holidays = spark.createDataFrame([(dt.date(2024, 1, 2), "A"), (dt.date(2024, 1, 2), "B")], "holiday_date date, holiday_name string")
+    got = {r["date_key"]: (r["is_holiday"], r["is_holiday_eve"]) for r in kpis.enrich_calendar(hourly, days, holidays).collect()}
+    assert got == {20240101: (False, True), 20240102: (True, False)} and kpis.enrich_calendar(hourly, days, holidays).count() == 2
