@@ -7,6 +7,7 @@ import tempfile
 import uuid
 import zipfile
 from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 import numpy as np
@@ -76,7 +77,12 @@ def string_array(column: pa.Array | pa.ChunkedArray) -> pa.Array:
 
 def slices(batches: Iterator[pa.RecordBatch], text: str = "text",
            max_bytes: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """The same rows in order, cut so that a slice holds about ``max_bytes`` of text (one row at least)."""
+    """The same rows in order, cut so that a slice holds about ``max_bytes`` of text (one row at least).
+
+    Arrow's buffers of a worker come from the system's allocator, which gives
+    them back when a slice is done; Arrow's own keeps them.
+    """
+    pa.set_memory_pool(pa.system_memory_pool())
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -124,6 +130,22 @@ def per_text(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return out
 
 
+@contextmanager
+def arrow_rows(spark: SparkSession, rows: int) -> Iterator[None]:
+    """For jobs run inside: at most so many rows in an Arrow batch, which bounds executors' memory outside the heap
+    where rows carry whole texts both ways."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 def text_bytes(df: DataFrame, text: str = "text") -> int:
     return df.agg(F.sum(F.octet_length(text))).first()[0] or 0
 

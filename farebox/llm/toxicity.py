@@ -90,8 +90,8 @@ class ToxicityModel:
     discount: float
     strong: float
     common: float = 0.02  # weight of the shared model beside a class model's 1
-    max_words: int = 150_000  # bounds of a task's memory of words, not of any result
-    max_characters: int = 4_000_000
+    max_words: int = 60_000  # bounds of a task's memory of words, not of any result
+    max_characters: int = 2_000_000
     weights: np.ndarray = field(default_factory=lambda: np.zeros(3))
     trained: bool = False
 
@@ -315,7 +315,7 @@ def toxicity(docs: DataFrame, model: ToxicityModel, text: str = "text", keep_tex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memory = Memory()
-        for batch in slices(batches, text, SLICE_BYTES // 2):
+        for batch in slices(batches, text, SLICE_BYTES // 4):
             value = shared.value.score(shared.value.features(batch.column(batch.schema.get_field_index(text)), memory))
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(batch.schema.get_field_index(c)) for c in names), pa.array(value)], [*names, "score"])
