@@ -1,5 +1,10 @@
 """The corpus pipeline: four stages filter ``documents``, the last packs what is left.
 
+Cases.  Null texts count as empty; toxicity and quality judge every row for itself, so rows
+that repeat share a verdict.  Of equal texts the longest stays, then that with the
+least doc_id (null last); of near duplicates that with the least doc_id.  Empty tables
+give empty results.
+
 Every stage gets what its predecessor kept, written as Parquet and read again.
 A filtering stage returns whole rows with all columns of its input; the
 operators see only doc_id and text (and the rest of the row as one column), so
@@ -12,7 +17,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from farebox.llm.common import fold, scratch, ship, store, table
+from farebox.llm.common import arrow_rows, fold, scratch, ship, store, table
 from farebox.llm.exact_dedup import Batch, DigestIndex
 from farebox.llm.line_quality import quality_rules
 from farebox.llm.near_dup import near_duplicates
@@ -34,7 +39,9 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity model (learnt from the labelled ones outside the held-out fifth) doesn't reject."""
     labels = table(spark, sf_dir, "labels").select("doc_id", "toxic").where(fold(F.col("doc_id"), 5) != 0)
     model = toxic.fit(docs.select("doc_id", "text").where(fold(F.col("doc_id"), 5) != 0).join(labels, "doc_id"))
-    return _restored(toxic.toxicity(_carried(docs), model, keep_text=True).where("score < 0.5"), docs)
+    with arrow_rows(spark, 2000):
+        kept = store(toxic.toxicity(_carried(docs), model, keep_text=True).where("score < 0.5").drop("score"), f"{scratch(spark, 'toxicity')}/kept")
+    return _restored(kept, docs)
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -63,7 +70,8 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents in sequences."""
     ship(spark)
-    return pack_documents(docs, spark)
+    with arrow_rows(spark, 4000):
+        return pack_documents(docs, spark)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
