@@ -4,8 +4,9 @@ Documents are sets of word shingles; documents whose sets have a Jaccard
 similarity of at least the threshold are linked, and linked documents form
 groups.
 
-1. Sketch: every set gets a digest and a signature of minwise tokens.  Equal
-   sets become one class, so exact copies cost one member.
+1. Sketch: every set gets a digest, a signature of minwise tokens, and bins: the
+   set's hashes by their leading bits, of each bin a part of the least hash.
+   Equal sets become one class, so exact copies cost one member.
 2. Trees: in each independent tree a class goes to the node of one selected
    minwise token.  A node with more classes than ``node_limit`` branches: each
    member goes to the children of two more tokens that the node selects.  Two
@@ -14,9 +15,13 @@ groups.
    target recall.  Nodes with one member are dropped.
 3. Stars: large nodes first compare all members with one of them.  What is
    linked so far gets a component.
-4. Small nodes are compared exhaustively by signature.  Large nodes at the last
-   level are compared in blocks, but only members outside the node's largest
-   component with the others: members of one component need no link.
+4. Small nodes are compared exhaustively, by set sizes (exactly: the smaller must
+   hold the threshold's share of the larger) and by bins.  First each member
+   proposes its best partner of another component only; when those are confirmed
+   and contracted, all pairs of different components that are left are proposed.
+   Large nodes at the last level are compared in blocks, but only members outside
+   the node's largest component with the others: members of one component need
+   no link.
 5. Candidates are confirmed on full sets (of 64-bit shingle hashes, computed
    again from the texts of candidates only), and components are found by
    hooking and pointer jumping.
@@ -27,9 +32,10 @@ execution can split.  Nothing is collected but counts.
 
 Cases.  Null text, and text without words, has an empty set: linked with
 nothing, its own group.  A text with fewer words than a shingle is one shingle.
-Repeated rows have equal sets, so they share a class.  If a doc_id has several
-texts that each start a class, one of them takes part in links.  Rows without a
-doc_id are linked with nothing and kept.  An empty table gives an empty result.
+Repeated rows have equal sets, so they share a class.  Classes have numbers of
+their own, so several texts of one doc_id are linked each for itself, and every
+row gets its own text's component.  Rows without a doc_id are linked with
+nothing and kept.  An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -44,9 +50,10 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .common import ascii_words, documents, scratch, slices, store
+from .common import ascii_words, components, documents, scratch, slices, store
 
 TOKENS = 64  # minwise tokens of a signature
+BINS = 256  # of a set's hashes, by their leading bits
 NODE_LIMIT = 256
 DEPTH = 4
 _MULTIPLIERS = np.random.default_rng(11).integers(1, 2**63, TOKENS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -99,14 +106,43 @@ def trees_for(threshold: float, recall: float) -> int:
     return math.ceil(math.log(1 - recall) / math.log(1 - threshold * kept))
 
 
-def least_agreement(threshold: float, odds: float = 1e-7) -> int:
-    """Tokens in which a pair at the threshold agrees but for these odds."""
-    total, k = 0.0, 0
-    while True:
-        total += math.comb(TOKENS, k) * threshold**k * (1 - threshold) ** (TOKENS - k)
-        if total > odds:
-            return k
-        k += 1
+def bins_of(sets: list[np.ndarray]) -> np.ndarray:
+    """Of every set (sorted hashes) and bin: 0 if the bin is empty, else a number from 1 to 255 made of its least hash."""
+    out = np.zeros((len(sets), BINS), np.uint8)
+    edges = np.arange(BINS, dtype=np.uint64) << np.uint64(64 - BINS.bit_length() + 1)
+    for row, s in zip(out, sets):
+        if len(s):
+            first = np.minimum(np.searchsorted(s, edges), len(s) - 1)
+            held = s[first] >> np.uint64(64 - BINS.bit_length() + 1) == np.arange(BINS, dtype=np.uint64)
+            row[held] = (_mix(s[first[held]]) % np.uint64(255)).astype(np.uint8) + 1
+    return out
+
+
+def least_agreement(threshold: float, odds: float = 1e-6) -> np.ndarray:
+    """For each number of bins that either set of a pair fills: bins in which a pair at the threshold agrees but for these odds."""
+    out = np.zeros(BINS + 1, np.int64)
+    for n in range(1, BINS + 1):
+        total = 0.0
+        for k in range(n + 1):
+            total += math.comb(n, k) * threshold**k * (1 - threshold) ** (n - k)
+            if total > odds:
+                out[n] = k
+                break
+    return out
+
+
+class Filter:
+    """Which pairs may reach the threshold: sizes exactly, bins but for small odds."""
+
+    def __init__(self, percent: int) -> None:
+        self.percent, self.least = percent, least_agreement(percent / 100)
+
+    def __call__(self, bins: np.ndarray, other: np.ndarray, size: np.ndarray, other_size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Whether each pair may be linked, and its number of agreeing bins per thousand used ones."""
+        used = ((bins > 0) | (other > 0)).sum(-1)
+        same = ((bins == other) & (bins > 0)).sum(-1)
+        may = (100 * np.minimum(size, other_size) >= self.percent * np.maximum(size, other_size)) & (same >= self.least[used])
+        return may, 1000 * same // np.maximum(used, 1)
 
 
 class NearDuplicates:
@@ -116,7 +152,7 @@ class NearDuplicates:
                  node_limit: int = NODE_LIMIT, depth: int = DEPTH) -> None:
         self.spark, self.folder = docs.sparkSession, folder
         self.docs, self.percent, self.width = docs.select("doc_id", "text"), percent, width
-        self.trees, self.agree = trees_for(percent / 100, recall), least_agreement(percent / 100)
+        self.trees, self.filter = trees_for(percent / 100, recall), Filter(percent)
         self.limit, self.depth = node_limit, depth
 
     def store(self, df: DataFrame, name: str) -> DataFrame:
@@ -134,10 +170,11 @@ class NearDuplicates:
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0), pa.array([len(s) for s in sets], pa.int64()),
                      pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()),
-                     pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1) * TOKENS, pa.int32()), pa.array(tokens.ravel()))],
-                    ["doc_id", "n_shingles", "digest", "tokens"])
+                     pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1) * TOKENS, pa.int32()), pa.array(tokens.ravel())),
+                     pa.array([row.tobytes() for row in bins_of(sets)], pa.binary())],
+                    ["doc_id", "n_shingles", "digest", "tokens", "bins"])
 
-        return self.docs.mapInArrow(run, "doc_id long, n_shingles long, digest binary, tokens array<int>")
+        return self.docs.mapInArrow(run, "doc_id long, n_shingles long, digest binary, tokens array<int>, bins binary")
 
     # -- 2. trees
 
@@ -165,24 +202,24 @@ class NearDuplicates:
 
     # -- 3. and 4. candidates
 
-    def likely(self, pairs: DataFrame, classes: DataFrame) -> DataFrame:
-        """The pairs (a, b) whose signatures agree enough."""
-        agree = self.agree
+    def likely(self, pairs: DataFrame, sketched: DataFrame) -> DataFrame:
+        """The pairs (a, b) that may be links."""
+        may = self.filter
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                s, t = (np.asarray(batch.column(i).flatten()).reshape(-1, TOKENS) for i in (2, 3))
-                yield batch.select(["a", "b"]).filter(pa.array((s == t).sum(1) >= agree))
+                s, t = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8).reshape(-1, BINS) for i in (2, 3))
+                yield batch.select(["a", "b"]).filter(pa.array(may(s, t, *(np.asarray(batch.column(i)) for i in (4, 5)))[0]))
 
-        a = classes.select(F.col("rep").alias("a"), F.col("tokens").alias("s"))
-        b = classes.select(F.col("rep").alias("b"), F.col("tokens").alias("t"))
-        return pairs.join(a, "a").join(b, "b").select("a", "b", "s", "t").mapInArrow(run, "a long, b long")
+        a = sketched.select(F.col("rep").alias("a"), F.col("bins").alias("s"), F.col("size").alias("m"))
+        b = sketched.select(F.col("rep").alias("b"), F.col("bins").alias("t"), F.col("size").alias("n"))
+        return pairs.join(a, "a").join(b, "b").select("a", "b", "s", "t", "m", "n").mapInArrow(run, "a long, b long")
 
-    def compare(self, nodes: DataFrame, classes: DataFrame, component: DataFrame | None) -> DataFrame:
-        """Candidate pairs (a, b) of different components in all nodes."""
+    def compare(self, nodes: DataFrame, sketched: DataFrame, component: DataFrame | None, best: bool) -> DataFrame:
+        """Candidate pairs (a, b) of different components in all nodes; ``best``: of each member that with its best partner only."""
         rows = nodes if component is None else nodes.join(component, "rep", "left")
         rows = rows.withColumn("comp", F.col("rep") if component is None else F.coalesce("comp", "rep"))
-        rows = self.store(rows, "nodes")
+        rows = self.store(rows, f"nodes-{best}")
         # of a node: its largest component (by a hash-free tie: the smallest id), and members outside it
         parts = rows.groupBy("node", "comp").agg(F.count("*").alias("m"), F.first("n").alias("n"))
         main = (parts.groupBy("node").agg(F.max(F.struct("m", (-F.col("comp")).alias("c"))).alias("x"), F.first("n").alias("size"))
@@ -199,17 +236,22 @@ class NearDuplicates:
             F.when(small, 0).otherwise(own(blocks_all)).alias("j"), F.when(small, F.lit(True)).otherwise(F.lit(False)).alias("query"))
         as_query = rows.where(~small & F.col("minor")).select("node", "rep", "comp", "minor", own(blocks_minor).alias("i"), F.explode(
             F.sequence(F.lit(0), blocks_all - 1)).alias("j"), F.lit(True).alias("query"))
-        groups = as_any.union(as_query).join(classes.select("rep", "tokens"), "rep")
-        agree = self.agree
+        groups = as_any.union(as_query).join(sketched, "rep")
+        may = self.filter
 
         def run(rows: pa.Table) -> pa.Table:
             rep, comp = (np.asarray(rows[c].combine_chunks()) for c in ("rep", "comp"))
             query = np.asarray(rows["query"].combine_chunks())
-            tokens = np.asarray(rows["tokens"].combine_chunks().flatten()).reshape(-1, TOKENS)
+            bins = np.frombuffer(b"".join(rows["bins"].to_pylist()), np.uint8).reshape(-1, BINS)
+            size = np.asarray(rows["size"].combine_chunks())
             left, right = [], []
             for i in np.flatnonzero(query):
-                found = np.flatnonzero(((tokens == tokens[i]).sum(1) >= agree) & (comp != comp[i]))
-                found = found[~query[found] | (found > i)]
+                fit, agreement = may(bins, bins[i], size, size[i])
+                found = np.flatnonzero(fit & (comp != comp[i]))
+                if best and len(found):
+                    found = found[[agreement[found].argmax()]]
+                else:
+                    found = found[~query[found] | (found > i)]
                 left.append(np.minimum(rep[found], rep[i]))
                 right.append(np.maximum(rep[found], rep[i]))
             none = np.zeros(0, np.int64)
@@ -223,12 +265,13 @@ class NearDuplicates:
         """The pairs that are links."""
         width, percent = self.width, self.percent
         pairs = self.store(pairs, f"{name}-candidates")
-        wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
+        wanted = pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).distinct().join(self.classes.select("rep", "digest", "first_id"), "rep")
+        wanted = self.store(wanted, f"{name}-wanted")
 
         def load(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in slices(batches):
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), pa.array([s.tobytes() for s in shingle_sets(batch.column(1), width)], pa.binary())], ["rep", "full"])
+                sets = [s.tobytes() for s in shingle_sets(batch.column(1), width)]
+                yield pa.RecordBatch.from_arrays([pa.array([xxhash.xxh3_128_digest(s) for s in sets], pa.binary()), pa.array(sets, pa.binary())], ["digest", "full"])
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -239,48 +282,37 @@ class NearDuplicates:
                     linked[i] = 100 * both >= percent * (len(s) + len(t) - both)
                 yield batch.select(["a", "b"]).filter(pa.array(linked))
 
-        sets = self.store(self.docs.join(wanted, "doc_id", "left_semi").mapInArrow(load, "rep long, full binary").dropDuplicates(["rep"]), f"{name}-sets")
+        # a class's first doc_id may have other texts too; the digest tells them apart, and equal digests are equal sets
+        texts = self.docs.join(wanted.select(F.col("first_id").alias("doc_id")), "doc_id", "left_semi")
+        sets = texts.mapInArrow(load, "digest binary, full binary").join(wanted.select("rep", "digest"), "digest").dropDuplicates(["rep"])
+        sets = self.store(sets.select("rep", "full"), f"{name}-sets")
         a = sets.select(F.col("rep").alias("a"), F.col("full").alias("s"))
         b = sets.select(F.col("rep").alias("b"), F.col("full").alias("t"))
         return self.store(pairs.join(a, "a").join(b, "b").select("a", "b", "s", "t").mapInArrow(run, "a long, b long"), f"{name}-links")
 
-    def components(self, links: DataFrame, name: str) -> DataFrame:
-        """(rep, comp): the smallest member of each linked class's component."""
-        both = self.store(links.select("a", "b").union(links.select("b", "a")).distinct(), f"{name}-edges")
-        labels = self.store(both.groupBy(F.col("a").alias("rep")).agg(F.least(F.min("b"), F.first("a")).alias("comp")), f"{name}-labels-0")
-        step = 0
-        while True:
-            step += 1
-            near = (both.join(labels.withColumnRenamed("rep", "b"), "b").groupBy(F.col("a").alias("rep"))
-                    .agg(F.min("comp").alias("near")))
-            hooked = labels.join(near, "rep").select("rep", F.least("comp", "near").alias("hook"), "comp")
-            up = labels.select(F.col("rep").alias("hook"), F.col("comp").alias("jump"))
-            new = hooked.join(up, "hook").select("rep", F.least("hook", "jump").alias("new"), "comp")
-            new = self.store(new, f"{name}-labels-{step}")
-            labels = new.select("rep", F.col("new").alias("comp"))
-            if new.where("new != comp").isEmpty():
-                return labels
-
     def run(self) -> DataFrame:
         """doc_id, n_shingles, component_id and kept of every document."""
         sketches = self.store(self.sketches(), "sketches")
         full = sketches.where("n_shingles > 0 and doc_id is not null")
-        classes = self.store(full.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("tokens").alias("tokens"))
-                             .dropDuplicates(["rep"]), "classes")
-        signed = classes.select("rep", "tokens")
-        nodes, stars = self.grow(signed)
-        component = None
-        if not stars.isEmpty():
-            likely = self.likely(stars.select(F.col("leader").alias("a"), F.col("rep").alias("b")), signed)
-            star_links = self.confirm(likely, "star")
-            component = self.components(star_links, "star")
-        links = self.confirm(self.compare(nodes, signed, component), "leaf")
-        if component is not None:
-            links = links.union(star_links)
-        final = self.components(links, "all")
-        members = (full.select("doc_id", "n_shingles", "digest").join(classes.select("digest", "rep"), "digest", "left")
-                   .withColumn("rep", F.coalesce("rep", "doc_id")))
-        grouped = members.join(final, "rep", "left").select("doc_id", "n_shingles", F.coalesce("comp", "rep").alias("component_id"))
+        first = (F.first(c).alias(c) for c in ("tokens", "bins", "n_shingles"))
+        self.classes = self.store(full.groupBy("digest").agg(F.min("doc_id").alias("first_id"), *first)
+                                  .withColumn("rep", F.monotonically_increasing_id()), "classes")
+        sketched = self.classes.select("rep", "bins", F.col("n_shingles").alias("size"))
+        nodes, stars = self.grow(self.classes.select("rep", "tokens"))
+        nodes = self.store(nodes, "all-nodes")
+        links, component = [], None
+        for step in ("star", "best", "rest"):
+            if step == "star":
+                candidates = self.likely(stars.select(F.col("leader").alias("a"), F.col("rep").alias("b")), sketched)
+            else:
+                candidates = self.compare(nodes, sketched, component, step == "best")
+            links.append(self.confirm(candidates, step))
+            component = components(reduce(DataFrame.union, links), f"{self.folder}/{step}-components")
+        named = self.classes.select("digest", "rep", "first_id").join(component, "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
+        named = self.store(named.select("digest", "comp", "first_id"), "named")
+        names = named.groupBy("comp").agg(F.min("first_id").alias("component_id"))
+        grouped = (full.select("doc_id", "n_shingles", "digest").join(named.select("digest", "comp").join(names, "comp"), "digest")
+                   .select("doc_id", "n_shingles", "component_id"))
         alone = sketches.where("n_shingles = 0 or doc_id is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
         return grouped.union(alone).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
