@@ -8,8 +8,10 @@ import sys
 from collections import defaultdict
 from pathlib import Path
 
+import numpy as np
+
 from farebox.llm.exact_dedup import Batch, DigestIndex
-from farebox.llm.near_dup import near_duplicates
+from farebox.llm.near_dup import Filter, bins_of, least_agreement, near_duplicates
 
 LOW = str.maketrans({chr(i): chr(i + 32) for i in range(65, 91)})
 
@@ -88,6 +90,29 @@ def test_near_duplicates_on_odd_rows(spark, odd, none, folder):
     assert near_duplicates(none, f"{folder}/b").collect() == []
 
 
+def test_texts_that_share_a_doc_id_are_linked_each_for_itself(spark, folder):
+    words = lambda seed: [f"w{random.Random(seed + k).randrange(10**6)}" for k in range(200)]
+    near = lambda w, k: " ".join([*w[:k], "other", *w[k + 1:]])
+    a, b = words(1), words(5000)
+    rows = [(1, " ".join(a)), (1, " ".join(b)), (2, near(a, 5)), (4, near(a, 90)), (3, near(b, 7)), (5, near(b, 100)), (6, " ".join(words(9000)))]
+    got = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), folder).collect()
+    assert sorted((r.doc_id, r.component_id) for r in got) == [(1, 1), (1, 1), (2, 1), (3, 1), (4, 1), (5, 1), (6, 6)]
+
+
+def test_bins_agree_as_often_as_sets_are_similar():
+    rng = np.random.default_rng(4)
+    both = rng.integers(0, 2**64, 900, dtype=np.uint64)
+    s, t = (np.unique(np.concatenate([both, rng.integers(0, 2**64, 50, dtype=np.uint64)])) for _ in range(2))
+    bins = bins_of([s, t, np.empty(0, np.uint64)])
+    used, same = ((bins[0] > 0) | (bins[1] > 0)).sum(), ((bins[0] == bins[1]) & (bins[0] > 0)).sum()
+    assert abs(same / used - 0.9) < 0.06 and not bins[2].any()
+    least = least_agreement(0.85)
+    assert least[0] == least[1] == 0 and 180 < least[256] < 200 and (np.diff(least) >= 0).all()
+    may = Filter(85)
+    one = np.zeros((1, 256), np.uint8)
+    assert not may(one, one, np.array([84]), np.array([100]))[0][0] and may(one, one, np.array([85]), np.array([100]))[0][0]
+
+
 def test_exact_dedup_and_its_index(spark, folder):
     index = DigestIndex(spark, f"{folder}/index", buckets=4)
     first = spark.createDataFrame([(3, "a b"), (1, "ab"), (2, "a  b"), (4, None), (5, " \n"), (6, "c"), (6, "c"), (None, "d"), (7, "d")],
