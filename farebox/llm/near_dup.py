@@ -53,7 +53,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from .common import ascii_words, components, documents, scratch, slices, store
 
 TOKENS = 64  # minwise tokens of a signature
-BINS = 256  # of a set's hashes, by their leading bits
+BINS = 1024  # of a set's hashes, by their leading bits; a power of two
+DEVIATIONS = 6.0  # below the expected agreement of a pair at the threshold
 NODE_LIMIT = 256
 DEPTH = 4
 _MULTIPLIERS = np.random.default_rng(11).integers(1, 2**63, TOKENS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -109,40 +110,49 @@ def trees_for(threshold: float, recall: float) -> int:
 def bins_of(sets: list[np.ndarray]) -> np.ndarray:
     """Of every set (sorted hashes) and bin: 0 if the bin is empty, else a number from 1 to 255 made of its least hash."""
     out = np.zeros((len(sets), BINS), np.uint8)
-    edges = np.arange(BINS, dtype=np.uint64) << np.uint64(64 - BINS.bit_length() + 1)
+    shift = np.uint64(65 - BINS.bit_length())
     for row, s in zip(out, sets):
-        if len(s):
-            first = np.minimum(np.searchsorted(s, edges), len(s) - 1)
-            held = s[first] >> np.uint64(64 - BINS.bit_length() + 1) == np.arange(BINS, dtype=np.uint64)
-            row[held] = (_mix(s[first[held]]) % np.uint64(255)).astype(np.uint8) + 1
-    return out
-
-
-def least_agreement(threshold: float, odds: float = 1e-6) -> np.ndarray:
-    """For each number of bins that either set of a pair fills: bins in which a pair at the threshold agrees but for these odds."""
-    out = np.zeros(BINS + 1, np.int64)
-    for n in range(1, BINS + 1):
-        total = 0.0
-        for k in range(n + 1):
-            total += math.comb(n, k) * threshold**k * (1 - threshold) ** (n - k)
-            if total > odds:
-                out[n] = k
-                break
+        of = (s >> shift).astype(np.int64)
+        least = np.flatnonzero(np.diff(of, prepend=-1))
+        row[of[least]] = (_mix(s[least]) % np.uint64(255)).astype(np.uint8) + 1
     return out
 
 
 class Filter:
-    """Which pairs may reach the threshold: sizes exactly, bins but for small odds."""
+    """Which pairs may reach the threshold, by sizes (exactly) and bins (but for small odds).
+
+    The least hashes of the bins that the union of two sets fills are a random
+    sample of the union, without replacement; a bin agrees if its hash is in both
+    sets.  So of n filled bins a linked pair agrees in n * threshold at least,
+    less what chance takes off; with as many bins filled as the union has members
+    nothing is left to chance.
+    """
 
     def __init__(self, percent: int) -> None:
-        self.percent, self.least = percent, least_agreement(percent / 100)
+        self.percent, self.threshold = percent, percent / 100
+
+    def sizes(self, size: np.ndarray, other: np.ndarray) -> np.ndarray:
+        return 100 * np.minimum(size, other) >= self.percent * np.maximum(size, other)
+
+    def agreement(self, same: np.ndarray, used: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """Whether ``same`` of ``used`` bins suffice for two sets with ``sizes`` members together."""
+        union = np.floor(sizes / (1 + self.threshold))  # the most that a linked pair's union has
+        spread = np.sqrt(used * self.threshold * (1 - self.threshold) * np.maximum(union - used, 0) / np.maximum(union - 1, 1))
+        return (used <= union) & (same >= used * self.threshold - DEVIATIONS * spread - 1)
+
+    def pairs(self, bins: np.ndarray, other: np.ndarray, size: np.ndarray, other_size: np.ndarray) -> np.ndarray:
+        """Row by row."""
+        used, same = ((bins > 0) | (other > 0)).sum(1), ((bins == other) & (bins > 0)).sum(1)
+        return self.sizes(size, other_size) & self.agreement(same, used, size + other_size)
 
-    def __call__(self, bins: np.ndarray, other: np.ndarray, size: np.ndarray, other_size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Whether each pair may be linked, and its number of agreeing bins per thousand used ones."""
-        used = ((bins > 0) | (other > 0)).sum(-1)
-        same = ((bins == other) & (bins > 0)).sum(-1)
-        may = (100 * np.minimum(size, other_size) >= self.percent * np.maximum(size, other_size)) & (same >= self.least[used])
-        return may, 1000 * same // np.maximum(used, 1)
+    def partners(self, i: int, others: np.ndarray, bins: np.ndarray, filled: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of rows ``others``, those that may be linked with row i, and their share of agreeing bins.  ``filled``: bins filled of each row."""
+        others = others[self.sizes(size[others], size[i])]
+        mine = np.flatnonzero(bins[i])
+        theirs = bins[np.ix_(others, mine)]
+        same, used = (theirs == bins[i, mine]).sum(1), filled[others] + len(mine) - (theirs > 0).sum(1)
+        fit = self.agreement(same, used, size[others] + size[i])
+        return others[fit], same[fit] / np.maximum(used[fit], 1)
 
 
 class NearDuplicates:
@@ -209,7 +219,7 @@ class NearDuplicates:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 s, t = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8).reshape(-1, BINS) for i in (2, 3))
-                yield batch.select(["a", "b"]).filter(pa.array(may(s, t, *(np.asarray(batch.column(i)) for i in (4, 5)))[0]))
+                yield batch.select(["a", "b"]).filter(pa.array(may.pairs(s, t, *(np.asarray(batch.column(i)) for i in (4, 5)))))
 
         a = sketched.select(F.col("rep").alias("a"), F.col("bins").alias("s"), F.col("size").alias("m"))
         b = sketched.select(F.col("rep").alias("b"), F.col("bins").alias("t"), F.col("size").alias("n"))
@@ -244,14 +254,15 @@ class NearDuplicates:
             query = np.asarray(rows["query"].combine_chunks())
             bins = np.frombuffer(b"".join(rows["bins"].to_pylist()), np.uint8).reshape(-1, BINS)
             size = np.asarray(rows["size"].combine_chunks())
+            filled = (bins > 0).sum(1)
             left, right = [], []
             for i in np.flatnonzero(query):
-                fit, agreement = may(bins, bins[i], size, size[i])
-                found = np.flatnonzero(fit & (comp != comp[i]))
-                if best and len(found):
-                    found = found[[agreement[found].argmax()]]
+                others = np.flatnonzero(comp != comp[i])
+                if best:
+                    found, agreement = may.partners(i, others, bins, filled, size)
+                    found = found[[agreement.argmax()]] if len(found) else found
                 else:
-                    found = found[~query[found] | (found > i)]
+                    found, _ = may.partners(i, others[~query[others] | (others > i)], bins, filled, size)
                 left.append(np.minimum(rep[found], rep[i]))
                 right.append(np.maximum(rep[found], rep[i]))
             none = np.zeros(0, np.int64)
