@@ -11,7 +11,7 @@ from pathlib import Path
 import numpy as np
 
 from farebox.llm.exact_dedup import Batch, DigestIndex
-from farebox.llm.near_dup import Filter, bins_of, least_agreement, near_duplicates
+from farebox.llm.near_dup import Filter, bins_of, near_duplicates
 
 LOW = str.maketrans({chr(i): chr(i + 32) for i in range(65, 91)})
 
@@ -99,18 +99,28 @@ def test_texts_that_share_a_doc_id_are_linked_each_for_itself(spark, folder):
     assert sorted((r.doc_id, r.component_id) for r in got) == [(1, 1), (1, 1), (2, 1), (3, 1), (4, 1), (5, 1), (6, 6)]
 
 
-def test_bins_agree_as_often_as_sets_are_similar():
+def test_bins_keep_linked_pairs_and_drop_others():
+    """Random sets of all sizes at the threshold pass; clearly below it they don't."""
     rng = np.random.default_rng(4)
-    both = rng.integers(0, 2**64, 900, dtype=np.uint64)
-    s, t = (np.unique(np.concatenate([both, rng.integers(0, 2**64, 50, dtype=np.uint64)])) for _ in range(2))
-    bins = bins_of([s, t, np.empty(0, np.uint64)])
-    used, same = ((bins[0] > 0) | (bins[1] > 0)).sum(), ((bins[0] == bins[1]) & (bins[0] > 0)).sum()
-    assert abs(same / used - 0.9) < 0.06 and not bins[2].any()
-    least = least_agreement(0.85)
-    assert least[0] == least[1] == 0 and 180 < least[256] < 200 and (np.diff(least) >= 0).all()
-    may = Filter(85)
-    one = np.zeros((1, 256), np.uint8)
-    assert not may(one, one, np.array([84]), np.array([100]))[0][0] and may(one, one, np.array([85]), np.array([100]))[0][0]
+    may, fresh = Filter(85), lambda n: rng.integers(0, 2**64, n, dtype=np.uint64)
+
+    def passed(n, similar):
+        union = int(n)
+        both = int(np.ceil(similar * union))
+        shared, rest = fresh(both), fresh(union - both)
+        cut = (union - both) // 2
+        s, t = np.unique(np.concatenate([shared, rest[:cut]])), np.unique(np.concatenate([shared, rest[cut:]]))
+        bins = bins_of([s, t])
+        rows = may.pairs(bins[:1], bins[1:], np.array([len(s)]), np.array([len(t)]))[0]
+        size = np.array([len(s), len(t)])
+        assert (len(may.partners(0, np.array([1]), bins, (bins > 0).sum(1), size)[0]) == 1) == rows
+        return rows
+
+    for n in (1, 2, 7, 20, 60, 180, 500, 2000, 9000):
+        assert all(passed(n, 0.85) for _ in range(150))
+    assert sum(passed(180, 0.73) for _ in range(100)) < 10 and not any(passed(500, 0.6) for _ in range(50))
+    assert not bins_of([np.empty(0, np.uint64)]).any()
+    assert may.sizes(np.array([84, 85]), 100).tolist() == [False, True]
 
 
 def test_exact_dedup_and_its_index(spark, folder):
