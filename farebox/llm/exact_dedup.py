@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import hashlib
 import uuid
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -94,12 +95,16 @@ class Batch:
     """Rows that have gone through the index; new texts are in the index now.
 
     ``folder``: a shared folder for the rows with their digests, so that texts
-    are hashed once.  ``keep_text=False`` leaves the text out there.
+    are hashed once.  ``keep_text=False`` leaves the text out there.  ``batch``: the
+    caller's name of the batch.  A batch that is repeated under its name, after a
+    failure anywhere, gets the verdicts that it got or would have got: only
+    digests that the index lacks are appended, and those it holds under this name
+    are this batch's own.
     """
 
     def __init__(self, docs: DataFrame, index: DigestIndex, folder: str, doc_id: str = "doc_id", text: str = "text",
-                 keep_text: bool = True) -> None:
-        self.id = uuid.uuid4().hex
+                 keep_text: bool = True, batch: str | None = None) -> None:
+        self.id = batch or uuid.uuid4().hex
         rows = (docs.drop(*_HELPERS, *OUTPUTS)
                 .withColumn("digest", F.unhex(F.sha2(normalised(F.col(text)).cast("binary"), 256)))
                 .withColumn("n_points", F.char_length(F.coalesce(F.col(text), F.lit(""))))
@@ -107,16 +112,20 @@ class Batch:
         self.rows = store(rows if keep_text else rows.drop(text), f"{folder}/rows")
         best = F.min(F.struct((-F.col("n_points")).alias("n"), F.col(doc_id).isNull().alias("none"),
                               F.col(doc_id).alias("id"), F.col("row_id").alias("row"))).alias("best")
-        groups = (self.rows.groupBy("digest").agg(best, F.count("*").alias("group_size"))
-                  .select("digest", F.col("best.id").alias("keep_id"), F.col("best.row").alias("keep_row"), "group_size",
-                          F.lit(self.id).alias("batch")))
-        index.append(index.new(groups))
-        # as plain files: both sides of a join are shuffled, and a hot digest can be split
-        self.held = index.spark.read.schema(groups.schema).parquet(index.path)
-
-    def verdicts(self) -> DataFrame:
-        """All rows with text_sha256, keep_id, group_size (rows of the batch that brought the text) and kept."""
-        return (self.rows.join(self.held, "digest")
+        self.groups = store(self.rows.groupBy("digest").agg(best, F.count("*").alias("group_size"))
+                            .select("digest", F.col("best.id").alias("keep_id"), F.col("best.row").alias("keep_row"), "group_size"), f"{folder}/groups")
+        index.append(index.new(self.groups).select("digest", "keep_id", "group_size", F.lit(self.id).alias("batch")))
+        # one row a digest of this batch; the index's side is read by its buckets, without a shuffle
+        known = index.table().select("digest", "keep_id", "group_size", "batch").hint("merge")
+        self.held = store(self.groups.select("digest", "keep_row").join(known, "digest"), f"{folder}/held")
+
+    def verdicts(self, sizes: DataFrame | None = None) -> DataFrame:
+        """All rows with text_sha256, keep_id, group_size and kept.
+
+        group_size: rows of the batch that brought the text, or of ``sizes`` (digest, group_size).
+        """
+        held = self.held if sizes is None else self.held.drop("group_size").join(sizes, "digest")
+        return (self.rows.join(held, "digest")
                 .withColumn("kept", (F.col("row_id") == F.col("keep_row")) & (F.col("batch") == self.id))
                 .withColumn("text_sha256", F.lower(F.hex("digest")))
                 .drop(*_HELPERS, "keep_row", "batch"))
@@ -127,10 +136,31 @@ class Batch:
         return self.rows.join(stay, "row_id", "left_semi").drop(*_HELPERS)
 
 
+def dedup_in_batches(docs: DataFrame, index: DigestIndex, folder: str, batches: int = 2, text: str = "text", **options: object) -> list[Batch]:
+    """Passes a whole table through the index in batches, longest texts first.
+
+    The batches are ranges of the number of code points, so the first batch that
+    has a digest has the row of its group that stays, whatever the ranges; the
+    anti-join drops the digest from all later ones.
+    """
+    points = F.char_length(F.coalesce(F.col(f"`{text}`"), F.lit("")))
+    shares = [k / batches for k in range(batches - 1, 0, -1)]
+    cuts = docs.agg(F.percentile_approx(points, F.array(*(F.lit(x) for x in shares)))).first()[0] if shares else []
+    bounds = [None, *(cuts or [0] * len(shares)), None]
+    out = []
+    for k, (high, low) in enumerate(zip(bounds, bounds[1:])):
+        inside = F.lit(True) if high is None else points < high
+        part = docs.where(inside if low is None else inside & (points >= low))
+        out.append(Batch(part, index, f"{folder}/batch-{k}", text=text, batch=f"batch-{k}", **options))
+    return out
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch(spark, "exact-dedup")
-    index = DigestIndex(spark, f"{folder}/index")
-    return (Batch(documents(spark, sf_dir), index, folder, keep_text=False).verdicts()
+    batches = dedup_in_batches(documents(spark, sf_dir), DigestIndex(spark, f"{folder}/index"), folder, keep_text=False)
+    sizes = reduce(DataFrame.union, (b.groups.select("digest", "group_size") for b in batches))
+    sizes = store(sizes.groupBy("digest").agg(F.sum("group_size").alias("group_size")), f"{folder}/sizes")
+    return (reduce(DataFrame.unionByName, (b.verdicts(sizes) for b in batches))
             .select("doc_id", "keep_id", "group_size", "kept", "text_sha256"))
 
 
