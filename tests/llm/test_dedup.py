@@ -5,12 +5,13 @@ import random
 import re
 import subprocess
 import sys
-from collections import defaultdict
+from collections import Counter, defaultdict
+from functools import reduce
 from pathlib import Path
 
 import numpy as np
 
-from farebox.llm.exact_dedup import Batch, DigestIndex
+from farebox.llm.exact_dedup import Batch, DigestIndex, dedup_in_batches
 from farebox.llm.near_dup import Filter, bins_of, near_duplicates
 
 LOW = str.maketrans({chr(i): chr(i + 32) for i in range(65, 91)})
@@ -142,6 +143,33 @@ def test_exact_dedup_and_its_index(spark, folder):
     assert third.verdicts().collect() == [] and third.kept().collect() == []
 
 
+def test_a_repeated_batch_keeps_what_it_kept(spark, folder):
+    """As after a failure between the index's append and the caller's write, and of an append that came half-way."""
+    index = DigestIndex(spark, f"{folder}/index", buckets=4)
+    docs = spark.createDataFrame([(1, "a"), (2, "b"), (3, "b "), (4, "c")], "doc_id long, text string")
+    first = Batch(docs, index, f"{folder}/1", batch="monday")
+    assert sorted(r.doc_id for r in first.kept().collect()) == [1, 3, 4]
+    again = Batch(docs.repartition(3), index, f"{folder}/2", batch="monday")
+    assert sorted(r.doc_id for r in again.kept().collect()) == [1, 3, 4] and index.table().count() == 3
+    more = Batch(docs.union(spark.createDataFrame([(5, "d")], "doc_id long, text string")), index, f"{folder}/3", batch="monday")
+    assert sorted(r.doc_id for r in more.kept().collect()) == [1, 3, 4, 5] and index.table().count() == 4
+    assert Batch(docs, index, f"{folder}/4", batch="tuesday").kept().collect() == []
+
+
+def test_batches_give_what_one_batch_gives(spark, folder):
+    r = random.Random(2)
+    rows = [(r.choice([None, *range(40)]), r.choice(["", None, " ", "ab", "a b", "a  b", "abc", "a bc ", "x" * 30, " ".join("x" * 30)])) for _ in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    see = lambda df: Counter(tuple(x) for x in df.select("keep_id", "group_size", "kept", "text_sha256").collect())
+    whole = see(Batch(docs, DigestIndex(spark, f"{folder}/one"), f"{folder}/1").verdicts())
+    for n in (2, 5):
+        batches = dedup_in_batches(docs, DigestIndex(spark, f"{folder}/many-{n}"), f"{folder}/{n}", n)
+        sizes = reduce(lambda a, b: a.union(b), (b.groups.select("digest", "group_size") for b in batches)).groupBy("digest").sum("group_size").toDF("digest", "group_size")
+        assert see(reduce(lambda a, b: a.unionByName(b), (b.verdicts(sizes) for b in batches))) == whole
+        assert sum(b.kept().count() for b in batches) == sum(n for row, n in whole.items() if row[2])
+    assert dedup_in_batches(docs.where("false"), DigestIndex(spark, f"{folder}/none"), f"{folder}/0")[1].verdicts().collect() == []
+
+
 EARLIER = """
 import sys
 from pyspark.sql import SparkSession
