@@ -14,11 +14,12 @@ no column of the input can clash with theirs.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from farebox.llm.common import arrow_rows, fold, scratch, ship, store, table
-from farebox.llm.exact_dedup import Batch, DigestIndex
+from farebox.llm.exact_dedup import DigestIndex, dedup_in_batches
 from farebox.llm.line_quality import quality_rules
 from farebox.llm.near_dup import near_duplicates
 from farebox.llm.packing import pack_documents
@@ -52,7 +53,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts."""
     folder = scratch(spark, "exact-dedup")
-    return _restored(Batch(_carried(docs), DigestIndex(spark, f"{folder}/index"), folder).kept(), docs)
+    batches = dedup_in_batches(_carried(docs), DigestIndex(spark, f"{folder}/index"), folder)
+    return _restored(reduce(DataFrame.unionByName, (b.kept() for b in batches)), docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
