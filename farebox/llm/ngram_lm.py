@@ -135,18 +135,23 @@ def lm_score(docs: DataFrame, held_out: str, doc_id: str = "doc_id", text: str =
             keys = [np.frombuffer(x, np.uint64) for x in rows[name].to_pylist()]
             counts = [np.frombuffer(x, np.uint32) for x in rows[f"{name}_n"].to_pylist()]
             distinct, of = np.unique(np.concatenate(keys), return_inverse=True)
-            sums = np.bincount(of, np.concatenate(counts), len(distinct)).astype(np.uint32)
+            sums = np.zeros(len(distinct), np.uint64)
+            np.add.at(sums, of, np.concatenate(counts).astype(np.uint64))
+            if not len(sums) or sums.max() < 1 << 32:  # the width of the answers follows the largest count
+                sums = sums.astype(np.uint32)
+            result[f"{name}_bytes"] = pa.array([sums.itemsize] * n, pa.int32())
             back = np.split(sums[of], np.cumsum([len(k) for k in keys])[:-1])
             result[name] = pa.array([x.tobytes() for x in back], pa.binary())
             if name == "one":
-                result["n_tokens"] = pa.array([int(sums.sum(dtype=np.int64))] * n, pa.int64())
+                result["n_tokens"] = pa.array([int(sums.sum(dtype=np.uint64))] * n, pa.int64())
                 result["n_types"] = pa.array([int((sums > 0).sum())] * n, pa.int64())
         return pa.table(result)
 
     def score(rows: pa.Table, answers: pa.Table) -> pa.Table:
         block = Block(rows["text"], ~np.asarray(rows["held_out"].combine_chunks()))
         answers = answers.sort_by("bucket")
-        one, two = (np.frombuffer(b"".join(answers[c].to_pylist()), np.uint32) for c in ("one", "two"))
+        one, two = (np.concatenate([np.frombuffer(x, f"<u{w}").astype(np.uint64) for x, w in zip(answers[c].to_pylist(), answers[f"{c}_bytes"].to_pylist())])
+                    for c in ("one", "two"))
         n_tokens = pc.sum(answers["n_tokens"]).as_py()
         automaton = BackoffAutomaton(block, one, two, n_tokens, pc.sum(answers["n_types"]).as_py(), mass)
         return pa.table({
@@ -156,7 +161,7 @@ def lm_score(docs: DataFrame, held_out: str, doc_id: str = "doc_id", text: str =
 
     kind = dict(docs.dtypes)[doc_id]
     asked = dealt.groupBy("block").applyInArrow(ask, "block int, bucket int, one binary, one_n binary, two binary, two_n binary")
-    answered = asked.groupBy("bucket").applyInArrow(answer, "block int, bucket int, one binary, n_tokens long, n_types long, two binary")
+    answered = asked.groupBy("bucket").applyInArrow(answer, "block int, bucket int, one_bytes int, one binary, n_tokens long, n_types long, two_bytes int, two binary")
     return dealt.groupBy("block").cogroup(answered.groupBy("block")).applyInArrow(
         score, f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 

@@ -10,8 +10,8 @@ those of its emptiest bin if that isn't full; the pool is dealt to new groups an
 packed again, until one group is left.
 
 A group holds pieces' numbers, not their text.  Pieces are dealt by a hash of
-the document and piece, salted anew each round, so no source or key makes a
-group large.
+their row number, salted anew each round, so no source or key makes a group
+large, repeated and missing doc_ids included.
 
 Cases.  Null text counts as empty: a document of the end id alone.  Rows that
 repeat are packed each for itself.  Without rows there are no sequences.
@@ -24,7 +24,6 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -144,40 +143,46 @@ def lower_bound(lengths: np.ndarray, capacity: int) -> int:
 
 
 def pack(pieces: DataFrame, folder: str, capacity: int = 2048, group_rows: int = GROUP_ROWS, loose_bins: int = LOOSE_BINS) -> DataFrame:
-    """Adds sequence_id and offset.  ``folder``: a shared folder for the pieces and each round's result."""
+    """Adds sequence_id and offset.  ``folder``: a shared folder for the pieces and each round's result.
+
+    Rounds end when one group is left, or when a round has settled nothing.
+    """
     spark = pieces.sparkSession
-    pool = store(pieces.drop("sequence_id", "offset"), f"{folder}/pieces")
-    left, schema = pool.count(), pool.schema
-    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+    rest = pieces.drop("sequence_id", "offset")
+    pool = store(rest.select(F.monotonically_increasing_id().alias("_row"), F.col("length").alias("_length"),
+                             F.struct(*(F.col(f"`{c}`") for c in rest.columns)).alias("_piece")), f"{folder}/pieces")
+    row, left, before = pool.schema["_piece"].dataType, pool.count(), None
     done, number = [], 0
     while True:
         groups = max(1, -(-left // group_rows))
-        last = groups == 1 or number == 20  # no further round has helped so many groups
+        last = groups == 1 or left == before
         shift = number << 56
 
-        def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-            rows = rows.sort_values(["length", "doc_id", "piece"], ascending=[False, True, True], kind="stable")  # noqa: B023
-            lengths = rows["length"].to_numpy()
+        def run(key: tuple, rows: pa.Table) -> pa.Table:
+            # by length, then by number: an order of their own
+            rows = rows.sort_by([("_length", "descending"), ("_row", "ascending")])
+            lengths = rows["_length"].to_numpy()
             bins, places = best_fit_decreasing(lengths, capacity)
             used = np.bincount(bins, lengths)
             certified = len(used) == lower_bound(lengths, capacity)
-            rows["offset"] = places
-            rows["sequence_id"] = shift + (int(key[0]) << 24) + bins  # noqa: B023
             loose = np.zeros(len(used), bool)
             if not last:  # noqa: B023  a certified group's rest also goes on, to meet those of the others
                 loose[np.argsort(used, kind="stable")[:1 if certified else loose_bins]] = True
-            rows["settled"] = ~(loose & (used < capacity))[bins]
-            return rows.drop(columns="grp")
-
-        (pool.withColumn("grp", F.pmod(F.xxhash64("doc_id", "piece", F.lit(number)), F.lit(groups)))
-         .groupBy("grp").applyInPandas(run, f"{columns}, offset long, sequence_id long, settled boolean")
-         .write.partitionBy("settled").parquet(f"{folder}/round-{number}"))
-        result = spark.read.schema(f"{columns}, offset long, sequence_id long, settled boolean").parquet(f"{folder}/round-{number}")
-        done.append(result.where("settled").drop("settled"))
+            settled = ~(loose & (used < capacity))[bins]
+            return (rows.drop_columns(["_grp"]).append_column("_offset", pa.array(places))
+                    .append_column("_sequence", pa.array(shift + (key[0].as_py() << 24) + bins))  # noqa: B023
+                    .append_column("_settled", pa.array(settled)))
+
+        columns = f"_row long, _length long, _piece {row.simpleString()}, _offset long, _sequence long, _settled boolean"
+        (pool.withColumn("_grp", F.pmod(F.xxhash64("_row", F.lit(number)), F.lit(groups)))
+         .groupBy("_grp").applyInArrow(run, columns)
+         .write.partitionBy("_settled").parquet(f"{folder}/round-{number}"))
+        result = spark.read.schema(columns).parquet(f"{folder}/round-{number}")
+        done.append(result.where("_settled").select("_piece.*", F.col("_sequence").alias("sequence_id"), F.col("_offset").alias("offset")))
         if last:
             break
-        pool = result.where("not settled").select(*schema.names)
-        number, left = number + 1, pool.count()
+        pool = result.where("not _settled").select("_row", "_length", "_piece")
+        number, before, left = number + 1, left, pool.count()
         if not left:
             break
     out = done[0]
