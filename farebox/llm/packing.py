@@ -68,7 +68,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, end: int = 0,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = library_coder(source.value, keep_space=False, irregular=None)
-        for batch in slices(batches, max_bytes=2 * SLICE_BYTES):
+        for batch in slices(batches, max_bytes=SLICE_BYTES // 2):
             ids, bounds = coder.encode(batch.column(1))
             sizes = np.diff(bounds) + 1
             stops = np.cumsum(sizes)

@@ -21,6 +21,9 @@ from .common import spread, string_array
 #: Characters with the Unicode property White_Space.
 WHITE = "\t-\r \x85\xa0  -     　"
 
+#: Chunks that the tokenizer gets at once: its result takes some hundred bytes a chunk.
+PART = 10_000
+
 
 class WordCoder:
     """``encode_chunks(list of str) -> list of id sequences`` gives the ids of texts or chunks.
@@ -47,7 +50,9 @@ class WordCoder:
         missing = np.flatnonzero(found < 0)
         if len(missing):
             new = list(dict.fromkeys(words[i] for i in missing))
-            self._learn(new, self.encode_chunks(new))
+            for start in range(0, len(new), PART):
+                part = new[start:start + PART]
+                self._learn(part, self.encode_chunks(part))
             found[missing] = [get(words[i]) for i in missing]
         return found
 
@@ -77,7 +82,7 @@ class WordCoder:
         if not odd.any():
             return self._regular(texts)
         plain_ids, plain = self._regular(texts.filter(pa.array(~odd)))
-        whole = [np.asarray(x, np.uint32) for x in self.encode_chunks(texts.filter(pa.array(odd)).to_pylist())]
+        whole = [np.asarray(self.encode_chunks([x])[0], np.uint32) for x in texts.filter(pa.array(odd)).to_pylist()]
         parts, i, j = [], 0, 0
         for is_odd in odd:
             if is_odd:

@@ -5,11 +5,13 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
 from tokenizers import Tokenizer  # noqa: E402
 
+from farebox.llm import wordcodes  # noqa: E402
 from farebox.llm.bpe import ByteBPE, WordCoder, bpe_decode, bpe_encode, read_vocabulary  # noqa: E402
 from farebox.llm.packing import best_fit_decreasing, library_coder, lower_bound, pack, pieces  # noqa: E402
 from farebox.llm.token_store import Shard, read_tokens, repair, write_tokens  # noqa: E402
@@ -30,6 +32,24 @@ def random_texts(n, seed):
     return ["".join(r.choice(letters) for _ in range(r.randint(0, 30))) for _ in range(n)]
 
 
+def test_the_tokenizer_gets_bounded_parts(monkeypatch):
+    monkeypatch.setattr(wordcodes, "PART", 7)
+    t, got = library(BYTES), []
+
+    def encode(xs):
+        got.append(xs)
+        return [e.ids for e in t.encode_batch_fast(xs, add_special_tokens=False)]
+
+    texts = random_texts(300, 5)
+    irregular = ByteBPE(read_vocabulary(BYTES)).irregular()
+    odd = pc.match_substring_regex(pa.array(texts), irregular).to_pylist()
+    assert 2 < sum(odd) < len(texts)
+    ids, at = WordCoder(encode, irregular, keep_space=True).encode(pa.array(texts))
+    assert max(map(len, got)) <= 7
+    assert all(len(xs) == 1 for xs in got for x in xs if x in {y for y, o in zip(texts, odd) if o and len(y) > 20})
+    assert [ids[a:b].tolist() for a, b in zip(at[:-1], at[1:])] == [t.encode(x, add_special_tokens=False).ids for x in texts]
+
+
 def test_byte_bpe_equals_the_library():
     t, texts = library(BYTES), random_texts(3000, 1)
     bpe = ByteBPE(read_vocabulary(BYTES))
