@@ -12,16 +12,19 @@ groups.
    member goes to the children of two more tokens that the node selects.  Two
    similar sets part at a branching with small odds only (both of two tokens
    must differ), so the number of trees follows from the threshold and the
-   target recall.  Nodes with one member are dropped.
+   target recall.  Nodes with one member are dropped.  A node that has half of
+   its members or more in one child is dense: its members are alike, so more
+   branching would repeat them instead of parting them, and it ends there.
 3. Stars: large nodes first compare all members with one of them.  What is
    linked so far gets a component.
 4. Small nodes are compared exhaustively, by set sizes (exactly: the smaller must
    hold the threshold's share of the larger) and by bins.  First each member
    proposes its best partner of another component only; when those are confirmed
    and contracted, all pairs of different components that are left are proposed.
-   Large nodes at the last level are compared in blocks, but only members outside
-   the node's largest component with the others: members of one component need
-   no link.
+   Dense nodes, and large ones at the last level, are compared in blocks, but only
+   members outside the node's largest component with the others: members of one
+   component need no link.  A pair that shares several such nodes is compared in
+   the least of them only.
 5. Candidates are confirmed on full sets (of 64-bit shingle hashes, computed
    again from the texts of candidates only), and components are found by
    hooking and pointer jumping.
@@ -56,6 +59,7 @@ TOKENS = 64  # minwise tokens of a signature
 BINS = 1024  # of a set's hashes, by their leading bits; a power of two
 DEVIATIONS = 6.0  # below the expected agreement of a pair at the threshold
 NODE_LIMIT = 256
+BLOCK = 1024  # members of a large node that meet as many others at once
 DEPTH = 4
 _MULTIPLIERS = np.random.default_rng(11).integers(1, 2**63, TOKENS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -159,11 +163,11 @@ class NearDuplicates:
     """One run over (doc_id, text); intermediate tables lie in ``folder``, a shared folder."""
 
     def __init__(self, docs: DataFrame, folder: str, percent: int = 85, width: int = 3, recall: float = 0.99999,
-                 node_limit: int = NODE_LIMIT, depth: int = DEPTH) -> None:
+                 node_limit: int = NODE_LIMIT, depth: int = DEPTH, block: int = BLOCK) -> None:
         self.spark, self.folder = docs.sparkSession, folder
         self.docs, self.percent, self.width = docs.select("doc_id", "text"), percent, width
         self.trees, self.filter = trees_for(percent / 100, recall), Filter(percent)
-        self.limit, self.depth = node_limit, depth
+        self.limit, self.depth, self.block = node_limit, depth, block
 
     def store(self, df: DataFrame, name: str) -> DataFrame:
         return store(df, f"{self.folder}/{name}")
@@ -189,26 +193,33 @@ class NearDuplicates:
     # -- 2. trees
 
     def grow(self, classes: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """(node, rep) of all small nodes of two members or more and of large last nodes; (leader, rep) of large nodes."""
+        """(node, n, rep) of all small nodes of two members or more and of dense ones; (leader, rep) of large nodes."""
         roots = F.array(*(F.struct(F.xxhash64(F.lit(t), F.element_at("tokens", t % TOKENS + 1)).alias("node")) for t in range(self.trees)))
-        members = classes.select("rep", F.explode(roots).alias("r")).select(F.col("r.node").alias("node"), "rep")
-        small, stars = [], []
+        members = self.store(classes.select("rep", F.explode(roots).alias("r")).select(F.col("r.node").alias("node"), "rep"), "members-0")
+        small, dense, stars = [], [], []
         for level in range(self.depth + 1):
-            members = self.store(members.distinct() if level else members, f"members-{level}")
             sizes = members.groupBy("node").agg(F.count("*").alias("n"), F.min("rep").alias("leader")).where("n > 1")
             sized = self.store(members.join(sizes, "node"), f"sized-{level}")
-            last = level == self.depth
-            small.append(sized if last else sized.where(F.col("n") <= self.limit))
+            small.append(sized.where(F.col("n") <= self.limit))
             large = sized.where(F.col("n") > self.limit)
             if large.isEmpty():
                 break
             stars.append(large.where("rep != leader").select("leader", "rep"))
-            if not last:
-                pick = [F.pmod(F.xxhash64("node", F.lit(k)), F.lit(TOKENS)).cast("int") for k in (1, 2)]
-                child = F.explode(F.array(*(F.xxhash64("node", p, F.element_at("tokens", p + 1)) for p in pick)))
-                members = large.select("node", "rep").join(classes, "rep").select(child.alias("node"), "rep")
-        none = small[0].select(F.col("leader"), "rep").where("false")
-        return reduce(DataFrame.union, small).select("node", "n", "rep"), reduce(DataFrame.union, stars, none).distinct()
+            if level == self.depth:
+                dense.append(large)
+                break
+            pick = [F.pmod(F.xxhash64("node", F.lit(k)), F.lit(TOKENS)).cast("int") for k in (1, 2)]
+            child = F.explode(F.array(*(F.xxhash64("node", p, F.element_at("tokens", p + 1)) for p in pick)))
+            grown = self.store(large.select("node", "n", "rep").join(classes, "rep")
+                               .select(F.col("node").alias("parent"), "n", child.alias("node"), "rep").distinct(), f"members-{level + 1}")
+            whole = grown.groupBy("parent", "node").agg(F.count("*").alias("m"), F.first("n").alias("n")).where("2 * m >= n").select("parent").distinct()
+            dense.append(large.join(whole.withColumnRenamed("parent", "node"), "node", "left_semi"))
+            members = grown.join(whole, "parent", "left_anti").select("node", "rep").distinct()
+        none = sized.where("false")
+        union = lambda parts: reduce(DataFrame.union, (p.select("node", "n", "leader", "rep") for p in parts), none.select("node", "n", "leader", "rep"))
+        dense = self.store(union(dense).select("node", "n", "rep"), "dense-nodes")
+        self.shared = self.store(dense.groupBy("rep").agg(F.collect_set("node").alias("dense")), "dense-of")
+        return union(small).select("node", "n", "rep").union(dense), reduce(DataFrame.union, stars, none.select("leader", "rep")).distinct()
 
     # -- 3. and 4. candidates
 
@@ -235,18 +246,18 @@ class NearDuplicates:
         main = (parts.groupBy("node").agg(F.max(F.struct("m", (-F.col("comp")).alias("c"))).alias("x"), F.first("n").alias("size"))
                 .select("node", (-F.col("x.c")).alias("main"), (F.col("size") - F.col("x.m")).alias("others")).where("others > 0"))
         rows = rows.join(main, "node").withColumn("minor", (F.col("n") <= self.limit) | (F.col("comp") != F.col("main")))
-        limit = F.lit(self.limit)
-        blocks_all = F.ceil(F.col("n") / limit).cast("int")
-        blocks_minor = F.ceil(F.col("others") / limit).cast("int")
+        block = F.lit(self.block)
+        blocks_all = F.ceil(F.col("n") / block).cast("int")
+        blocks_minor = F.ceil(F.col("others") / block).cast("int")
         own = lambda n: F.pmod(F.xxhash64("rep", "node"), n).cast("int")
-        small = F.col("n") <= limit
+        small = F.col("n") <= self.limit
         # small node: one group.  Large: every block of minor members meets every block of all members.
         as_any = rows.select("node", "rep", "comp", F.col("minor").alias("minor"), F.explode(
             F.when(small, F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), blocks_minor - 1))).alias("i"),
             F.when(small, 0).otherwise(own(blocks_all)).alias("j"), F.when(small, F.lit(True)).otherwise(F.lit(False)).alias("query"))
         as_query = rows.where(~small & F.col("minor")).select("node", "rep", "comp", "minor", own(blocks_minor).alias("i"), F.explode(
             F.sequence(F.lit(0), blocks_all - 1)).alias("j"), F.lit(True).alias("query"))
-        groups = as_any.union(as_query).join(sketched, "rep")
+        groups = as_any.union(as_query).join(sketched.join(self.shared, "rep", "left"), "rep")
         may = self.filter
 
         def run(rows: pa.Table) -> pa.Table:
@@ -255,9 +266,18 @@ class NearDuplicates:
             bins = np.frombuffer(b"".join(rows["bins"].to_pylist()), np.uint8).reshape(-1, BINS)
             size = np.asarray(rows["size"].combine_chunks())
             filled = (bins > 0).sum(1)
+            # a pair is compared in the least dense node that it shares; one bit for each such node of a row
+            node, lists = rows["node"][0].as_py(), rows["dense"].combine_chunks()
+            named, ids = np.asarray(pc.list_parent_indices(lists)), np.asarray(pc.list_flatten(lists), np.int64)
+            known, at = np.unique(ids, return_inverse=True)
+            met = np.zeros((len(rep), len(known)), bool)
+            met[named, at] = True
+            met = np.packbits(met[:, known < node] if node in known else met, axis=1)
             left, right = [], []
             for i in np.flatnonzero(query):
                 others = np.flatnonzero(comp != comp[i])
+                if met[i].any():
+                    others = others[~(met[others] & met[i]).any(1)]
                 if best:
                     found, agreement = may.partners(i, others, bins, filled, size)
                     found = found[[agreement.argmax()]] if len(found) else found

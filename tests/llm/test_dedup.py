@@ -12,7 +12,7 @@ from pathlib import Path
 import numpy as np
 
 from farebox.llm.exact_dedup import Batch, DigestIndex, dedup_in_batches
-from farebox.llm.near_dup import Filter, bins_of, near_duplicates
+from farebox.llm.near_dup import Filter, NearDuplicates, bins_of, near_duplicates
 
 LOW = str.maketrans({chr(i): chr(i + 32) for i in range(65, 91)})
 
@@ -73,6 +73,21 @@ def test_near_duplicates_against_brute_force(spark, folder):
     assert len(set(c for _, c in want.values())) < len(rows)
 
 
+def test_texts_just_under_the_threshold_are_not_dealt_again_and_again(spark, folder):
+    r = random.Random(4)
+    word = lambda: "".join(r.choice("abcdefgh") for _ in range(4))
+    base, rows = [word() for _ in range(150)], []
+    for i in range(60):  # one dense group, with chains of links inside and texts linked with nothing
+        now = list(base)
+        for _ in range(r.choice([1, 2, 6])):
+            now[r.randrange(150)] = word()
+        rows.append((i, " ".join(now)))
+    run = NearDuplicates(spark.createDataFrame(rows, "doc_id long, text string"), folder, node_limit=8, block=16)
+    got = {x.doc_id: (x.n_shingles, x.component_id) for x in run.run().collect()}
+    assert got == brute(rows, 3, 85) and len(set(got.values())) > 5
+    assert spark.read.parquet(f"{folder}/all-nodes").count() <= 2 * 60 * run.trees
+
+
 def test_near_duplicates_with_five_words(spark, folder):
     rows = variants(6, groups=6)
     got = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), folder, percent=80, width=5).collect()
