@@ -34,7 +34,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
@@ -63,6 +63,21 @@ class Counts:
     class_left: np.ndarray  # 2 x contexts: class_total less the sum of own
 
 
+@dataclass
+class Ratios:
+    """n-grams of one order with their log-ratios of the class models, and the log-ratio after each context without one of them.
+
+    What a known n-gram says depends on its own counts and those of its shorter
+    forms, all known too; after a known context any other character gets the
+    discounted rest in every model, so their ratio depends on the context alone.
+    """
+
+    keys: np.ndarray
+    ratio: np.ndarray
+    context: np.ndarray  # of each n-gram
+    after: np.ndarray  # of each context
+
+
 class Memory:
     """Sums of words met before, in rows of one array."""
 
@@ -94,6 +109,11 @@ class ToxicityModel:
     max_characters: int = 2_000_000
     weights: np.ndarray = field(default_factory=lambda: np.zeros(3))
     trained: bool = False
+    tables: list[Ratios] = field(default_factory=list)  # what scoring needs of the orders
+
+    def scorer(self) -> ToxicityModel:
+        """The model without its counts, for the tasks."""
+        return replace(self, orders=[])
 
     # -- words to n-gram keys
 
@@ -131,25 +151,24 @@ class ToxicityModel:
         """log P(word | toxic) - log P(word | ordinary) of each word, of a long one for as many as LONG characters."""
         codes, sizes = self.codes(words)
         n = len(codes) - len(sizes)
-        shared = np.full(n, 1 / (len(self.alphabet) + 4))
-        ratio = np.zeros(n)
-        for c, (key, whole) in zip(self.orders, self.keys(codes, sizes, len(self.orders))):
-            context = key >> np.uint64(BITS)
-            at = np.minimum(np.searchsorted(c.contexts, context), len(c.contexts) - 1)
-            use = np.flatnonzero(whole & (c.contexts[at] == context))
-            if not len(use):
-                continue
-            at, key = at[use], key[use]
-            j = np.minimum(np.searchsorted(c.keys, key), len(c.keys) - 1)
-            hit = c.keys[j] == key
-            below = shared[use]
-            p = (np.where(hit, np.maximum(c.pooled[j] - 0.75, 0), 0) + 0.75 * c.kinds[at] * below) / c.total[at]
-            shared[use] = p
-            # the class models: own discounted counts, and the shared model for all the rest
-            own = np.where(hit, c.own[:, j], 0)
-            left = c.class_left[:, at] + self.discount
-            q = (own + left * p) / (c.class_total[:, at] + self.discount) + self.common * p
-            ratio[use] = np.log(q[1] / q[0])  # the longest known context decides
+        ratio, open_ = np.zeros(n), np.arange(n)
+        grams = list(zip(self.tables, self.keys(codes, sizes, len(self.tables))))
+        for c, (key, whole) in reversed(grams):  # the longest known context decides
+            at = open_[whole[open_]]
+            # equal n-grams once, in the order of the table: far cheaper to find
+            asked, of = np.unique(key[at], return_inverse=True)
+            j = np.minimum(np.searchsorted(c.keys, asked), len(c.keys) - 1)
+            hit, before = c.keys[j] == asked, np.maximum(j - 1, 0)
+            near = np.where(c.keys[j] >> np.uint64(BITS) == asked >> np.uint64(BITS), j, before)
+            known = c.keys[near] >> np.uint64(BITS) == asked >> np.uint64(BITS)
+            value = np.where(hit, c.ratio[j], c.after[c.context[near]])
+            found = known[of]
+            ratio[at[found]] = value[of[found]]
+            left = np.ones(n, bool)
+            left[at[found]] = False
+            open_ = open_[left[open_]]
+            if not len(open_):
+                break
         return per_text(ratio, sizes - 1) * np.minimum(1, LONG / (sizes - 1))
 
     def features(self, texts: pa.Array, memory: Memory) -> np.ndarray:
@@ -163,12 +182,10 @@ class ToxicityModel:
         for start in range(0, len(new), 20_000):  # bounds the arrays of characters
             part = new[start:start + 20_000]
             parts = [WORDS.findall(x) for x in part]
-            words = list(dict.fromkeys(w for p in parts for w in p))
-            known = dict(zip(words, self.ratios(words).tolist()))
-            values = np.zeros((len(part), 3))
-            for i, p in enumerate(parts):
-                r = [known[w] for w in p]
-                values[i] = sum(r), sum(v for v in r if v > self.strong), len(r)
+            number: dict[str, int] = {}
+            of = np.fromiter((number.setdefault(w, len(number)) for p in parts for w in p), np.int64)
+            r, n = self.ratios(list(number))[of], np.fromiter(map(len, parts), np.int64, len(parts))
+            values = np.column_stack([per_text(r, n), per_text(np.where(r > self.strong, r, 0), n), n])
             memory.add(part, values)
         slots = np.fromiter((memory.slot[x] for x in names), np.int64, len(names))
         per_chunk = memory.values[slots][np.asarray(coded.indices)] if len(chunks) else np.zeros((0, 3))
@@ -234,7 +251,7 @@ def fit(labelled: DataFrame, text: str = "text", label: str = "toxic", doc_id: s
     del words
     for discount, strong in settings if grams else ():
         model = _discounted(alphabet, grams, discount, strong)
-        shared = labelled.sparkSession.sparkContext.broadcast(model)
+        shared = labelled.sparkSession.sparkContext.broadcast(model.scorer())
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             memory = Memory()
@@ -288,7 +305,8 @@ def _summed(keys: np.ndarray, shorter: np.ndarray, counts: np.ndarray) -> Grams:
 
 def _discounted(alphabet: np.ndarray, grams: list[Grams], discount: float, strong: float) -> ToxicityModel:
     model = ToxicityModel(alphabet, [], discount, strong)
-    for k, (keys, _, documents) in enumerate(grams):
+    below = np.zeros(0)  # P(n-gram) by the shared model, of the order before
+    for k, (keys, own_shorter, documents) in enumerate(grams):
         by_class, pooled = documents, documents.sum(0)
         if k + 1 < len(grams):
             _, shorter, longer = grams[k + 1]
@@ -301,14 +319,21 @@ def _discounted(alphabet: np.ndarray, grams: list[Grams], discount: float, stron
         contexts, of = np.unique(keys >> np.uint64(BITS), return_inverse=True)
         add = lambda v: np.bincount(of, v, len(contexts))  # noqa: B023, E731
         class_total = np.stack([add(c) for c in by_class])
-        model.orders.append(Counts(keys, pooled, own, contexts, add(pooled), add(np.ones(len(keys))), class_total,
-                                   class_total - np.stack([add(o) for o in own])))
+        c = Counts(keys, pooled, own, contexts, add(pooled), add(np.ones(len(keys))), class_total, class_total - np.stack([add(o) for o in own]))
+        model.orders.append(c)
+        p = below[np.searchsorted(grams[k - 1][0], own_shorter)] if k else 1 / (len(alphabet) + 4)
+        below = p = (np.maximum(pooled - 0.75, 0) + 0.75 * c.kinds[of] * p) / c.total[of]
+        # the class models: own discounted counts, and the shared model for all the rest
+        left = c.class_left + discount
+        q = (own + left[:, of] * p) / (class_total[:, of] + discount) + model.common * p
+        r = left / (class_total + discount) + model.common
+        model.tables.append(Ratios(keys, np.log(q[1] / q[0]), of.astype(np.int32), np.log(r[1] / r[0])))
     return model
 
 
 def toxicity(docs: DataFrame, model: ToxicityModel, text: str = "text", keep_text: bool = False) -> DataFrame:
     """The columns of ``docs`` (the text only if ``keep_text``) and ``score``, 0 to 1."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast(model.scorer())
     rest = docs.drop("score")
     kept = [f for f in rest.schema if f.name != text or keep_text]
     names = [f.name for f in kept]

@@ -1,6 +1,7 @@
 """Operators 5, 6, 7, 9 and 10 against brute force and held-out labels."""
 
 import math
+import random
 import re
 from collections import Counter
 
@@ -149,6 +150,29 @@ def test_class_models_are_distributions():
             assert np.allclose(total, c.class_total[k])
 
 
+def test_ratios_of_words_follow_from_the_counts():
+    """Every character's ratio after its longest known context, order by order; the tasks get no counts and few look-ups."""
+    import numpy as np
+    r = random.Random(2)
+    word = lambda: "".join(r.choice("abcde") for _ in range(r.randint(1, 7)))
+    words = list({word() for _ in range(200)})
+    model = toxicity._count(words, np.array([[r.randint(0, 9) for _ in words] for _ in (0, 1)], np.float32), 4, 1.5, 4.0)
+    asked = words[:50] + [word() + x for x in ("", "z", "\U0001f642") for _ in range(60)]
+    codes, sizes = model.codes(asked)
+    shared, want = np.full(len(codes) - len(sizes), 1 / (len(model.alphabet) + 4)), np.zeros(len(codes) - len(sizes))
+    for c, (keys, whole) in zip(model.orders, model.keys(codes, sizes, 4)):
+        for i in np.flatnonzero(whole):
+            at, j = (np.flatnonzero(x == y) for x, y in ((c.contexts, keys[i] >> np.uint64(toxicity.BITS)), (c.keys, keys[i])))
+            if len(at):
+                pooled, own = (max(c.pooled[j[0]] - 0.75, 0), c.own[:, j[0]]) if len(j) else (0, np.zeros(2))
+                shared[i] = (pooled + 0.75 * c.kinds[at[0]] * shared[i]) / c.total[at[0]]
+                q = (own + (c.class_left[:, at[0]] + 1.5) * shared[i]) / (c.class_total[:, at[0]] + 1.5) + model.common * shared[i]
+                want[i] = np.log(q[1] / q[0])
+    whole = np.array([x.sum() * min(1, toxicity.LONG / len(x)) for x in np.split(want, np.cumsum(sizes - 1)[:-1])])
+    slim = model.scorer()
+    assert slim.orders == [] and np.allclose(slim.ratios(asked), whole, rtol=1e-9, atol=1e-12)
+
+
 def test_toxicity_counts_continuations():
     """Kneser-Ney: below the highest order, the number of distinct characters before an n-gram; word starts have none."""
     import numpy as np
