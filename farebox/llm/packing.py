@@ -53,7 +53,7 @@ def library_coder(source: str, keep_space: bool, irregular: str | None) -> WordC
         tokenizer.no_truncation()
         tokenizer.no_padding()
         _coders[key] = WordCoder(lambda xs: [e.ids for e in tokenizer.encode_batch_fast(xs, add_special_tokens=False)],
-                                 irregular, keep_space, max_chunks=500_000, max_ids=5_000_000)
+                                 irregular, keep_space, max_chunks=1_000_000 if keep_space else 500_000, max_ids=5_000_000)
     return _coders[key]
 
 

@@ -50,6 +50,15 @@ def test_the_tokenizer_gets_bounded_parts(monkeypatch):
     assert [ids[a:b].tolist() for a, b in zip(at[:-1], at[1:])] == [t.encode(x, add_special_tokens=False).ids for x in texts]
 
 
+def test_the_store_remembers_more_chunks_than_a_slice_has():
+    coder = library_coder(read_vocabulary(BYTES), True, None)
+    first = pa.array([" ".join(f"a{i}" for i in range(600_000))])
+    coder.encode(first)
+    coder.encode(pa.array(["b"]))
+    assert len(coder.slot) > 600_000  # not forgotten after one large slice
+    coder._forget()
+
+
 def test_byte_bpe_equals_the_library():
     t, texts = library(BYTES), random_texts(3000, 1)
     bpe = ByteBPE(read_vocabulary(BYTES))
