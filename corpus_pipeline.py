@@ -6,6 +6,7 @@ least doc_id (null last); of near duplicates that with the least doc_id.  Empty
 give empty results.
 
 Every stage gets what its predecessor kept, written as Parquet and read again.
+Toxicity and exact dedup keep no copy of the texts beside that.
 A filtering stage returns whole rows with all columns of its input; the
 operators see only doc_id and text (and the rest of the row as one column), so
 no column of the input can clash with theirs.
@@ -14,12 +15,11 @@ no column of the input can clash with theirs.
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from farebox.llm.common import arrow_rows, fold, scratch, ship, store, table
-from farebox.llm.exact_dedup import DigestIndex, dedup_in_batches
+from farebox.llm.exact_dedup import DigestIndex, dedup_in_batches, staying
 from farebox.llm.line_quality import quality_rules
 from farebox.llm.near_dup import near_duplicates
 from farebox.llm.packing import pack_documents
@@ -40,9 +40,7 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity model (learnt from the labelled ones outside the held-out fifth) doesn't reject."""
     labels = table(spark, sf_dir, "labels").select("doc_id", "toxic").where(fold(F.col("doc_id"), 5) != 0)
     model = toxic.fit(docs.select("doc_id", "text").where(fold(F.col("doc_id"), 5) != 0).join(labels, "doc_id"))
-    with arrow_rows(spark, 2000):
-        kept = store(toxic.toxicity(_carried(docs), model, keep_text=True).where("score < 0.5").drop("score"), f"{scratch(spark, 'toxicity')}/kept")
-    return _restored(kept, docs)
+    return docs.where(toxic.score(F.col("text"), model, spark) < 0.5)
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -53,8 +51,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts."""
     folder = scratch(spark, "exact-dedup")
-    batches = dedup_in_batches(_carried(docs), DigestIndex(spark, f"{folder}/index"), folder)
-    return _restored(reduce(DataFrame.unionByName, (b.kept() for b in batches)), docs)
+    batches = dedup_in_batches(docs.select("doc_id", "text"), DigestIndex(spark, f"{folder}/index"), folder, keep_text=False)
+    return _restored(staying(_carried(docs), batches, folder), docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -37,6 +37,12 @@ def normalised(text: Column) -> Column:
     return F.regexp_replace(F.coalesce(text, F.lit("")), WHITE, "")
 
 
+def keyed(docs: DataFrame, text: str) -> DataFrame:
+    """Adds the digest of the normalised text and the text's number of code points."""
+    return (docs.withColumn("digest", F.unhex(F.sha2(normalised(F.col(text)).cast("binary"), 256)))
+            .withColumn("n_points", F.char_length(F.coalesce(F.col(text), F.lit("")))))
+
+
 class DigestIndex:
     """A bucketed table of digests in ``path``, known to the session's catalog as ``name``.
 
@@ -105,10 +111,7 @@ class Batch:
     def __init__(self, docs: DataFrame, index: DigestIndex, folder: str, doc_id: str = "doc_id", text: str = "text",
                  keep_text: bool = True, batch: str | None = None) -> None:
         self.id = batch or uuid.uuid4().hex
-        rows = (docs.drop(*_HELPERS, *OUTPUTS)
-                .withColumn("digest", F.unhex(F.sha2(normalised(F.col(text)).cast("binary"), 256)))
-                .withColumn("n_points", F.char_length(F.coalesce(F.col(text), F.lit(""))))
-                .withColumn("row_id", F.monotonically_increasing_id()))
+        rows = keyed(docs.drop(*_HELPERS, *OUTPUTS), text).withColumn("row_id", F.monotonically_increasing_id())
         self.rows = store(rows if keep_text else rows.drop(text), f"{folder}/rows")
         best = F.min(F.struct((-F.col("n_points")).alias("n"), F.col(doc_id).isNull().alias("none"),
                               F.col(doc_id).alias("id"), F.col("row_id").alias("row"))).alias("best")
@@ -155,6 +158,27 @@ def dedup_in_batches(docs: DataFrame, index: DigestIndex, folder: str, batches:
     return out
 
 
+def staying(docs: DataFrame, batches: list[Batch], folder: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs`` that stay after ``dedup_in_batches`` of their ids and texts, read again instead of stored.
+
+    A row that stays is known by its digest, length and doc_id, so the semi-join
+    spreads a digest's rows by their ids.  Of rows that agree in all three one is taken.
+    """
+    key = ("digest", "n_points", "id")
+    named = [b.rows.withColumn("id", F.col(doc_id)) for b in batches]
+    keep = store(reduce(DataFrame.union, (
+        rows.join(b.held.where(F.col("batch") == b.id).select(F.col("keep_row").alias("row_id")), "row_id", "left_semi").select(*key)
+        for rows, b in zip(named, batches))), f"{folder}/keep")
+    often = reduce(DataFrame.union, (rows.select(*key) for rows in named)).groupBy(*key).count().where("count > 1")
+    same = lambda a, b: (a["digest"] == b["digest"]) & (a["n_points"] == b["n_points"]) & a["id"].eqNullSafe(b["id"])
+    tied = store(keep.join(often, same(keep, often), "left_semi").select("digest"), f"{folder}/tied")
+    rows = keyed(docs, text).withColumn("id", F.col(doc_id))
+    rows = rows.join(keep, same(rows, keep), "left_semi").drop("n_points", "id")
+    if not tied.isEmpty():
+        rows = rows.join(tied, "digest", "left_anti").unionByName(rows.join(tied, "digest", "left_semi").dropDuplicates(["digest"]))
+    return rows.drop("digest")
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch(spark, "exact-dedup")
     batches = dedup_in_batches(documents(spark, sf_dir), DigestIndex(spark, f"{folder}/index"), folder, keep_text=False)

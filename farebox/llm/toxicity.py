@@ -39,7 +39,7 @@ from dataclasses import dataclass, field, replace
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .common import SLICE_BYTES, ascii_words, documents, fold, per_text, slices, table, with_fields
 
@@ -331,11 +331,11 @@ def _discounted(alphabet: np.ndarray, grams: list[Grams], discount: float, stron
     return model
 
 
-def toxicity(docs: DataFrame, model: ToxicityModel, text: str = "text", keep_text: bool = False) -> DataFrame:
-    """The columns of ``docs`` (the text only if ``keep_text``) and ``score``, 0 to 1."""
+def toxicity(docs: DataFrame, model: ToxicityModel, text: str = "text") -> DataFrame:
+    """The columns of ``docs`` without the text, and ``score``, 0 to 1."""
     shared = docs.sparkSession.sparkContext.broadcast(model.scorer())
     rest = docs.drop("score")
-    kept = [f for f in rest.schema if f.name != text or keep_text]
+    kept = [f for f in rest.schema if f.name != text]
     names = [f.name for f in kept]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -348,6 +348,20 @@ def toxicity(docs: DataFrame, model: ToxicityModel, text: str = "text", keep_tex
     return rest.mapInArrow(run, with_fields(kept, "score double"))
 
 
+def score(text: Column, model: ToxicityModel, spark: SparkSession) -> Column:
+    """The scores of a text column; Python gets the texts alone and returns numbers, so rows are neither copied nor stored."""
+    shared = spark.sparkContext.broadcast(model.scorer())
+
+    def run(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        memory = Memory()
+        for column in columns:
+            batch = pa.RecordBatch.from_arrays([column], ["text"])
+            parts = [shared.value.score(shared.value.features(x.column(0), memory)) for x in slices([batch], max_bytes=SLICE_BYTES // 4)]
+            yield pa.array(np.concatenate([*parts, np.zeros(0)]))
+
+    return F.arrow_udf(run, "double")(text)
+
+
 def labelled_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Texts with a label, but for the held-out fifth."""
     labels = table(spark, sf_dir, "labels").select("doc_id", "toxic").where(fold(F.col("doc_id"), 5) != 0)

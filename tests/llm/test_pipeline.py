@@ -1,9 +1,15 @@
 """The pipeline: each stage's decisions on its own input."""
 
 import random
+from pathlib import Path
+
+import pyarrow.parquet as pq
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from farebox.llm.common import scratch, table
+from farebox.llm import common
+from farebox.llm.common import scratch, store, table
+from farebox.llm.exact_dedup import normalised
 
 
 def test_stages_on_a_table_with_planted_cases(spark, tmp):
@@ -40,6 +46,34 @@ def test_stages_on_an_empty_table(spark):
         assert out.count() == 0, name
 
 
+def test_toxicity_and_exact_dedup_store_no_texts(spark, folder, monkeypatch):
+    sf = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    docs = store(docs.union(docs.selectExpr("doc_id", "concat(text, ' ')", "lang", "source", "n_chars")).union(docs), f"{folder}/docs")
+    for module in (corpus_pipeline, common):
+        monkeypatch.setattr(module, "scratch", lambda _, name: f"{folder}/scratch/{name}")
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    toxic = corpus_pipeline.toxicity(spark, docs, sf)
+    left = corpus_pipeline.exact_dedup(spark, toxic, sf)
+    out = store(left, f"{folder}/out")
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == before
+    stored = list(Path(f"{folder}/scratch".removeprefix("file:")).rglob("*.parquet"))
+    assert stored and not [f for f in stored if "text" in pq.read_schema(f).names]
+    # of the two longest rows of each text, which agree in everything, one stays
+    texts = [r.text for r in out.collect()]
+    assert len({"".join((t or "").split()) for t in texts}) == len(texts) == toxic.select(normalised(F.col("text"))).distinct().count()
+    assert out.columns == docs.columns and sum(t.endswith(" ") for t in texts if t) > 0.9 * len(texts)
+
+
+def test_of_rows_that_agree_in_all_one_stays(spark):
+    rows = [(1, "a b", "x"), (1, "a b", "y"), (1, "a  ", "x"), (None, "c", "x"), (None, "c", "x"), (None, "c", "z"), (2, "ab", "x"), (3, None, "x"),
+            (None, "", "x"), (4, "d", "x"), (None, "d", "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, digest string")
+    left = corpus_pipeline.exact_dedup(spark, docs, "").collect()
+    assert sorted((str(r.doc_id), r.text) for r in left) == [("1", "a  "), ("1", "a b"), ("3", None), ("4", "d"), ("None", "c")]
+    assert all(tuple(r) in rows for r in left)
+
+
 def test_near_dedup_keeps_another_text_of_the_same_doc_id(spark):
     one, other = (" ".join(f"{c}{i}" for i in range(60)) for c in "ab")
     rows = [(1, one, "x"), (2, one + " more", "x"), (2, other, "y"), (3, "short", "z"), (None, one + " end", "x")]
