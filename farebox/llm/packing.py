@@ -20,6 +20,7 @@ repeat are packed each for itself.  Without rows there are no sequences.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -38,6 +39,66 @@ LOOSE_BINS = 24
 
 _coders: dict[int, WordCoder] = {}
 
+#: Chunks of ASCII letters, punctuation and single line ends: both kinds of file cut them between these runs and nowhere else.
+#: Signs of contractions and special tokens are left out.
+_MARKS = r"!-&(-/:;=?@\[-`{}~"
+PLAIN = re.compile(rf"[A-Za-z{_MARKS}\n]+")
+RUNS = re.compile(rf"[A-Za-z]+|[{_MARKS}]+|\n")
+
+
+class PartCoder:
+    """ids of chunks by the tokenizers library; of plain ones run by run.
+
+    A run of letters is a token sequence of its own, so it goes straight to the
+    library's BPE model, without normalising and cutting, and runs that many
+    chunks share are encoded once.  All other chunks go through the whole tokenizer.
+    ``max_runs``: size of the memory, not of any result.
+    """
+
+    def __init__(self, source: str, keep_space: bool, max_runs: int = 50_000) -> None:
+        from tokenizers import Tokenizer
+        self.tokenizer = Tokenizer.from_str(source)
+        self.tokenizer.no_truncation()
+        self.tokenizer.no_padding()
+        self.model = Tokenizer.from_str(source).model
+        self.keep_space, self.max_runs = keep_space, max_runs
+        self.runs: dict[str, list[int]] = {}
+
+    def whole(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def run(self, run: str) -> list[int]:
+        ids = self.runs.get(run)
+        if ids is None:
+            letters = run[1:] if run[0] == " " else run
+            if letters.isalpha():  # a byte-level file writes the space as a letter
+                letters = letters if self.keep_space else letters.lower()
+                ids = [t.id for t in self.model.tokenize(f"\u0120{letters}" if run[0] == " " else letters)]
+            else:
+                ids = self.whole([run])[0]
+            if len(self.runs) >= self.max_runs:
+                self.runs.clear()
+            if len(run) <= 64:
+                self.runs[run] = ids
+        return ids
+
+    def __call__(self, chunks: list[str]) -> list[list[int]]:
+        out: list[list[int]] = [[]] * len(chunks)
+        other = []
+        for i, chunk in enumerate(chunks):
+            space = self.keep_space and chunk[:1] == " "
+            if not PLAIN.fullmatch(chunk, space) or "\n" in chunk and ("\n\n" in chunk or space and chunk[1] == "\n"):
+                other.append(i)
+                continue
+            first, *more = RUNS.findall(chunk, space)
+            ids = self.run(f" {first}" if space else first)
+            for run in more:
+                ids = ids + self.run(run)
+            out[i] = ids
+        for i, ids in zip(other, self.whole([chunks[i] for i in other])):
+            out[i] = ids
+        return out
+
 
 def library_coder(source: str, keep_space: bool, irregular: str | None) -> WordCoder:
     """Chunk-wise encoding by the tokenizers library, built once in each Python worker.
@@ -48,12 +109,8 @@ def library_coder(source: str, keep_space: bool, irregular: str | None) -> WordC
     key = hash((source, keep_space))
     if key not in _coders:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-        tokenizer = Tokenizer.from_str(source)
-        tokenizer.no_truncation()
-        tokenizer.no_padding()
-        _coders[key] = WordCoder(lambda xs: [e.ids for e in tokenizer.encode_batch_fast(xs, add_special_tokens=False)],
-                                 irregular, keep_space, max_chunks=1_000_000 if keep_space else 500_000, max_ids=5_000_000)
+        _coders[key] = WordCoder(PartCoder(source, keep_space), irregular, keep_space,
+                                 max_chunks=1_000_000 if keep_space else 500_000, max_ids=5_000_000)
     return _coders[key]
 
 

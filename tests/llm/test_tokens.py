@@ -11,7 +11,7 @@ import pytest
 public_tokenizers = pytest.importorskip("public_tokenizers")
 from tokenizers import Tokenizer  # noqa: E402
 
-from farebox.llm import wordcodes  # noqa: E402
+from farebox.llm import packing, wordcodes  # noqa: E402
 from farebox.llm.bpe import ByteBPE, WordCoder, bpe_decode, bpe_encode, read_vocabulary  # noqa: E402
 from farebox.llm.packing import best_fit_decreasing, library_coder, lower_bound, pack, pieces  # noqa: E402
 from farebox.llm.token_store import Shard, read_tokens, repair, write_tokens  # noqa: E402
@@ -59,6 +59,25 @@ def test_the_store_remembers_more_chunks_than_a_slice_has():
     coder._forget()
 
 
+def test_plain_chunks_are_encoded_run_by_run():
+    """Equal to the whole tokenizer for all kinds of chunks; only chunks that aren't plain, and marks, reach it."""
+    r = random.Random(5)
+    signs = ["a", "B", "the", "Ing", "Hello", ".", ",", "!!", "###", "$", "&", "*", "(", "]", "`", "~", "\\", "^", "_", "-", "@", ";", "=", "}", "\n", "\n\n", "\t",
+             "'", "'s", "<", "|", ">", "<|endoftext|>", "<|STARTOFTEXT|>", "é", "e\u0301", "漢", "7", "42", "\r", "\u00a0", "K\u0130"]
+    chunks = ["", " ", "\n", " \n", " \nx", "x\n", "x" * 3000, " " + "Ab" * 40, *("".join(r.choices(signs, k=r.randint(1, 5))) for _ in range(3000))]
+    chunks += [" " + c for c in chunks]
+    for name, keep in (("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)):
+        source = read_vocabulary(public_tokenizers.path(name))
+        coder = packing.PartCoder(source, keep, max_runs=100)
+        full = library(public_tokenizers.path(name))
+        assert coder(chunks) == [full.encode(c, add_special_tokens=False).ids for c in chunks]
+        sent = []
+        coder = packing.PartCoder(source, keep)
+        coder.whole = lambda xs, whole=coder.whole: sent.extend(xs) or whole(xs)
+        coder([f"Word{'ab'[i % 2] * (i // 2)}.\nNext,#" for i in range(60)])
+        assert sorted(sent) == sorted({",#", "."} | ({"\n"}))
+
+
 def test_byte_bpe_equals_the_library():
     t, texts = library(BYTES), random_texts(3000, 1)
     bpe = ByteBPE(read_vocabulary(BYTES))
