@@ -88,7 +88,8 @@ class DigestIndex:
 
     def append(self, groups: DataFrame) -> None:
         self.table()  # appending to files that the catalog doesn't know would overwrite them
-        (groups.repartition(self.buckets, "digest").sortWithinPartitions("digest")
+        # by the number of the bucket, so that each is one file of the batch whatever the number of partitions; the write sorts it
+        (groups.repartition(self.buckets, F.pmod(F.hash("digest"), F.lit(self.buckets)))
          .write.mode("append").format("parquet").option("path", self.path)
          .bucketBy(self.buckets, "digest").sortBy("digest").saveAsTable(self.name))
 

@@ -185,6 +185,18 @@ def test_batches_give_what_one_batch_gives(spark, folder):
     assert dedup_in_batches(docs.where("false"), DigestIndex(spark, f"{folder}/none"), f"{folder}/0")[1].verdicts().collect() == []
 
 
+def test_a_batch_writes_one_file_a_bucket_however_it_is_dealt(spark, folder, monkeypatch):
+    """Files of each task and bucket would be their product, 328 here."""
+    frame = type(spark.range(0))
+    plain = frame.repartition
+    monkeypatch.setattr(frame, "repartition", lambda self, n, *cols: plain(self, max(n, 41) if cols else n, *cols))
+    index = DigestIndex(spark, f"{folder}/index", buckets=8)
+    first = Batch(spark.createDataFrame([(i, f"text {i}") for i in range(1000)], "doc_id long, text string"), index, f"{folder}/1")
+    assert len(index.table().inputFiles()) == 8 and len(first.kept().collect()) == 1000
+    second = Batch(spark.createDataFrame([(i, f"text  {i}") for i in range(500, 1500)], "doc_id long, text string"), index, f"{folder}/2")
+    assert len(index.table().inputFiles()) == 16 and {r.doc_id for r in second.kept().collect()} == set(range(1000, 1500))
+
+
 EARLIER = """
 import sys
 from pyspark.sql import SparkSession
