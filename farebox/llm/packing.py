@@ -34,6 +34,9 @@ from .wordcodes import WordCoder
 #: Rows of a group in all rounds; a pool of fewer rows is one group.
 GROUP_ROWS = 4096
 
+#: Chunks that a Python worker remembers; a worker that has held other models before needs fewer (about 0.3 MB a thousand).
+MAX_CHUNKS = 500_000
+
 #: Bins that a group without certificate opens again: the room that it wastes is nearly all in its last bins.
 LOOSE_BINS = 24
 
@@ -100,31 +103,33 @@ class PartCoder:
         return out
 
 
-def library_coder(source: str, keep_space: bool, irregular: str | None) -> WordCoder:
+def library_coder(source: str, keep_space: bool, irregular: str | None, max_chunks: int | None = None) -> WordCoder:
     """Chunk-wise encoding by the tokenizers library, built once in each Python worker.
 
     ``keep_space``: a byte-level file, whose tokens hold white space; else a
     lower-casing word file, whose tokens hold none.
     """
-    key = hash((source, keep_space))
+    max_chunks = max_chunks or (2 if keep_space else 1) * MAX_CHUNKS
+    key = hash((source, keep_space, max_chunks))
     if key not in _coders:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        _coders[key] = WordCoder(PartCoder(source, keep_space), irregular, keep_space,
-                                 max_chunks=1_000_000 if keep_space else 500_000, max_ids=5_000_000)
+        _coders[key] = WordCoder(PartCoder(source, keep_space), irregular, keep_space, max_chunks, max_ids=max(5_000_000, 6 * max_chunks))
     return _coders[key]
 
 
-def pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, end: int = 0, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, end: int = 0, doc_id: str = "doc_id", text: str = "text",
+           max_chunks: int = MAX_CHUNKS) -> DataFrame:
     """doc_id, piece, start, length and ids_crc32 of every piece.
 
     ``tokenizer``: path of a tokenizers file whose tokens hold no white space, so that texts can be cut at spaces.
+    ``max_chunks``: size of a worker's memory of chunks, not of any result.
     """
     with open(tokenizer, encoding="utf-8") as f:
         source = docs.sparkSession.sparkContext.broadcast(f.read())
     kind = dict(docs.dtypes)[doc_id]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = library_coder(source.value, keep_space=False, irregular=None)
+        coder = library_coder(source.value, keep_space=False, irregular=None, max_chunks=max_chunks)
         for batch in slices(batches, max_bytes=SLICE_BYTES // 2):
             ids, bounds = coder.encode(batch.column(1))
             sizes = np.diff(bounds) + 1
@@ -248,10 +253,10 @@ def pack(pieces: DataFrame, folder: str, capacity: int = 2048, group_rows: int =
     return out
 
 
-def pack_documents(docs: DataFrame, spark: SparkSession) -> DataFrame:
+def pack_documents(docs: DataFrame, spark: SparkSession, max_chunks: int = MAX_CHUNKS) -> DataFrame:
     import public_tokenizers
-    return pack(pieces(docs, public_tokenizers.path("word_bpe_49k.json")), scratch(spark, "packing"))
+    return pack(pieces(docs, public_tokenizers.path("word_bpe_49k.json"), max_chunks=max_chunks), scratch(spark, "packing"))
 
 
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack_documents(documents(spark, sf_dir), spark)
+    return pack_documents(documents(spark, sf_dir), spark, max_chunks=3 * MAX_CHUNKS)

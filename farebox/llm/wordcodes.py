@@ -10,7 +10,9 @@ met before is bounded: it is forgotten when it is full.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+import gc
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -25,6 +27,18 @@ WHITE = "\t-\r \x85\xa0  -     　"
 PART = 10_000
 
 
+@contextmanager
+def uncollected() -> Iterator[None]:
+    """No search for reference cycles inside: chunks give many lists of ids and no cycle, and each search would pass over all that are alive."""
+    before = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if before:
+            gc.enable()
+
+
 class WordCoder:
     """``encode_chunks(list of str) -> list of id sequences`` gives the ids of texts or chunks.
 
@@ -52,7 +66,8 @@ class WordCoder:
             new = list(dict.fromkeys(words[i] for i in missing))
             for start in range(0, len(new), PART):
                 part = new[start:start + PART]
-                self._learn(part, self.encode_chunks(part))
+                with uncollected():
+                    self._learn(part, self.encode_chunks(part))
             found[missing] = [get(words[i]) for i in missing]
         return found
 

@@ -1,5 +1,6 @@
 """Operators 1, 4 and 8 against the tokenizers library and exact round trips."""
 
+import gc
 import random
 import zlib
 
@@ -59,6 +60,22 @@ def test_the_store_remembers_more_chunks_than_a_slice_has():
     coder._forget()
 
 
+def test_packing_remembers_more_chunks_where_a_worker_has_room():
+    coder = library_coder(open(WORDS, encoding="utf-8").read(), False, None, max_chunks=1_500_000)
+    coder.encode(pa.array([" ".join(f"a{i}" for i in range(600_000))]))
+    coder.encode(pa.array(["b"]))
+    assert len(coder.slot) > 600_000
+    coder._forget()
+
+
+def test_no_search_for_cycles_while_chunks_are_learnt():
+    seen = []
+    coder = WordCoder(lambda xs: [seen.append(gc.isenabled()) or [len(x)] for x in xs], None, keep_space=False)
+    assert gc.isenabled()
+    assert coder.encode(pa.array(["a bc", "bc d"]))[0].tolist() == [1, 2, 2, 1]
+    assert seen == [False] and gc.isenabled()
+
+
 def test_plain_chunks_are_encoded_run_by_run():
     """Equal to the whole tokenizer for all kinds of chunks; only chunks that aren't plain, and marks, reach it."""
     r = random.Random(5)
