@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from .bpe import ByteBPE
 from .common import SLICE_BYTES, documents, scratch, slices
-from .packing import library_coder
+from .packing import MAX_CHUNKS, library_coder
 
 MAGIC = b"RPG1"
 HEAD = struct.Struct("<4s6I")
@@ -157,15 +157,18 @@ class Shard:
 
 
 def write_tokens(docs: DataFrame, tokenizer: str, folder: str, end: int = 0, doc_id: str = "doc_id", text: str = "text",
-                 shard_tokens: int = 1 << 20) -> None:
-    """Encodes texts with a byte-level BPE file and writes the store to ``folder``."""
+                 shard_tokens: int = 1 << 20, max_chunks: int = 3 * MAX_CHUNKS) -> None:
+    """Encodes texts with a byte-level BPE file and writes the store to ``folder``.
+
+    ``max_chunks``: size of a worker's memory of chunks, not of any result.
+    """
     with open(tokenizer, encoding="utf-8") as f:
         vocabulary = f.read()
     source = docs.sparkSession.sparkContext.broadcast((vocabulary, ByteBPE(vocabulary).irregular()))
     kind = dict(docs.dtypes)[doc_id]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = library_coder(source.value[0], keep_space=True, irregular=source.value[1])
+        coder = library_coder(source.value[0], keep_space=True, irregular=source.value[1], max_chunks=max_chunks)
         part, start, shard = TaskContext.get().partitionId(), 0, 0
         names: list[pa.Array] = []
         blocks: list[np.ndarray] = []
@@ -184,7 +187,7 @@ def write_tokens(docs: DataFrame, tokenizer: str, folder: str, end: int = 0, doc
                 x.clear()
             return row
 
-        for batch in slices(batches, max_bytes=2 * SLICE_BYTES):
+        for batch in slices(batches, max_bytes=SLICE_BYTES // 2):
             ids, bounds = coder.encode(batch.column(1))
             n = np.diff(bounds) + 1
             stops = np.cumsum(n)

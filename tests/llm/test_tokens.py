@@ -73,7 +73,7 @@ def test_no_search_for_cycles_while_chunks_are_learnt():
     coder = WordCoder(lambda xs: [seen.append(gc.isenabled()) or [len(x)] for x in xs], None, keep_space=False)
     assert gc.isenabled()
     assert coder.encode(pa.array(["a bc", "bc d"]))[0].tolist() == [1, 2, 2, 1]
-    assert seen == [False] and gc.isenabled()
+    assert seen == [False] * 3 and gc.isenabled()
 
 
 def test_plain_chunks_are_encoded_run_by_run():
@@ -157,6 +157,13 @@ def test_token_store_on_odd_rows(spark, odd, none, folder):
     assert read_tokens(spark, f"{folder}/b").collect() == []
 
 
+def test_token_store_with_a_memory_that_is_forgotten_again_and_again(spark, odd, folder):
+    for name, chunks in (("few", 2), ("many", 1_500_000)):
+        write_tokens(odd, BYTES, f"{folder}/{name}", shard_tokens=50, max_chunks=chunks)
+    few, many = (read_tokens(spark, f"{folder}/{name}").orderBy("start").collect() for name in ("few", "many"))
+    assert few == many and len(few) == odd.count()
+
+
 def test_best_fit_and_bounds_against_exhaustive_search():
     def fewest(sizes, capacity, bins=()):
         if not sizes:
