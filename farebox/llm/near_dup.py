@@ -24,7 +24,8 @@ groups.
    Dense nodes, and large ones at the last level, are compared in blocks, but only
    members outside the node's largest component with the others: members of one
    component need no link.  A pair that shares several such nodes is compared in
-   the least of them only.
+   the least of them only; so where fewer members are outside the largest part
+   that meets in another such node, those are compared with the others.
 5. Candidates are confirmed on full sets (of 64-bit shingle hashes, computed
    again from the texts of candidates only), and components are found by
    hooking and pointer jumping.
@@ -193,7 +194,10 @@ class NearDuplicates:
     # -- 2. trees
 
     def grow(self, classes: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """(node, n, rep) of all small nodes of two members or more and of dense ones; (leader, rep) of large nodes."""
+        """(node, n, rep, least) of all small nodes of two members or more and of dense ones; (leader, rep) of large nodes.
+
+        ``least``: in a dense node, the least dense node of rep.
+        """
         roots = F.array(*(F.struct(F.xxhash64(F.lit(t), F.element_at("tokens", t % TOKENS + 1)).alias("node")) for t in range(self.trees)))
         members = self.store(classes.select("rep", F.explode(roots).alias("r")).select(F.col("r.node").alias("node"), "rep"), "members-0")
         small, dense, stars = [], [], []
@@ -217,9 +221,10 @@ class NearDuplicates:
             members = grown.join(whole, "parent", "left_anti").select("node", "rep").distinct()
         none = sized.where("false")
         union = lambda parts: reduce(DataFrame.union, (p.select("node", "n", "leader", "rep") for p in parts), none.select("node", "n", "leader", "rep"))
-        dense = self.store(union(dense).select("node", "n", "rep"), "dense-nodes")
-        self.shared = self.store(dense.groupBy("rep").agg(F.collect_set("node").alias("dense")), "dense-of")
-        return union(small).select("node", "n", "rep").union(dense), reduce(DataFrame.union, stars, none.select("leader", "rep")).distinct()
+        dense = union(dense).groupBy("rep").agg(F.collect_set(F.struct("node", "n")).alias("nodes"))
+        self.shared = self.store(dense.select("rep", "nodes", F.col("nodes.node").alias("dense")), "dense-of")
+        dense = self.shared.select("rep", F.array_min("dense").alias("least"), F.explode("nodes").alias("x")).select("x.node", "x.n", "rep", "least")
+        return union(small).select("node", "n", "rep", F.lit(None).cast("long").alias("least")).union(dense), reduce(DataFrame.union, stars, none.select("leader", "rep")).distinct()
 
     # -- 3. and 4. candidates
 
@@ -236,16 +241,23 @@ class NearDuplicates:
         b = sketched.select(F.col("rep").alias("b"), F.col("bins").alias("t"), F.col("size").alias("n"))
         return pairs.join(a, "a").join(b, "b").select("a", "b", "s", "t", "m", "n").mapInArrow(run, "a long, b long")
 
-    def compare(self, nodes: DataFrame, sketched: DataFrame, component: DataFrame | None, best: bool) -> DataFrame:
-        """Candidate pairs (a, b) of different components in all nodes; ``best``: of each member that with its best partner only."""
+    def deal(self, nodes: DataFrame, component: DataFrame | None, name: str) -> DataFrame:
+        """The members of all nodes that hold several components, once for each block (node, i, j) that compares them."""
         rows = nodes if component is None else nodes.join(component, "rep", "left")
         rows = rows.withColumn("comp", F.col("rep") if component is None else F.coalesce("comp", "rep"))
-        rows = self.store(rows, f"nodes-{best}")
+        rows = self.store(rows, f"nodes-{name}")
         # of a node: its largest component (by a hash-free tie: the smallest id), and members outside it
         parts = rows.groupBy("node", "comp").agg(F.count("*").alias("m"), F.first("n").alias("n"))
         main = (parts.groupBy("node").agg(F.max(F.struct("m", (-F.col("comp")).alias("c"))).alias("x"), F.first("n").alias("size"))
-                .select("node", (-F.col("x.c")).alias("main"), (F.col("size") - F.col("x.m")).alias("others")).where("others > 0"))
-        rows = rows.join(main, "node").withColumn("minor", (F.col("n") <= self.limit) | (F.col("comp") != F.col("main")))
+                .select("node", (-F.col("x.c")).alias("main"), (F.col("size") - F.col("x.m")).alias("others")))
+        # pairs of members with the same least dense node meet there, so the members outside the largest such part may ask instead
+        parts = rows.where("least < node").groupBy("node", "least").agg(F.count("*").alias("m"), F.first("n").alias("n"))
+        cover = (parts.groupBy("node").agg(F.max(F.struct("m", "least")).alias("x"), F.first("n").alias("size"))
+                 .select("node", F.col("x.least").alias("cover"), (F.col("size") - F.col("x.m")).alias("rest")))
+        main = (main.join(cover, "node", "left").withColumn("cover", F.when(F.col("rest") < F.col("others"), F.col("cover")))
+                .select("node", "main", "cover", F.least("others", "rest").alias("others")).where("others > 0"))
+        asks = F.when(F.col("cover").isNull(), F.col("comp") != F.col("main")).otherwise(F.col("least") != F.col("cover"))
+        rows = rows.join(main, "node").withColumn("minor", (F.col("n") <= self.limit) | asks)
         block = F.lit(self.block)
         blocks_all = F.ceil(F.col("n") / block).cast("int")
         blocks_minor = F.ceil(F.col("others") / block).cast("int")
@@ -257,7 +269,11 @@ class NearDuplicates:
             F.when(small, 0).otherwise(own(blocks_all)).alias("j"), F.when(small, F.lit(True)).otherwise(F.lit(False)).alias("query"))
         as_query = rows.where(~small & F.col("minor")).select("node", "rep", "comp", "minor", own(blocks_minor).alias("i"), F.explode(
             F.sequence(F.lit(0), blocks_all - 1)).alias("j"), F.lit(True).alias("query"))
-        groups = as_any.union(as_query).join(sketched.join(self.shared, "rep", "left"), "rep")
+        return as_any.union(as_query)
+
+    def compare(self, nodes: DataFrame, sketched: DataFrame, component: DataFrame | None, best: bool) -> DataFrame:
+        """Candidate pairs (a, b) of different components in all nodes; ``best``: of each member that with its best partner only."""
+        groups = self.deal(nodes, component, str(best)).join(sketched, "rep")
         may = self.filter
 
         def run(rows: pa.Table) -> pa.Table:
@@ -331,6 +347,7 @@ class NearDuplicates:
         sketched = self.classes.select("rep", "bins", F.col("n_shingles").alias("size"))
         nodes, stars = self.grow(self.classes.select("rep", "tokens"))
         nodes = self.store(nodes, "all-nodes")
+        sketched = self.store(sketched.join(self.shared.select("rep", "dense"), "rep", "left"), "sketched")
         links, component = [], None
         for step in ("star", "best", "rest"):
             if step == "star":

@@ -88,6 +88,24 @@ def test_texts_just_under_the_threshold_are_not_dealt_again_and_again(spark, fol
     assert spark.read.parquet(f"{folder}/all-nodes").count() <= 2 * 60 * run.trees
 
 
+def test_members_of_several_dense_nodes_do_not_all_ask_in_each(spark, folder):
+    r = random.Random(9)
+    base = [f"w{i}" for i in range(150)]
+    texts = []
+    for _ in range(60):  # alike, and hardly two of them linked
+        now = list(base)
+        for k in r.sample(range(150), 6):
+            now[k] = f"x{r.randrange(10**9)}"
+        texts.append(" ".join(now))
+    rows = list(enumerate(texts))
+    run = NearDuplicates(spark.createDataFrame(rows, "doc_id long, text string"), folder, node_limit=8, block=16)
+    assert {x.doc_id: (x.n_shingles, x.component_id) for x in run.run().collect()} == brute(rows, 3, 85)
+    nodes = spark.read.parquet(f"{folder}/all-nodes").where("least is not null")
+    sizes = [x["count"] for x in nodes.groupBy("node").count().collect()]
+    dealt = run.deal(nodes, None, "test").count()  # as if no link were known
+    assert len(sizes) > 2 and dealt < 0.9 * sum(n * -(-(n - 1) // 16) + (n - 1) * -(-n // 16) for n in sizes)
+
+
 def test_near_duplicates_with_five_words(spark, folder):
     rows = variants(6, groups=6)
     got = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), folder, percent=80, width=5).collect()
