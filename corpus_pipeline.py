@@ -18,7 +18,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from farebox.llm.common import arrow_rows, fold, scratch, ship, store, table
+from farebox.llm.common import UNMARKED, arrow_rows, fold, scratch, ship, store, table
 from farebox.llm.exact_dedup import DigestIndex, dedup_in_batches, staying
 from farebox.llm.line_quality import quality_rules
 from farebox.llm.near_dup import near_duplicates
@@ -92,6 +92,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch(spark, "pipeline")
     for name, stage in STAGES:
         path = f"{folder}/{name}"
-        stage(spark, docs, sf_dir).write.parquet(path)
+        stage(spark, docs, sf_dir).write.options(**UNMARKED).parquet(path)
         docs = spark.read.parquet(path)
     return docs

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import uuid
@@ -50,9 +51,14 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+#: Write options for tables of one run: no file _SUCCESS, which nothing reads.  On local disks Hadoop starts a process
+#: from the driver for each file it makes, to set its permissions.
+UNMARKED = {"mapreduce.fileoutputcommitter.marksuccessfuljobs": "false"}
+
+
 def store(df: DataFrame, path: str) -> DataFrame:
     """Writes a table and reads it again: cuts the lineage and survives lost executors."""
-    df.write.parquet(path)
+    df.write.options(**UNMARKED).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -146,6 +152,13 @@ def arrow_rows(spark: SparkSession, rows: int) -> Iterator[None]:
             spark.conf.set(key, before)
 
 
+def give_back() -> None:
+    """What this process has freed goes back to the system; glibc would keep it for later."""
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def text_bytes(df: DataFrame, text: str = "text") -> int:
     return df.agg(F.sum(F.octet_length(text))).first()[0] or 0
 

@@ -28,7 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .common import SLICE_BYTES, documents, scratch, slices, store
+from .common import SLICE_BYTES, UNMARKED, documents, scratch, slices, store
 from .wordcodes import WordCoder
 
 #: Rows of a group in all rounds; a pool of fewer rows is one group.
@@ -238,7 +238,7 @@ def pack(pieces: DataFrame, folder: str, capacity: int = 2048, group_rows: int =
         columns = f"_row long, _length long, _piece {row.simpleString()}, _offset long, _sequence long, _settled boolean"
         (pool.withColumn("_grp", F.pmod(F.xxhash64("_row", F.lit(number)), F.lit(groups)))
          .groupBy("_grp").applyInArrow(run, columns)
-         .write.partitionBy("_settled").parquet(f"{folder}/round-{number}"))
+         .write.options(**UNMARKED).partitionBy("_settled").parquet(f"{folder}/round-{number}"))
         result = spark.read.schema(columns).parquet(f"{folder}/round-{number}")
         done.append(result.where("_settled").select("_piece.*", F.col("_sequence").alias("sequence_id"), F.col("_offset").alias("offset")))
         if last:

@@ -39,9 +39,10 @@ from dataclasses import dataclass, field, replace
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from .common import SLICE_BYTES, ascii_words, documents, fold, per_text, slices, table, with_fields
+from .common import SLICE_BYTES, ascii_words, documents, fold, give_back, per_text, slices, table, with_fields
 
 WORDS = re.compile(r"\w+")
 BITS = 21  # of a character's code in an n-gram key, enough for all of Unicode; the other 43 are a hash of its context
@@ -261,7 +262,7 @@ def fit(labelled: DataFrame, text: str = "text", label: str = "toxic", doc_id: s
                     [batch.column(batch.schema.get_field_index("toxic")), pa.array(f[:, 0]), pa.array(f[:, 1])], ["toxic", "a", "b"])
 
         held = sample.where("part = 0").select("text", "toxic").mapInArrow(run, "toxic int, a double, b double").toPandas()
-        shared.unpersist()
+        shared.destroy()
         if held["toxic"].nunique() < 2:
             continue
         x, y = _design(held[["a", "b"]].to_numpy()), held["toxic"].to_numpy()
@@ -331,9 +332,16 @@ def _discounted(alphabet: np.ndarray, grams: list[Grams], discount: float, stron
     return model
 
 
+def shipped(model: ToxicityModel, spark: SparkSession) -> Broadcast:
+    """What the tasks need of the model.  Nothing that fitting has held on the driver is held on."""
+    shared = spark.sparkContext.broadcast(model.scorer())
+    give_back()
+    return shared
+
+
 def toxicity(docs: DataFrame, model: ToxicityModel, text: str = "text") -> DataFrame:
     """The columns of ``docs`` without the text, and ``score``, 0 to 1."""
-    shared = docs.sparkSession.sparkContext.broadcast(model.scorer())
+    shared = shipped(model, docs.sparkSession)
     rest = docs.drop("score")
     kept = [f for f in rest.schema if f.name != text]
     names = [f.name for f in kept]
@@ -350,7 +358,7 @@ def toxicity(docs: DataFrame, model: ToxicityModel, text: str = "text") -> DataF
 
 def score(text: Column, model: ToxicityModel, spark: SparkSession) -> Column:
     """The scores of a text column; Python gets the texts alone and returns numbers, so rows are neither copied nor stored."""
-    shared = spark.sparkContext.broadcast(model.scorer())
+    shared = shipped(model, spark)
 
     def run(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
         memory = Memory()

@@ -1,15 +1,18 @@
 """The pipeline: each stage's decisions on its own input."""
 
+import os
 import random
 from pathlib import Path
 
+import public_tokenizers
 import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from farebox.llm import common
+from farebox.llm import common, toxicity
 from farebox.llm.common import scratch, store, table
 from farebox.llm.exact_dedup import normalised
+from farebox.llm.packing import pack, pieces
 
 
 def test_stages_on_a_table_with_planted_cases(spark, tmp):
@@ -81,3 +84,23 @@ def test_near_dedup_keeps_another_text_of_the_same_doc_id(spark):
     left = corpus_pipeline.near_dedup(spark, docs, "")
     assert left.columns == docs.columns
     assert sorted(map(tuple, left.collect())) == [rows[0], rows[2], rows[3]]
+
+
+def test_stored_tables_have_no_marker_and_give_their_rows(spark, folder, monkeypatch):
+    monkeypatch.setattr(corpus_pipeline, "scratch", lambda _, name: f"{folder}/{name}")
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    left = store(corpus_pipeline.near_dedup(spark, docs, ""), f"{folder}/out")
+    packed = store(pack(pieces(left, public_tokenizers.path("word_bpe_49k.json")), f"{folder}/pack"), f"{folder}/packed")
+    assert 0 < left.count() <= docs.count() and packed.select("doc_id").distinct().count() == left.count()
+    files = [f.name for f in Path(folder.removeprefix("file:")).rglob("*") if f.is_file()]
+    assert any(f.endswith(".parquet") for f in files) and "_SUCCESS" not in files
+
+
+def test_the_driver_keeps_nothing_of_the_calibration(spark, monkeypatch):
+    made, given = [], []
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", lambda sc, value, f=type(spark.sparkContext).broadcast: made.append(f(sc, value)) or made[-1])
+    monkeypatch.setattr(toxicity, "give_back", lambda: given.append(len(made)))
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    assert corpus_pipeline.toxicity(spark, docs, "/root/testdata/sf0.01").count() <= docs.count()
+    assert len(made) == 3 and given == [3]  # two settings are tried, one model is kept
+    assert [os.path.exists(b._path) for b in made] == [False, False, True]
