@@ -28,6 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from .bpe import byte_letters
 from .common import SLICE_BYTES, UNMARKED, documents, scratch, slices, store
 from .wordcodes import WordCoder
 
@@ -42,11 +43,14 @@ LOOSE_BINS = 24
 
 _coders: dict[int, WordCoder] = {}
 
-#: Chunks of ASCII letters, punctuation and single line ends: both kinds of file cut them between these runs and nowhere else.
-#: Signs of contractions and special tokens are left out.
+#: Chunks of ASCII and Latin-1 letters, punctuation and single line ends: both kinds of file cut them between these runs and nowhere
+#: else, and no normalising changes them but lower-casing.  Signs of contractions and special tokens are left out.
 _MARKS = r"!-&(-/:;=?@\[-`{}~"
-PLAIN = re.compile(rf"[A-Za-z{_MARKS}\n]+")
-RUNS = re.compile(rf"[A-Za-z]+|[{_MARKS}]+|\n")
+_LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
+PLAIN = re.compile(rf"[{_LETTERS}{_MARKS}\n]+")
+RUNS = re.compile(rf"[{_LETTERS}]+|[{_MARKS}]+|\n")
+#: Both files hold a letter for each byte.
+_AS_BYTES = {chr(c): "".join(byte_letters()[b] for b in chr(c).encode()) for c in range(0xC0, 0x100)}
 
 
 class PartCoder:
@@ -58,7 +62,7 @@ class PartCoder:
     ``max_runs``: size of the memory, not of any result.
     """
 
-    def __init__(self, source: str, keep_space: bool, max_runs: int = 50_000) -> None:
+    def __init__(self, source: str, keep_space: bool, max_runs: int = 150_000) -> None:
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_str(source)
         self.tokenizer.no_truncation()
@@ -76,6 +80,8 @@ class PartCoder:
             letters = run[1:] if run[0] == " " else run
             if letters.isalpha():  # a byte-level file writes the space as a letter
                 letters = letters if self.keep_space else letters.lower()
+                if not letters.isascii():
+                    letters = "".join([_AS_BYTES.get(c, c) for c in letters])
                 ids = [t.id for t in self.model.tokenize(f"\u0120{letters}" if run[0] == " " else letters)]
             else:
                 ids = self.whole([run])[0]
@@ -87,16 +93,18 @@ class PartCoder:
 
     def __call__(self, chunks: list[str]) -> list[list[int]]:
         out: list[list[int]] = [[]] * len(chunks)
-        other = []
+        other, known, plain, cut = [], self.runs.get, PLAIN.fullmatch, RUNS.findall
         for i, chunk in enumerate(chunks):
             space = self.keep_space and chunk[:1] == " "
-            if not PLAIN.fullmatch(chunk, space) or "\n" in chunk and ("\n\n" in chunk or space and chunk[1] == "\n"):
+            if not plain(chunk, space) or "\n" in chunk and ("\n\n" in chunk or space and chunk[1] == "\n"):
                 other.append(i)
                 continue
-            first, *more = RUNS.findall(chunk, space)
-            ids = self.run(f" {first}" if space else first)
-            for run in more:
-                ids = ids + self.run(run)
+            ids = known(chunk)  # a chunk of one run
+            if ids is None:
+                first, *more = cut(chunk, space)
+                ids = self.run(f" {first}" if space else first)
+                for run in more:
+                    ids = ids + (known(run) or self.run(run))
             out[i] = ids
         for i, ids in zip(other, self.whole([chunks[i] for i in other])):
             out[i] = ids

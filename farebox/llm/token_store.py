@@ -157,7 +157,7 @@ class Shard:
 
 
 def write_tokens(docs: DataFrame, tokenizer: str, folder: str, end: int = 0, doc_id: str = "doc_id", text: str = "text",
-                 shard_tokens: int = 1 << 20, max_chunks: int = 3 * MAX_CHUNKS) -> None:
+                 shard_tokens: int = 1 << 20, max_chunks: int = 5 * MAX_CHUNKS // 2) -> None:
     """Encodes texts with a byte-level BPE file and writes the store to ``folder``.
 
     ``max_chunks``: size of a worker's memory of chunks, not of any result.

@@ -13,6 +13,7 @@ from __future__ import annotations
 import gc
 from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -59,16 +60,16 @@ class WordCoder:
         self.start, self.length = np.empty(1 << 14, np.int64), np.empty(1 << 14, np.int64)
 
     def _slots(self, words: list[str]) -> np.ndarray:
-        get = self.slot.get
-        found = np.fromiter((get(w, -1) for w in words), np.int64, len(words))
+        """Where the ids of words, all of them different, are."""
+        found = np.fromiter(map(self.slot.get, words, repeat(-1)), np.int64, len(words))
         missing = np.flatnonzero(found < 0)
         if len(missing):
-            new = list(dict.fromkeys(words[i] for i in missing))
+            new, first = list(map(words.__getitem__, missing.tolist())), len(self.slot)
             for start in range(0, len(new), PART):
                 part = new[start:start + PART]
                 with uncollected():
                     self._learn(part, self.encode_chunks(part))
-            found[missing] = [get(words[i]) for i in missing]
+            found[missing] = np.arange(first, first + len(new))
         return found
 
     def _learn(self, words: list[str], coded: list[Sequence[int]]) -> None:
@@ -80,7 +81,7 @@ class WordCoder:
             self.start = np.concatenate([self.start, np.empty_like(self.start)])
             self.length = np.concatenate([self.length, np.empty_like(self.length)])
         ends = self.used + np.cumsum(sizes)
-        self.ids[self.used:need] = np.fromiter((i for ids in coded for i in ids), np.uint32, need - self.used)
+        self.ids[self.used:need] = np.fromiter(chain.from_iterable(coded), np.uint32, need - self.used)
         self.start[first:first + len(words)] = ends - sizes
         self.length[first:first + len(words)] = sizes
         self.used = need
@@ -122,7 +123,8 @@ class WordCoder:
         firsts = codes[bounds[:-1]]
         slots = self._slots([self.space + w for w in words])[codes]
         if self.space:  # a text's first chunk has no space before it
-            slots[bounds[:-1]] = self._slots([words[c] for c in firsts])
+            kinds, of = np.unique(firsts, return_inverse=True)
+            slots[bounds[:-1]] = self._slots([words[c] for c in kinds.tolist()])[of]
         lengths = self.length[slots]
         ids = self.ids[spread(self.start[slots], lengths)]
         ends = np.zeros(len(lengths) + 1, np.int64)

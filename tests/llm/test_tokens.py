@@ -95,6 +95,34 @@ def test_plain_chunks_are_encoded_run_by_run():
         assert sorted(sent) == sorted({",#", "."} | ({"\n"}))
 
 
+def test_latin_letters_are_encoded_run_by_run():
+    """Equal to the whole tokenizer; chunks of Latin-1 letters don't reach it, those with other characters do."""
+    r = random.Random(6)
+    signs = [*map(chr, range(0xC0, 0x180)), "a", "B", ".", "\n", "\u0301", "\u00d7", "\u00f7", "\u00aa"]
+    chunks = ["", "\u00df", *("".join(r.choices(signs, k=r.randint(1, 6))) for _ in range(3000))]
+    chunks += [" " + c for c in chunks]
+    for path, keep in ((BYTES, True), (WORDS, False)):
+        coder, full, sent = packing.PartCoder(read_vocabulary(path), keep, max_runs=100), library(path), []
+        assert coder(chunks) == [full.encode(c, add_special_tokens=False).ids for c in chunks]
+        coder.whole = lambda xs: sent.extend(xs) or [[0]] * len(xs)  # noqa: B023
+        coder(["\u00c9l\u00e8ve", "stra\u00dfe", "\u00fcber", "\u0159eka"])
+        assert sent == ["\u0159eka"]
+
+
+def test_each_new_word_is_looked_up_once():
+    class Slots(dict):
+        asked = 0
+
+        def get(self, *key):
+            Slots.asked += 1
+            return super().get(*key)
+
+    coder = WordCoder(lambda xs: [[len(x)] for x in xs], None, keep_space=True)
+    coder.slot = Slots()
+    assert coder.encode(pa.array(["a bc d", "a", "bc a"]))[0].tolist() == [1, 3, 2, 1, 2, 2]
+    assert Slots.asked == 3 + 2  # the different words, then the different first ones
+
+
 def test_byte_bpe_equals_the_library():
     t, texts = library(BYTES), random_texts(3000, 1)
     bpe = ByteBPE(read_vocabulary(BYTES))
