@@ -40,21 +40,24 @@ def byte_letters() -> list[str]:
 class ByteBPE:
     """Encoder and decoder of one vocabulary file (its JSON text)."""
 
-    def __init__(self, source: str, max_pieces: int = 100_000) -> None:
+    def __init__(self, source: str, max_pieces: int = 200_000) -> None:
         model = json.loads(source)
         vocab, letters = model["model"]["vocab"], byte_letters()
         byte_of = {c: b for b, c in enumerate(letters)}
         self.byte_id = [vocab[c] for c in letters]
-        self.merges: dict[int, tuple[int, int]] = {}
+        self.ranks: dict[int, int] = {}  # of a pair of ids
+        self.joined: list[int] = []  # of a rank
         for rank, pair in enumerate(model["model"]["merges"]):
             left, right = pair.split(" ") if isinstance(pair, str) else pair
-            self.merges.setdefault(vocab[left] << 32 | vocab[right], (rank, vocab[left + right]))
+            self.ranks.setdefault(vocab[left] << 32 | vocab[right], rank)
+            self.joined.append(vocab[left + right])
         self.special = {t["content"]: t["id"] for t in model["added_tokens"]}
         strings = {i: s for s, i in vocab.items()} | {i: s for s, i in self.special.items()}
         self.strings = [b""] * (max(strings) + 1)
         for i, s in strings.items():
             self.strings[i] = (bytes(byte_of[c] for c in s) if all(c in byte_of for c in s) else s.encode())
         self.cut = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
+        self.marks = {t[0] for t in self.special}  # a text without these characters has no special token
         self.pieces = regex.compile(PIECES)
         self.known: dict[str, list[int]] = {}
         self.max_pieces = max_pieces
@@ -66,44 +69,50 @@ class ByteBPE:
 
     def merge(self, symbols: list[int]) -> list[int]:
         """Ids of a list of byte ids after all merges."""
-        n, merges = len(symbols), self.merges
+        n, rank_of, joined = len(symbols), self.ranks.get, self.joined
         if n < 2:
             return symbols
-        before, after, queue = list(range(-1, n - 1)), [*range(1, n), -1], []
-        for i in range(n - 1):
-            found = merges.get(symbols[i] << 32 | symbols[i + 1])
-            if found:
-                queue.append((found[0], i, symbols[i], symbols[i + 1], found[1]))
+        before, after = list(range(-1, n - 1)), [*range(1, n), -1]
+        # of each place, the rank of the pair that begins there (-1: none); rank and place of a queue's entry are one number
+        ranks = [rank_of(a << 32 | b, -1) for a, b in zip(symbols, symbols[1:])]
+        ranks.append(-1)
+        queue = [r << 32 | i for i, r in enumerate(ranks) if r >= 0]
         heapify(queue)
         while queue:
-            _, i, left, right, joined = heappop(queue)
-            j = after[i]
-            if symbols[i] != left or j < 0 or symbols[j] != right:
+            entry = heappop(queue)
+            i, rank = entry & 0xFFFFFFFF, entry >> 32
+            if ranks[i] != rank:
                 continue  # stale
-            symbols[i], symbols[j] = joined, -1
-            k, h = after[j], before[i]
+            j, h = after[i], before[i]
+            k = after[j]
+            symbols[i] = new = joined[rank]
+            symbols[j] = ranks[i] = ranks[j] = -1
             after[i] = k
             if k >= 0:
                 before[k] = i
-                found = merges.get(joined << 32 | symbols[k])
-                if found:
-                    heappush(queue, (found[0], i, joined, symbols[k], found[1]))
+                found = rank_of(new << 32 | symbols[k])
+                if found is not None:
+                    ranks[i] = found
+                    heappush(queue, found << 32 | i)
             if h >= 0:
-                found = merges.get(symbols[h] << 32 | joined)
-                if found:
-                    heappush(queue, (found[0], h, symbols[h], joined, found[1]))
+                found = rank_of(symbols[h] << 32 | new)
+                if found is None:
+                    ranks[h] = -1
+                else:
+                    ranks[h] = found
+                    heappush(queue, found << 32 | h)
         return [s for s in symbols if s >= 0]
 
     def encode(self, text: str) -> list[int]:
         out: list[int] = []
-        for part in self.cut.split(text) if self.cut else [text]:
+        for part in self.cut.split(text) if any(map(text.__contains__, self.marks)) else [text]:
             if part in self.special:
                 out.append(self.special[part])
                 continue
             for piece in self.pieces.findall(part):
                 ids = self.known.get(piece)
                 if ids is None:
-                    ids = self.merge([self.byte_id[b] for b in piece.encode()])
+                    ids = self.merge(list(map(self.byte_id.__getitem__, piece.encode())))
                     if len(piece) <= 64:
                         if len(self.known) >= self.max_pieces:
                             self.known.clear()
@@ -115,6 +124,9 @@ class ByteBPE:
         return b"".join(map(self.strings.__getitem__, ids)).decode("utf-8", "replace")
 
 
+#: Chunks that a Python worker remembers: most of a text's chunks are few characters of a word, met again thousands of texts later.
+MAX_CHUNKS = 600_000
+
 _models: dict[int, tuple[ByteBPE, WordCoder]] = {}
 
 
@@ -123,7 +135,7 @@ def _model(source: str) -> tuple[ByteBPE, WordCoder]:
     key = hash(source)
     if key not in _models:
         bpe = ByteBPE(source)
-        _models[key] = bpe, WordCoder(lambda words: [bpe.encode(w) for w in words], bpe.irregular(), keep_space=True)
+        _models[key] = bpe, WordCoder(lambda words: [bpe.encode(w) for w in words], bpe.irregular(), keep_space=True, max_chunks=MAX_CHUNKS, max_ids=10 * MAX_CHUNKS)
     return _models[key]
 
 

@@ -12,7 +12,7 @@ import pytest
 public_tokenizers = pytest.importorskip("public_tokenizers")
 from tokenizers import Tokenizer  # noqa: E402
 
-from farebox.llm import packing, wordcodes  # noqa: E402
+from farebox.llm import bpe, packing, wordcodes  # noqa: E402
 from farebox.llm.bpe import ByteBPE, WordCoder, bpe_decode, bpe_encode, read_vocabulary  # noqa: E402
 from farebox.llm.packing import best_fit_decreasing, library_coder, lower_bound, pack, pieces  # noqa: E402
 from farebox.llm.token_store import Shard, read_tokens, repair, write_tokens  # noqa: E402
@@ -109,6 +109,15 @@ def test_latin_letters_are_encoded_run_by_run():
         assert sent == ["\u0159eka"]
 
 
+def test_own_encoder_remembers_more_chunks_than_a_slice_has():
+    coder = bpe._model(read_vocabulary(BYTES))[1]
+    coder._forget()
+    coder.encode(pa.array([" ".join(f"a{i}" for i in range(400_000))]))
+    coder.encode(pa.array(["b"]))
+    assert len(coder.slot) > 400_000  # not forgotten after one large slice
+    coder._forget()
+
+
 def test_each_new_word_is_looked_up_once():
     class Slots(dict):
         asked = 0
